@@ -20,7 +20,7 @@ once AS (
          st AS start_at,
          CASE WHEN i % 107 = 0 THEN NULL WHEN i % 101 = 0 THEN st
               WHEN i % 103 = 0 THEN st - INTERVAL 600 SECOND
-              ELSE st + to_seconds(CAST(floor(v * 60) AS BIGINT)) END AS end_at,
+              ELSE st + to_seconds(CAST(floor(dv * 60) AS BIGINT)) END AS end_at,
          CAST(CASE WHEN i % 47 = 0 THEN NULL WHEN i % 43 = 0 THEN -1
               WHEN i % 41 = 0 THEN round((n + 1) * dv * 0.00001 * 10, 6)
               ELSE round(n * dv * 0.00001, 6) END AS DECIMAL(18,6)) AS saidi,
@@ -47,9 +47,17 @@ def _num(expression: str) -> str:
     return f"rtrim(rtrim(CAST(CAST({expression} AS DECIMAL(24,6)) AS VARCHAR), '0'), '.')"
 
 
+def _rounded(expression: str, places: int) -> str:
+    """A double rounded as it is printed, so that 0.00815 is a half whatever its last bit."""
+    return f"CAST(CAST({expression} AS VARCHAR) AS DECIMAL(24,{places}))"
+
+
+def _dbl(expression: str, places: int) -> str:
+    return f"CAST({_rounded(expression, places)} AS DOUBLE)"
+
+
 def _num5(expression: str) -> str:
-    """A double rounded to five decimals as it is printed, which keeps halves apart from near halves."""
-    return f"rtrim(rtrim(CAST(CAST(CAST({expression} AS VARCHAR) AS DECIMAL(24,5)) AS VARCHAR), '0'), '.')"
+    return f"rtrim(rtrim(CAST({_rounded(expression, 5)} AS VARCHAR), '0'), '.')"
 
 
 # Rule: condition and detail.
@@ -185,11 +193,11 @@ differing AS (
 )
 SELECT edb, disc_yr, class, CASE WHEN class = 'B' THEN 'Planned' ELSE 'Unplanned' END AS interruption_type,
        rows_10a, ids_10a, n_s10,
-       round(a, 4) AS saidi_10a, round(ra, 4) AS saidi_s10, round(da, 2) AS saidi_diff_pct,
-       round(f, 4) AS saifi_10a, round(rf, 4) AS saifi_s10, round(df, 2) AS saifi_diff_pct,
-       round(old, 4) AS saifi_s10_transitional, round(dold, 2) AS saifi_diff_vs_transitional_pct,
-       round(tp, 4) AS saidi_10a_transpower, round(class_d, 4) AS saidi_s10_class_d,
-       round(bca, 2) AS saidi_bc_diff_pct, round(bcf, 2) AS saifi_bc_diff_pct,
+       {_dbl('a', 4)} AS saidi_10a, {_dbl('ra', 4)} AS saidi_s10, {_dbl('da', 2)} AS saidi_diff_pct,
+       {_dbl('f', 4)} AS saifi_10a, {_dbl('rf', 4)} AS saifi_s10, {_dbl('df', 2)} AS saifi_diff_pct,
+       {_dbl('old', 4)} AS saifi_s10_transitional, {_dbl('dold', 2)} AS saifi_diff_vs_transitional_pct,
+       {_dbl('tp', 4)} AS saidi_10a_transpower, {_dbl('class_d', 4)} AS saidi_s10_class_d,
+       {_dbl('bca', 2)} AS saidi_bc_diff_pct, {_dbl('bcf', 2)} AS saifi_bc_diff_pct,
        CASE WHEN a IS NULL AND (ra IS NULL OR ra = 0) THEN 'Match (no interruptions of this class)'
             WHEN ra IS NULL THEN 'No Schedule 10 data for this EDB-year'
             WHEN a IS NULL THEN 'No 10a rows for this class'
