@@ -11,13 +11,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _second_of_day(at: Column) -> Column:
-    return F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
-
-
 def seconds_between(start: Column, end: Column) -> Column:
-    days = F.datediff(F.to_date(end), F.to_date(start)).cast("bigint")
-    return days * 86400 + (_second_of_day(end) - _second_of_day(start))
+    # Of a zone-less time this is the number of whole seconds on the clock, in any session zone.
+    return F.unix_timestamp(end) - F.unix_timestamp(start)
 
 
 def days_between(start: Column, end: Column) -> Column:

@@ -78,4 +78,5 @@ def normalised_unit(column: Column) -> Column:
 def number_text(column: Column) -> Column:
     """A number in plain notation with at most six decimals: 3.0 -> '3', 0.000123 -> '0.000123'."""
     fixed = column.try_cast("decimal(24,6)").cast("string")
-    return F.coalesce(F.regexp_replace(fixed, r"[.]?0+$", ""), column.cast("string"))
+    trimmed = F.rtrim(F.rtrim(fixed, F.lit("0")), F.lit("."))
+    return F.coalesce(trimmed, column.cast("string"))

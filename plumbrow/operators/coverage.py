@@ -1,6 +1,7 @@
 """Schedules and years that are blank, missing or too short.
 
-All four checks read one small relation: the number of rows of each company-year-schedule.
+All four checks read one small relation: the number of rows of each company-year-schedule. It is
+stored, because most of them read it more than once.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbrow.settings import Settings
+from plumbrow.sources.staging import stage
 
 _COMPANY_YEAR = ["sector", "company", "disclosure_year"]
 
@@ -19,11 +21,12 @@ _SPREAD = 64
 def schedule_sizes(rows: DataFrame) -> DataFrame:
     """Rows, and rows with neither value nor text, of each company-year-schedule."""
     is_empty = F.col("value").isNull() & F.col("text_value").isNull()
-    return rows.groupBy(*_COMPANY_YEAR, "schedule").agg(
+    sizes = rows.groupBy(*_COMPANY_YEAR, "schedule").agg(
         F.count("*").alias("n_rows"),
         F.count_if(is_empty).alias("n_empty"),
         F.min("uid").alias("uid"),
     )
+    return stage(sizes, "schedule-sizes")
 
 
 def blank_schedule(sizes: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbrow.functions.keys import join_same, row_hash
@@ -45,14 +45,15 @@ def drop_copies(rows: DataFrame) -> DataFrame:
     return single.unionByName(copies.distinct())
 
 
-def member_list(limit: int):
-    """The sorted uids of a set as text; NULL for a set of more than `limit` rows.
+def member_list(limit: int) -> Column:
+    """The sorted uids of a set as text; NULL where more than `limit` rows share the row hash.
 
-    Rows of larger sets are left out before they are gathered, so the gathered part is bounded.
-    `set_members` lists the sets of every size.
+    Rows of such large groups are left out before they are gathered, so what is gathered is
+    bounded. `set_members` lists the sets of every size.
     """
-    uids = F.collect_list(F.when(F.col(N_ALIKE) <= limit, F.col("uid")))
-    return F.when(F.count("*") <= limit, F.array_join(F.sort_array(uids), ", "))
+    is_small = F.col(N_ALIKE) <= limit
+    uids = F.collect_list(F.when(is_small, F.col("uid")))
+    return F.when(F.max(N_ALIKE) <= limit, F.array_join(F.sort_array(uids), ", "))
 
 
 def set_members(candidates: DataFrame, sets: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -1,4 +1,7 @@
-"""Rows that share a cell: exact repeats and contradicting values."""
+"""Rows that share a cell: exact repeats and contradicting values.
+
+Both are found among the rows whose labels repeat, so one pass over the hashes serves both.
+"""
 
 from __future__ import annotations
 
@@ -14,9 +17,14 @@ _CELL = ["sector", *LABELS]
 _CELL_AND_CONTENT = [*_CELL, "value", "text_value"]
 
 
-def _duplicate_sets(candidates: DataFrame, settings: Settings) -> DataFrame:
+def cell_repeats(rows: DataFrame) -> DataFrame:
+    """The rows that may share their cell with another row."""
+    return repeat_candidates(rows, _CELL)
+
+
+def _duplicate_sets(repeats: DataFrame, settings: Settings) -> DataFrame:
     return (
-        candidates.groupBy(ROW_HASH, *_CELL_AND_CONTENT)
+        repeats.groupBy(ROW_HASH, *_CELL_AND_CONTENT)
         .agg(
             F.count("*").alias("n_rows"),
             F.min("uid").alias("uid"),
@@ -26,10 +34,9 @@ def _duplicate_sets(candidates: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def duplicate_rows(rows: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def duplicate_rows(repeats: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Sets of rows with the same labels, value and text; uid and version are not compared."""
-    candidates = repeat_candidates(rows, _CELL_AND_CONTENT)
-    return _duplicate_sets(candidates, settings).select(
+    return _duplicate_sets(repeats, settings).select(
         F.lit("duplicate_rows").alias("check_name"),
         "sector",
         "company",
@@ -44,16 +51,14 @@ def duplicate_rows(rows: DataFrame, settings: Settings = Settings()) -> DataFram
     )
 
 
-def duplicate_row_members(rows: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def duplicate_row_members(repeats: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Every row of every duplicate set, one per line, whatever the set's size."""
-    candidates = repeat_candidates(rows, _CELL_AND_CONTENT)
-    sets = _duplicate_sets(candidates, settings)
-    return set_members(candidates, sets, _CELL_AND_CONTENT)
+    return set_members(repeats, _duplicate_sets(repeats, settings), _CELL_AND_CONTENT)
 
 
-def _ambiguous_sets(candidates: DataFrame, settings: Settings) -> DataFrame:
+def _ambiguous_sets(repeats: DataFrame, settings: Settings) -> DataFrame:
     return (
-        candidates.groupBy(ROW_HASH, *_CELL)
+        repeats.groupBy(ROW_HASH, *_CELL)
         .agg(
             F.count("*").alias("n_rows"),
             F.count_distinct(F.struct("value", "text_value")).alias("n_values"),
@@ -66,10 +71,9 @@ def _ambiguous_sets(candidates: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def ambiguous_rows(rows: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def ambiguous_rows(repeats: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Sets of rows with the same labels but different values or texts."""
-    candidates = repeat_candidates(rows, _CELL)
-    return _ambiguous_sets(candidates, settings).select(
+    return _ambiguous_sets(repeats, settings).select(
         F.lit("ambiguous_rows").alias("check_name"),
         "sector",
         "company",
@@ -85,8 +89,6 @@ def ambiguous_rows(rows: DataFrame, settings: Settings = Settings()) -> DataFram
     )
 
 
-def ambiguous_row_members(rows: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def ambiguous_row_members(repeats: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Every row of every ambiguous set, one per line, whatever the set's size."""
-    candidates = repeat_candidates(rows, _CELL)
-    sets = _ambiguous_sets(candidates, settings)
-    return set_members(candidates, sets, _CELL)
+    return set_members(repeats, _ambiguous_sets(repeats, settings), _CELL)

@@ -10,13 +10,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbrow.functions.keys import row_hash
 from plumbrow.functions.text import is_variance_like, line_item
 from plumbrow.schema import SERIES_KEY, STANDARD_SCHEMA
 from plumbrow.settings import Settings
 
+# The hash only goes first so that sorting rarely compares the labels; the labels decide.
+_HASHED_KEY = ["_series_hash", *SERIES_KEY]
+
+
 def over_series(aggregate: Column) -> Column:
     """An aggregate over all years of the row's series."""
-    return aggregate.over(Window.partitionBy(*SERIES_KEY))
+    return aggregate.over(Window.partitionBy(*_HASHED_KEY))
 
 
 def series_values(rows: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -37,10 +42,11 @@ def series_values(rows: DataFrame, settings: Settings = Settings()) -> DataFrame
             - F.col("disclosure_year"),
         )
         .withColumn("column_month", F.month("observation_month"))
+        .withColumn("_series_hash", row_hash(SERIES_KEY))
     )
     # Only years with a single row are used in the end, and there the minimum is that row's value.
     others = [c for c in STANDARD_SCHEMA.names if c not in SERIES_KEY and c != "disclosure_year"]
-    per_year = values.groupBy(*SERIES_KEY, "disclosure_year").agg(
+    per_year = values.groupBy(*_HASHED_KEY, "disclosure_year").agg(
         F.count("*").alias("_n"), *[F.min(c).alias(c) for c in others]
     )
     return (
@@ -60,5 +66,6 @@ def series_values(rows: DataFrame, settings: Settings = Settings()) -> DataFrame
             "series_median",
             "ratio_to_median",
             "is_variance_like",
+            "_series_hash",
         )
     )

@@ -20,13 +20,17 @@ def _with_real_units(rows: DataFrame, ignored: Sequence[str]) -> DataFrame:
 
 
 def unit_usage(rows: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Each spelling of a unit a line item was reported in, per year. Both scopes read this."""
-    return (
+    """Each spelling of a unit a line item was reported in, per year.
+
+    Stored, because the checks of both scopes read it several times.
+    """
+    usage = (
         _with_real_units(rows, settings.non_units)
         .groupBy("sector", "schedule", line_item().alias("item"), "disclosure_year", "units")
         .agg(F.min("uid").alias("uid"))
         .withColumn("unit_key", normalised_unit(F.col("units")))
     )
+    return stage(usage, "unit-usage")
 
 
 def _mixed_items(usage: DataFrame) -> DataFrame:
@@ -58,9 +62,7 @@ def item_spellings(usage: DataFrame) -> DataFrame:
 
 def _inconsistent_units(usage: DataFrame, settings: Settings, within_year: bool) -> DataFrame:
     scope = "within_year" if within_year else "across_years"
-    items = stage(
-        _mixed_items(usage).where(F.col("_mixed_in_a_year") == F.lit(within_year)), "mixed-items"
-    )
+    items = _mixed_items(usage).where(F.col("_mixed_in_a_year") == F.lit(within_year))
     # Only items with few spellings are gathered into a list.
     listed = items.where(F.col("_n_spellings") <= settings.list_limit).select(*_ITEM)
     lists = (

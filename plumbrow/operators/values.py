@@ -22,58 +22,89 @@ def _count_if(condition: Column) -> Column:
     return over_series(F.count_if(condition))
 
 
-def scale_break(series: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Values about 1,000 times off (proportions also about 100 times) in an otherwise even series.
+def _scale() -> Column:
+    """Where a value lies next to its series' median; NULL for no scale in particular.
 
-    All values off the normal scale are on one other scale, and they are the minority.
+    The first range that holds decides, so a ratio on two bounds takes the wider scale.
     """
     ratio = F.col("ratio_to_median")
     is_proportion = F.col("units") == "proportion"
-    # The first range that holds decides, so a ratio on two bounds takes the wider scale.
-    scale = (
+    return (
         F.when(ratio.between(1 / 3, 3.0), "normal")
         .when(ratio.between(300.0, 3000.0), "1,000x larger")
         .when(ratio.between(1 / 3000, 1 / 300), "1,000x smaller")
         .when(is_proportion & ratio.between(30.0, 300.0), "100x larger")
         .when(is_proportion & ratio.between(1 / 300, 1 / 30), "100x smaller")
     )
-    off_scale = F.when(F.col("scale") != "normal", F.col("scale"))
+
+
+def judged_values(series: DataFrame) -> DataFrame:
+    """The values of steady line items, each judged by the three checks below.
+
+    All three look at the same series, so their counts share one partitioning. Items that change
+    size and sign legitimately are left out.
+    """
+    ratio, value, n_years = F.col("ratio_to_median"), F.col("value"), F.col("n_years")
+    is_off_scale = F.col("scale") != "normal"
+    off_scale = F.when(is_off_scale, F.col("scale"))
+    is_extreme = (ratio >= 10000) | (ratio <= 0.0001)
+    only_negative = (value < 0) & (F.col("_n_positive") == n_years - 1)
+    only_positive = (value > 0) & (F.col("_n_positive") == 1)
     return (
         series.where(~F.col("is_variance_like"))
-        .withColumn("scale", scale)
+        .withColumn("scale", _scale())
         .withColumn("_n_normal", _count_if(F.col("scale") == "normal"))
-        .withColumn("_n_off", _count_if(F.col("scale") != "normal"))
+        .withColumn("_n_off", _count_if(is_off_scale))
         .withColumn("_first_off", over_series(F.min(off_scale)))
         .withColumn("_last_off", over_series(F.max(off_scale)))
-        .where(
-            (F.col("scale") != "normal")
-            & (F.col("_n_normal") + F.col("_n_off") == F.col("n_years"))
+        .withColumn("_n_agreeing", _count_if(ratio.between(0.1, 10.0)))
+        .withColumn("_n_positive", _count_if(value > 0))
+        .withColumn(
+            "is_scale_break",
+            is_off_scale
+            & (F.col("_n_normal") + F.col("_n_off") == n_years)
             & (F.col("_first_off") == F.col("_last_off"))
-            & (F.col("_n_off") < F.col("_n_normal"))
+            & (F.col("_n_off") < F.col("_n_normal")),
         )
-        .select(
-            F.lit("scale_break").alias("check_name"),
-            *_HEAD,
-            "series_median",
-            "ratio_to_median",
-            "scale",
+        .withColumn("is_outlier", is_extreme & (F.col("_n_agreeing") == n_years - 1))
+        .withColumn(
+            "is_sign_flip",
+            F.col("units").isin(*MONEY_UNITS)
+            & (F.col("_n_normal") == n_years)
+            & (only_negative | only_positive),
         )
     )
 
 
-def magnitude_outlier(series: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def suspect_values(series: DataFrame) -> DataFrame:
+    """The few judged values that any of the three checks picks out."""
+    return judged_values(series).where(
+        F.coalesce("is_scale_break", F.lit(False))
+        | F.coalesce("is_outlier", F.lit(False))
+        | F.coalesce("is_sign_flip", F.lit(False))
+    )
+
+
+def scale_break(judged: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Values about 1,000 times off (proportions also about 100 times) in an otherwise even series.
+
+    All values off the normal scale are on one other scale, and they are the minority.
+    """
+    return judged.where("is_scale_break").select(
+        F.lit("scale_break").alias("check_name"),
+        *_HEAD,
+        "series_median",
+        "ratio_to_median",
+        "scale",
+    )
+
+
+def magnitude_outlier(judged: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The one value at least 10,000 times off where all other years agree.
 
     A very small value counts only with at least three outliers in its company-year-schedule.
     """
-    ratio = F.col("ratio_to_median")
-    outliers = (
-        series.where(~F.col("is_variance_like"))
-        .withColumn("_n_normal", _count_if(ratio.between(0.1, 10.0)))
-        .where((ratio >= 10000) | (ratio <= 0.0001))
-        .where(F.col("_n_normal") == F.col("n_years") - 1)
-        .select(*_HEAD, "series_median", "ratio_to_median")
-    )
+    outliers = judged.where("is_outlier").select(*_HEAD, "series_median", "ratio_to_median")
     outliers = stage(outliers, "outliers")
     place = ["sector", "company", "disclosure_year", "schedule"]
     # Counted by a grouping, not a window, so a schedule full of outliers stays distributed.
@@ -91,17 +122,10 @@ def magnitude_outlier(series: DataFrame, settings: Settings = Settings()) -> Dat
     )
 
 
-def sign_flip(series: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def sign_flip(judged: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The one money value whose sign differs from all other years at a similar size."""
-    n_years, n_positive = F.col("n_years"), F.col("_n_positive")
-    only_negative = (F.col("value") < 0) & (n_positive == n_years - 1)
-    only_positive = (F.col("value") > 0) & (n_positive == 1)
-    return (
-        series.where(F.col("units").isin(*MONEY_UNITS) & ~F.col("is_variance_like"))
-        .withColumn("_n_similar", _count_if(F.col("ratio_to_median").between(1 / 3, 3.0)))
-        .withColumn("_n_positive", _count_if(F.col("value") > 0))
-        .where((F.col("_n_similar") == n_years) & (only_negative | only_positive))
-        .select(F.lit("sign_flip").alias("check_name"), *_HEAD, "series_median", "n_years")
+    return judged.where("is_sign_flip").select(
+        F.lit("sign_flip").alias("check_name"), *_HEAD, "series_median", "n_years"
     )
 
 

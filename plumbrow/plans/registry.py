@@ -15,7 +15,7 @@ from plumbrow.operators.coverage import (
     schedule_sizes,
     year_gap,
 )
-from plumbrow.operators.rows import ambiguous_rows, duplicate_rows
+from plumbrow.operators.rows import ambiguous_rows, cell_repeats, duplicate_rows
 from plumbrow.operators.series import series_values
 from plumbrow.operators.units import (
     unit_usage,
@@ -24,10 +24,12 @@ from plumbrow.operators.units import (
     units_within_year,
 )
 from plumbrow.operators.values import (
+    judged_values,
     magnitude_outlier,
     percent_as_proportion,
     scale_break,
     sign_flip,
+    suspect_values,
 )
 from plumbrow.settings import Settings
 from plumbrow.sources.staging import stage
@@ -38,7 +40,8 @@ WARN, ERROR = "warn", "error"
 class CheckInputs:
     """Standard rows and the relations derived from them, each built when first asked for.
 
-    With `shared`, a derived relation is staged once and read by every check that needs it.
+    With `shared`, the rows that repeat a cell and the suspect values are stored as well, so that
+    the mart is shuffled once for all checks on repeats and once for all checks on series.
     """
 
     def __init__(self, rows: DataFrame, settings: Settings = Settings(), shared: bool = False):
@@ -46,20 +49,25 @@ class CheckInputs:
         self.settings = settings
         self._shared = shared
 
-    def _keep(self, df: DataFrame, label: str) -> DataFrame:
-        return stage(df, label) if self._shared else df
-
     @cached_property
     def sizes(self) -> DataFrame:
-        return self._keep(schedule_sizes(self.rows), "schedule-sizes")
+        return schedule_sizes(self.rows)
 
     @cached_property
     def usage(self) -> DataFrame:
-        return self._keep(unit_usage(self.rows, self.settings), "unit-usage")
+        return unit_usage(self.rows, self.settings)
+
+    @cached_property
+    def repeats(self) -> DataFrame:
+        repeats = cell_repeats(self.rows)
+        return stage(repeats, "cell-repeats") if self._shared else repeats
 
     @cached_property
-    def series(self) -> DataFrame:
-        return self._keep(series_values(self.rows, self.settings), "series-values")
+    def judged(self) -> DataFrame:
+        series = series_values(self.rows, self.settings)
+        if self._shared:
+            return stage(suspect_values(series), "suspect-values")
+        return judged_values(series)
 
 
 @dataclass(frozen=True)
@@ -79,11 +87,11 @@ class Check:
 
 
 CHECKS = (
-    Check("duplicate_rows", "rows", duplicate_rows),
-    Check("ambiguous_rows", "rows", ambiguous_rows, ERROR),
-    Check("scale_break", "series", scale_break),
-    Check("magnitude_outlier", "series", magnitude_outlier),
-    Check("sign_flip", "series", sign_flip),
+    Check("duplicate_rows", "repeats", duplicate_rows),
+    Check("ambiguous_rows", "repeats", ambiguous_rows, ERROR),
+    Check("scale_break", "judged", scale_break),
+    Check("magnitude_outlier", "judged", magnitude_outlier),
+    Check("sign_flip", "judged", sign_flip),
     Check("percent_as_proportion", "rows", percent_as_proportion),
     Check("units_within_year", "usage", units_within_year),
     Check(

@@ -6,6 +6,8 @@ known defects injected by predicate. Everything is a function of whole tables an
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,17 @@ from plumbrow.operators.reconcile import (
 )
 from plumbrow.sources.staging import stage
 
-_staged_marts: dict[tuple[str, str, bool], DataFrame] = {}
+_stored: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _stored_once(
+    spark: SparkSession, folder: str, label: str, build: Callable[[], DataFrame]
+) -> DataFrame:
+    """A derived table as a source would hold it: written once per application and folder."""
+    key = (spark.sparkContext.applicationId, folder, label)
+    if key not in _stored:
+        _stored[key] = stage(build(), label)
+    return _stored[key]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -150,14 +162,13 @@ def build_mart(spark: SparkSession, folder: str, by_supplier: bool = True) -> Da
 
 
 def sample_mart(spark: SparkSession, folder: str, by_supplier: bool = True) -> DataFrame:
-    """The mart as a stored table, written once per application and folder."""
-    key = (spark.sparkContext.applicationId, folder, by_supplier)
-    if key not in _staged_marts:
-        _staged_marts[key] = stage(build_mart(spark, folder, by_supplier), "sample-mart")
-    return _staged_marts[key]
+    grain = "supplier" if by_supplier else "nation"
+    return _stored_once(
+        spark, folder, f"{grain}-mart", lambda: build_mart(spark, folder, by_supplier)
+    )
 
 
-def sample_interruptions(spark: SparkSession, folder: str) -> DataFrame:
+def build_interruptions(spark: SparkSession, folder: str) -> DataFrame:
     """One interruption record per event, with defects injected by predicate; one scan."""
     i, value = F.col("event_id"), F.col("value")
     e = (F.col("user_id") % 20).cast("int")
@@ -232,7 +243,11 @@ def sample_interruptions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def sample_totals(spark: SparkSession, folder: str) -> DataFrame:
+def sample_interruptions(spark: SparkSession, folder: str) -> DataFrame:
+    return _stored_once(spark, folder, "interruptions", lambda: build_interruptions(spark, folder))
+
+
+def build_totals(spark: SparkSession, folder: str) -> DataFrame:
     """Reported totals that agree with the 2024 records of most EDBs and differ as told for some."""
     sums = record_measures(sample_interruptions(spark, folder)).where(F.col("disc_yr") == 2024)
     e = F.substring("edb", 5, 2).cast("int")
@@ -317,3 +332,7 @@ def sample_totals(spark: SparkSession, folder: str) -> DataFrame:
             "value",
         )
     )
+
+
+def sample_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return _stored_once(spark, folder, "reported-totals", lambda: build_totals(spark, folder))
