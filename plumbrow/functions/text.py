@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from plumbrow.functions.keys import any_of
 from plumbrow.schema import ITEM_LABELS
 
 # An item containing any of these is expected to change size and sign. They match as
@@ -53,7 +54,9 @@ def regex_replace_all(column: Column, pattern: str, replacement: str) -> Column:
 
 
 def is_variance_like(item: Column) -> Column:
-    return regex_contains(F.lower(item), "|".join(VARIANCE_WORDS))
+    # Plain searches: a regular expression of these alternatives is several times slower.
+    lowered = F.lower(item)
+    return any_of([lowered.contains(word) for word in VARIANCE_WORDS])
 
 
 def text_to_double(column: Column) -> Column:

@@ -1,8 +1,8 @@
 """One company's line item over the years.
 
 A series has at most one value per disclosure year. Rows are first reduced to one per series and
-year, on the map side where they repeat, so the windows below never see more rows of a series than
-there are years, however often a key occurs.
+year, on the map side where they repeat, so the windows never see more rows of a series than there
+are years, however often a key occurs.
 """
 
 from __future__ import annotations
@@ -14,9 +14,17 @@ from plumbrow.functions.keys import row_hash
 from plumbrow.functions.text import is_variance_like, line_item
 from plumbrow.schema import SERIES_KEY, STANDARD_SCHEMA
 from plumbrow.settings import Settings
+from plumbrow.sources.staging import stage
+
+# Units of money.
+MONEY_UNITS = ("$000", "$000s", "$m", "$")
 
 # The hash only goes first so that sorting rarely compares the labels; the labels decide.
-_HASHED_KEY = ["_series_hash", *SERIES_KEY]
+SERIES_HASH = "_series_hash"
+_HASHED_KEY = [SERIES_HASH, *SERIES_KEY]
+
+# A hash shared by more rows than this is reduced on the map side before it is shuffled.
+_LONG_SERIES = 100_000
 
 
 def over_series(aggregate: Column) -> Column:
@@ -24,39 +32,42 @@ def over_series(aggregate: Column) -> Column:
     return aggregate.over(Window.partitionBy(*_HASHED_KEY))
 
 
-def series_values(rows: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Every non-zero value of every series that is long enough, with the series' median size.
-
-    A series with two values in one year is left out.
-    """
-    values = (
+def _keyed_values(rows: DataFrame) -> DataFrame:
+    """The non-zero values with the derived part of their series key."""
+    reported_for = F.coalesce(
+        F.col("observation_year"),
+        F.year("observation_month"),
+        F.col("forecast_year"),
+        F.year("period_ending"),
+    )
+    return (
         rows.where(F.col("value").isNotNull() & (F.col("value") != 0))
-        .withColumn(
-            "column_year_offset",
-            F.coalesce(
-                F.col("observation_year"),
-                F.year("observation_month"),
-                F.col("forecast_year"),
-                F.year("period_ending"),
-            )
-            - F.col("disclosure_year"),
-        )
+        .withColumn("column_year_offset", reported_for - F.col("disclosure_year"))
         .withColumn("column_month", F.month("observation_month"))
-        .withColumn("_series_hash", row_hash(SERIES_KEY))
+        .withColumn(SERIES_HASH, row_hash(SERIES_KEY))
     )
+
+
+def _series_of(values: DataFrame, settings: Settings) -> DataFrame:
     # Only years with a single row are used in the end, and there the minimum is that row's value.
     others = [c for c in STANDARD_SCHEMA.names if c not in SERIES_KEY and c != "disclosure_year"]
     per_year = values.groupBy(*_HASHED_KEY, "disclosure_year").agg(
         F.count("*").alias("_n"), *[F.min(c).alias(c) for c in others]
     )
     return (
-        per_year.withColumn("_most", over_series(F.max("_n")))
-        .withColumn("n_years", over_series(F.count("*")))
-        .withColumn("series_median", over_series(F.median(F.abs("value"))))
+        per_year.withColumns(
+            {
+                "_most": over_series(F.max("_n")),
+                "n_years": over_series(F.count("*")),
+                "series_median": over_series(F.median(F.abs("value"))),
+                # The same for all rows of a series. As a window column it stays here: a filter on
+                # the bare expression would move to the scan and search every row word by word.
+                "is_variance_like": over_series(F.max(is_variance_like(line_item()))),
+            }
+        )
         .where((F.col("_most") == 1) & (F.col("n_years") >= settings.series_min_years))
         .withColumn("ratio_to_median", F.abs("value") / F.col("series_median"))
         .withColumn("item", line_item())
-        .withColumn("is_variance_like", is_variance_like(F.col("item")))
         .select(
             *STANDARD_SCHEMA.names,
             "item",
@@ -66,6 +77,59 @@ def series_values(rows: DataFrame, settings: Settings = Settings()) -> DataFrame
             "series_median",
             "ratio_to_median",
             "is_variance_like",
-            "_series_hash",
+            SERIES_HASH,
+        )
+    )
+
+
+def series_values(rows: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Every non-zero value of every series that is long enough, with the series' median size.
+
+    A series with two values in one year is left out.
+    """
+    return _series_of(_keyed_values(rows), settings)
+
+
+def uneven_series_values(rows: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """`series_values` without the steady series, in which no value can be out of place.
+
+    To be flagged, a value has to be at least ten times larger or smaller than another one of its
+    series, or a money value of the opposite sign; and the line item must not be one that varies.
+    The extremes of each series hash show where that may be. Two series under one hash only widen
+    the extremes, so none is missed. That takes one shuffle of a few numbers per series, and only
+    the rows of uneven series are shuffled with their labels.
+    """
+    values = _keyed_values(rows)
+    size, money = F.abs("value"), F.when(F.col("units").isin(*MONEY_UNITS), F.col("value"))
+    uneven = (
+        values.groupBy(SERIES_HASH)
+        .agg(
+            F.count("*").alias("_n_alike"),
+            F.min(size).alias("_smallest"),
+            F.max(size).alias("_largest"),
+            F.min(money).alias("_lowest"),
+            F.max(money).alias("_highest"),
+            F.min(is_variance_like(line_item())).alias("_varies"),
         )
+        .where((F.col("_n_alike") >= settings.series_min_years) & ~F.col("_varies"))
+        # A little under ten, for the rounding of the ratios.
+        .where(
+            (F.col("_largest") >= F.col("_smallest") * 9.99)
+            | ((F.col("_lowest") < 0) & (F.col("_highest") > 0))
+        )
+        .select(SERIES_HASH, "_n_alike")
     )
+    uneven = stage(uneven, "uneven-series")
+    is_long = F.col("_n_alike") > _LONG_SERIES
+
+    def of(hashes: DataFrame) -> DataFrame:
+        return values.join(hashes.select(SERIES_HASH), SERIES_HASH, "left_semi")
+
+    found = _series_of(of(uneven.where(~is_long)), settings)
+    # When the hashes are too many to broadcast, the join places rows by hash and the years are
+    # counted in place. A long series is kept out of that: there are at most (number of rows) /
+    # 100,000 of those, so they are broadcast and shrink to one row per year before any shuffle.
+    long_series = uneven.where(is_long)
+    if long_series.isEmpty():
+        return found
+    return found.unionByName(_series_of(of(F.broadcast(long_series)), settings))

@@ -8,13 +8,10 @@ from pyspark.sql import functions as F
 from plumbrow.functions.keys import join_same
 from plumbrow.functions.text import line_item
 from plumbrow.operators.medians import grouped_median
-from plumbrow.operators.series import over_series
+from plumbrow.operators.series import MONEY_UNITS, over_series
 from plumbrow.settings import Settings
 from plumbrow.sources.staging import stage
 
-# Units of money.
-MONEY_UNITS = ("$000", "$000s", "$m", "$")
-
 _HEAD = ["sector", "company", "disclosure_year", "schedule", "item", "uid", "units", "value"]
 
 
@@ -42,7 +39,7 @@ def judged_values(series: DataFrame) -> DataFrame:
     """The values of steady line items, each judged by the three checks below.
 
     All three look at the same series, so their counts share one partitioning. Items that change
-    size and sign legitimately are left out.
+    size and sign legitimately are left out. Takes `series_values` or `uneven_series_values`.
     """
     ratio, value, n_years = F.col("ratio_to_median"), F.col("value"), F.col("n_years")
     is_off_scale = F.col("scale") != "normal"
@@ -53,25 +50,37 @@ def judged_values(series: DataFrame) -> DataFrame:
     return (
         series.where(~F.col("is_variance_like"))
         .withColumn("scale", _scale())
-        .withColumn("_n_normal", _count_if(F.col("scale") == "normal"))
-        .withColumn("_n_off", _count_if(is_off_scale))
-        .withColumn("_first_off", over_series(F.min(off_scale)))
-        .withColumn("_last_off", over_series(F.max(off_scale)))
-        .withColumn("_n_agreeing", _count_if(ratio.between(0.1, 10.0)))
-        .withColumn("_n_positive", _count_if(value > 0))
-        .withColumn(
-            "is_scale_break",
-            is_off_scale
-            & (F.col("_n_normal") + F.col("_n_off") == n_years)
-            & (F.col("_first_off") == F.col("_last_off"))
-            & (F.col("_n_off") < F.col("_n_normal")),
+        .withColumns(
+            {
+                "_n_normal": _count_if(F.col("scale") == "normal"),
+                "_n_off": _count_if(is_off_scale),
+                "_first_off": over_series(F.min(off_scale)),
+                "_last_off": over_series(F.max(off_scale)),
+                "_n_agreeing": _count_if(ratio.between(0.1, 10.0)),
+                "_n_positive": _count_if(value > 0),
+            }
         )
-        .withColumn("is_outlier", is_extreme & (F.col("_n_agreeing") == n_years - 1))
-        .withColumn(
+        .withColumns(
+            {
+                "is_scale_break": is_off_scale
+                & (F.col("_n_normal") + F.col("_n_off") == n_years)
+                & (F.col("_first_off") == F.col("_last_off"))
+                & (F.col("_n_off") < F.col("_n_normal")),
+                "is_outlier": is_extreme & (F.col("_n_agreeing") == n_years - 1),
+                "is_sign_flip": F.col("units").isin(*MONEY_UNITS)
+                & (F.col("_n_normal") == n_years)
+                & (only_negative | only_positive),
+            }
+        )
+        .select(
+            *_HEAD,
+            "n_years",
+            "series_median",
+            "ratio_to_median",
+            "scale",
+            "is_scale_break",
+            "is_outlier",
             "is_sign_flip",
-            F.col("units").isin(*MONEY_UNITS)
-            & (F.col("_n_normal") == n_years)
-            & (only_negative | only_positive),
         )
     )
 

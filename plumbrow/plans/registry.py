@@ -16,7 +16,7 @@ from plumbrow.operators.coverage import (
     year_gap,
 )
 from plumbrow.operators.rows import ambiguous_rows, cell_repeats, duplicate_rows
-from plumbrow.operators.series import series_values
+from plumbrow.operators.series import uneven_series_values
 from plumbrow.operators.units import (
     unit_usage,
     units_across_years,
@@ -64,7 +64,7 @@ class CheckInputs:
 
     @cached_property
     def judged(self) -> DataFrame:
-        series = series_values(self.rows, self.settings)
+        series = uneven_series_values(self.rows, self.settings)
         if self._shared:
             return stage(suspect_values(series), "suspect-values")
         return judged_values(series)
