@@ -19,7 +19,7 @@ from plumbrow.functions.dates import (
 )
 from plumbrow.functions.keys import any_of
 from plumbrow.functions.text import number_text
-from plumbrow.operators.repeats import ROW_HASH, number_copies, repeat_candidates
+from plumbrow.operators.repeats import number_copies, repeat_candidates
 from plumbrow.schema import RECORD_ERROR_COLUMNS
 
 # What makes two records copies of each other: everything but where they came from.
@@ -239,7 +239,7 @@ def _copied_records(interruptions: DataFrame) -> DataFrame:
     """Each record that occurs more than once, with the number of times it does."""
     return (
         repeat_candidates(interruptions, COPY_COLUMNS)
-        .groupBy(ROW_HASH, *COPY_COLUMNS)
+        .groupBy(*COPY_COLUMNS)
         .agg(F.count("*").alias("_n_copies"))
         .where(F.col("_n_copies") > 1)
     )
@@ -247,7 +247,8 @@ def _copied_records(interruptions: DataFrame) -> DataFrame:
 
 def duplicate_errors(interruptions: DataFrame) -> DataFrame:
     """One error for every copy of a record after the first."""
-    copies = number_copies(_copied_records(interruptions), "_n_copies", "_copy")
+    copied = _copied_records(interruptions)
+    copies = number_copies(copied, "_n_copies", "_copy", spread_by=["edb", "row_num"])
     return copies.select(
         *_identity(),
         F.lit(DUPLICATE_ROW).alias("check_name"),

@@ -1,9 +1,10 @@
 """Finding rows that agree in many wide columns, without shuffling the wide columns.
 
 Only an 8-byte hash per row is shuffled to learn which hashes occur more than once. Those few
-hashes are staged, so the planner knows their size, and the rows carrying them are then compared
-column by column. Counting combines on the map side, so a group holding a third of all rows costs
-each task one entry.
+hashes are staged, so the planner knows their size: it broadcasts them when they are few and
+otherwise shuffles both sides, splitting a hash that holds a large part of the rows. The rows found
+are then grouped by the columns themselves and never by the hash, so that the grouping always
+combines on the map side first and a large group costs each task one entry.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ N_ALIKE = "_n_alike"
 
 _NUMBERS_PER_ROW = 100_000
 
+# With more repeated hashes than this, copies are no exception and are dropped in one pass.
+_MANY_HASHES = 1_000_000
+
 
 def _repeated_hashes(keyed: DataFrame) -> DataFrame:
     alike = keyed.groupBy(ROW_HASH).agg(F.count("*").alias(N_ALIKE)).where(F.col(N_ALIKE) > 1)
@@ -40,6 +44,8 @@ def drop_copies(rows: DataFrame) -> DataFrame:
     """`rows.distinct()`, where only rows with a repeated hash are shuffled as a whole."""
     keyed = rows.withColumn(ROW_HASH, row_hash(rows.columns))
     repeated = _repeated_hashes(keyed)
+    if repeated.count() > _MANY_HASHES:
+        return rows.distinct()
     single = keyed.join(repeated, ROW_HASH, "left_anti").select(*rows.columns)
     copies = keyed.join(repeated, ROW_HASH, "left_semi").select(*rows.columns)
     return single.unionByName(copies.distinct())
@@ -56,16 +62,27 @@ def member_list(limit: int) -> Column:
     return F.when(F.max(N_ALIKE) <= limit, F.array_join(F.sort_array(uids), ", "))
 
 
-def set_members(candidates: DataFrame, sets: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per member of each set: the set's uid (its first member's) and the member's uid."""
-    keys = [ROW_HASH, *columns]
-    heads = stage(sets.select(*keys, F.col("uid").alias("set_uid")), "repeated-sets")
-    return join_same(candidates, heads, keys).select(
-        "sector", "company", "disclosure_year", "schedule", F.col("set_uid"), F.col("uid")
+def set_members(
+    candidates: DataFrame, sets: DataFrame, hashed: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
+    """One row per member of each set: the set's uid (its first member's) and the member's uid.
+
+    `hashed` are the columns behind the candidates' row hash, `columns` those that make a set.
+    """
+    heads = stage(
+        sets.select(
+            row_hash(hashed).alias(ROW_HASH), *columns, F.col("uid").alias("set_uid")
+        ),
+        "repeated-sets",
+    )
+    return join_same(candidates, heads, [ROW_HASH, *columns]).select(
+        "sector", "company", "disclosure_year", "schedule", "set_uid", "uid"
     )
 
 
-def number_copies(sets: DataFrame, count: str, number: str) -> DataFrame:
+def number_copies(
+    sets: DataFrame, count: str, number: str, spread_by: Sequence[str]
+) -> DataFrame:
     """One row for each copy after the first, numbered from 2.
 
     A set of any size becomes rows of at most 100,000 numbers each before these are spread over
@@ -78,7 +95,7 @@ def number_copies(sets: DataFrame, count: str, number: str) -> DataFrame:
     first = F.col("_chunk") * size + 2
     return (
         sets.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
-        .repartition(tasks, ROW_HASH, "_chunk")
+        .repartition(tasks, *spread_by, "_chunk")
         .withColumn(
             number, F.explode(F.sequence(first, F.least(F.col(count), first + size - 1)))
         )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbrow.functions.text import line_item
-from plumbrow.operators.repeats import ROW_HASH, member_list, repeat_candidates, set_members
+from plumbrow.operators.repeats import member_list, repeat_candidates, set_members
 from plumbrow.schema import LABELS
 from plumbrow.settings import Settings
 
@@ -24,7 +24,7 @@ def cell_repeats(rows: DataFrame) -> DataFrame:
 
 def _duplicate_sets(repeats: DataFrame, settings: Settings) -> DataFrame:
     return (
-        repeats.groupBy(ROW_HASH, *_CELL_AND_CONTENT)
+        repeats.groupBy(*_CELL_AND_CONTENT)
         .agg(
             F.count("*").alias("n_rows"),
             F.min("uid").alias("uid"),
@@ -53,12 +53,12 @@ def duplicate_rows(repeats: DataFrame, settings: Settings = Settings()) -> DataF
 
 def duplicate_row_members(repeats: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Every row of every duplicate set, one per line, whatever the set's size."""
-    return set_members(repeats, _duplicate_sets(repeats, settings), _CELL_AND_CONTENT)
+    return set_members(repeats, _duplicate_sets(repeats, settings), _CELL, _CELL_AND_CONTENT)
 
 
 def _ambiguous_sets(repeats: DataFrame, settings: Settings) -> DataFrame:
     return (
-        repeats.groupBy(ROW_HASH, *_CELL)
+        repeats.groupBy(*_CELL)
         .agg(
             F.count("*").alias("n_rows"),
             F.count_distinct(F.struct("value", "text_value")).alias("n_values"),
@@ -91,4 +91,4 @@ def ambiguous_rows(repeats: DataFrame, settings: Settings = Settings()) -> DataF
 
 def ambiguous_row_members(repeats: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Every row of every ambiguous set, one per line, whatever the set's size."""
-    return set_members(repeats, _ambiguous_sets(repeats, settings), _CELL)
+    return set_members(repeats, _ambiguous_sets(repeats, settings), _CELL, _CELL)

@@ -23,8 +23,10 @@ MONEY_UNITS = ("$000", "$000s", "$m", "$")
 SERIES_HASH = "_series_hash"
 _HASHED_KEY = [SERIES_HASH, *SERIES_KEY]
 
-# A hash shared by more rows than this is reduced on the map side before it is shuffled.
-_LONG_SERIES = 100_000
+# A hash shared by more rows than this is reduced on the map side before it is shuffled, unless
+# there are so many of these that they spread over the tasks by themselves.
+_LONG_SERIES = 1_000_000
+_MANY_HASHES = 1_000_000
 
 
 def over_series(aggregate: Column) -> Column:
@@ -125,11 +127,11 @@ def uneven_series_values(rows: DataFrame, settings: Settings = Settings()) -> Da
     def of(hashes: DataFrame) -> DataFrame:
         return values.join(hashes.select(SERIES_HASH), SERIES_HASH, "left_semi")
 
-    found = _series_of(of(uneven.where(~is_long)), settings)
     # When the hashes are too many to broadcast, the join places rows by hash and the years are
-    # counted in place. A long series is kept out of that: there are at most (number of rows) /
-    # 100,000 of those, so they are broadcast and shrink to one row per year before any shuffle.
+    # counted in place. A long series is kept out of that: its hash is broadcast, and its rows
+    # shrink to one per year on the map side.
     long_series = uneven.where(is_long)
-    if long_series.isEmpty():
-        return found
+    if not 0 < long_series.count() <= _MANY_HASHES:
+        return _series_of(of(uneven), settings)
+    found = _series_of(of(uneven.where(~is_long)), settings)
     return found.unionByName(_series_of(of(F.broadcast(long_series)), settings))

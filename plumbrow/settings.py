@@ -40,4 +40,4 @@ class Settings:
     # are in the one-row-per-member relations, which are always complete.
     list_limit: int = 10_000
     # Groups with more rows than this take the distributed median.
-    hot_group_rows: int = 1_000_000
+    hot_group_rows: int = 100_000

@@ -84,20 +84,22 @@ def test_long_spelling_lists_stay_complete_elsewhere(spark):
     assert item_spellings(usage).count() == 12
 
 
-def test_drop_copies_is_distinct(spark):
+def test_drop_copies_is_distinct(spark, monkeypatch):
     data = [(i % 5, None if i % 3 else "x") for i in range(60)] + [(100, "single")]
     df = spark.createDataFrame(data, "a int, b string")
     expected = sorted(map(str, df.distinct().collect()))
     assert sorted(map(str, drop_copies(df).collect())) == expected
+    monkeypatch.setattr(repeats, "_MANY_HASHES", 0)
+    assert sorted(map(str, drop_copies(df).collect())) == expected
 
 
 def test_copies_are_numbered_across_chunks(spark, monkeypatch):
     monkeypatch.setattr(repeats, "_NUMBERS_PER_ROW", 7)
     sets = spark.createDataFrame(
         [(1, "a", 2), (2, "b", 8), (3, "c", 9), (4, "d", 50)],
-        f"{repeats.ROW_HASH} bigint, k string, n bigint",
+        "id bigint, k string, n bigint",
     )
-    found = repeats.number_copies(sets, "n", "copy").collect()
+    found = repeats.number_copies(sets, "n", "copy", ["id"]).collect()
     for k, n in [("a", 2), ("b", 8), ("c", 9), ("d", 50)]:
         assert sorted(r.copy for r in found if r.k == k) == list(range(2, n + 1))
 
