@@ -215,6 +215,29 @@ FROM differing
 EVENT_SQL: dict[str, str] = {
     "record_errors": f"WITH {RECORDS} {_ALL_ERRORS}",
     **{f"err_{rule.lower()}": f"WITH {RECORDS} {_errors(rule)}" for rule in _RULES},
+    "dated_records": f"""
+WITH {RECORDS}
+SELECT edb, disc_yr, row_num, ident AS interruption_identifier, start_at, end_at, mins AS duration_min,
+       start_dy, CASE WHEN day(start_at) <= 12
+         THEN year(start_at) + CASE WHEN day(start_at) > 3 THEN 1 ELSE 0 END END AS swapped_dy,
+       greatest(make_date(disc_yr - 1, 4, 1) - CAST(start_at AS DATE),
+                CAST(start_at AS DATE) - make_date(disc_yr, 3, 31), 0) AS days_outside_dy
+FROM rec
+""",
+    "distinct_records": f"""
+WITH {RECORDS}
+SELECT edb, disc_yr, row_num, ident AS interruption_identifier, feeder, cause FROM once
+""",
+    "reported_measures": f"""
+WITH {RECORDS}, {_SUMS}, {_REPORTED}
+SELECT edb, disc_yr, class, saidi AS saidi_s10, saifi AS saifi_s10, n AS n_s10,
+       CAST(NULL AS DOUBLE) AS saidi_s10_transitional, saifi_old AS saifi_s10_transitional
+FROM reported
+UNION ALL
+SELECT edb, disc_yr, 'D', tp, f, NULL, NULL, NULL
+FROM base JOIN (SELECT edb, disc_yr, sum(saifi_tp) AS f FROM sums GROUP BY edb, disc_yr) USING (edb, disc_yr)
+WHERE e = 3
+""",
     "record_errors_summary": f"""
 WITH {RECORDS}, errors AS ({_ALL_ERRORS}),
 totals AS (SELECT edb, disc_yr, count(*) AS total_rows FROM rec GROUP BY ALL)

@@ -107,10 +107,13 @@ def _both_sides(records: DataFrame, reported: DataFrame) -> DataFrame:
     recorded_saidi = F.coalesce("saidi_10a", F.lit(0.0))
     recorded_saifi = F.coalesce("saifi_10a", F.lit(0.0))
     return (
-        both.withColumn("saidi_s10_class_d", of_edb_year(F.max(F.when(is_d, reported_saidi))))
-        .withColumn("saidi_bc_diff_pct", _percent(bc_sum(recorded_saidi), bc_sum(reported_saidi)))
-        .withColumn("saifi_bc_diff_pct", _percent(bc_sum(recorded_saifi), bc_sum(reported_saifi)))
-        .where(~is_d)
+        both.withColumns(
+            {
+                "saidi_s10_class_d": of_edb_year(F.max(F.when(is_d, reported_saidi))),
+                "saidi_bc_diff_pct": _percent(bc_sum(recorded_saidi), bc_sum(reported_saidi)),
+                "saifi_bc_diff_pct": _percent(bc_sum(recorded_saifi), bc_sum(reported_saifi)),
+            }
+        ).where(~is_d)
     )
 
 

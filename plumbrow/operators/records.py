@@ -231,6 +231,20 @@ def _identity() -> list[Column]:
     ]
 
 
+def dated_records(interruptions: DataFrame) -> DataFrame:
+    """Each record's clock times, its length in minutes, and the disclosure years it may be in."""
+    v = _values()
+    return interruptions.select(
+        *_identity(),
+        v["start"].alias("start_at"),
+        v["end"].alias("end_at"),
+        v["minutes"].alias("duration_min"),
+        disclosure_year(v["start"]).alias("start_dy"),
+        swapped_disclosure_year(v["start"]).alias("swapped_dy"),
+        days_outside_year(v["start"], v["year"]).alias("days_outside_dy"),
+    )
+
+
 def _copy_detail(copy: Column) -> Column:
     return F.concat(F.lit("Exact copy of another row (copy "), copy.cast("string"), F.lit(")"))
 

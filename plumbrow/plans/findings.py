@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbrow.plans.registry import CHECKS, ERROR, Check, CheckInputs
+from plumbrow.plans.registry import CHECKS, ERROR, JOBS_AT_ONCE, Check, CheckInputs, run_checks
 from plumbrow.schema import ALL_FINDINGS_SCHEMA
 from plumbrow.settings import Settings
 from plumbrow.sources.sectors import standard_rows
@@ -52,7 +53,8 @@ def all_findings(
 ) -> DataFrame:
     """The findings of all checks in one table, from one pass per shared relation."""
     inputs = CheckInputs(standard_rows(mart, sector, settings), settings, shared=True)
-    parts = [_common(check.run(inputs), check, sector) for check in checks]
+    found = run_checks(inputs, checks)
+    parts = [_common(df, check, sector) for df, check in zip(found, checks, strict=True)]
     return _combined(mart.sparkSession, parts)
 
 
@@ -97,16 +99,19 @@ def store_findings(
     spark = mart.sparkSession
     run_id, run_at = uuid.uuid4().hex, datetime.now(timezone.utc)
     inputs = CheckInputs(standard_rows(mart, sector, settings), settings, shared=True)
-    results = []
-    for check in checks:
+
+    def store(check: Check, findings: DataFrame) -> tuple:
         table = place.beside(check.test_name(sector))
-        write_table(check.run(inputs), table)
+        write_table(findings, table)
         n_findings = read_table(spark, table).count()
         status = status_of(check.severity, n_findings)
         tags = ",".join(check.tags)
-        results.append(
-            (run_id, run_at, table.identifier, check.name, check.severity, tags, n_findings, status)
-        )
+        name, severity = check.name, check.severity
+        return run_id, run_at, table.identifier, name, severity, tags, n_findings, status
+
+    found = run_checks(inputs, checks)
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        results = list(pool.map(store, checks, found))
     history = spark.createDataFrame(results, HISTORY_SCHEMA)
     write_table(history, place.beside(HISTORY_TABLE), mode="append")
     return history

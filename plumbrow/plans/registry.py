@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -36,6 +37,8 @@ from plumbrow.sources.staging import stage
 
 WARN, ERROR = "warn", "error"
 
+JOBS_AT_ONCE = 4
+
 
 class CheckInputs:
     """Standard rows and the relations derived from them, each built when first asked for.
@@ -108,6 +111,18 @@ CHECKS = (
 )
 
 
+def run_checks(inputs: CheckInputs, checks: Sequence[Check] = CHECKS) -> list[DataFrame]:
+    """The findings of several checks, in their order.
+
+    Relations that do not depend on each other are stored at the same time, so the cluster has
+    work while one job waits for its last tasks.
+    """
+    relations = dict.fromkeys(check.reads for check in checks)
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        list(pool.map(lambda name: getattr(inputs, name), relations))
+        return list(pool.map(lambda check: check.run(inputs), checks))
+
+
 def find_check(name: str) -> Check:
     for check in CHECKS:
         if check.name == name:
