@@ -122,7 +122,7 @@ items AS (
 SELECT 'units_{scope}' AS check_name, sector, CAST(NULL AS VARCHAR) AS company,
        CAST(NULL AS INTEGER) AS disclosure_year, schedule, item, uid, n_units, units_used
 FROM items
-WHERE n_units > 1 AND {mixed} EXISTS (
+WHERE n_units > 1 AND schedule IS NOT NULL AND {mixed} EXISTS (
   SELECT 1 FROM years WHERE years.schedule = items.schedule AND years.item = items.item AND years.n > 1)
 """
 
@@ -132,7 +132,7 @@ pairs AS (SELECT DISTINCT sector, company, disclosure_year AS y, schedule FROM s
 grid AS (
   SELECT c.sector, c.company, c.y, s.schedule,
          (SELECT count(*) FROM (SELECT DISTINCT company, y FROM pairs) a WHERE a.y = c.y) AS n_companies,
-         (SELECT count(*) FROM pairs a WHERE a.y = c.y AND a.schedule = s.schedule) AS n_disclosing,
+         (SELECT count(a.company) FROM pairs a WHERE a.y = c.y AND a.schedule = s.schedule) AS n_disclosing,
          EXISTS (SELECT 1 FROM pairs a WHERE a.company = c.company AND a.schedule = s.schedule AND a.y = c.y) AS has,
          EXISTS (SELECT 1 FROM pairs a WHERE a.company = c.company AND a.schedule = s.schedule AND a.y = c.y - 1)
          AND EXISTS (SELECT 1 FROM pairs a WHERE a.company = c.company AND a.schedule = s.schedule AND a.y = c.y + 1)
@@ -218,7 +218,7 @@ peers AS (SELECT *, median(m) OVER peer AS pm, count(*) OVER peer AS n FROM own
 SELECT 'percent_as_proportion' AS check_name, sector, company, CAST(NULL AS INTEGER) AS disclosure_year,
        schedule, item, uid, round(m, 6) AS company_median, round(pm, 6) AS peer_median,
        n AS n_companies, first_year, last_year
-FROM peers WHERE m > 1.5 AND m <= 100 AND pm <= 1 AND n > 2
+FROM peers WHERE schedule IS NOT NULL AND m > 1.5 AND m <= 100 AND pm <= 1 AND n > 2
 """,
     "units_within_year": _units_query("within_year", ""),
     "units_across_years": _units_query("across_years", "NOT"),
@@ -272,7 +272,7 @@ spans AS (SELECT sector, company, min(disclosure_year) AS first_year, max(disclo
 SELECT 'year_gap' AS check_name, sector, company, t.y AS disclosure_year, CAST(NULL AS VARCHAR) AS schedule,
        CAST(NULL AS VARCHAR) AS item, CAST(NULL AS VARCHAR) AS uid, first_year, last_year
 FROM spans, (SELECT DISTINCT disclosure_year AS y FROM std) t
-WHERE t.y > first_year AND t.y < last_year
+WHERE t.y BETWEEN first_year AND last_year
   AND NOT EXISTS (SELECT 1 FROM std WHERE std.company = spans.company AND std.disclosure_year = t.y)
 """,
 }

@@ -16,6 +16,11 @@ def seconds_between(start: Column, end: Column) -> Column:
     return F.unix_timestamp(end) - F.unix_timestamp(start)
 
 
+def clock_text(at: Column) -> Column:
+    """The time to the second, as on the clock. Formatting would go through the session's zone."""
+    return F.substring(at.cast("string"), 1, 19)
+
+
 def days_between(start: Column, end: Column) -> Column:
     return F.datediff(F.to_date(end), F.to_date(start))
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbrow.functions.dates import (
+    clock_text,
     days_outside_year,
     disclosure_year,
     seconds_between,
@@ -101,7 +102,7 @@ def rules() -> list[Rule]:
             disclosure_year(start) != year,
             F.concat(
                 text("Start "),
-                F.date_format(start, "yyyy-MM-dd HH:mm:ss"),
+                clock_text(start),
                 text(" is not in DY"),
                 year.cast("string"),
                 F.when(looks_swapped, " - day and month look swapped").otherwise(""),

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbrow.functions.dates import clock_text
 from plumbrow.operators.reconcile import (
     BY_CLASS,
     COUNTS,
@@ -172,7 +173,7 @@ def build_interruptions(spark: SparkSession, folder: str) -> DataFrame:
     """One interruption record per event, with defects injected by predicate; one scan."""
     i, value = F.col("event_id"), F.col("value")
     e = (F.col("user_id") % 20).cast("int")
-    start = F.date_trunc("second", "ts").cast("timestamp_ntz")
+    start = clock_text(F.col("ts")).cast("timestamp_ntz")
     text = F.lit(None).cast("string")
 
     def every(n: int) -> Column:

@@ -135,10 +135,20 @@ def test_single_rules(spark):
         assert alone == sorted((r for r in found if r.check_name == name), key=str)
 
 
-def test_rule_names():
-    from pyspark.sql import SparkSession
+def test_times_are_shown_as_on_the_clock(spark):
+    """Half past two does not exist in Auckland in this night, but a clock may have shown it."""
+    at = datetime(2023, 9, 24, 2, 30)
+    df = records(spark, {"disc_yr": 2020, "start_datetime": at, "end_datetime": at})
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Auckland")
+    try:
+        (found,) = errors_of_rule(df, "START_OUTSIDE_DISCLOSURE_YEAR").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert found.detail == "Start 2023-09-24 02:30:00 is not in DY2020"
 
-    assert SparkSession.getActiveSession() is not None
+
+def test_rule_names(spark):
     assert [r.name for r in rules()] == list(RULE_NAMES[1:])
 
 

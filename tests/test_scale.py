@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import statistics
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,7 +21,13 @@ from plumbrow.operators.rows import (
 )
 from plumbrow.operators.series import series_values, uneven_series_values
 from plumbrow.operators.units import item_spellings, unit_usage, units_within_year
-from plumbrow.operators.values import judged_values, scale_break, sign_flip, suspect_values
+from plumbrow.operators.values import (
+    judged_values,
+    percent_as_proportion,
+    scale_break,
+    sign_flip,
+    suspect_values,
+)
 from plumbrow.settings import Settings
 from plumbrow.sources.sectors import standard_rows
 from plumbrow.sources.samples import sample_mart
@@ -116,6 +123,20 @@ def test_uneven_series_hold_every_suspect(spark, rows, monkeypatch):
     assert suspects(suspect_values(uneven_series_values(rows, SETTINGS)).collect()) == plain
 
 
+@pytest.mark.parametrize("hot_rows", [5, 25])
+def test_shares_are_found_the_distributed_way_too(spark, hot_rows):
+    rows = standard_rows(sample_mart(spark, "/root/testdata/sf0.01"), "edb", SETTINGS)
+
+    def found(settings):
+        df = percent_as_proportion(rows, settings)
+        kept = [c for c in df.columns if not c.endswith("_median")]
+        return sorted(map(str, df.select(*kept, F.round("company_median", 9)).collect()))
+
+    expected = found(SETTINGS)
+    assert expected
+    assert found(replace(SETTINGS, hot_group_rows=hot_rows)) == expected
+
+
 def test_one_hot_series_hides_nothing(spark):
     hot = [{"value": 1.0 + i % 2000, "disclosure_year": 2015 + i % 6} for i in range(3000)]
     broken = [
