@@ -81,11 +81,14 @@ def _median_by_narrowing(
     totals = rows.groupBy(*keys).agg(F.count("*").alias("_total"))
     cells = join_same(cells, totals, keys).withColumn("_before", F.lit(0).cast("bigint"))
 
-    # First by size: steps of about 0.07 percent, so a few million ranges cover all doubles.
-    steps = F.floor(F.log2(F.abs("_v")) * 1024)
-    by_size = F.when(F.col("_v") > 0, steps + 2_000_000).when(
-        F.col("_v") < 0, -steps - 2_000_000
-    ).otherwise(F.lit(0).cast("bigint"))
+    # First by size: steps of about one percent, so under 300,000 ranges cover all doubles. The
+    # shift puts the smallest positive range above that of zero; infinity and NaN come last.
+    steps = F.floor(F.least(F.log2(F.abs("_v")), F.lit(2000.0)) * 64) + 100_000
+    by_size = (
+        F.when(F.col("_v") > 0, steps)
+        .when(F.col("_v") < 0, -steps)
+        .otherwise(F.lit(0).cast("bigint"))
+    )
     cells = stage(_narrow(cells, keys, by_size), "median-cells")
 
     # Then by equal parts of what is left, until each part has few distinct values.

@@ -52,6 +52,7 @@ def test_narrowed_medians_are_exact(spark, hot_rows):
         "signs": [chance.gauss(0, 1) for _ in range(150)] + [0.0, -0.0],
         "close": [1.0 + i * 2**-52 for i in range(300)],
         "one": [3.5],
+        "infinite": [float("inf")] * 30 + [1.0, 2.0, 3.0, 4.0],
         None: [float(i) for i in range(31)],
     }
     data = [(k, i, v) for k, values in groups.items() for i, v in enumerate(values)]
