@@ -218,10 +218,11 @@ EVENT_SQL: dict[str, str] = {
     "dated_records": f"""
 WITH {RECORDS}
 SELECT edb, disc_yr, row_num, ident AS interruption_identifier, start_at, end_at, mins AS duration_min,
-       start_dy, CASE WHEN day(start_at) <= 12
-         THEN year(start_at) + CASE WHEN day(start_at) > 3 THEN 1 ELSE 0 END END AS swapped_dy,
-       greatest(make_date(disc_yr - 1, 4, 1) - CAST(start_at AS DATE),
-                CAST(start_at AS DATE) - make_date(disc_yr, 3, 31), 0) AS days_outside_dy
+       CAST(start_dy AS INTEGER) AS start_dy,
+       CAST(CASE WHEN day(start_at) <= 12
+         THEN year(start_at) + CASE WHEN day(start_at) > 3 THEN 1 ELSE 0 END END AS INTEGER) AS swapped_dy,
+       CAST(greatest(make_date(disc_yr - 1, 4, 1) - CAST(start_at AS DATE),
+                     CAST(start_at AS DATE) - make_date(disc_yr, 3, 31), 0) AS INTEGER) AS days_outside_dy
 FROM rec
 """,
     "distinct_records": f"""

@@ -291,7 +291,13 @@ def _all_findings() -> str:
 
 MART_SQL: dict[str, str] = {
     **CHECK_SQL,
-    "standard_rows": f"WITH {MART} SELECT * EXCLUDE (item) FROM std",
+    "standard_rows": f"""
+WITH {MART}
+SELECT * EXCLUDE (item) REPLACE (
+  CAST(period_beginning AS VARCHAR) AS period_beginning, CAST(period_ending AS VARCHAR) AS period_ending,
+  CAST(observation_month AS VARCHAR) AS observation_month)
+FROM std
+""",
     "line_items": f"""
 WITH {MART} SELECT schedule, item, count(*) AS n_rows FROM std GROUP BY schedule, item
 """,
