@@ -18,6 +18,11 @@ from plumbrow.sources.staging import staging_root
 SPACES = b" \t\n\x0b\x0c\r"
 #: The same as Spark SQL sees them.
 SPACE_TEXT = " \t\n\x0b\f\r"
+#: Maps A-Z to a-z and every ASCII byte that is no letter or digit to a space.
+WORD_BYTES = bytes(
+    b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 32
+    for b in range(256)
+)
 _NEEDS_DECODING = re.compile(rb"[\x80-\xff]")
 
 

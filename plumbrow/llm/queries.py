@@ -6,16 +6,58 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbrow.llm.common import documents
+from pyspark.sql import functions as F
+
+from plumbrow.llm.common import crc_of_id, documents
+from plumbrow.llm.decontaminate import contaminated, contamination, items_digest
 from plumbrow.llm.mixture import packed
 from plumbrow.llm.records import records_of
+from plumbrow.llm.simhash import hex_of, near_duplicates
 from plumbrow.llm.tokens import tokenizer_path
+from plumbrow.llm.toxicity import Model, fitted, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 WINDOW = 2048
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model | float:
+    """Learned from the labels whose crc32(doc_id as text) mod 4 is not 2."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return fitted(docs, labels, may_learn=crc_of_id("doc_id") % 4 != 2)
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    scored = toxicity(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.select(
+        "doc.doc_id",
+        (crc_of_id("doc.doc_id") % 4 == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "threshold",
+        "rejected",
+    )
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = near_duplicates(documents(spark, sf_dir), shingle=4, distance=4)
+    return grouped.select("doc.doc_id", hex_of("fp").alias("fingerprint"), "component_id")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = contamination(documents(spark, sf_dir), benchmark, window=13)
+    return found.select(
+        "doc.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        items_digest().alias("items_sha256"),
+        contaminated(hit_in=20).alias("contaminated"),
+    )
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(documents(spark, sf_dir), tokenizer_path(), end_id=1, length=WINDOW)
 
@@ -25,7 +67,10 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op4_packing": op4_packing,
+    "op5_simhash": op5_simhash,
+    "op6_decontamination": op6_decontamination,
     "op10_records": op10_records,
 }
 
