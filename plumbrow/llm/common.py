@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +30,24 @@ WORD_BYTES = bytes(
 _NEEDS_DECODING = re.compile(rb"[\x80-\xff]")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, unless their Python path has them anyway."""
+    root = Path(__file__).resolve().parents[2]
+    paths = [os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    context = spark.sparkContext
+    if str(root) in paths or context.applicationId in _shipped:
+        return
+    archive = Path(tempfile.mkdtemp(prefix="plumbrow-")) / "plumbrow.zip"  # the driver serves it
+    with zipfile.ZipFile(archive, "w") as out:
+        for module in sorted((root / "plumbrow").rglob("*.py")):
+            out.write(module, module.relative_to(root))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
+_shipped: set[str] = set()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -50,6 +72,44 @@ def run_folder(spark: SparkSession, label: str) -> str:
     return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def id_splits(ids: DataFrame, n_blocks: int) -> list[int]:
+    """Borders between blocks of about equally many consecutive doc_ids."""
+    shares = [i / n_blocks for i in range(1, n_blocks)]
+    if not shares:
+        return []
+    found = ids.agg(F.percentile_approx("doc_id", shares, 10_000).alias("s")).first()["s"]
+    return sorted(set(found or []))
+
+
+def block_of_id(splits: list[int], null_block: int) -> Column:
+    """How many splits lie below the id; rows with one id are in one block."""
+    if not splits:
+        return F.lit(0)
+    below = F.filter(F.array(*[F.lit(s) for s in splits]), lambda s: s < F.col("doc_id"))
+    return F.when(F.col("doc_id").isNull(), F.lit(null_block)).otherwise(F.size(below))
+
+
+def n_blocks_of(docs: DataFrame, rows_per_block: int = 1500) -> int:
+    return max(1, -(-docs.count() // rows_per_block))
+
+
+def blocked(docs: DataFrame, n_blocks: int, block: Column | None = None) -> DataFrame:
+    """block, id, text, doc (all other input columns), dealt out by block (by hash if none is given).
+
+    Every plan on this frame reads all its columns, so that one shuffle of the texts serves them all.
+    """
+    if block is None:
+        block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks))
+    rows = docs.select(
+        block.cast("int").alias("block"),
+        F.col("doc_id").cast("long").alias("id"),
+        text_or_empty("text").alias("text"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("doc"),
+    )
+    partitions = max(1, min(n_blocks, shuffle_partitions(docs.sparkSession)))
+    return rows.repartition(partitions, "block")
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared checkpoint folder and read it back; this cuts its lineage."""
     path = run_folder(df.sparkSession, label)
