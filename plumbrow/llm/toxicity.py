@@ -298,16 +298,18 @@ def fitted(
     )
     counts = {r["label"]: r["n"] for r in usable.groupBy("label").agg(F.count("*").alias("n")).collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
-    short = docs.filter(F.length(text_or_empty("text")) <= fit.longest)
-    texts = short.groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("copies"))
-    both = usable.join(texts, "id", "left_semi")
+    texts = docs.select(
+        F.col("doc_id").alias("id"),
+        text_or_empty("text").alias("text"),
+        F.col("lang").cast("string").alias("lang"),
+    )
+    short = texts.filter(F.length("text") <= fit.longest)
+    both = usable.join(short.select("id"), "id", "left_semi")
     chosen = _ordered(both.filter("label = 1"), fit.per_label).union(
         _ordered(both.filter("label = 0"), fit.per_label)
     )
     sample = (
-        short.withColumnRenamed("doc_id", "id")
-        .select("id", text_or_empty("text").alias("text"), F.col("lang").cast("string").alias("lang"))
-        .join(F.broadcast(chosen), "id")  # at most 2 * per_label rows
+        short.join(F.broadcast(chosen), "id")  # at most 2 * per_label rows
         .groupBy("id")
         .agg(F.min("text").alias("text"), F.min("lang").alias("lang"), F.min("label").alias("label"))
         .withColumn("draw", F.pmod(F.xxhash64("id", F.lit(fit.seed)), F.lit(1000)))
