@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-_NON_UNITS = (
-    "'text input', 'text_input', '[Select one]', '0=No 1=Yes', 'No/New/Stopped/Other', 'no unit'"
-)
+from plumbrow.functions.text import VARIANCE_WORDS
+from plumbrow.operators.series import MONEY_UNITS
+from plumbrow.settings import NON_UNITS, UNIT_WORDS
+
+
+def _listed(values: tuple[str, ...]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+_NON_UNITS = _listed(NON_UNITS)
 
 MART = """
 cells AS (
@@ -70,23 +77,30 @@ std AS (
 # One cell is named by all labels; in this mart these are the ones that vary.
 _CELL = "sector, company, network, disclosure_year, schedule, category_1, description, units, item"
 
-_SERIES = """
+# All columns that name a cell, the dates as text.
+_LABELS = """sector, company, network, disclosure_year, schedule_reference, section_number, source, schedule,
+       section, category_1, category_2, category_3, description,
+       CAST(period_beginning AS VARCHAR) AS period_beginning, CAST(period_ending AS VARCHAR) AS period_ending,
+       observation_year, CAST(observation_month AS VARCHAR) AS observation_month, forecast_year,
+       actual_or_forecast, units"""
+
+_SERIES = f"""
 points AS (
   SELECT *,
          count(*) OVER line AS n_years,
          count(DISTINCT disclosure_year) OVER line AS n_distinct,
          median(abs(value)) OVER line AS series_median,
          list_has_any(
-           [lower(item).contains(w) FOR w IN ['variance', 'difference', 'change', 'movement', 'adjust',
-            'revaluation', 'gain', 'loss', 'tax', 'profit', 'surplus', 'deferred', 'wash', 'balance', 'net ']],
+           [lower(item).contains(w) FOR w IN [{_listed(VARIANCE_WORDS)}]],
            [true]) AS is_variance_like
   FROM std WHERE value <> 0
   WINDOW line AS (PARTITION BY sector, company, network, source, schedule, section, category_1, category_2,
-                  category_3, description, units, actual_or_forecast, observation_year - disclosure_year)
+                  category_3, description, units, actual_or_forecast, observation_year - disclosure_year, month(observation_month))
 ),
 usable AS (
   SELECT *, abs(value) / series_median AS r,
-         hash(company, network, schedule, category_1, description, units) AS sid
+         row(sector, company, network, source, schedule, section, category_1, category_2, category_3, description,
+             units, actual_or_forecast, observation_year - disclosure_year, month(observation_month)) AS sid
   FROM points WHERE n_years = n_distinct AND n_years >= 4
 )
 """
@@ -120,7 +134,8 @@ items AS (
   FROM keyed GROUP BY ALL
 )
 SELECT 'units_{scope}' AS check_name, sector, CAST(NULL AS VARCHAR) AS company,
-       CAST(NULL AS INTEGER) AS disclosure_year, schedule, item, uid, n_units, units_used
+       CAST(NULL AS INTEGER) AS disclosure_year, schedule, item, uid, n_units, units_used,
+       1 AS part, 1 AS n_parts
 FROM items
 WHERE n_units > 1 AND schedule IS NOT NULL AND {mixed} EXISTS (
   SELECT 1 FROM years WHERE years.schedule = items.schedule AND years.item = items.item AND years.n > 1)
@@ -146,18 +161,18 @@ CHECK_SQL: dict[str, str] = {
 WITH {MART}
 SELECT 'duplicate_rows' AS check_name, sector, company, disclosure_year, schedule, item,
        min(uid) AS uid, count(*) AS n_rows, string_agg(uid, ', ' ORDER BY uid) AS uids,
-       value, text_value
-FROM std GROUP BY network, {_CELL}, value, text_value HAVING count(*) >= 2
+       1 AS part, 1 AS n_parts, value, text_value
+FROM std GROUP BY network, {_CELL}, value, text_value HAVING count(*) > 1
 """,
     "ambiguous_rows": f"""
 WITH {MART}
 SELECT 'ambiguous_rows' AS check_name, sector, company, disclosure_year, schedule, item,
        min(uid) AS uid, count(*) AS n_rows,
        count(DISTINCT row(value, text_value)) AS n_values,
-       string_agg(uid, ', ' ORDER BY uid) AS uids,
+       string_agg(uid, ', ' ORDER BY uid) AS uids, 1 AS part, 1 AS n_parts,
        min(value) AS min_value, max(value) AS max_value
 FROM std GROUP BY {_CELL}
-HAVING count(*) >= 2 AND count(DISTINCT row(value, text_value)) >= 2
+HAVING count(*) > 1 AND count(DISTINCT row(value, text_value)) > 1
 """,
     "scale_break": f"""
 WITH {MART}, {_SERIES},
@@ -191,14 +206,14 @@ lone AS (
 counted AS (SELECT *, count(*) OVER (PARTITION BY company, disclosure_year, schedule) AS here FROM lone)
 SELECT 'magnitude_outlier' AS check_name, sector, company, disclosure_year, schedule, item, uid, units, value,
        round(series_median, 6) AS series_median, round(r, 6) AS ratio_to_median
-FROM counted WHERE r > 1 OR here > 2
+FROM counted WHERE r > 1 OR here >= 3
 """,
     "sign_flip": f"""
 WITH {MART}, {_SERIES},
 signs AS (
   SELECT sid, count(*) FILTER (value < 0) AS n_minus, count(*) FILTER (value > 0) AS n_plus
   FROM usable
-  WHERE units IN ('$', '$m', '$000', '$000s') AND NOT is_variance_like
+  WHERE units IN ({_listed(MONEY_UNITS)}) AND NOT is_variance_like
   GROUP BY sid HAVING min(r) >= 1e0/3 AND max(r) <= 3
 )
 SELECT 'sign_flip' AS check_name, u.sector, u.company, u.disclosure_year, u.schedule, u.item, u.uid, u.units,
@@ -218,7 +233,7 @@ peers AS (SELECT *, median(m) OVER peer AS pm, count(*) OVER peer AS n FROM own
 SELECT 'percent_as_proportion' AS check_name, sector, company, CAST(NULL AS INTEGER) AS disclosure_year,
        schedule, item, uid, round(m, 6) AS company_median, round(pm, 6) AS peer_median,
        n AS n_companies, first_year, last_year
-FROM peers WHERE schedule IS NOT NULL AND m > 1.5 AND m <= 100 AND pm <= 1 AND n > 2
+FROM peers WHERE schedule IS NOT NULL AND m > 1.5 AND m <= 100 AND pm <= 1 AND n >= 3
 """,
     "units_within_year": _units_query("within_year", ""),
     "units_across_years": _units_query("across_years", "NOT"),
@@ -233,7 +248,7 @@ SELECT 'units_are_units' AS check_name, sector, CAST(NULL AS VARCHAR) AS company
        min(disclosure_year) AS first_year, max(disclosure_year) AS last_year
 FROM std
 WHERE NOT contains(units, '|') AND units NOT IN ({_NON_UNITS})
-  AND units NOT IN ('index', 'value', 'number', 'years', 'hours', 'days')
+  AND units NOT IN ({_listed(UNIT_WORDS)})
   AND (translate(units, '0123456789.', '') = '' OR EXISTS (SELECT 1 FROM labels WHERE label = units))
 GROUP BY sector, schedule, units
 """,
@@ -250,7 +265,7 @@ WITH {MART}, {_MISSING_SCHEDULES}
 SELECT 'schedule_gap' AS check_name, sector, company, y AS disclosure_year, schedule,
        CAST(NULL AS VARCHAR) AS item, CAST(NULL AS VARCHAR) AS uid,
        around AS had_year_before_and_after, n_disclosing, n_companies
-FROM grid WHERE NOT has AND (around OR (n_companies >= 5 AND 4 * n_disclosing >= 3 * n_companies))
+FROM grid WHERE NOT has AND (around OR (n_companies >= 5 AND n_disclosing >= 0.75 * n_companies))
 """,
     "row_count_drop": f"""
 WITH {MART},
@@ -259,11 +274,11 @@ sizes AS (
 ),
 usual AS (
   SELECT company, schedule, quantile_cont(n_rows, 0.5) AS usual_rows FROM sizes
-  GROUP BY ALL HAVING count(*) > 2
+  GROUP BY ALL HAVING count(*) >= 3
 )
 SELECT 'row_count_drop' AS check_name, sector, company, disclosure_year, schedule,
        CAST(NULL AS VARCHAR) AS item, uid, n_rows, usual_rows
-FROM sizes JOIN usual USING (company, schedule) WHERE 4 * n_rows < usual_rows
+FROM sizes JOIN usual USING (company, schedule) WHERE n_rows < 0.25 * usual_rows
 """,
     "year_gap": f"""
 WITH {MART},
@@ -324,13 +339,13 @@ WITH {MART}, {_UNITS} SELECT DISTINCT sector, schedule, item, unit AS unit_key,
 WITH {MART}, sets AS (
   SELECT *, min(uid) OVER same AS set_uid, count(*) OVER same AS n FROM std
   WINDOW same AS (PARTITION BY {_CELL}, value, text_value))
-SELECT sector, company, disclosure_year, schedule, set_uid, uid FROM sets WHERE n > 1
+SELECT {_LABELS}, value, text_value, set_uid, uid FROM sets WHERE n > 1
 """,
     "ambiguous_row_members": f"""
 WITH {MART}, sets AS (
   SELECT *, min(uid) OVER same AS set_uid, min(value) OVER same < max(value) OVER same AS differs FROM std
   WINDOW same AS (PARTITION BY {_CELL}))
-SELECT sector, company, disclosure_year, schedule, set_uid, uid FROM sets WHERE differs
+SELECT {_LABELS}, set_uid, uid FROM sets WHERE differs
 """,
     "all_findings": _all_findings(),
     "check_statuses": f"""
@@ -342,6 +357,24 @@ SELECT checks.check_name, 'edb_dq_' || checks.check_name AS test_name,
        CASE WHEN count(found.check_name) = 0 THEN 'pass'
             WHEN checks.check_name = 'ambiguous_rows' THEN 'fail' ELSE 'warn' END AS status
 FROM checks LEFT JOIN found USING (check_name) GROUP BY checks.check_name
+""",
+    "named_table": CHECK_SQL["blank_schedule"],
+    "stored_findings": _all_findings(),
+    "run_history": f"""
+WITH found AS ({_all_findings()}),
+checks AS (SELECT unnest([{", ".join(repr(n) for n in CHECK_SQL)}]) AS check_name),
+runs AS (
+  SELECT checks.check_name, count(found.check_name) AS n_findings
+  FROM checks LEFT JOIN found USING (check_name) GROUP BY checks.check_name
+),
+history AS (
+  SELECT * FROM runs UNION ALL SELECT * FROM runs WHERE check_name IN ('duplicate_rows', 'ambiguous_rows'))
+SELECT 'edb_dq_' || check_name AS test_name, check_name,
+       CASE check_name WHEN 'ambiguous_rows' THEN 'error' ELSE 'warn' END AS severity,
+       CASE check_name WHEN 'units_across_years' THEN 'data_quality,informational' ELSE 'data_quality' END AS tags,
+       n_findings,
+       CASE WHEN n_findings = 0 THEN 'pass' WHEN check_name = 'ambiguous_rows' THEN 'fail' ELSE 'warn' END AS status
+FROM history
 """,
     "text_to_double": """
 SELECT c_custkey, c_acctbal AS acctbal, CAST(NULL AS DOUBLE) AS segment FROM customer

@@ -79,7 +79,20 @@ def normalised_unit(column: Column) -> Column:
 
 
 def number_text(column: Column) -> Column:
-    """A number in plain notation with at most six decimals: 3.0 -> '3', 0.000123 -> '0.000123'."""
-    fixed = column.try_cast("decimal(24,6)").cast("string")
-    trimmed = F.rtrim(F.rtrim(fixed, F.lit("0")), F.lit("."))
-    return F.coalesce(trimmed, column.cast("string"))
+    """A number in plain notation with the digits that tell it apart: 3.0 -> '3', 1e-7 -> '0.0000001'."""
+    text = column.cast("string")
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    size = F.ltrim(text, F.lit("-"))
+    digits = F.replace(F.split_part(size, F.lit("E"), F.lit(1)), F.lit("."), F.lit(""))
+    # The point stands after the first digit; the exponent says where it belongs.
+    places = F.split_part(size, F.lit("E"), F.lit(2)).try_cast("int")
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -places - 1), digits)
+    padded = F.rpad(digits, F.greatest(F.length(digits), places + 1), F.lit("0"))
+    large = F.concat(
+        F.substring(padded, F.lit(1), places + 1),
+        F.lit("."),
+        F.substring(padded, places + 2, F.length(padded)),
+    )
+    plain = F.when(places < 0, small).when(places >= 0, large).otherwise(size)
+    trimmed = F.rtrim(F.rtrim(plain, F.lit("0")), F.lit("."))
+    return F.concat(sign, F.when(plain.contains("."), trimmed).otherwise(plain))

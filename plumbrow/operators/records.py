@@ -23,7 +23,7 @@ from plumbrow.functions.text import number_text
 from plumbrow.operators.repeats import number_copies, repeat_candidates
 from plumbrow.schema import RECORD_ERROR_COLUMNS
 
-# What makes two records copies of each other: everything but where they came from.
+# What makes two records copies of each other: everything but where they came from.
 COPY_COLUMNS = [
     "edb",
     "disc_yr",

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbrow.functions.keys import join_same, row_hash
@@ -51,23 +51,13 @@ def drop_copies(rows: DataFrame) -> DataFrame:
     return single.unionByName(copies.distinct())
 
 
-def member_list(limit: int) -> Column:
-    """The sorted uids of a set as text; NULL where more than `limit` rows share the row hash.
-
-    Rows of such large groups are left out before they are gathered, so what is gathered is
-    bounded. `set_members` lists the sets of every size.
-    """
-    is_small = F.col(N_ALIKE) <= limit
-    uids = F.collect_list(F.when(is_small, F.col("uid")))
-    return F.when(F.max(N_ALIKE) <= limit, F.array_join(F.sort_array(uids), ", "))
-
-
 def set_members(
     candidates: DataFrame, sets: DataFrame, hashed: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
-    """One row per member of each set: the set's uid (its first member's) and the member's uid.
+    """One row per member of each set: what makes the set, its first uid, and the member's uid.
 
-    `hashed` are the columns behind the candidates' row hash, `columns` those that make a set.
+    `hashed` are the columns behind the candidates' row hash, `columns` those that make a set. The
+    columns tell sets apart where uids are NULL or repeat.
     """
     heads = stage(
         sets.select(
@@ -75,9 +65,7 @@ def set_members(
         ),
         "repeated-sets",
     )
-    return join_same(candidates, heads, [ROW_HASH, *columns]).select(
-        "sector", "company", "disclosure_year", "schedule", "set_uid", "uid"
-    )
+    return join_same(candidates, heads, [ROW_HASH, *columns]).select(*columns, "set_uid", "uid")
 
 
 def number_copies(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbrow.functions.text import line_item, normalised_unit, regex_contains
+from plumbrow.operators.lists import with_lists
 from plumbrow.settings import Settings
 from plumbrow.sources.staging import stage
 
@@ -56,22 +57,18 @@ def _mixed_items(usage: DataFrame) -> DataFrame:
 
 
 def item_spellings(usage: DataFrame) -> DataFrame:
-    """Every spelling of every line item, one per row: the complete form of `units_used`."""
+    """Every spelling of every line item, one per row."""
     return usage.select(*_ITEM, "unit_key", "units").distinct()
 
 
 def _inconsistent_units(usage: DataFrame, settings: Settings, within_year: bool) -> DataFrame:
     scope = "within_year" if within_year else "across_years"
     items = _mixed_items(usage).where(F.col("_mixed_in_a_year") == F.lit(within_year))
-    # Only items with few spellings are gathered into a list.
-    listed = items.where(F.col("_n_spellings") <= settings.list_limit).select(*_ITEM)
-    lists = (
-        item_spellings(usage)
-        .join(listed, _ITEM, "left_semi")
-        .groupBy(*_ITEM)
-        .agg(F.array_join(F.sort_array(F.collect_list("units")), ", ").alias("units_used"))
+    counted = item_spellings(usage).withColumn("_copies", F.lit(1).cast("bigint"))
+    listed = with_lists(
+        items, counted, _ITEM, "_n_spellings", "units", "units_used", settings.list_part
     )
-    return items.join(lists, _ITEM, "left").select(
+    return listed.select(
         F.lit(f"units_{scope}").alias("check_name"),
         "sector",
         F.lit(None).cast("string").alias("company"),
@@ -81,6 +78,8 @@ def _inconsistent_units(usage: DataFrame, settings: Settings, within_year: bool)
         "uid",
         "n_units",
         "units_used",
+        "part",
+        "n_parts",
     )
 
 

@@ -11,13 +11,24 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbrow.plans.registry import CHECKS, ERROR, JOBS_AT_ONCE, Check, CheckInputs, run_checks
+from plumbrow.operators.lists import first_parts
+from plumbrow.plans.registry import (
+    CHECKS,
+    ERROR,
+    JOBS_AT_ONCE,
+    Check,
+    CheckInputs,
+    prepare,
+    run_checks,
+)
 from plumbrow.schema import ALL_FINDINGS_SCHEMA
 from plumbrow.settings import Settings
 from plumbrow.sources.sectors import standard_rows
+from plumbrow.sources.staging import staged_until_done
 from plumbrow.sources.tables import TableRef, read_table, table_exists, write_table
 
 HISTORY_TABLE = "dq_run_history"
+FAILED = "error"
 HISTORY_SCHEMA = (
     "run_id string, run_at timestamp, test_name string, check_name string, severity string, "
     "tags string, n_findings bigint, status string"
@@ -27,12 +38,12 @@ HISTORY_SCHEMA = (
 def run_check(
     check: Check, mart: DataFrame, sector: str, settings: Settings = Settings()
 ) -> DataFrame:
-    """One check's findings, without storing anything."""
+    """One check's findings, without storing anything; building them may run and stage jobs."""
     return check.run(CheckInputs(standard_rows(mart, sector, settings), settings))
 
 
 def _common(findings: DataFrame, check: Check, sector: str) -> DataFrame:
-    return findings.withColumns(
+    return first_parts(findings).withColumns(
         {"test_name": F.lit(check.test_name(sector)), "severity": F.lit(check.severity)}
     ).select(*ALL_FINDINGS_SCHEMA.names)
 
@@ -51,7 +62,10 @@ def all_findings(
     settings: Settings = Settings(),
     checks: Sequence[Check] = CHECKS,
 ) -> DataFrame:
-    """The findings of all checks in one table, from one pass per shared relation."""
+    """The findings of all checks in one table.
+
+    Relations that several checks read are staged while the plan is built, which runs jobs.
+    """
     inputs = CheckInputs(standard_rows(mart, sector, settings), settings, shared=True)
     found = run_checks(inputs, checks)
     parts = [_common(df, check, sector) for df, check in zip(found, checks, strict=True)]
@@ -93,27 +107,36 @@ def store_findings(
 ) -> DataFrame:
     """Run checks, save each one's findings to its own table, and append to the run history.
 
-    Each check runs once: its findings are counted from the table just written. Only `place`'s
-    catalog and schema are used. Returns this run's history rows.
+    Each check runs once: its findings are counted from the table just written. A check that fails
+    keeps its former table and has status `error` in the history; the first such error is raised
+    once the history is written. What was staged on the way is deleted. Only `place`'s catalog and
+    schema are used. Returns this run's history rows.
     """
     spark = mart.sparkSession
     run_id, run_at = uuid.uuid4().hex, datetime.now(timezone.utc)
     inputs = CheckInputs(standard_rows(mart, sector, settings), settings, shared=True)
+    errors: list[Exception] = []
 
-    def store(check: Check, findings: DataFrame) -> tuple:
+    def store(check: Check) -> tuple:
         table = place.beside(check.test_name(sector))
-        write_table(findings, table)
-        n_findings = read_table(spark, table).count()
-        status = status_of(check.severity, n_findings)
+        try:
+            write_table(check.run(inputs), table)
+            n_findings = first_parts(read_table(spark, table)).count()
+            status = status_of(check.severity, n_findings)
+        except Exception as error:
+            errors.append(error)
+            n_findings, status = None, FAILED
         tags = ",".join(check.tags)
         name, severity = check.name, check.severity
         return run_id, run_at, table.identifier, name, severity, tags, n_findings, status
 
-    found = run_checks(inputs, checks)
-    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
-        results = list(pool.map(store, checks, found))
+    with staged_until_done(spark), ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        prepare(inputs, checks, pool)
+        results = list(pool.map(store, checks))
     history = spark.createDataFrame(results, HISTORY_SCHEMA)
     write_table(history, place.beside(HISTORY_TABLE), mode="append")
+    if errors:
+        raise errors[0]
     return history
 
 

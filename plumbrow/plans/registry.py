@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -37,14 +38,16 @@ from plumbrow.sources.staging import stage
 
 WARN, ERROR = "warn", "error"
 
+log = logging.getLogger(__name__)
+
 JOBS_AT_ONCE = 4
 
 
 class CheckInputs:
     """Standard rows and the relations derived from them, each built when first asked for.
 
-    With `shared`, the rows that repeat a cell and the suspect values are stored as well, so that
-    the mart is shuffled once for all checks on repeats and once for all checks on series.
+    With `shared`, the suspect values are stored as well, so that the mart is shuffled once for all
+    checks on series.
     """
 
     def __init__(self, rows: DataFrame, settings: Settings = Settings(), shared: bool = False):
@@ -62,8 +65,7 @@ class CheckInputs:
 
     @cached_property
     def repeats(self) -> DataFrame:
-        repeats = cell_repeats(self.rows)
-        return stage(repeats, "cell-repeats") if self._shared else repeats
+        return cell_repeats(self.rows)
 
     @cached_property
     def judged(self) -> DataFrame:
@@ -117,12 +119,23 @@ def run_checks(inputs: CheckInputs, checks: Sequence[Check] = CHECKS) -> list[Da
     Relations that do not depend on each other are stored at the same time, so the cluster has
     work while one job waits for its last tasks.
     """
-    relations = dict.fromkeys(check.reads for check in checks)
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
-        list(pool.map(lambda name: getattr(inputs, name), relations))
+        prepare(inputs, checks, pool)
         return list(pool.map(lambda check: check.run(inputs), checks))
 
 
+def prepare(inputs: CheckInputs, checks: Sequence[Check], pool: ThreadPoolExecutor) -> None:
+    """Build the relations the checks read. One that fails is tried again by the checks on it."""
+
+    def build(name: str) -> None:
+        try:
+            getattr(inputs, name)
+        except Exception:
+            log.exception("building %s failed", name)
+
+    list(pool.map(build, dict.fromkeys(check.reads for check in checks)))
+
+
 def find_check(name: str) -> Check:
     for check in CHECKS:
         if check.name == name:

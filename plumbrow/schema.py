@@ -37,7 +37,7 @@ STANDARD_SCHEMA = T.StructType(
 _NOT_LABELS = {"sector", "value", "text_value", "version", "uid"}
 LABELS = [name for name in STANDARD_SCHEMA.names if name not in _NOT_LABELS]
 
-# What names one company's line item across years. The last two are derived, see operators.series.
+# What names one company's line item across years. The last two are derived, see operators.series.
 SERIES_KEY = [
     "sector",
     "company",

@@ -36,8 +36,7 @@ class Settings:
     drop_min_years: int = 3
     # reconciliation, in percent
     tolerance_pct: float = 0.5
-    # A list column is filled for sets of at most this many members; the members of larger sets
-    # are in the one-row-per-member relations, which are always complete.
-    list_limit: int = 10_000
+    # Members in one part of a list column; longer lists have several parts.
+    list_part: int = 10_000
     # Groups with more rows than this take the distributed median.
     hot_group_rows: int = 100_000

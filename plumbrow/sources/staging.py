@@ -8,32 +8,77 @@ than spark.sql.autoBroadcastJoinThreshold and is shuffled (with skew splitting)
 
 from __future__ import annotations
 
+import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# A session without executors of their own; there any folder is shared.
+_ONE_PROCESS = re.compile(r"local(\[[^\]]*\])?$")
+
+_own_folders: dict[str, str] = {}
+_scopes: list[list[str]] = []
+_lock = threading.Lock()
+
 
 def staging_root(spark: SparkSession) -> str:
-    """This application's folder under spark.checkpoint.dir."""
+    """This application's folder under spark.checkpoint.dir.
+
+    A session in one process may leave the setting out and gets a folder of its own; any other
+    session has to name a folder that all executors share.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not _ONE_PROCESS.match(context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="plumbrow-")
-        context.setCheckpointDir(folder)
+        with _lock:
+            if context.applicationId not in _own_folders:
+                _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="plumbrow-")
+            folder = _own_folders[context.applicationId]
     return f"{folder}/plumbrow-{context.applicationId}"
 
 
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path of its own for a table, to be deleted with the open scopes."""
+    path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    with _lock:
+        for scope in _scopes:
+            scope.append(path)
+    return path
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staged_until_done(spark: SparkSession) -> Iterator[None]:
+    """Deletes what is staged inside, once the results that need it have been written."""
+    scope: list[str] = []
+    with _lock:
+        _scopes.append(scope)
+    try:
+        yield
+    finally:
+        with _lock:
+            _scopes[:] = [s for s in _scopes if s is not scope]
+        for path in scope:
+            _delete(spark, path)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete this application's staged tables; frames built on them can no longer be run."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+    _delete(spark, staging_root(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

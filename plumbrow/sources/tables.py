@@ -25,9 +25,14 @@ class TableRef:
         return TableRef(identifier, self.schema, self.catalog)
 
 
-def mart_ref(sector: str, schema: str | None = None, catalog: str | None = None) -> TableRef:
+def mart_ref(
+    sector: str,
+    schema: str | None = None,
+    catalog: str | None = None,
+    identifier: str | None = None,
+) -> TableRef:
     """A sector's mart, by default `<sector>_mart` in the schema named after the sector."""
-    return TableRef(f"{sector}_mart", schema or sector, catalog)
+    return TableRef(identifier or f"{sector}_mart", schema or sector, catalog)
 
 
 def read_table(spark: SparkSession, source: TableRef | str) -> DataFrame:

@@ -100,7 +100,20 @@ def test_variance_words_match_inside_words(spark, item, varies):
 
 @pytest.mark.parametrize(
     "value, shown",
-    [(3.0, "3"), (0.000123, "0.000123"), (120.0, "120"), (-1.5, "-1.5"), (1e30, "1.0E30")],
+    [
+        (3.0, "3"),
+        (0.0, "0"),
+        (0.000123, "0.000123"),
+        (0.1234567891, "0.1234567891"),
+        (1e-7, "0.0000001"),
+        (-2.5e-9, "-0.0000000025"),
+        (120.0, "120"),
+        (-1.5, "-1.5"),
+        (125000000.5, "125000000.5"),
+        (1.25e9, "1250000000"),
+        (1e30, "1" + "0" * 30),
+        (float("inf"), "Infinity"),
+    ],
 )
 def test_number_text(spark, value, shown):
     assert one(spark, number_text(F.col("x")), x=value) == shown

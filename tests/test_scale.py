@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbrow.operators import repeats, series
+from plumbrow.operators.lists import first_parts
 from plumbrow.operators.medians import grouped_median
 from plumbrow.operators.repeats import drop_copies
 from plumbrow.operators.rows import (
@@ -28,6 +29,7 @@ from plumbrow.operators.values import (
     sign_flip,
     suspect_values,
 )
+from plumbrow.plans.registry import CheckInputs, find_check
 from plumbrow.settings import Settings
 from plumbrow.sources.sectors import standard_rows
 from plumbrow.sources.samples import sample_mart
@@ -66,29 +68,70 @@ def test_narrowed_medians_are_exact(spark, hot_rows):
     }
 
 
-def test_long_lists_leave_the_row_and_stay_in_the_members(spark):
-    hot = [{"uid": f"h{i}", "value": 1.0} for i in range(40)]
+def parts_of(rows, name):
+    """All members over the parts, which are numbered from 1 without a gap."""
+    assert sorted(r.part for r in rows) == list(range(1, len(rows) + 1))
+    assert {r.n_parts for r in rows} == {len(rows)}
+    return sorted(m for r in rows for m in getattr(r, name).split(", ") if m)
+
+
+def test_long_lists_are_whole_in_numbered_parts(spark):
+    hot = [{"uid": f"h{i:02d}", "value": 1.0} for i in range(40)]
+    hot += [{"uid": "again", "value": 1.0}] * 25 + [{"uid": None, "value": 1.0}] * 3
     pair = [{"uid": "p1", "company": "B"}, {"uid": "p2", "company": "B"}]
-    revised = [{"uid": "r1", "company": "C"}, {"uid": "r2", "company": "C", "value": 2.0}]
+    revised = [{"uid": f"r{i}", "company": "C", "value": float(i)} for i in range(23)]
     cells = cell_repeats(standard(spark, hot + pair + revised))
-    few = Settings(list_limit=10)
-    found = {r.company: r for r in duplicate_rows(cells, few).collect()}
-    assert (found["A"].n_rows, found["A"].uids, found["A"].uid) == (40, None, "h0")
-    assert (found["B"].n_rows, found["B"].uids) == (2, "p1, p2")
-    members = duplicate_row_members(cells, few).collect()
-    assert sorted((m.set_uid, m.uid) for m in members) == sorted(
-        [("h0", r["uid"]) for r in hot] + [("p1", "p1"), ("p1", "p2")]
-    )
-    (ambiguous,) = ambiguous_rows(cells, few).collect()
-    assert ambiguous.uids == "r1, r2"
-    assert sorted(m.uid for m in ambiguous_row_members(cells, few).collect()) == ["r1", "r2"]
+    few = Settings(list_part=10)
+    found = duplicate_rows(cells, few).collect()
+    of_a = [r for r in found if r.company == "A"]
+    assert {(r.n_rows, r.uid) for r in of_a} == {(68, "again")}
+    assert parts_of(of_a, "uids") == sorted(r["uid"] for r in hot if r["uid"])
+    assert max(len(r.uids.split(", ")) for r in of_a) < 40
+    (of_b,) = [r for r in found if r.company == "B"]
+    assert (of_b.n_rows, of_b.uids, of_b.part, of_b.n_parts) == (2, "p1, p2", 1, 1)
+    ambiguous = ambiguous_rows(cells, few).collect()
+    assert parts_of(ambiguous, "uids") == sorted(r["uid"] for r in revised)
+    members = duplicate_row_members(cells).collect()
+    assert len(members) == len(hot) + len(pair)
+    assert len(ambiguous_row_members(cells).collect()) == len(revised)
+
+
+def test_a_pair_in_a_large_cell_is_listed(spark):
+    """A cell of 10,001 rows of which two agree, and one set of 25,000 rows."""
+    cell = [{"uid": f"u{i}", "value": float(max(i, 1))} for i in range(10_001)]
+    large = [{"uid": f"s{i}", "company": "B"} for i in range(25_000)]
+    cells = cell_repeats(standard(spark, cell + large))
+    found = duplicate_rows(cells).collect()
+    (pair,) = [r for r in found if r.company == "A"]
+    assert (pair.n_rows, pair.uid, pair.uids, pair.n_parts) == (2, "u0", "u0, u1", 1)
+    of_b = [r for r in found if r.company == "B"]
+    assert len(of_b) == 3
+    assert parts_of(of_b, "uids") == sorted(r["uid"] for r in large)
+    assert parts_of(ambiguous_rows(cells).collect(), "uids") == sorted(r["uid"] for r in cell)
+
+
+def test_one_finding_for_each_set_in_all_findings(spark):
+    mart = standard(spark, [{"uid": f"u{i}"} for i in range(30)])
+    part = Settings(list_part=10)
+    inputs = CheckInputs(mart, part)
+    assert first_parts(find_check("duplicate_rows").run(inputs)).count() == 1
+
+
+def test_sets_with_null_uids_stay_apart(spark):
+    rows = [{"uid": None, "company": c, "value": v} for c in "AB" for v in (1.0, 2.0) for _ in "xy"]
+    members = duplicate_row_members(cell_repeats(standard(spark, rows)))
+    counts = members.groupBy("company", "value").count().collect()
+    assert sorted((r["company"], r["value"], r["count"]) for r in counts) == [
+        (c, v, 2) for c in "AB" for v in (1.0, 2.0)
+    ]
 
 
-def test_long_spelling_lists_stay_complete_elsewhere(spark):
+def test_long_spelling_lists_are_whole(spark):
     rows = [{"units": f"unit {i}"} for i in range(12)]
     usage = unit_usage(standard(spark, rows))
-    (found,) = units_within_year(usage, Settings(list_limit=5)).collect()
-    assert (found.n_units, found.units_used) == (12, None)
+    found = units_within_year(usage, Settings(list_part=5)).collect()
+    assert {r.n_units for r in found} == {12}
+    assert parts_of(found, "units_used") == sorted(r["units"] for r in rows)
     assert item_spellings(usage).count() == 12
 
 
