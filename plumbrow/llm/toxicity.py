@@ -88,7 +88,8 @@ def _sums(embedding: np.ndarray, words: list[bytes]) -> np.ndarray:
 
 
 def _pads(fit: Fit) -> int:
-    return max(fit.widths) - 1 or 1
+    """Zero rows after each text. Filters begin at its words and at the first of these rows."""
+    return max(fit.widths) + 1
 
 
 def _responses(model: Model, x: np.ndarray) -> np.ndarray:
@@ -166,12 +167,12 @@ def train(texts: list[bytes], labels: np.ndarray, fit: Fit) -> Model:
         for at in range(0, len(order), fit.batch):
             chosen = order[at : at + fit.batch]
             ids = np.concatenate([np.concatenate((docs[i], gap_rows)) for i in chosen])
-            starts = np.cumsum([0] + [len(docs[i]) + gap for i in chosen])
+            starts = np.cumsum([0] + [len(docs[i]) + gap for i in chosen[:-1]])
             x = embedding[table[ids]].sum(axis=1)
             x *= rng.random((len(x), 1), np.float32) >= fit.dropout
             found = _responses(model, x)
             spots = np.array(
-                [found[a:b].argmax(axis=0) + a for a, b in zip(starts[:-1], starts[1:])]
+                [found[a : a + len(docs[i]) + 1].argmax(axis=0) + a for i, a in zip(chosen, starts)]
             )
             pooled = np.take_along_axis(found, spots, axis=0) + model.filter_bias
             active = np.maximum(pooled, 0)
@@ -258,13 +259,15 @@ class Scorer:
         flat = [w for words in group for part in (words, pads) for w in part]
         ids = np.fromiter(map(self._places.__getitem__, flat), np.int64, len(flat))
         starts = np.cumsum([0] + [len(words) + gap for words in group[:-1]])
+        ends = starts + [len(words) + 1 for words in group]
+        ranges = np.column_stack((starts, ends)).ravel()
         found = self._known[ids]
         pooled, at, n = [], 0, model.fit.filters
         for f in model.filters:
             total = found[:, at : at + n].copy()
             for j in range(1, len(f)):
                 total[:-j] += found[j:, at + j * n : at + (j + 1) * n]
-            pooled.append(np.maximum.reduceat(total, starts, axis=0))
+            pooled.append(np.maximum.reduceat(total, ranges, axis=0)[::2])
             at += len(f) * n
         active = np.maximum(np.concatenate(pooled, axis=1) + model.filter_bias, 0)
         return _sigmoid(active.astype(np.float64) @ model.weights + model.bias).tolist()
