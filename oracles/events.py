@@ -17,34 +17,43 @@ once AS (
          i AS row_num,
          CASE WHEN i % 71 <> 0 THEN 'I' || i END AS ident,
          CASE WHEN i % 61 <> 0 THEN et END AS feeder,
-         st AS start_at,
+         CASE WHEN i % 122 = 0 OR i % 151 = 0 THEN 'circuit ' || i % 7 END AS circuit,
+         CASE WHEN i % 149 <> 0 THEN st END AS start_at,
          CASE WHEN i % 107 = 0 THEN NULL WHEN i % 101 = 0 THEN st
               WHEN i % 103 = 0 THEN st - INTERVAL 600 SECOND
               ELSE st + to_seconds(CAST(floor(dv * 60) AS BIGINT)) END AS end_at,
-         CAST(CASE WHEN i % 47 = 0 THEN NULL WHEN i % 43 = 0 THEN -1
-              WHEN i % 41 = 0 THEN round((n + 1) * dv * 0.00001 * 10, 6)
-              ELSE round(n * dv * 0.00001, 6) END AS DECIMAL(18,6)) AS saidi,
-         CAST(CASE WHEN i % 37 = 0 THEN 0 ELSE n * 0.00001 END AS DECIMAL(18,6)) AS saifi,
-         CAST(n AS DOUBLE) AS icps,
-         CAST(round(n * dv, 2) AS DOUBLE) AS icp_minutes,
+         CASE WHEN i % 47 = 0 THEN NULL WHEN i % 43 = 0 THEN CAST(-1 AS DECIMAL(18,10))
+              WHEN i % 41 = 0 THEN CAST(round((n + 1) * dv * 0.00001 * 10, 6) AS DECIMAL(18,10))
+              WHEN i % 197 = 0 THEN CAST(0.1234567891 AS DECIMAL(18,10))
+              WHEN i % 199 = 0 THEN CAST(0.0000001 AS DECIMAL(18,10))
+              ELSE CAST(round(n * dv * 0.00001, 6) AS DECIMAL(18,10)) END AS saidi,
+         CAST(CASE WHEN i % 37 = 0 THEN 0 WHEN i % 109 = 0 THEN NULL WHEN i % 131 = 0 THEN -0.5
+              WHEN i % 199 = 0 THEN 0 ELSE n * 0.00001 END AS DECIMAL(18,6)) AS saifi,
+         CASE WHEN i % 113 = 0 THEN NULL WHEN i % 137 = 0 THEN -3e0 WHEN i % 199 = 0 THEN 0e0
+              ELSE CAST(n AS DOUBLE) END AS icps,
+         CASE WHEN i % 127 = 0 THEN NULL WHEN i % 139 = 0 THEN -1e0
+              ELSE CAST(round(n * dv, 2) AS DOUBLE) END AS icp_minutes,
          CASE WHEN e IN (8, 9) THEN 'Planned' WHEN i % 73 = 0 THEN NULL WHEN i % 79 = 0 THEN 'Class X'
+              WHEN i % 157 = 0 THEN 'B' WHEN i % 163 = 0 THEN 'C' WHEN i % 167 = 0 THEN 'planned works'
+              WHEN i % 173 = 0 THEN 'UNPLANNED - fault' WHEN i % 179 = 0 THEN 'b'
               WHEN i % 3 = 0 THEN 'Planned' ELSE 'Unplanned' END AS kind,
-         CASE WHEN i % 83 = 0 THEN 'Transpower outage' ELSE et END AS cause,
-         CASE WHEN i % 67 = 0 THEN 2 ELSE 1 END AS n_copies
+         CASE WHEN i % 83 = 0 THEN 'Transpower outage' WHEN i % 181 = 0 THEN 'Outage at TRANSPOWER GXP'
+              WHEN i % 191 = 0 THEN 'Trans power line' ELSE et END AS cause,
+         CASE WHEN i % 193 = 0 THEN 3 WHEN i % 67 = 0 THEN 2 ELSE 1 END AS n_copies
   FROM raw
 ),
 rec AS (
   SELECT once.*, c.copy, CAST(saidi AS DOUBLE) AS sd, CAST(saifi AS DOUBLE) AS sf,
          date_diff('second', start_at, end_at) / 60e0 AS mins,
          year(start_at + INTERVAL 9 MONTH) AS start_dy
-  FROM once, (SELECT unnest([1, 2]) AS copy) c WHERE c.copy <= once.n_copies
+  FROM once, (SELECT unnest([1, 2, 3]) AS copy) c WHERE c.copy <= once.n_copies
 )
 """
 
 
 def _num(expression: str) -> str:
-    """A number without trailing zeros, at most six decimals."""
-    return f"rtrim(rtrim(CAST(CAST({expression} AS DECIMAL(24,6)) AS VARCHAR), '0'), '.')"
+    """A number without trailing zeros; no sample value has more than twelve decimals."""
+    return f"rtrim(rtrim(CAST(CAST({expression} AS DECIMAL(38,12)) AS VARCHAR), '0'), '.')"
 
 
 def _rounded(expression: str, places: int) -> str:
@@ -62,13 +71,13 @@ def _num5(expression: str) -> str:
 
 # Rule: condition and detail.
 _RULES: dict[str, tuple[str, str]] = {
-    "DUPLICATE_ROW": ("copy = 2", "'Exact copy of another row (copy 2)'"),
-    "MISSING_START_OR_END": ("end_at IS NULL", "'Start or end date/time is blank'"),
+    "DUPLICATE_ROW": ("copy > 1", "'Exact copy of another row (copy ' || copy || ')'"),
+    "MISSING_START_OR_END": ("start_at IS NULL OR end_at IS NULL", "'Start or end date/time is blank'"),
     "START_OUTSIDE_DISCLOSURE_YEAR": (
         "start_dy <> disc_yr",
         """printf('Start %s is not in DY%d%s', strftime(start_at, '%Y-%m-%d %H:%M:%S'), disc_yr,
            CASE WHEN day(start_at) <= 12
-                 AND year(start_at) + (day(start_at) > 3)::INTEGER = disc_yr
+                 AND year(start_at) + (day(start_at) >= 4)::INTEGER = disc_yr
                  AND (CAST(start_at AS DATE) < make_date(disc_yr - 1, 4, 1) - 7
                       OR CAST(start_at AS DATE) > make_date(disc_yr, 3, 31) + 7)
                 THEN ' - day and month look swapped' ELSE '' END)""",
@@ -79,37 +88,41 @@ _RULES: dict[str, tuple[str, str]] = {
         "end_at > start_at AND mins < 1",
         f"'Lasts ' || {_num('round(mins * 60)')} || ' s - not an interruption by definition'",
     ),
-    "MISSING_VALUE": ("saidi IS NULL", "'Blank: SAIDI'"),
-    "NEGATIVE_VALUE": ("saidi < 0", "'Negative SAIDI, SAIFI, ICPs or ICP-minutes'"),
+    "MISSING_VALUE": (
+        "saidi IS NULL OR saifi IS NULL OR icps IS NULL OR icp_minutes IS NULL",
+        """'Blank: ' || concat_ws(' ', CASE WHEN saidi IS NULL THEN 'SAIDI' END, CASE WHEN saifi IS NULL THEN 'SAIFI' END,
+           CASE WHEN icps IS NULL THEN 'ICPs' END, CASE WHEN icp_minutes IS NULL THEN 'ICP-minutes' END)""",
+    ),
+    "NEGATIVE_VALUE": ("saidi < 0 OR saifi < 0 OR icps < 0 OR icp_minutes < 0", "'Negative SAIDI, SAIFI, ICPs or ICP-minutes'"),
     "FRACTIONAL_ICPS": (
-        "icps <> floor(icps)",
+        "abs(icps - round(icps)) > 0.001",
         f"'ICPs interrupted = ' || {_num('icps')} || ' (must be a whole number)'",
     ),
     "SAIDI_OR_SAIFI_WITH_NO_ICPS": (
-        "icps = 0 AND greatest(saidi, saifi) > 0",
+        "icps = 0 AND (saidi > 0 OR saifi > 0)",
         f"'ICPs interrupted = 0 but SAIDI ' || {_num('sd')} || ', SAIFI ' || {_num('sf')}",
     ),
     "SAIFI_ZERO_BUT_SAIDI_REQUIRES_IT": (
         "saifi = 0 AND icps > 0 AND CASE WHEN mins >= 1 THEN sd / mins >= 1e-4 ELSE false END",
         f"""'SAIFI = 0 but SAIDI ' || {_num('sd')} || ' over ' || {_num('round(mins)')} ||
-            ' min needs SAIFI >= ' || {_num5('sd / mins')}""",
+            ' min needs SAIFI >= ' || {_num5('sd / nullif(mins, 0)')}""",
     ),
     "SAIDI_EXCEEDS_PHYSICAL_MAXIMUM": (
         "saifi > 0 AND mins >= 1 AND sd > 2 * (sf + 0.00005e0) * mins + 1e-4",
         f"'SAIDI ' || {_num('sd')} || ' > 2 x SAIFI x duration (' || {_num5('sf * mins')} || ')'",
     ),
     "INVALID_CLASS": (
-        "kind IS NULL OR kind = 'Class X'",
+        "kind IS NULL OR NOT (kind ILIKE 'planned%' OR kind ILIKE 'unplanned%' OR kind IN ('B', 'C'))",
         "'Planned/unplanned field = ' || coalesce(kind, '(blank)')",
     ),
     "TRANSPOWER_CLASS_D_ROW": (
-        "starts_with(cause, 'Transpower')",
-        "'Cause \"Transpower outage\" - Class D interruption should not be in 10a'",
+        "cause ILIKE '%transpower%'",
+        "'Cause \"' || cause || '\" - Class D interruption should not be in 10a'",
     ),
     "MISSING_IDENTIFIER_OR_FEEDER": (
-        "ident IS NULL OR feeder IS NULL",
-        """'Blank: ' || CASE WHEN feeder IS NOT NULL THEN 'identifier' WHEN ident IS NOT NULL
-           THEN 'feeder/circuit' ELSE 'identifier feeder/circuit' END""",
+        "ident IS NULL OR (feeder IS NULL AND circuit IS NULL)",
+        """'Blank: ' || concat_ws(' ', CASE WHEN ident IS NULL THEN 'identifier' END,
+           CASE WHEN feeder IS NULL AND circuit IS NULL THEN 'feeder/circuit' END)""",
     ),
 }
 
@@ -124,9 +137,9 @@ _ALL_ERRORS = "\nUNION ALL\n".join(_errors(rule) for rule in _RULES)
 
 _SUMS = """
 classed AS (
-  SELECT edb, disc_yr, CASE WHEN kind = 'Unplanned' THEN 'C' ELSE 'B' END AS class, ident, saidi, saifi,
-         i83 AS is_tp
-  FROM (SELECT *, starts_with(cause, 'Transpower') AS i83 FROM once)
+  SELECT edb, disc_yr, CASE WHEN kind ILIKE '%unplanned%' THEN 'C' ELSE 'B' END AS class, ident, saidi, saifi,
+         cause ILIKE '%transpower%' AS is_tp
+  FROM once
 ),
 sums AS (
   SELECT edb, disc_yr, class, count(*) AS rows_10a, count(DISTINCT ident) AS ids_10a,
@@ -138,7 +151,7 @@ sums AS (
 """
 
 _REPORTED = """
-base AS (
+recorded AS (
   SELECT edb, disc_yr, CAST(right(edb, 2) AS INTEGER) AS e,
          max(CASE WHEN class = 'B' THEN saidi END) AS ab, max(CASE WHEN class = 'C' THEN saidi END) AS ac,
          max(CASE WHEN class = 'B' THEN saifi END) AS fb, max(CASE WHEN class = 'C' THEN saifi END) AS fc,
@@ -147,8 +160,11 @@ base AS (
          max(CASE WHEN class = 'B' THEN saifi - saifi_tp END) AS fbx,
          max(CASE WHEN class = 'C' THEN saifi - saifi_tp END) AS fcx,
          max(CASE WHEN class = 'B' THEN ids_10a END) AS nb, max(CASE WHEN class = 'C' THEN ids_10a END) AS nc,
-         sum(saidi_tp) AS tp
-  FROM sums WHERE disc_yr = 2024 AND right(edb, 2) <> '02' GROUP BY edb, disc_yr
+         sum(saidi_tp) AS tp, sum(saifi_tp) AS ftp
+  FROM sums WHERE right(edb, 2) <> '02' GROUP BY edb, disc_yr
+),
+base AS (
+  SELECT * FROM recorded UNION ALL SELECT * REPLACE (2022 AS disc_yr) FROM recorded WHERE disc_yr = 2024
 ),
 reported AS (
   SELECT edb, disc_yr, 'B' AS class,
@@ -156,7 +172,7 @@ reported AS (
          CASE e WHEN 3 THEN fbx WHEN 4 THEN fb * 1.3e0 WHEN 5 THEN fb * 0.9e0 WHEN 6 THEN fb * 1.2e0
                 WHEN 7 THEN fb * 0.8e0 ELSE fb END AS saifi,
          CAST(CASE e WHEN 6 THEN nb + 10 ELSE nb END AS DOUBLE) AS n,
-         CASE e WHEN 4 THEN nullif(fb, 0) END AS saifi_old
+         CASE e WHEN 4 THEN nullif(fb, 0) END AS saifi_old, CASE e WHEN 10 THEN 2.5e0 END AS saidi_old
   FROM base WHERE ab IS NOT NULL OR fb IS NOT NULL OR nb IS NOT NULL
   UNION ALL
   SELECT edb, disc_yr, 'C',
@@ -165,7 +181,7 @@ reported AS (
          CASE e WHEN 3 THEN fcx WHEN 4 THEN fc * 1.3e0 WHEN 5 THEN fc + fb * 0.1e0 WHEN 6 THEN fc * 1.2e0
                 WHEN 7 THEN fc * 0.8e0 WHEN 8 THEN 0.1e0 WHEN 9 THEN 0 ELSE fc END,
          CAST(CASE WHEN e IN (8, 9) THEN NULL WHEN e = 6 THEN nc + 10 ELSE nc END AS DOUBLE),
-         CASE e WHEN 4 THEN nullif(fc, 0) END
+         CASE e WHEN 4 THEN nullif(fc, 0) END, NULL
   FROM base WHERE e IN (8, 9) OR ac IS NOT NULL OR fc IS NOT NULL OR nc IS NOT NULL
 )
 """
@@ -176,7 +192,8 @@ sides AS (
   SELECT coalesce(s.edb, r.edb) AS edb, coalesce(s.disc_yr, r.disc_yr) AS disc_yr,
          coalesce(s.class, r.class) AS class, s.rows_10a, s.ids_10a, r.n AS n_s10,
          s.saidi AS a, r.saidi AS ra, s.saifi AS f, r.saifi AS rf, r.saifi_old AS old, s.saidi_tp AS tp
-  FROM sums s FULL JOIN reported r ON s.edb = r.edb AND s.disc_yr = r.disc_yr AND s.class = r.class
+  FROM sums s
+  FULL JOIN (SELECT * FROM reported WHERE disc_yr IN (SELECT disc_yr FROM sums)) r ON s.edb = r.edb AND s.disc_yr = r.disc_yr AND s.class = r.class
 ),
 differing AS (
   SELECT sides.*,
@@ -220,7 +237,7 @@ WITH {RECORDS}
 SELECT edb, disc_yr, row_num, ident AS interruption_identifier, start_at, end_at, mins AS duration_min,
        CAST(start_dy AS INTEGER) AS start_dy,
        CAST(CASE WHEN day(start_at) <= 12
-         THEN year(start_at) + CASE WHEN day(start_at) > 3 THEN 1 ELSE 0 END END AS INTEGER) AS swapped_dy,
+         THEN year(start_at) + CASE WHEN day(start_at) >= 4 THEN 1 ELSE 0 END END AS INTEGER) AS swapped_dy,
        CAST(greatest(make_date(disc_yr - 1, 4, 1) - CAST(start_at AS DATE),
                      CAST(start_at AS DATE) - make_date(disc_yr, 3, 31), 0) AS INTEGER) AS days_outside_dy
 FROM rec
@@ -232,12 +249,10 @@ SELECT edb, disc_yr, row_num, ident AS interruption_identifier, feeder, cause FR
     "reported_measures": f"""
 WITH {RECORDS}, {_SUMS}, {_REPORTED}
 SELECT edb, disc_yr, class, saidi AS saidi_s10, saifi AS saifi_s10, n AS n_s10,
-       CAST(NULL AS DOUBLE) AS saidi_s10_transitional, saifi_old AS saifi_s10_transitional
+       saidi_old AS saidi_s10_transitional, saifi_old AS saifi_s10_transitional
 FROM reported
 UNION ALL
-SELECT edb, disc_yr, 'D', tp, f, NULL, NULL, NULL
-FROM base JOIN (SELECT edb, disc_yr, sum(saifi_tp) AS f FROM sums GROUP BY edb, disc_yr) USING (edb, disc_yr)
-WHERE e = 3
+SELECT edb, disc_yr, 'D', tp, ftp, NULL, NULL, NULL FROM base WHERE e = 3
 """,
     "record_errors_summary": f"""
 WITH {RECORDS}, errors AS ({_ALL_ERRORS}),

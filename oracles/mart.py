@@ -322,7 +322,7 @@ WITH {MART}, {_UNITS} SELECT units, unit AS unit_key, count(*) AS n_rows FROM ke
     "schedule_sizes": f"""
 WITH {MART}
 SELECT sector, company, disclosure_year, schedule, count(*) AS n_rows,
-       count(*) FILTER (value IS NULL AND text_value IS NULL) AS n_empty, min(uid) AS uid
+       count(*) FILTER (value IS NULL AND text_value IS NULL) AS n_empty
 FROM std GROUP BY sector, company, disclosure_year, schedule
 """,
     "series_values": f"""

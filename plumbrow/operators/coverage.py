@@ -9,62 +9,67 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbrow.operators.firsts import with_first_uid
 from plumbrow.settings import Settings
 from plumbrow.sources.staging import stage
 
 _COMPANY_YEAR = ["sector", "company", "disclosure_year"]
+_SCHEDULE = [*_COMPANY_YEAR, "schedule"]
 
 # Rows of a hot year are spread over this many join keys.
 _SPREAD = 64
 
 
 def schedule_sizes(rows: DataFrame) -> DataFrame:
-    """Rows, and rows with neither value nor text, of each company-year-schedule."""
+    """Rows, and rows with neither value nor text, of each company-year-schedule; staged."""
     is_empty = F.col("value").isNull() & F.col("text_value").isNull()
     sizes = rows.groupBy(*_COMPANY_YEAR, "schedule").agg(
         F.count("*").alias("n_rows"),
         F.count_if(is_empty).alias("n_empty"),
-        F.min("uid").alias("uid"),
     )
     return stage(sizes, "schedule-sizes")
 
 
-def blank_schedule(sizes: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def blank_schedule(
+    sizes: DataFrame, rows: DataFrame, settings: Settings = Settings()
+) -> DataFrame:
     """Schedules of some length where most rows hold neither a value nor text."""
-    return (
+    blank = (
         sizes.withColumn("empty_share", F.col("n_empty") / F.col("n_rows"))
         .where(F.col("n_rows") >= settings.blank_min_rows)
         .where(F.col("empty_share") >= settings.blank_share)
-        .select(
-            F.lit("blank_schedule").alias("check_name"),
-            *_COMPANY_YEAR,
-            "schedule",
-            F.lit(None).cast("string").alias("item"),
-            "uid",
-            "n_rows",
-            "empty_share",
-        )
+    )
+    return with_first_uid(blank, rows, _SCHEDULE).select(
+        F.lit("blank_schedule").alias("check_name"),
+        *_COMPANY_YEAR,
+        "schedule",
+        F.lit(None).cast("string").alias("item"),
+        "uid",
+        "n_rows",
+        "empty_share",
     )
 
 
-def row_count_drop(sizes: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def row_count_drop(
+    sizes: DataFrame, rows: DataFrame, settings: Settings = Settings()
+) -> DataFrame:
     """Schedules with far fewer rows than the company's median year. NULL names never match."""
     over_years = Window.partitionBy("sector", "company", "schedule")
-    return (
+    short = (
         sizes.where(F.col("company").isNotNull() & F.col("schedule").isNotNull())
         .withColumn("usual_rows", F.median("n_rows").over(over_years))
         .withColumn("_n_years", F.count("*").over(over_years))
         .where(F.col("_n_years") >= settings.drop_min_years)
         .where(F.col("n_rows") < settings.drop_share * F.col("usual_rows"))
-        .select(
-            F.lit("row_count_drop").alias("check_name"),
-            *_COMPANY_YEAR,
-            "schedule",
-            F.lit(None).cast("string").alias("item"),
-            "uid",
-            "n_rows",
-            "usual_rows",
-        )
+    )
+    return with_first_uid(short, rows, _SCHEDULE).select(
+        F.lit("row_count_drop").alias("check_name"),
+        *_COMPANY_YEAR,
+        "schedule",
+        F.lit(None).cast("string").alias("item"),
+        "uid",
+        "n_rows",
+        "usual_rows",
     )
 
 
@@ -89,7 +94,8 @@ def _missing_among_peers(
     """Company-years without a schedule that most companies disclose that year.
 
     Each expected schedule of a year is met by that year's companies only. At least `gap_peer_share`
-    of the pairs formed are disclosed ones, so there are few more pairs than disclosed schedules.
+    of the pairs formed are disclosed ones, so there are at most 1 / `gap_peer_share` as many pairs
+    as disclosed schedules; a setting near 0 undoes that bound.
     """
     n_expected = settings.gap_peer_share * F.col("n_companies")
     expected = peers.where(

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbrow.functions.keys import row_hash
+from plumbrow.functions.keys import join_same, row_hash
 from plumbrow.functions.text import is_variance_like, line_item
 from plumbrow.schema import SERIES_KEY, STANDARD_SCHEMA
 from plumbrow.settings import Settings
@@ -51,23 +51,27 @@ def _keyed_values(rows: DataFrame) -> DataFrame:
 
 
 def _series_of(values: DataFrame, settings: Settings) -> DataFrame:
-    # Only years with a single row are used in the end, and there the minimum is that row's value.
-    others = [c for c in STANDARD_SCHEMA.names if c not in SERIES_KEY and c != "disclosure_year"]
+    """The rows of the usable series, which have one value a year in enough years.
+
+    Series are judged by numbers only, counted per year on the map side; their rows are joined
+    back.
+    """
     per_year = values.groupBy(*_HASHED_KEY, "disclosure_year").agg(
-        F.count("*").alias("_n"), *[F.min(c).alias(c) for c in others]
+        F.count("*").alias("_n"), F.min(F.abs("value")).alias("_size")
     )
-    return (
-        per_year.withColumns(
-            {
-                "_most": over_series(F.max("_n")),
-                "n_years": over_series(F.count("*")),
-                "series_median": over_series(F.median(F.abs("value"))),
-                # The same for all rows of a series. As a window column it stays here: a filter on
-                # the bare expression would move to the scan and search every row word by word.
-                "is_variance_like": over_series(F.max(is_variance_like(line_item()))),
-            }
+    usable = (
+        per_year.groupBy(*_HASHED_KEY)
+        .agg(
+            F.max("_n").alias("_most"),
+            F.count("*").alias("n_years"),
+            F.median("_size").alias("series_median"),
         )
         .where((F.col("_most") == 1) & (F.col("n_years") >= settings.series_min_years))
+        # Once for each series: every word is searched for.
+        .withColumn("is_variance_like", is_variance_like(line_item()))
+    )
+    return (
+        join_same(values, usable, _HASHED_KEY)
         .withColumn("ratio_to_median", F.abs("value") / F.col("series_median"))
         .withColumn("item", line_item())
         .select(

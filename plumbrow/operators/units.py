@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbrow.functions.text import line_item, normalised_unit, regex_contains
+from plumbrow.operators.firsts import with_first_uid
 from plumbrow.operators.lists import with_lists
 from plumbrow.settings import Settings
 from plumbrow.sources.staging import stage
 
 _ITEM = ["sector", "schedule", "item"]
+_UNIT = ["sector", "schedule", "units"]
 
 
 def _with_real_units(rows: DataFrame, ignored: Sequence[str]) -> DataFrame:
@@ -23,12 +25,12 @@ def _with_real_units(rows: DataFrame, ignored: Sequence[str]) -> DataFrame:
 def unit_usage(rows: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Each spelling of a unit a line item was reported in, per year.
 
-    Stored, because the checks of both scopes read it several times.
+    Staged, because the checks of both scopes read it several times.
     """
     usage = (
         _with_real_units(rows, settings.non_units)
-        .groupBy("sector", "schedule", line_item().alias("item"), "disclosure_year", "units")
-        .agg(F.min("uid").alias("uid"))
+        .select("sector", "schedule", line_item().alias("item"), "disclosure_year", "units")
+        .distinct()
         .withColumn("unit_key", normalised_unit(F.col("units")))
     )
     return stage(usage, "unit-usage")
@@ -47,7 +49,6 @@ def _mixed_items(usage: DataFrame) -> DataFrame:
     overall = (
         usage.groupBy(*_ITEM)
         .agg(
-            F.min("uid").alias("uid"),
             F.count_distinct("unit_key").alias("n_units"),
             F.count_distinct("units").alias("_n_spellings"),
         )
@@ -61,9 +62,13 @@ def item_spellings(usage: DataFrame) -> DataFrame:
     return usage.select(*_ITEM, "unit_key", "units").distinct()
 
 
-def _inconsistent_units(usage: DataFrame, settings: Settings, within_year: bool) -> DataFrame:
+def _inconsistent_units(
+    usage: DataFrame, rows: DataFrame, settings: Settings, within_year: bool
+) -> DataFrame:
     scope = "within_year" if within_year else "across_years"
-    items = _mixed_items(usage).where(F.col("_mixed_in_a_year") == F.lit(within_year))
+    of_items = _with_real_units(rows, settings.non_units).withColumn("item", line_item())
+    mixed = _mixed_items(usage).where(F.col("_mixed_in_a_year") == F.lit(within_year))
+    items = with_first_uid(mixed, of_items, _ITEM)
     counted = item_spellings(usage).withColumn("_copies", F.lit(1).cast("bigint"))
     listed = with_lists(
         items, counted, _ITEM, "_n_spellings", "units", "units_used", settings.list_part
@@ -83,45 +88,46 @@ def _inconsistent_units(usage: DataFrame, settings: Settings, within_year: bool)
     )
 
 
-def units_within_year(usage: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def units_within_year(
+    usage: DataFrame, rows: DataFrame, settings: Settings = Settings()
+) -> DataFrame:
     """Line items reported in different units in the same year."""
-    return _inconsistent_units(usage, settings, within_year=True)
+    return _inconsistent_units(usage, rows, settings, within_year=True)
 
 
-def units_across_years(usage: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def units_across_years(
+    usage: DataFrame, rows: DataFrame, settings: Settings = Settings()
+) -> DataFrame:
     """Line items whose unit changes between years but is the same inside each year."""
-    return _inconsistent_units(usage, settings, within_year=False)
+    return _inconsistent_units(usage, rows, settings, within_year=False)
 
 
 def units_are_units(rows: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Units that are a bare number, or that equal a label used anywhere in the mart."""
-    candidates = (
-        _with_real_units(rows, [*settings.non_units, *settings.allowed_words])
-        .groupBy("sector", "schedule", "units")
-        .agg(
-            F.min("uid").alias("uid"),
+    units = _with_real_units(rows, [*settings.non_units, *settings.allowed_words])
+    candidates = stage(
+        units.groupBy(*_UNIT).agg(
             F.count("*").alias("n_rows"),
             F.count_distinct("company").alias("n_companies"),
             F.min("disclosure_year").alias("first_year"),
             F.max("disclosure_year").alias("last_year"),
-        )
+        ),
+        "unit-candidates",
     )
-    # Distinct labels combine on the map side, and only the units that occur are looked up.
+    # Only labels that occur as units are made distinct.
+    named = F.explode(F.array("category_1", "category_2", "category_3", "description"))
     labels = (
-        rows.select(
-            "sector",
-            F.explode(F.array("category_1", "category_2", "category_3", "description")).alias(
-                "units"
-            ),
-        )
-        .where(F.col("units").isNotNull())
+        rows.select("sector", named.alias("units"))
+        .join(candidates.select("sector", "units"), ["sector", "units"], "left_semi")
         .distinct()
         .withColumn("_is_label", F.lit(True))
     )
     is_number = regex_contains(F.col("units"), "^[0-9.]+$")
+    flagged = candidates.join(labels, ["sector", "units"], "left").where(
+        is_number | F.col("_is_label").isNotNull()
+    )
     return (
-        candidates.join(labels, ["sector", "units"], "left")
-        .where(is_number | F.col("_is_label").isNotNull())
+        with_first_uid(flagged, units, _UNIT)
         .select(
             F.lit("units_are_units").alias("check_name"),
             "sector",

@@ -78,13 +78,13 @@ class CheckInputs:
 @dataclass(frozen=True)
 class Check:
     name: str
-    reads: str
-    find: Callable[[DataFrame, Settings], DataFrame]
+    reads: tuple[str, ...]
+    find: Callable[..., DataFrame]
     severity: str = WARN
     tags: tuple[str, ...] = ("data_quality",)
 
     def run(self, inputs: CheckInputs) -> DataFrame:
-        return self.find(getattr(inputs, self.reads), inputs.settings)
+        return self.find(*[getattr(inputs, name) for name in self.reads], inputs.settings)
 
     def test_name(self, sector: str) -> str:
         """The check as attached to one sector's mart; also the name of its findings table."""
@@ -92,24 +92,24 @@ class Check:
 
 
 CHECKS = (
-    Check("duplicate_rows", "repeats", duplicate_rows),
-    Check("ambiguous_rows", "repeats", ambiguous_rows, ERROR),
-    Check("scale_break", "judged", scale_break),
-    Check("magnitude_outlier", "judged", magnitude_outlier),
-    Check("sign_flip", "judged", sign_flip),
-    Check("percent_as_proportion", "rows", percent_as_proportion),
-    Check("units_within_year", "usage", units_within_year),
+    Check("duplicate_rows", ("repeats",), duplicate_rows),
+    Check("ambiguous_rows", ("repeats",), ambiguous_rows, ERROR),
+    Check("scale_break", ("judged",), scale_break),
+    Check("magnitude_outlier", ("judged",), magnitude_outlier),
+    Check("sign_flip", ("judged",), sign_flip),
+    Check("percent_as_proportion", ("rows",), percent_as_proportion),
+    Check("units_within_year", ("usage", "rows"), units_within_year),
     Check(
         "units_across_years",
-        "usage",
+        ("usage", "rows"),
         units_across_years,
         tags=("data_quality", "informational"),
     ),
-    Check("units_are_units", "rows", units_are_units),
-    Check("blank_schedule", "sizes", blank_schedule),
-    Check("schedule_gap", "sizes", schedule_gap),
-    Check("row_count_drop", "sizes", row_count_drop),
-    Check("year_gap", "sizes", year_gap),
+    Check("units_are_units", ("rows",), units_are_units),
+    Check("blank_schedule", ("sizes", "rows"), blank_schedule),
+    Check("schedule_gap", ("sizes",), schedule_gap),
+    Check("row_count_drop", ("sizes", "rows"), row_count_drop),
+    Check("year_gap", ("sizes",), year_gap),
 )
 
 
@@ -133,7 +133,7 @@ def prepare(inputs: CheckInputs, checks: Sequence[Check], pool: ThreadPoolExecut
         except Exception:
             log.exception("building %s failed", name)
 
-    list(pool.map(build, dict.fromkeys(check.reads for check in checks)))
+    list(pool.map(build, dict.fromkeys(name for check in checks for name in check.reads)))
 
 
 def find_check(name: str) -> Check:

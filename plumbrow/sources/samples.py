@@ -200,22 +200,56 @@ def build_interruptions(spark: SparkSession, folder: str) -> DataFrame:
         otherwise=after(F.floor(value * 60)),
     )
     year = _either((every(97), F.lit(2023)), (every(89), F.lit(2025)), otherwise=F.lit(2024))
+    fine = "decimal(18,10)"
     saidi = _either(
-        (every(47), F.lit(None).cast("decimal(18,6)")),
-        (every(43), exact(-1, "decimal(18,6)")),
-        (every(41), F.round((icps + 1) * value * per_customer * 10, 6)),
-        otherwise=F.round(icps * value * per_customer, 6),
+        (every(47), F.lit(None).cast(fine)),
+        (every(43), exact(-1, fine)),
+        (every(41), F.round((icps + 1) * value * per_customer * 10, 6).cast(fine)),
+        (every(197), exact(0.1234567891, fine)),
+        (every(199), exact(0.0000001, fine)),
+        otherwise=F.round(icps * value * per_customer, 6).cast(fine),
+    )
+    coarse = "decimal(18,6)"
+    saifi = _either(
+        (every(37), exact(0, coarse)),
+        (every(109), F.lit(None).cast(coarse)),
+        (every(131), exact(-0.5, coarse)),
+        (every(199), exact(0, coarse)),
+        otherwise=(icps * per_customer).cast(coarse),
+    )
+    shown_icps = _either(
+        (every(113), F.lit(None).cast("double")),
+        (every(137), F.lit(-3.0)),
+        (every(199), F.lit(0.0)),
+        otherwise=icps.cast("double"),
+    )
+    icp_minutes = _either(
+        (every(127), F.lit(None).cast("double")),
+        (every(139), F.lit(-1.0)),
+        otherwise=F.round(icps * value, 2).cast("double"),
     )
-    saifi = _either((every(37), exact(0, "decimal(18,6)")), otherwise=icps * per_customer)
     planned_only = e.isin(8, 9)
     kind = _either(
         (planned_only, F.lit("Planned")),
         (every(73), text),
         (every(79), F.lit("Class X")),
+        (every(157), F.lit("B")),
+        (every(163), F.lit("C")),
+        (every(167), F.lit("planned works")),
+        (every(173), F.lit("UNPLANNED - fault")),
+        (every(179), F.lit("b")),
         (every(3), F.lit("Planned")),
         otherwise=F.lit("Unplanned"),
     )
-    copies = F.when(every(67), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    n_copies = F.when(every(193), 3).when(every(67), 2).otherwise(1)
+    copies = F.sequence(F.lit(1), n_copies)
+    cause = _either(
+        (every(83), F.lit("Transpower outage")),
+        (every(181), F.lit("Outage at TRANSPOWER GXP")),
+        (every(191), F.lit("Trans power line")),
+        otherwise=F.col("event_type"),
+    )
+    circuit = F.when(every(122) | every(151), F.concat(F.lit("circuit "), (i % 7).cast("string")))
     return (
         _table(spark, folder, "events")
         .select(
@@ -226,16 +260,16 @@ def build_interruptions(spark: SparkSession, folder: str) -> DataFrame:
             F.when(~every(71), F.concat(F.lit("I"), i.cast("string"))).alias(
                 "interruption_identifier"
             ),
-            text.alias("circuit_location"),
+            circuit.alias("circuit_location"),
             F.when(~every(61), F.col("event_type")).alias("feeder"),
-            start.alias("start_datetime"),
+            F.when(~every(149), start).alias("start_datetime"),
             end.alias("end_datetime"),
-            saidi.cast("decimal(18,6)").alias("saidi_value"),
-            saifi.cast("decimal(18,6)").alias("saifi_value"),
-            icps.cast("double").alias("number_of_icps_interrupted"),
-            F.round(icps * value, 2).cast("double").alias("icp_interruption_minutes"),
+            saidi.alias("saidi_value"),
+            saifi.alias("saifi_value"),
+            shown_icps.alias("number_of_icps_interrupted"),
+            icp_minutes.alias("icp_interruption_minutes"),
             kind.alias("planned_or_unplanned"),
-            F.when(every(83), "Transpower outage").otherwise(F.col("event_type")).alias("cause"),
+            cause.alias("cause"),
             text.alias("explanation"),
             F.explode(copies).alias("_copy"),
         )
@@ -249,8 +283,12 @@ def sample_interruptions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def build_totals(spark: SparkSession, folder: str) -> DataFrame:
-    """Reported totals that agree with the 2024 records of most EDBs and differ as told for some."""
-    sums = record_measures(sample_interruptions(spark, folder)).where(F.col("disc_yr") == 2024)
+    """Reported totals that agree with the records of most EDBs and differ as told for some.
+
+    There are totals for every recorded year and for 2022, which has no records, and some lines of
+    other schedules, networks and sections.
+    """
+    sums = record_measures(sample_interruptions(spark, folder))
     e = F.substring("edb", 5, 2).cast("int")
     both_classes = F.col("class").isin("B", "C")
     edb_year = ["edb", "disc_yr"]
@@ -281,6 +319,9 @@ def build_totals(spark: SparkSession, folder: str) -> DataFrame:
         )
     )
 
+    unrecorded = wide.where(F.col("disc_yr") == 2024).withColumn("disc_yr", F.lit(2022))
+    wide = wide.unionByName(unrecorded)
+
     def line(class_: str, category: str, sub_category: str, value: Column) -> Column:
         return F.struct(
             F.lit(f"Class {class_} (synthetic)").alias("description"),
@@ -311,6 +352,7 @@ def build_totals(spark: SparkSession, folder: str) -> DataFrame:
         line("B", BY_CLASS, "SAIFI", moved("saifi", "B") * saifi_factor),
         line("B", COUNTS, N_INTERRUPTIONS, F.col("n_B") + more),
         line("B", TRANSITIONAL, "SAIFI", F.when(transitional, F.col("saifi_B"))),
+        line("B", TRANSITIONAL, "SAIDI", F.when(transitional, F.lit(0.0)).when(e == 10, F.lit(2.5))),
         line("C", BY_CLASS, "SAIDI", small_c("saidi", 5.0) * saidi_factor),
         line("C", BY_CLASS, "SAIFI", small_c("saifi", 0.1) * saifi_factor),
         line("C", COUNTS, N_INTERRUPTIONS, F.when(planned_only, nothing).otherwise(F.col("n_C") + more)),
@@ -318,15 +360,30 @@ def build_totals(spark: SparkSession, folder: str) -> DataFrame:
         line("D", BY_CLASS, "SAIDI", F.when(without_transpower, F.col("saidi_D"))),
         line("D", BY_CLASS, "SAIFI", F.when(without_transpower, F.col("saifi_D"))),
     ]
+    # The last three places are not those of the reliability totals.
+    section = "10(i): Interruptions"
+    places = [
+        (RELIABILITY_SCHEDULE, "All", section),
+        ("SCHEDULE 9: REPORT ON LINES", "All", section),
+        (RELIABILITY_SCHEDULE, "North", section),
+        (RELIABILITY_SCHEDULE, "All", "10(ii): Interruptions"),
+    ]
+    here = F.array(
+        *[
+            F.struct(F.lit(a).alias("schedule"), F.lit(b).alias("network"), F.lit(c).alias("section"))
+            for a, b, c in places
+        ]
+    )
     return (
         wide.select(*edb_year, F.inline(F.array(*lines)))
         .where(F.col("value").isNotNull())
+        .select("*", F.explode(here).alias("_place"))
         .select(
             "edb",
-            F.lit("All").alias("network"),
+            "_place.network",
             "disc_yr",
-            F.lit(RELIABILITY_SCHEDULE).alias("schedule"),
-            F.lit("10(i): Interruptions").alias("section"),
+            "_place.schedule",
+            "_place.section",
             "category",
             "sub_category",
             "description",

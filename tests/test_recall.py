@@ -32,33 +32,33 @@ FINDINGS = {
 }
 
 ERRORS = {
-    "DUPLICATE_ROW": 150,
-    "MISSING_START_OR_END": 96,
+    "DUPLICATE_ROW": 253,
+    "MISSING_START_OR_END": 165,
     "ZERO_DURATION": 102,
     "END_BEFORE_START": 98,
-    "UNDER_1_MINUTE": 180,
-    "START_OUTSIDE_DISCLOSURE_YEAR": 218,
-    "MISSING_VALUE": 217,
-    "NEGATIVE_VALUE": 231,
-    "SAIDI_EXCEEDS_PHYSICAL_MAXIMUM": 215,
-    "FRACTIONAL_ICPS": 173,
-    "SAIDI_OR_SAIFI_WITH_NO_ICPS": 4,
-    "SAIFI_ZERO_BUT_SAIDI_REQUIRES_IT": 248,
-    "INVALID_CLASS": 237,
-    "TRANSPOWER_CLASS_D_ROW": 123,
-    "MISSING_IDENTIFIER_OR_FEEDER": 307,
+    "UNDER_1_MINUTE": 179,
+    "START_OUTSIDE_DISCLOSURE_YEAR": 216,
+    "MISSING_VALUE": 475,
+    "NEGATIVE_VALUE": 450,
+    "SAIDI_EXCEEDS_PHYSICAL_MAXIMUM": 230,
+    "FRACTIONAL_ICPS": 169,
+    "SAIDI_OR_SAIFI_WITH_NO_ICPS": 52,
+    "SAIFI_ZERO_BUT_SAIDI_REQUIRES_IT": 245,
+    "INVALID_CLASS": 287,
+    "TRANSPOWER_CLASS_D_ROW": 179,
+    "MISSING_IDENTIFIER_OR_FEEDER": 226,
 }
 
 VERDICTS = {
-    "Match": 26,
-    "Match (no interruptions of this class)": 1,
-    "No Schedule 10 data for this EDB-year": 68,
-    "No 10a rows for this class": 1,
-    "Mismatch: 10a includes Transpower (Class D) rows": 3,
-    "Mismatch: 10a SAIFI is on the old (transitional) counting basis": 1,
-    "Mismatch: B + C total matches, planned/unplanned split differs": 2,
-    "Mismatch: 10a missing interruptions": 2,
-    "Mismatch: unexplained": 2,
+    "Match": 73,
+    "Match (no interruptions of this class)": 3,
+    "No Schedule 10 data for this EDB-year": 5,
+    "No 10a rows for this class": 3,
+    "Mismatch: 10a includes Transpower (Class D) rows": 2,
+    "Mismatch: 10a SAIFI is on the old (transitional) counting basis": 5,
+    "Mismatch: B + C total matches, planned/unplanned split differs": 6,
+    "Mismatch: 10a missing interruptions": 6,
+    "Mismatch: unexplained": 7,
 }
 
 
