@@ -16,6 +16,7 @@ from plumbrow.llm.language_model import scored
 from plumbrow.llm.lines import deduplicated
 from plumbrow.llm.mixture import packed
 from plumbrow.llm.records import records_of
+from plumbrow.llm.oracle_sql import SQL
 from plumbrow.llm.simhash import hex_of, near_duplicates
 from plumbrow.llm.suffixes import without_repeats
 from plumbrow.llm.tokens import tokenizer_path
@@ -142,4 +143,4 @@ _QUERIES: dict[str, Query] = {
 
 QUERIES: dict[str, Query] = {name: _shipped(query) for name, query in _QUERIES.items()}
 
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
