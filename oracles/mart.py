@@ -59,23 +59,52 @@ released AS (
   UNION ALL SELECT k, network, y, t, f, d, u, v * 1.1e0, '2' FROM defective
             WHERE k % 10 = 6 AND t = 'LARGE' AND f = 'N' AND v IS NOT NULL
 ),
+odd AS (
+  SELECT k, network, y, t, d.*, unnest(CASE WHEN y = 1995 THEN [1995, 1994] ELSE [y] END) AS dy
+  FROM cells, LATERAL (VALUES
+    ('Change in stock', CASE WHEN y % 3 = 0 THEN gross * 1e3 WHEN y % 2 = 0 THEN -gross ELSE gross END, '$000',
+     NULL, NULL, y, NULL),
+    ('Comment', NULL, 'text input', 'note ' || k % 3, NULL, y, NULL),
+    ('Length', n_lines, CASE WHEN k % 7 = 3 THEN 'metres' WHEN k % 3 = 0 THEN 'kilometres' WHEN k % 3 = 1 THEN 'km'
+                        ELSE 'K.m' END, NULL, NULL, y, NULL),
+    ('Tariff', share, '$/con|day', NULL, 'Peak', y, NULL),
+    ('Prior value', gross, '$000', NULL, NULL, y - 1, NULL),
+    ('Forecast value', quantity, 'pieces', NULL, NULL, NULL, y + 2)
+  ) d(d, v, u, txt, sub, oy, fy)
+  WHERE f = 'R'
+),
+odd_released AS (
+  SELECT *, '1' AS ver FROM odd
+  UNION ALL SELECT * REPLACE (CASE WHEN k % 10 = 5 THEN 'revised' ELSE txt END AS txt), '2' FROM odd
+            WHERE d = 'Comment' AND t = 'LARGE' AND k % 10 IN (4, 5)
+),
+both_kinds AS (
+  SELECT printf('N%02d', k) AS company, network, y AS dy, 'S-' || f AS schedule, 'Sales' AS section, t,
+         CAST(NULL AS VARCHAR) AS sub, d, y AS oy, CAST(NULL AS INTEGER) AS fy, u, v, CAST(NULL AS VARCHAR) AS txt, ver,
+         concat_ws('|', printf('N%02d', k), network, y, f, t, d, ver) AS uid
+  FROM released
+  UNION ALL
+  SELECT CASE WHEN k < 23 THEN printf('N%02d', k) END, network, dy, CASE WHEN k <> 22 THEN 'X-1' END, 'Other', t,
+         sub, d, oy, fy, u, v, txt, ver, concat_ws('|', 'X', printf('N%02d', k), network, dy, t, d, ver)
+  FROM odd_released
+),
 std AS (
-  SELECT 'edb' AS sector, printf('N%02d', k) AS company, network, y AS disclosure_year,
+  SELECT 'edb' AS sector, company, network, CAST(dy AS INTEGER) AS disclosure_year,
          CAST(NULL AS VARCHAR) AS schedule_reference, CAST(NULL AS VARCHAR) AS section_number,
-         'synthetic' AS source, 'S-' || f AS schedule, 'Sales' AS section, t AS category_1,
-         CAST(NULL AS VARCHAR) AS category_2, CAST(NULL AS VARCHAR) AS category_3, d AS description,
+         'synthetic' AS source, schedule, section, t AS category_1,
+         sub AS category_2, CAST(NULL AS VARCHAR) AS category_3, d AS description,
          CAST(NULL AS DATE) AS period_beginning, CAST(NULL AS DATE) AS period_ending,
-         y AS observation_year, CAST(NULL AS DATE) AS observation_month,
-         CAST(NULL AS INTEGER) AS forecast_year, CAST(NULL AS VARCHAR) AS actual_or_forecast,
-         u AS units, v AS value, CAST(NULL AS VARCHAR) AS text_value, ver AS version,
-         concat_ws('|', printf('N%02d', k), network, y, f, t, d, ver) AS uid,
-         concat_ws(' / ', 'Sales', t, d) AS item
-  FROM released WHERE y >= 1995
+         CAST(oy AS INTEGER) AS observation_year, CAST(NULL AS DATE) AS observation_month,
+         CAST(fy AS INTEGER) AS forecast_year, CAST(NULL AS VARCHAR) AS actual_or_forecast,
+         u AS units, v AS value, txt AS text_value, ver AS version, uid,
+         concat_ws(' / ', section, t, sub, d) AS item
+  FROM both_kinds WHERE dy >= 1995
 )
 """
 
-# One cell is named by all labels; in this mart these are the ones that vary.
-_CELL = "sector, company, network, disclosure_year, schedule, category_1, description, units, item"
+_CELL = """sector, company, network, disclosure_year, schedule_reference, section_number, source, schedule, section,
+       category_1, category_2, category_3, description, period_beginning, period_ending, observation_year,
+       observation_month, forecast_year, actual_or_forecast, units, item"""
 
 # All columns that name a cell, the dates as text.
 _LABELS = """sector, company, network, disclosure_year, schedule_reference, section_number, source, schedule,
@@ -84,6 +113,9 @@ _LABELS = """sector, company, network, disclosure_year, schedule_reference, sect
        observation_year, CAST(observation_month AS VARCHAR) AS observation_month, forecast_year,
        actual_or_forecast, units"""
 
+# How far the reported year lies from the year of disclosure.
+_OFFSET = "coalesce(observation_year, year(observation_month), forecast_year, year(period_ending)) - disclosure_year"
+
 _SERIES = f"""
 points AS (
   SELECT *,
@@ -95,12 +127,12 @@ points AS (
            [true]) AS is_variance_like
   FROM std WHERE value <> 0
   WINDOW line AS (PARTITION BY sector, company, network, source, schedule, section, category_1, category_2,
-                  category_3, description, units, actual_or_forecast, observation_year - disclosure_year, month(observation_month))
+                  category_3, description, units, actual_or_forecast, {_OFFSET}, month(observation_month))
 ),
 usable AS (
   SELECT *, abs(value) / series_median AS r,
          row(sector, company, network, source, schedule, section, category_1, category_2, category_3, description,
-             units, actual_or_forecast, observation_year - disclosure_year, month(observation_month)) AS sid
+             units, actual_or_forecast, {_OFFSET}, month(observation_month)) AS sid
   FROM points WHERE n_years = n_distinct AND n_years >= 4
 )
 """
@@ -162,7 +194,7 @@ WITH {MART}
 SELECT 'duplicate_rows' AS check_name, sector, company, disclosure_year, schedule, item,
        min(uid) AS uid, count(*) AS n_rows, string_agg(uid, ', ' ORDER BY uid) AS uids,
        1 AS part, 1 AS n_parts, value, text_value
-FROM std GROUP BY network, {_CELL}, value, text_value HAVING count(*) > 1
+FROM std GROUP BY {_CELL}, value, text_value HAVING count(*) > 1
 """,
     "ambiguous_rows": f"""
 WITH {MART}
@@ -317,7 +349,13 @@ FROM std
 WITH {MART} SELECT schedule, item, count(*) AS n_rows FROM std GROUP BY schedule, item
 """,
     "normalised_units": f"""
-WITH {MART}, {_UNITS} SELECT units, unit AS unit_key, count(*) AS n_rows FROM keyed GROUP BY units, unit
+WITH {MART}
+SELECT units,
+       CASE WHEN lower(units) IN ('kilometre', 'kilometres') THEN 'km'
+            WHEN lower(units) IN ('metre', 'metres') THEN 'm'
+            ELSE regexp_replace(regexp_replace(lower(units), '[ \\t\\n._-]+', '', 'g'), '^(.{{2,}})s$', '\\1') END AS unit_key,
+       count(*) AS n_rows
+FROM std GROUP BY units
 """,
     "schedule_sizes": f"""
 WITH {MART}
@@ -328,7 +366,7 @@ FROM std GROUP BY sector, company, disclosure_year, schedule
     "series_values": f"""
 WITH {MART}, {_SERIES}
 SELECT company, network, disclosure_year, schedule, item, units, uid, value,
-       observation_year - disclosure_year AS column_year_offset, n_years,
+       {_OFFSET} AS column_year_offset, n_years,
        round(series_median, 6) AS series_median, round(r, 6) AS ratio_to_median, is_variance_like
 FROM usable
 """,
@@ -343,7 +381,7 @@ SELECT {_LABELS}, value, text_value, set_uid, uid FROM sets WHERE n > 1
 """,
     "ambiguous_row_members": f"""
 WITH {MART}, sets AS (
-  SELECT *, min(uid) OVER same AS set_uid, min(value) OVER same < max(value) OVER same AS differs FROM std
+  SELECT *, min(uid) OVER same AS set_uid, count(DISTINCT row(value, text_value)) OVER same > 1 AS differs FROM std
   WINDOW same AS (PARTITION BY {_CELL}))
 SELECT {_LABELS}, set_uid, uid FROM sets WHERE differs
 """,

@@ -81,8 +81,92 @@ def _cells(spark: SparkSession, folder: str, by_supplier: bool) -> DataFrame:
     )
 
 
+def _odd_values(cells: DataFrame) -> DataFrame:
+    """Six values per cell of one flag that reach what plain values do not.
+
+    Varying items, texts, spellings of lengths, tariff units, values of the year before and of a year
+    to come, blank and NULL names, and rows before the first disclosure year.
+    """
+    k, y, t = F.col("k"), F.col("y"), F.col("t")
+    no_text, no_year = F.lit(None).cast("string"), F.lit(None).cast("int")
+    varying = _either(
+        (y % 3 == 0, F.col("gross") * 1000.0),
+        (y % 2 == 0, -F.col("gross")),
+        otherwise=F.col("gross"),
+    )
+    length = _either(
+        (k % 7 == 3, F.lit("metres")),
+        (k % 3 == 0, F.lit("kilometres")),
+        (k % 3 == 1, F.lit("km")),
+        otherwise=F.lit("K.m"),
+    )
+    note = F.concat(F.lit("note "), (k % 3).cast("string"))
+
+    def item(
+        description: str,
+        value: Column,
+        units: Column,
+        text: Column = no_text,
+        sub: Column = no_text,
+        observed: Column = y,
+        expected: Column = no_year,
+    ) -> Column:
+        return F.struct(
+            F.lit(description).alias("description"),
+            value.cast("double").alias("value"),
+            units.alias("units"),
+            text.alias("text_input"),
+            sub.alias("sub_category"),
+            observed.cast("int").alias("obs_yr"),
+            expected.cast("int").alias("fcast_yr"),
+        )
+
+    nothing = F.lit(None)
+    items = [
+        item("Change in stock", varying, F.lit("$000")),
+        item("Comment", nothing, F.lit("text input"), text=note),
+        item("Length", F.col("n_lines"), length, sub=F.lit("  ")),
+        item("Tariff", F.col("share"), F.lit("$/con|day"), text=F.lit(" "), sub=F.lit("Peak")),
+        item("Prior value", F.col("gross"), F.lit("$000"), observed=y - 1),
+        item("Forecast value", F.col("quantity"), F.lit("pieces"), observed=no_year, expected=y + 2),
+    ]
+    is_text = (F.col("description") == "Comment") & (t == "LARGE")
+    versions = F.when(is_text & (k % 10).isin(4, 5), F.array(F.lit("1"), F.lit("2")))
+    years = F.when(y == 1995, F.array(F.lit(1995), F.lit(1994))).otherwise(F.array(y))
+    company = F.concat(F.lit("N"), F.lpad(k.cast("string"), 2, "0"))
+    is_revised = (F.col("version") == "2") & (k % 10 == 5)
+    return (
+        cells.where(F.col("f") == "R")
+        .select("k", "network", "y", "t", F.inline(F.array(*items)))
+        .withColumn("version", F.explode(F.coalesce(versions, F.array(F.lit("1")))))
+        .withColumn("disc_yr", F.explode(years))
+        .select(
+            _either((k == 24, no_text), (k == 23, F.lit("  ")), otherwise=company).alias("edb"),
+            "network",
+            "disc_yr",
+            no_text.alias("sch_ref"),
+            no_text.alias("sect_no"),
+            F.lit("synthetic").alias("source"),
+            _either((k == 22, F.lit(" ")), otherwise=F.lit("X-1")).alias("schedule"),
+            F.lit("Other").alias("section"),
+            t.alias("category"),
+            "sub_category",
+            "description",
+            "obs_yr",
+            "fcast_yr",
+            "units",
+            "value",
+            F.when(is_revised, F.lit("revised")).otherwise(F.col("text_input")).alias("text_input"),
+            "version",
+            F.concat_ws(
+                "|", F.lit("X"), company, "network", F.col("disc_yr").cast("string"), t, "description", "version"
+            ).alias("uid"),
+        )
+    )
+
+
 def build_mart(spark: SparkSession, folder: str, by_supplier: bool = True) -> DataFrame:
-    """Four reported values per cell, with defects injected by predicate."""
+    """Four reported values per cell, with defects injected by predicate, and the odd values."""
     k, y, t, f, d = (F.col(c) for c in ("k", "y", "t", "f", "description"))
     gross, quantity = d == "Gross value", d == "Quantity"
     counts, share = d == "Line count", d == "Discount share"
@@ -131,9 +215,9 @@ def build_mart(spark: SparkSession, folder: str, by_supplier: bool = True) -> Da
     ]
     company = F.concat(F.lit("N"), F.lpad(k.cast("string"), 2, "0"))
     no_text = F.lit(None).cast("string")
-    return (
-        _cells(spark, folder, by_supplier)
-        .where(~dropped)
+    cells = stage(_cells(spark, folder, by_supplier), "sample-cells")
+    plain = (
+        cells.where(~dropped)
         .select("k", "network", "y", "t", "f", F.inline(F.array(*values)))
         .withColumn("units", units)
         .withColumn("value", changed)
@@ -160,6 +244,7 @@ def build_mart(spark: SparkSession, folder: str, by_supplier: bool = True) -> Da
             F.concat_ws("|", company, "network", y.cast("string"), f, t, d, "version").alias("uid"),
         )
     )
+    return plain.unionByName(_odd_values(cells))
 
 
 def sample_mart(spark: SparkSession, folder: str, by_supplier: bool = True) -> DataFrame:

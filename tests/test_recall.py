@@ -21,12 +21,12 @@ FINDINGS = {
     "sign_flip": 10,
     "percent_as_proportion": 72,
     "blank_schedule": 2,
-    "schedule_gap": 3,
+    "schedule_gap": 58,
     "row_count_drop": 3,
-    "year_gap": 2,
-    "duplicate_rows": 84,
-    "ambiguous_rows": 52,
-    "units_within_year": 9,
+    "year_gap": 7,
+    "duplicate_rows": 106,
+    "ambiguous_rows": 275,
+    "units_within_year": 15,
     "units_across_years": 3,
     "units_are_units": 6,
 }
@@ -64,8 +64,8 @@ VERDICTS = {
 
 def test_mart_size(spark):
     mart = sample_mart(spark, SF_DIR, by_supplier=False)
-    assert mart.count() == 12_448
-    assert mart.select("edb").distinct().count() == 25
+    assert mart.count() == 19_682
+    assert mart.select("edb").distinct().count() == 27
 
 
 @pytest.mark.parametrize("name", sorted(FINDINGS))
