@@ -24,7 +24,7 @@ from plumbrow.plans.registry import (
 from plumbrow.schema import ALL_FINDINGS_SCHEMA
 from plumbrow.settings import Settings
 from plumbrow.sources.sectors import standard_rows
-from plumbrow.sources.staging import staged_until_done
+from plumbrow.sources.staging import in_same_scope, staged_until_done
 from plumbrow.sources.tables import TableRef, read_table, table_exists, write_table
 
 HISTORY_TABLE = "dq_run_history"
@@ -132,7 +132,7 @@ def store_findings(
 
     with staged_until_done(spark), ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
         prepare(inputs, checks, pool)
-        results = list(pool.map(store, checks))
+        results = list(pool.map(in_same_scope(store), checks))
     history = spark.createDataFrame(results, HISTORY_SCHEMA)
     write_table(history, place.beside(HISTORY_TABLE), mode="append")
     if errors:

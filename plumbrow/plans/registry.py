@@ -34,7 +34,7 @@ from plumbrow.operators.values import (
     suspect_values,
 )
 from plumbrow.settings import Settings
-from plumbrow.sources.staging import stage
+from plumbrow.sources.staging import in_same_scope, stage
 
 WARN, ERROR = "warn", "error"
 
@@ -121,7 +121,7 @@ def run_checks(inputs: CheckInputs, checks: Sequence[Check] = CHECKS) -> list[Da
     """
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
         prepare(inputs, checks, pool)
-        return list(pool.map(lambda check: check.run(inputs), checks))
+        return list(pool.map(in_same_scope(lambda check: check.run(inputs)), checks))
 
 
 def prepare(inputs: CheckInputs, checks: Sequence[Check], pool: ThreadPoolExecutor) -> None:
@@ -133,7 +133,7 @@ def prepare(inputs: CheckInputs, checks: Sequence[Check], pool: ThreadPoolExecut
         except Exception:
             log.exception("building %s failed", name)
 
-    list(pool.map(build, dict.fromkeys(name for check in checks for name in check.reads)))
+    list(pool.map(in_same_scope(build), dict.fromkeys(name for check in checks for name in check.reads)))
 
 
 def find_check(name: str) -> Check:

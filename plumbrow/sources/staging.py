@@ -12,8 +12,9 @@ import re
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 _ONE_PROCESS = re.compile(r"local(\[[^\]]*\])?$")
 
 _own_folders: dict[str, str] = {}
-_scopes: list[list[str]] = []
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 _lock = threading.Lock()
 
 
@@ -44,11 +45,11 @@ def staging_root(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path of its own for a table, to be deleted with the open scopes."""
+    """A path of its own for a table, deleted with the scope it was made in."""
     path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
-    with _lock:
-        for scope in _scopes:
-            scope.append(path)
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
     return path
 
 
@@ -61,19 +62,33 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 @contextmanager
 def staged_until_done(spark: SparkSession) -> Iterator[None]:
-    """Deletes what is staged inside, once the results that need it have been written."""
+    """Deletes what is staged inside, once the results that need it have been written.
+
+    Threads started inside belong to it if they run functions wrapped by `in_same_scope`.
+    """
     scope: list[str] = []
-    with _lock:
-        _scopes.append(scope)
+    outer = _scope.set(scope)
     try:
         yield
     finally:
-        with _lock:
-            _scopes[:] = [s for s in _scopes if s is not scope]
+        _scope.reset(outer)
         for path in scope:
             _delete(spark, path)
 
 
+def in_same_scope(function: Callable) -> Callable:
+    scope = _scope.get()
+
+    def run(*args):
+        outer = _scope.set(scope)
+        try:
+            return function(*args)
+        finally:
+            _scope.reset(outer)
+
+    return run
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete this application's staged tables; frames built on them can no longer be run."""
     _delete(spark, staging_root(spark))

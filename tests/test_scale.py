@@ -9,7 +9,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from plumbrow.operators import repeats, series
+from plumbrow.operators import coverage, firsts, repeats, series, units
 from plumbrow.operators.lists import first_parts
 from plumbrow.operators.medians import grouped_median
 from plumbrow.operators.repeats import drop_copies
@@ -31,6 +31,7 @@ from plumbrow.operators.values import (
 )
 from plumbrow.plans.registry import CheckInputs, find_check
 from plumbrow.settings import Settings
+from plumbrow.sources import staging
 from plumbrow.sources.sectors import standard_rows
 from plumbrow.sources.samples import sample_mart
 from tests.marts import standard
@@ -214,6 +215,26 @@ def test_plans_read_only_what_they_need(spark, rows):
     assert blank_schedule(schedule_sizes(rows), rows).count() >= 0
 
 
+def test_no_aggregate_sorts_the_mart(spark, rows, monkeypatch):
+    """Of what is staged, only the uids of flagged groups are aggregated by sorting."""
+    plans = {}
+
+    def seen(df, label):
+        plans[label] = _plan(df)
+        return staging.stage(df, label)
+
+    for module in (coverage, units, firsts):
+        monkeypatch.setattr(module, "stage", seen)
+    sizes, usage = coverage.schedule_sizes(rows), units.unit_usage(rows)
+    coverage.blank_schedule(sizes, rows).collect()
+    units.units_within_year(usage, rows).collect()
+    units.units_are_units(rows).collect()
+    plans["series-values"] = _plan(series_values(rows))
+    assert {"schedule-sizes", "unit-usage", "unit-candidates", "flagged-groups"} <= set(plans)
+    for label, plan in plans.items():
+        assert "HashAggregate" in plan and "SortAggregate" not in plan, label
+
+
 @pytest.mark.parametrize("name", ["schedule_gap", "year_gap", "units_are_units", "scale_break"])
 def test_no_cross_joins(spark, rows, name):
     from plumbrow.plans.registry import CheckInputs, find_check

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from types import SimpleNamespace
+
 import pytest
 
 from plumbrow.plans.findings import (
@@ -12,7 +15,7 @@ from plumbrow.plans.findings import (
     store_findings,
     stored_findings,
 )
-from plumbrow.plans.registry import find_check, select_checks
+from plumbrow.plans.registry import Check, find_check, select_checks
 from plumbrow.schema import ALL_FINDINGS_SCHEMA
 from plumbrow.settings import Settings
 from plumbrow.sources import staging
@@ -56,10 +59,11 @@ def test_partial_runs_and_history(spark, place):
     statuses = store_findings(stored_mart, "edb", place, SETTINGS, first).collect()
     assert {(r.test_name, r.status, r.n_findings > 0) for r in statuses} == {
         ("edb_dq_duplicate_rows", "warn", True),
-        ("edb_dq_ambiguous_rows", "pass", False),
+        ("edb_dq_ambiguous_rows", "fail", True),
     }
     assert {r.test_name for r in stored_findings(spark, ["edb"], place).collect()} == {
-        "edb_dq_duplicate_rows"
+        "edb_dq_duplicate_rows",
+        "edb_dq_ambiguous_rows",
     }
     store_findings(stored_mart, "edb", place, SETTINGS, select_checks(("sign_flip",)))
     history = read_table(spark, place.beside(HISTORY_TABLE))
@@ -89,3 +93,46 @@ def test_staged_tables_can_be_dropped(spark, tmp_path, monkeypatch):
     assert list((tmp_path / "staged").iterdir())
     staging.drop_staged(spark)
     assert not (tmp_path / "staged").exists()
+
+
+def staged(spark):
+    root = staging.staging_root(spark)
+    return set(os.listdir(root)) if os.path.isdir(root) else set()
+
+
+def test_storing_leaves_nothing_staged(spark, place):
+    mart = sample_mart(spark, SF_DIR)
+    before = staged(spark)
+    store_findings(mart, "edb", place, SETTINGS, select_checks(("duplicate_rows", "scale_break")))
+    assert staged(spark) == before
+    assert not stored_findings(spark, ["edb"], place).isEmpty()
+
+
+def test_a_check_that_breaks_is_in_the_history(spark, place):
+    def broken(rows, settings):
+        raise RuntimeError("no such luck")
+
+    checks = [find_check("duplicate_rows"), Check("broken", ("rows",), broken)]
+    with pytest.raises(RuntimeError, match="no such luck"):
+        store_findings(sample_mart(spark, SF_DIR), "edb", place, SETTINGS, checks)
+    history = read_table(spark, place.beside(HISTORY_TABLE)).collect()
+    assert {(r["check_name"], r["status"]) for r in history} == {
+        ("duplicate_rows", "warn"),
+        ("broken", "error"),
+    }
+    assert [r["n_findings"] for r in history if r["check_name"] == "broken"] == [None]
+
+
+@pytest.mark.parametrize("master, needs", [("local[4]", False), ("local", False), ("yarn", True),
+                                           ("local-cluster[2,1,1024]", True)])
+def test_a_cluster_needs_a_shared_folder(master, needs):
+    context = SimpleNamespace(
+        master=master, applicationId=f"app-{master}", getCheckpointDir=lambda: None
+    )
+    conf = SimpleNamespace(get=lambda key, default: None)
+    session = SimpleNamespace(sparkContext=context, conf=conf)
+    if needs:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            staging.staging_root(session)
+    else:
+        assert staging.staging_root(session) == staging.staging_root(session)
