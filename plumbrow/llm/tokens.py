@@ -10,10 +10,14 @@ the tokenizers library has it; such texts are encoded whole.
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
 
+_ENDS_IN_STOP = re.compile(rb".*[a-z][.,;:!?]", re.DOTALL).fullmatch
+
+
 class Encoder:
     """Encodes texts to id bytes: little-endian, two bytes an id where the vocabulary allows it.
 
@@ -42,9 +46,21 @@ class Encoder:
         return [np.array(e.ids, dtype=self.dtype) for e in found]
 
     def _encode_chunks(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        """Chunks without special tokens, put into one text with a special token between them."""
+        """Ids of chunks without special tokens. A stop after a letter is a token of its own."""
+        known = self._known
+        stopped = {c: (c[:-1], c[-1:]) for c in chunks if _ENDS_IN_STOP(c)}
+        parts = {part for pair in stopped.values() for part in pair}
+        parts.update(c for c in chunks if c not in stopped)
+        found = self._encode_parts([part for part in parts if part not in known])
+        for chunk, (word, stop) in stopped.items():
+            ids = [found[part] if part in found else known[part] for part in (word, stop)]
+            found[chunk] = b"".join(ids)
+        return found
+
+    def _encode_parts(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        """Chunks are put into one text with a special token between them."""
         texts = [c.decode("utf-8", "replace") for c in chunks]
-        if self._border is None:
+        if self._border is None or not chunks:
             return {c: ids.tobytes() for c, ids in zip(chunks, self._encode(texts))}
         ids = self._encode([self._border.join(texts)])[0]
         cuts = np.flatnonzero(ids == self._border_id)
@@ -59,15 +75,16 @@ class Encoder:
             return self._encode([text.decode("utf-8", "replace")])[0].tobytes()
         known = self._known
         chunks = text.lower().split()
-        new = list(set(chunks).difference(known))
-        if new:
+        found = list(map(known.get, chunks))
+        if None in found:
+            places = _places(found, None)
+            new = list({chunks[i] for i in places})
             encoded = self._encode_chunks(new)
             if len(known) + len(new) <= self._keep:
                 known.update(encoded)
-            else:
-                encoded.update((c, known[c]) for c in chunks if c in known)
-                known = encoded
-        return b"".join(map(known.__getitem__, chunks))
+            for i in places:
+                found[i] = encoded[chunks[i]]
+        return b"".join(found)
 
     def _has_special(self, text: bytes) -> bool:
         found = text.lower()
@@ -77,6 +94,16 @@ class Encoder:
         )
 
 
+def _places(values: list, wanted) -> list[int]:
+    out, at = [], -1
+    try:
+        while True:
+            at = values.index(wanted, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
+
+
 def id_type(vocabulary: int) -> np.dtype:
     return np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
 
