@@ -24,6 +24,7 @@ share queues by hash.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator, Mapping
 
 import numpy as np
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbrow.llm.common import stage, text_or_empty, texts_of
+from plumbrow.llm.common import shuffle_partitions, stage, text_or_empty, texts_of
 from plumbrow.llm.tokens import encoder
 
 _CHUNK_ROWS = 20_000
@@ -114,10 +115,10 @@ def round_robin(
     owed: np.ndarray,
     length: int,
     least: int,
-) -> Iterator[tuple[int, int, int, int, int, int]]:
+) -> array:
     """Serve queues of documents of the given lengths into windows.
 
-    Yields queue, document's place in the queue, its start, the piece's length, window, offset. owed:
+    Six numbers for each piece: queue, document's place in the queue, its start, the piece's length, window, offset. owed:
     the deficits at the start. Pieces smaller than `least` wait for the next window unless they end a
     document's queue or nothing else fills the window.
     """
@@ -128,6 +129,7 @@ def round_robin(
     place, done = [0] * n, [0] * n
     deficit = owed.tolist()
     total, window = sum(left), 0
+    out = array("q")
     while total:
         space, offset = length, 0
         active = sum(shares[q] for q in range(n) if left[q])
@@ -151,7 +153,7 @@ def round_robin(
                 total -= take
                 while take:
                     piece = min(take, docs[q][place[q]] - done[q])
-                    yield q, place[q], done[q], piece, window, offset
+                    out.extend((q, place[q], done[q], piece, window, offset))
                     offset += piece
                     take -= piece
                     done[q] += piece
@@ -159,6 +161,7 @@ def round_robin(
                         place[q] += 1
                         done[q] = 0
         window += 1
+    return out
 
 
 def pieces(
@@ -204,16 +207,21 @@ def pieces(
             length,
             least,
         )
-        ids = [g["row"].to_numpy() for g in groups]
-        out = np.array(
-            [(ids[q][i], start, n, window, offset) for q, i, start, n, window, offset in served],
-            dtype=np.int64,
-        ).reshape(-1, 5)
-        found = pd.DataFrame(out, columns=["row", "start", "length", "sequence_id", "offset"])
-        found["sequence_id"] += int(key[0]) << 32
-        return found
+        out = np.frombuffer(served, np.int64).reshape(-1, 6)
+        begins = np.cumsum([0] + [len(g) for g in groups[:-1]])
+        return pd.DataFrame(
+            {
+                "row": rows["row"].to_numpy()[begins[out[:, 0]] + out[:, 1]],
+                "start": out[:, 2],
+                "length": out[:, 3],
+                "sequence_id": out[:, 4] + (int(key[0]) << 32),
+                "offset": out[:, 5],
+            }
+        )
 
-    return sliced.groupBy("slice").applyInPandas(pack, PIECE)
+    # Little data and much work: without coalescing.
+    tasks = min(n_slices, shuffle_partitions(tokens.sparkSession))
+    return sliced.repartition(tasks, "slice").groupBy("slice").applyInPandas(pack, PIECE)
 
 
 def packed(
@@ -238,27 +246,39 @@ def packed(
     )
     joined = tokens.select("row", "doc_id", "source", "n", "width", "ids").join(of_row, "row")
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    numbers = [pa.int64()] * len(names)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, sources, ids_out = [], [], []
-            columns = (batch.column(c) for c in ("doc_id", "source", "n", "width", "ids", "pieces"))
-            for doc_id, name, n, width, ids, found in zip(*columns):
-                ids = np.frombuffer(ids.as_buffer(), dtype=f"<u{width.as_py()}").astype("<u4")
-                for p in found.as_py():
-                    piece = ids[p["start"] : p["start"] + p["length"]].tobytes()
-                    crc, at = zlib.crc32(piece), (p["sequence_id"], p["offset"])
-                    out.append((doc_id.as_py(), p["start"], p["length"], crc, n.as_py(), *at))
-                    sources.append(name.as_py())
+            found = batch.column("pieces")
+            n_pieces = np.diff(found.offsets.to_numpy())
+            flat = found.flatten()
+            start, size, sequence, offset = (flat.field(i).to_numpy() for i in range(4))
+            widths = batch.column("width").to_pylist()
+            crcs, ids_out, at = [], [], 0
+            starts, sizes = start.tolist(), size.tolist()
+            for width, ids, n in zip(widths, batch.column("ids"), n_pieces.tolist()):
+                ids = np.frombuffer(ids.as_buffer(), dtype=f"<u{width}").astype("<u4")
+                data = memoryview(ids).cast("B")
+                for i in range(at, at + n):
+                    piece = data[4 * starts[i] : 4 * (starts[i] + sizes[i])]
+                    crcs.append(zlib.crc32(piece))
                     if with_ids:
-                        ids_out.append(piece)
-            arrays = [pa.array(c, t) for c, t in zip(zip(*out), numbers)]
-            arrays.append(pa.array(sources, pa.string()))
+                        ids_out.append(bytes(piece))
+                at += n
+            row = pa.array(np.repeat(np.arange(len(n_pieces)), n_pieces))
+            columns = {
+                "doc_id": batch.column("doc_id").take(row),
+                "start": pa.array(start),
+                "length": pa.array(size),
+                "ids_crc32": pa.array(crcs, pa.int64()),
+                "doc_tokens": batch.column("n").take(row),
+                "sequence_id": pa.array(sequence),
+                "offset": pa.array(offset),
+                "source": batch.column("source").take(row),
+            }
             if with_ids:
-                arrays.append(pa.array(ids_out, pa.binary()))
-            if out:
-                yield pa.RecordBatch.from_arrays(arrays, [*names, "source"] + ["ids"] * with_ids)
+                columns["ids"] = pa.array(ids_out, pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
 
     schema = ", ".join(f"{c} long" for c in names) + ", source string" + ", ids binary" * with_ids
     return joined.select("doc_id", "source", "n", "width", "ids", "pieces").mapInArrow(cut, schema)
