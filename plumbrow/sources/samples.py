@@ -431,13 +431,14 @@ def build_totals(spark: SparkSession, folder: str) -> DataFrame:
     saifi_factor = factor((4, 1.3), (6, 1.2), (7, 0.8))
     more = F.when(e == 6, F.lit(10)).otherwise(F.lit(0))
     transitional = e == 4
+    old_saidi = F.when(transitional, F.lit(0.0)).when(e == 10, F.lit(2.5))
     nothing = F.lit(None).cast("double")
     lines = [
         line("B", BY_CLASS, "SAIDI", moved("saidi", "B") * saidi_factor),
         line("B", BY_CLASS, "SAIFI", moved("saifi", "B") * saifi_factor),
         line("B", COUNTS, N_INTERRUPTIONS, F.col("n_B") + more),
         line("B", TRANSITIONAL, "SAIFI", F.when(transitional, F.col("saifi_B"))),
-        line("B", TRANSITIONAL, "SAIDI", F.when(transitional, F.lit(0.0)).when(e == 10, F.lit(2.5))),
+        line("B", TRANSITIONAL, "SAIDI", F.when(F.col("n_B").isNotNull(), old_saidi)),
         line("C", BY_CLASS, "SAIDI", small_c("saidi", 5.0) * saidi_factor),
         line("C", BY_CLASS, "SAIFI", small_c("saifi", 0.1) * saifi_factor),
         line("C", COUNTS, N_INTERRUPTIONS, F.when(planned_only, nothing).otherwise(F.col("n_C") + more)),
