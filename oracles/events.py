@@ -274,6 +274,8 @@ SELECT 'record_errors' AS result, 'check_name' AS column_name, count(*) AS n_fai
 FROM (WITH {RECORDS} {_ALL_ERRORS}) WHERE check_name IS NULL
 UNION ALL
 SELECT 'reconcile', 'verdict', count(*) FROM ({_RECONCILED}) WHERE verdict IS NULL
+UNION ALL
+SELECT 'records', 'interruption_identifier', count(*) FROM (WITH {RECORDS} SELECT * FROM rec) WHERE ident IS NULL
 """,
     "constraint_accepted_values": f"""
 SELECT 'record_errors' AS result, 'check_name' AS column_name,
@@ -281,5 +283,8 @@ SELECT 'record_errors' AS result, 'check_name' AS column_name,
 FROM (WITH {RECORDS} {_ALL_ERRORS}) WHERE check_name NOT IN ({", ".join(repr(r) for r in _RULES)})
 UNION ALL
 SELECT 'reconcile', 'class', count(DISTINCT class) FROM ({_RECONCILED}) WHERE class NOT IN ('B', 'C')
+UNION ALL
+SELECT 'records', 'planned_or_unplanned', count(DISTINCT kind) FROM (WITH {RECORDS} SELECT * FROM rec)
+WHERE kind NOT IN ('Planned', 'Unplanned')
 """,
 }
