@@ -198,6 +198,7 @@ class Adam:
     def __init__(self, net: Net, rate: float):
         self._net, self._rate, self._t = net, rate, 0
         self._m, self._v = np.zeros_like(net.flat), np.zeros_like(net.flat)
+        self._work = np.zeros_like(net.flat)
 
     def step(self, grad: Net) -> None:
         self._t += 1
@@ -205,10 +206,19 @@ class Adam:
         norm = float(np.sqrt(g @ g))
         if norm > 1.0:
             g *= 1.0 / norm
-        self._m += 0.1 * (g - self._m)
-        self._v += 0.005 * (g * g - self._v)
+        work = self._work
+        self._m *= 0.9
+        self._m += np.multiply(g, 0.1, out=work)
+        self._v *= 0.995
+        np.multiply(g, g, out=work)
+        work *= 0.005
+        self._v += work
         step = self._rate * (1 - 0.995**self._t) ** 0.5 / (1 - 0.9**self._t)
-        self._net.flat -= step * self._m / (np.sqrt(self._v) + 1e-7)
+        np.sqrt(self._v, out=work)
+        work += 1e-7
+        np.divide(self._m, work, out=work)
+        work *= step
+        self._net.flat -= work
 
 
 def lanes_of(lengths: np.ndarray, lanes: int) -> list[list[int]]:
@@ -230,11 +240,13 @@ def score_documents(
     begin: int,
     lanes: int = 256,
     steps: int = 32,
+    at_once: int = 16_384,
 ) -> np.ndarray:
     """Log-likelihood (natural) of each document, given as input rows, classes and members.
 
     A document's state is carried from window to window until its end; lanes hold documents one after
-    the other and stop when they run out.
+    the other and stop when they run out. With few lanes left, windows get longer, up to `at_once`
+    tokens, so that the softmaxes always have many rows.
     """
     lengths = np.array([len(x) for x, _, _ in documents])
     order = lanes_of(lengths, lanes)
@@ -255,9 +267,10 @@ def score_documents(
             at += len(x)
     found = np.zeros((longest, len(order)), np.float32)
     state = np.zeros((len(order), net.shape.hidden), np.float32)
-    for t in range(0, longest, steps):
+    t = 0
+    while t < longest:
         on = int((sizes > t).sum())
-        window = slice(t, t + steps)
+        window = slice(t, t + max(steps, at_once // on))
         states, state, _ = forward(net, inputs[window, :on], fresh[window, :on], state[:on])
         n = len(states)
         found[window, :on] = log_probabilities(
@@ -266,6 +279,7 @@ def score_documents(
             classes[window, :on].ravel(),
             members[window, :on].ravel(),
         ).reshape(n, on)
+        t += n
     out = np.zeros(len(documents))
     for lane, chosen in enumerate(order):
         at = 0

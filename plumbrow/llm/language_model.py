@@ -51,7 +51,7 @@ class Settings:
     hidden: int = 24
     stretch: int = 64
     window: int = 16
-    lanes: int = 32
+    lanes: int = 64
     rounds: int = 2
     rate: float = 0.01
     seed: int = 5
@@ -67,7 +67,7 @@ def class_of(word: bytes, classes: int) -> int:
     return zlib.crc32(word[-2:]) % classes
 
 
-def word_counts(docs: DataFrame, at_once: int = 400_000) -> DataFrame:
+def word_counts(docs: DataFrame, at_once: int = 300_000) -> DataFrame:
     """Stored: word, n of all documents' tokens, the end as the empty word."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,9 +189,18 @@ def vocabulary(counts: DataFrame, settings: Settings) -> Vocabulary:
 
 def _stretch(text: bytes, draw: int, size: int) -> tuple[list[bytes], bool]:
     """Up to `size` tokens from a drawn place on, and whether they begin the document."""
-    words = tokens_of(text)
-    start = draw % max(1, len(words) - size + 1)
-    return words[start : start + size], start == 0
+    room = 12 * size
+    start = draw % max(1, len(text) - room // 2)
+    piece = text[start : start + room]
+    words = piece.lower().split()
+    at_end = start + room >= len(text)
+    if not at_end and words:
+        words.pop()  # may be cut
+    if start and words:
+        words.pop(0)
+    if at_end or not words:
+        words.append(END)
+    return words[:size], start == 0
 
 
 def train_round(docs: DataFrame, shared, flat: np.ndarray, turn: int, rounds: int) -> np.ndarray:
@@ -281,7 +290,7 @@ SCORED = (
 
 
 def scored(
-    docs: DataFrame, training: Column, settings: Settings = Settings(), at_once: int = 400_000
+    docs: DataFrame, training: Column, settings: Settings = Settings(), at_once: int = 1_200_000
 ) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row."""
     context = docs.sparkSession.sparkContext
