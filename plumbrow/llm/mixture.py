@@ -94,7 +94,8 @@ def queue_positions(queued: DataFrame) -> DataFrame:
     Rows are spread over chunks by hash and summed up within (queue, chunk), then over the chunks'
     sums; a queue of any size is never in one task.
     """
-    n_chunks = max(1, -(-queued.count() // _CHUNK_ROWS))
+    tasks = shuffle_partitions(queued.sparkSession)
+    n_chunks = max(tasks, -(-queued.count() // _CHUNK_ROWS))
     chunked = queued.withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(n_chunks)))
     sums = chunked.groupBy("queue", "chunk").agg(F.sum("n").alias("chunk_n"))
     earlier = Window.partitionBy("queue").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
