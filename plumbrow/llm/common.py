@@ -6,17 +6,19 @@ import hashlib
 import os
 import re
 import tempfile
-import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbrow.sources.staging import staging_root
+from plumbrow.sources.staging import new_path
+
+T = TypeVar("T")
 
 #: Bytes that separate words: space and tab to carriage return, as bytes.split() has them.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -69,7 +71,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def run_folder(spark: SparkSession, label: str) -> str:
     """A new folder name under this application's part of spark.checkpoint.dir."""
-    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    return new_path(spark, label)
 
 
 def id_splits(ids: DataFrame, n_blocks: int) -> list[int]:
@@ -135,6 +137,17 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+_kept: list = [None, None]
+
+
+def kept(key: object, build: Callable[[], T]) -> T:
+    """What a worker keeps between tasks: the last thing asked for, and nothing besides."""
+    if _kept[0] != key:
+        _kept[:] = [None, None]  # the former one goes before the next is built
+        _kept[:] = [key, build()]
+    return _kept[1]
+
+
 class WordHashes(dict):
     """64-bit hashes of words, kept up to a number of words per process."""
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbrow.llm.common import WORD_BYTES, text_or_empty, texts_of
+from plumbrow.llm.common import WORD_BYTES, kept, text_or_empty, texts_of
 
 FOUND = (
     "n_words long, n_hit long, items array<string>, "
@@ -106,17 +106,6 @@ def found_in(
         yield first, first + n_words, names
 
 
-_automata: dict[tuple[str, int], ahocorasick.Automaton] = {}
-
-
-def _kept(name: str, block: list[tuple[str, bytes]], window: int) -> ahocorasick.Automaton:
-    """A block's automaton; a worker keeps one at a time."""
-    if (name, window) not in _automata:
-        _automata.clear()
-        _automata[name, window] = automaton(block, window)
-    return _automata[name, window]
-
-
 def _blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[str, bytes]]]:
     """The benchmark's items in blocks; the benchmark is a query set, read block by block."""
     blocks: list[list[tuple[str, bytes]]] = [[]]
@@ -147,7 +136,7 @@ def contamination(
             hits: dict[int, list[tuple[int, int]]] = {}
             items: dict[int, set[str]] = {}
             for name, block in (x.value for x in shared):
-                built = _kept(name, block, window)
+                built = kept((name, window), lambda block=block: automaton(block, window))
                 for i, text in enumerate(texts_of(batch)):
                     for first, last, names in found_in(Words(text), built):
                         hits.setdefault(i, []).append((first, last))

@@ -39,6 +39,7 @@ from plumbrow.llm.common import (
     block_of_id,
     blocked,
     id_splits,
+    kept,
     n_blocks_of,
     shuffle_partitions,
     text_or_empty,
@@ -56,9 +57,6 @@ _NO_ID = (1 << 63) - 1
 PATHS = "block int, part int, paths binary"
 ANSWERS = "block int, part int, known binary"
 
-_words = WordHashes()
-
-
 def paths_of(hashes: np.ndarray, window: int) -> np.ndarray:
     """The path of the suffix at each place that has `window` words."""
     n = len(hashes) - window + 1
@@ -83,11 +81,12 @@ class Block:
         self.words: list[bytes] = []
         self.ends: list[int] = []
         hashes = []
+        known = kept("word hashes", WordHashes)
         for text in texts:
             words = text.split()
             self.words.extend(words)
             self.ends.append(len(self.words))
-            hashes.append(_words.of(words))
+            hashes.append(known.of(words))
         paths = paths_of(np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), window)
         sizes = np.diff(self.ends, prepend=0)
         self.document = np.repeat(np.arange(len(self.ends)), sizes)
@@ -107,9 +106,10 @@ def prefix_counts(docs: DataFrame, window: int, bits: int, within: list[int] | N
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, int] = {}
         sums = np.zeros(1 << _STEP_BITS, np.int64) if inside is None else None
+        known = kept("word hashes", WordHashes)
         for batch in batches:
             for text in texts_of(batch):
-                paths = paths_of(_words.of(text.split()), window)
+                paths = paths_of(known.of(text.split()), window)
                 prefix = paths >> np.uint64(64 - bits)
                 if inside is None:
                     sums += np.bincount(prefix.astype(np.int64), minlength=len(sums))

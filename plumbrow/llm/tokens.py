@@ -14,6 +14,8 @@ import re
 
 import numpy as np
 
+from plumbrow.llm.common import kept
+
 
 _ENDS_IN_STOP = re.compile(rb".*[a-z][.,;:!?]", re.DOTALL).fullmatch
 
@@ -108,14 +110,9 @@ def id_type(vocabulary: int) -> np.dtype:
     return np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
 
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
-
-
 def encoder(path: str, chunked: bool = True) -> Encoder:
     """This worker's encoder for a tokenizer file; tasks that run one after another share it."""
-    if (path, chunked) not in _encoders:
-        _encoders[path, chunked] = Encoder(path, chunked)
-    return _encoders[path, chunked]
+    return kept(("encoder", path, chunked), lambda: Encoder(path, chunked))
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbrow.llm.common import WORD_BYTES, text_or_empty, texts_of
+from plumbrow.llm.common import WORD_BYTES, kept, text_or_empty, texts_of
 
 _PAD = b""
 
@@ -215,7 +215,7 @@ def train(texts: list[bytes], labels: np.ndarray, fit: Fit) -> Model:
 class Scorer:
     """Scores texts with a model, keeping the filters' responses of known words."""
 
-    def __init__(self, model: Model, keep: int = 200_000):
+    def __init__(self, model: Model, keep: int = 120_000):
         self._model = model
         self._keep = keep
         self._reset()
@@ -286,8 +286,11 @@ def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
     return float(np.clip(_sigmoid(middle), 0.2, 0.5))
 
 
-def _ordered(rows: DataFrame, n: int) -> DataFrame:
-    return rows.orderBy(F.xxhash64("id"), "id").limit(n)
+def _drawn(rows: DataFrame, n: int, of: int) -> DataFrame:
+    """The first n rows by hash; a draw keeps most others from being sent to be ordered."""
+    share = min(1.0, 4 * n / max(1, of))
+    few = rows.filter(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    return few.orderBy(F.xxhash64("id"), "id").limit(n)
 
 
 def fitted(
@@ -308,8 +311,8 @@ def fitted(
     )
     short = texts.filter(F.length("text") <= fit.longest)
     both = usable.join(short.select("id"), "id", "left_semi")
-    chosen = _ordered(both.filter("label = 1"), fit.per_label).union(
-        _ordered(both.filter("label = 0"), fit.per_label)
+    chosen = _drawn(both.filter("label = 1"), fit.per_label, counts.get(1, 0)).union(
+        _drawn(both.filter("label = 0"), fit.per_label, counts.get(0, 0))
     )
     sample = (
         short.join(F.broadcast(chosen), "id")  # at most 2 * per_label rows
@@ -348,9 +351,6 @@ def calibrate(model: Model, rows: list) -> None:
             model.thresholds[lang] = best_threshold(scores[mine], y[mine])
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def toxicity(docs: DataFrame, model: Model | float) -> DataFrame:
     """doc (all input columns), score, threshold, rejected."""
     context = docs.sparkSession.sparkContext
@@ -359,9 +359,7 @@ def toxicity(docs: DataFrame, model: Model | float) -> DataFrame:
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, model = shared.value
         if isinstance(model, Model):
-            scorer = _scorers.get(name) or Scorer(model)
-            _scorers.clear()
-            _scorers[name] = scorer
+            scorer = kept(("scorer", name), lambda: Scorer(model))
         for batch in batches:
             if isinstance(model, Model):
                 scores = list(scorer.scores(texts_of(batch)))
