@@ -167,9 +167,22 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame, settings: Settings) -> Vocabulary:
-    """The head is at most `settings.head` words; sums of the others are one row for each class."""
-    top = counts.orderBy(F.desc("n"), "word").limit(settings.head).toArrow()
-    head, n = top.column("word").to_pylist(), top.column("n").to_numpy().astype(np.float64)
+    """The most frequent words, `settings.head` at most, and one row of sums for each class.
+
+    Words whose counts lie close together are all in the head or all outside it.
+    """
+    # Counts on a log scale: under a thousand bins, whatever the corpus.
+    level = F.floor(F.log2("n") * 16)
+    levels = counts.groupBy(level.alias("level")).agg(F.count("*").alias("words")).collect()
+    room, least = settings.head, None
+    for r in sorted(levels, key=lambda r: -r["level"]):
+        room -= r["words"]
+        if room < 0:
+            break
+        least = r["level"]
+    top = [] if least is None else counts.filter(level >= least).toArrow().to_pylist()
+    top.sort(key=lambda r: (-r["n"], r["word"]))
+    head, n = [r["word"] for r in top], np.array([r["n"] for r in top], np.float64)
     ending = F.when(F.octet_length("word") > 2, F.substring("word", -2, 2)).otherwise(F.col("word"))
     sums = (
         counts.groupBy(F.pmod(F.crc32(ending), F.lit(settings.classes)).cast("int").alias("c"))
