@@ -7,6 +7,7 @@ class's members alone. The last member of each class stands for all its other wo
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -221,6 +222,101 @@ class Adam:
         self._net.flat -= work
 
 
+Document = tuple[np.ndarray, np.ndarray, np.ndarray]  # input rows, classes, members
+
+
+@dataclass
+class Cells:
+    """A window over lanes: (steps, lanes) each. weight is 0 where a lane has run out."""
+
+    inputs: np.ndarray
+    fresh: np.ndarray
+    classes: np.ndarray
+    members: np.ndarray
+    weight: np.ndarray
+
+
+class Feed:
+    """Documents in lanes, one after the other, given out window by window.
+
+    Every token of every document is in one window. Only a window is ever laid out as a matrix. Lanes
+    may share an iterator; each then takes the next document when it has finished one.
+    """
+
+    def __init__(self, lanes: list[Iterator[Document]], begin: int):
+        self._begin = begin
+        self._lanes = [[lane, next(lane, None), 0] for lane in lanes]
+
+    def running(self) -> list[int]:
+        """Lanes with tokens left, numbered as in the last window; the others are given up."""
+        on = [i for i, lane in enumerate(self._lanes) if lane[1] is not None]
+        self._lanes = [self._lanes[i] for i in on]
+        return on
+
+    def window(self, steps: int) -> Cells:
+        size = (steps, len(self._lanes))
+        cells = Cells(
+            np.full(size, self._begin, np.int32),
+            np.zeros(size, bool),
+            np.zeros(size, np.int64),
+            np.zeros(size, np.int64),
+            np.zeros(size, np.float32),
+        )
+        for i, lane in enumerate(self._lanes):
+            at = 0
+            while at < steps and lane[1] is not None:
+                x, c, m = lane[1]
+                start = lane[2]
+                n = min(steps - at, len(x) - start)
+                if start:
+                    cells.inputs[at : at + n, i] = x[start - 1 : start - 1 + n]
+                else:
+                    cells.fresh[at, i] = True
+                    cells.inputs[at + 1 : at + n, i] = x[: n - 1]
+                cells.classes[at : at + n, i] = c[start : start + n]
+                cells.members[at : at + n, i] = m[start : start + n]
+                cells.weight[at : at + n, i] = 1
+                at += n
+                lane[2] += n
+                if lane[2] == len(x):
+                    lane[1], lane[2] = next(lane[0], None), 0
+        return cells
+
+
+def train(
+    net: Net, documents: Iterator[Document], begin: int, lanes: int, steps: int, rate: float
+) -> int:
+    """Truncated backpropagation over every token of the documents; how many these were.
+
+    A document's state is carried from window to window, as in scoring. A step of Adam is made of at
+    least half a full window's tokens, so that a long document that is left alone weighs no more.
+    """
+    adam = Adam(net, rate)
+    feed = Feed([documents] * lanes, begin)
+    state = np.zeros((lanes, net.shape.hidden), np.float32)
+    total, weight, tokens = np.zeros_like(net.flat), 0.0, 0
+    mean = Net(net.shape)
+
+    def step() -> None:
+        np.divide(total, np.float32(weight), out=mean.flat)
+        adam.step(mean)
+        total[:] = 0
+
+    while on := feed.running():
+        w = feed.window(steps)
+        grad, state = gradient(net, w.inputs, w.fresh, w.classes, w.members, w.weight, state[on])
+        n = float(w.weight.sum())
+        total += np.multiply(grad.flat, np.float32(n), out=grad.flat)
+        weight += n
+        tokens += int(n)
+        if 2 * weight >= lanes * steps:
+            step()
+            weight = 0.0
+    if weight:
+        step()
+    return tokens
+
+
 def lanes_of(lengths: np.ndarray, lanes: int) -> list[list[int]]:
     """Documents in lanes of about equal length, the longest lane first."""
     import heapq

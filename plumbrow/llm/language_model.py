@@ -8,10 +8,10 @@ for unknown words. So the model is a probability over all words whatsoever:
 
     P(word | before) = P(class | before) * P(member | class, before) [* P(word | class's others)]
 
-The net (plumbrow.llm.gru) begins as the counts have it and learns from every training document: a
-stretch of `stretch` tokens at a place drawn by the document's hash, in `rounds` rounds that split the
-documents. In a round each task trains on its documents by truncated backpropagation, and the tasks'
-parameters are averaged by weight, slice by slice. What is gathered so grows with the corpus; what the
+The net (plumbrow.llm.gru) begins as the counts have it and learns from every token of every training
+document, in `rounds` rounds that split the documents. In a round each task trains on its documents by
+truncated backpropagation over all their windows, the state carried from window to window as in scoring,
+and the tasks' parameters are averaged by weight, slice by slice. What is gathered so grows with the corpus; what the
 driver gets does not.
 
 Scoring carries the state through each whole document. The counts of the `head` most frequent words are
@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbrow.llm.common import stage, text_or_empty, texts_of
-from plumbrow.llm.gru import Adam, Net, Shape, gradient, score_documents
+from plumbrow.llm.gru import Net, Shape, score_documents, train
 
 END = b""  # no word is empty
 
@@ -49,7 +49,6 @@ class Settings:
     head: int = 200_000
     dim: int = 16
     hidden: int = 24
-    stretch: int = 64
     window: int = 16
     lanes: int = 64
     rounds: int = 2
@@ -200,22 +199,6 @@ def vocabulary(counts: DataFrame, settings: Settings) -> Vocabulary:
     return Vocabulary(settings, head, n, n_tokens, n_words, others_n, others_v)
 
 
-def _stretch(text: bytes, draw: int, size: int) -> tuple[list[bytes], bool]:
-    """Up to `size` tokens from a drawn place on, and whether they begin the document."""
-    room = 12 * size
-    start = draw % max(1, len(text) - room // 2)
-    piece = text[start : start + room]
-    words = piece.lower().split()
-    at_end = start + room >= len(text)
-    if not at_end and words:
-        words.pop()  # may be cut
-    if start and words:
-        words.pop(0)
-    if at_end or not words:
-        words.append(END)
-    return words[:size], start == 0
-
-
 def train_round(docs: DataFrame, shared, flat: np.ndarray, turn: int, rounds: int) -> np.ndarray:
     """One round over the documents whose hash falls to it: the weighted mean of the tasks' nets."""
     state = docs.sparkSession.sparkContext.broadcast(flat)
@@ -225,47 +208,15 @@ def train_round(docs: DataFrame, shared, flat: np.ndarray, turn: int, rounds: in
         known: Vocabulary = shared.value[1]
         s = known.settings
         net = Net(known.shape, state.value.copy())
-        adam = Adam(net, s.rate / (1 + turn))
-        weight = 0.0
-        held: list[tuple] = []
-
-        def update() -> float:
-            n = len(held)
-            length = max(len(x[0]) for x in held)
-            inputs = np.full((length, n), known.begin, np.int32)
-            classes = np.zeros((length, n), np.int64)
-            members = np.zeros((length, n), np.int64)
-            valid = np.zeros((length, n), np.float32)
-            fresh = np.zeros((length, n), bool)
-            for lane, (x, c, m, begins) in enumerate(held):
-                inputs[1 : len(x), lane] = x[:-1]
-                classes[: len(x), lane], members[: len(x), lane] = c, m
-                valid[0 if begins else 1 : len(x), lane] = 1
-            memory = np.zeros((n, s.hidden), np.float32)
-            for t in range(0, length, s.window):
-                w = slice(t, t + s.window)
-                grad, memory = gradient(
-                    net, inputs[w], fresh[w], classes[w], members[w], valid[w], memory
-                )
-                adam.step(grad)
-            held.clear()
-            return float(valid.sum())
-
-        for batch in batches:
-            draws = batch.column("draw").to_pylist()
-            for text, draw in zip(texts_of(batch), draws):
-                words, begins = _stretch(text, draw, s.stretch)
-                held.append((*known.encoded(words)[1:], begins))
-                if len(held) == s.lanes:
-                    weight += update()
-        if held:
-            weight += update()
+        texts = (text for batch in batches for text in texts_of(batch))
+        documents = (known.encoded(tokens_of(text))[1:] for text in texts)
+        weight = train(net, documents, known.begin, s.lanes, s.window, s.rate / (1 + turn))
         if weight:
             parts = np.array_split(net.flat * np.float32(weight), slices)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(range(slices), pa.int32()),
-                    pa.array([weight] * slices, pa.float64()),
+                    pa.array([float(weight)] * slices, pa.float64()),
                     pa.array([p.astype("<f4").tobytes() for p in parts], pa.binary()),
                 ],
                 ["slice", "weight", "sums"],
@@ -287,7 +238,7 @@ def train_round(docs: DataFrame, shared, flat: np.ndarray, turn: int, rounds: in
 
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40))
     rows = docs.select(draw.alias("draw"), text_or_empty("text").alias("text"))
-    mine = rows.filter(F.col("draw") % rounds == turn).withColumn("draw", F.col("draw").bitwiseAND((1 << 30) - 1))
+    mine = rows.filter(F.col("draw") % rounds == turn).select("text")
     sums = mine.mapInArrow(learn, "slice int, weight double, sums binary")
     means = sums.groupBy("slice").applyInArrow(add, "slice int, values binary").collect()
     if not means:

@@ -145,6 +145,44 @@ def test_a_document_scores_the_same_in_any_company():
     assert score_documents(net, docs, 9, lanes=2, steps=4) == pytest.approx(alone, rel=1e-4)
 
 
+def test_training_covers_every_token_with_the_state_carried():
+    """Every token is in one window, after its predecessor, whichever lane its document is in."""
+    from plumbrow.llm.gru import Feed, train
+
+    rng = np.random.default_rng(10)
+    shape = Shape(6, (3, 4, 2), dim=3, hidden=4)
+
+    def document(n):
+        c = rng.integers(0, 3, n)
+        m = np.array([rng.integers(0, shape.sizes[x]) for x in c], np.int64)
+        return rng.integers(0, 9, n).astype(np.int32), c.astype(np.int16), m
+
+    docs = [document(n) for n in (1, 300, 2, 40, 1000, 7, 16, 3, 33)]
+    feed = Feed([iter(docs)] * 1, 9)
+    seen = []
+    while feed.running():
+        w = feed.window(16)
+        seen.append([x[w.weight > 0] for x in (w.inputs, w.fresh, w.classes, w.members)])
+    inputs, fresh, classes, members = (np.concatenate(x) for x in zip(*seen))
+    assert inputs.tolist() == [i for x, _, _ in docs for i in [9, *x[:-1].tolist()]]
+    assert fresh.tolist() == [i == 0 for x, _, _ in docs for i in range(len(x))]
+    assert classes.tolist() == [i for _, c, _ in docs for i in c.tolist()]
+    assert members.tolist() == [i for _, _, m in docs for i in m.tolist()]
+    net = Net(shape)
+    net.flat[:] = rng.normal(0, 0.4, len(net.flat))
+    assert train(net, iter(docs), 9, lanes=4, steps=16, rate=0.01) == sum(len(x) for x, _, _ in docs)
+    assert np.isfinite(net.flat).all()
+
+
+def test_the_rest_of_long_documents_is_learned(spark):
+    """A few long documents of one cycle of words: one stretch of each would teach little."""
+    cycle = [f"w{i:02d}x{i:02d}" for i in range(30)]
+    rows = [(i, " ".join((cycle[i % 30 :] + cycle[: i % 30]) * 300), "en", "a") for i in range(8)]
+    found = scored(table(spark, rows).coalesce(1), F.lit(True)).collect()
+    gain = sum(r["score"] - r["base_score"] for r in found) / sum(r["n_tokens"] for r in found)
+    assert gain > 0.3
+
+
 def is_held_out(doc_id) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 7 == 2
 
