@@ -342,44 +342,31 @@ def score_documents(
 
     A document's state is carried from window to window until its end; lanes hold documents one after
     the other and stop when they run out. With few lanes left, windows get longer, up to `at_once`
-    tokens, so that the softmaxes always have many rows.
+    tokens, so that the softmaxes always have many rows. Windows are filled one at a time, so memory
+    does not grow with the longest document.
     """
     lengths = np.array([len(x) for x, _, _ in documents])
     order = lanes_of(lengths, lanes)
     sizes = np.array([sum(int(lengths[i]) for i in lane) for lane in order])
     longest = int(sizes[0]) if len(sizes) else 0
-    inputs = np.full((longest, len(order)), begin, np.int32)
-    classes = np.zeros((longest, len(order)), np.int16)
-    members = np.zeros((longest, len(order)), np.int32)
-    fresh = np.zeros((longest, len(order)), bool)
-    for lane, chosen in enumerate(order):
-        at = 0
-        for i in chosen:
-            x, c, m = documents[i]
-            inputs[at + 1 : at + len(x), lane] = x[:-1]
-            classes[at : at + len(x), lane] = c
-            members[at : at + len(x), lane] = m
-            fresh[at, lane] = True
-            at += len(x)
-    found = np.zeros((longest, len(order)), np.float32)
+    feed = Feed([iter([documents[i] for i in lane]) for lane in order], begin)
+    ends = [np.cumsum(lengths[lane]) for lane in order]
+    out = np.zeros(len(documents))
     state = np.zeros((len(order), net.shape.hidden), np.float32)
     t = 0
     while t < longest:
-        on = int((sizes > t).sum())
-        window = slice(t, t + max(steps, at_once // on))
-        states, state, _ = forward(net, inputs[window, :on], fresh[window, :on], state[:on])
+        on = len(feed.running())  # the longest lanes come first
+        w = feed.window(min(longest - t, max(steps, at_once // on)))
+        states, state, _ = forward(net, w.inputs, w.fresh, state[:on])
         n = len(states)
-        found[window, :on] = log_probabilities(
-            net,
-            states.reshape(n * on, -1),
-            classes[window, :on].ravel(),
-            members[window, :on].ravel(),
+        found = log_probabilities(
+            net, states.reshape(n * on, -1), w.classes.ravel(), w.members.ravel()
         ).reshape(n, on)
+        for lane in range(on):
+            first, last = np.searchsorted(ends[lane], [t, t + n], side="right")
+            cuts = [0, *(ends[lane][first:last] - t).tolist(), min(n, int(sizes[lane]) - t)]
+            for k in range(first, min(last + 1, len(order[lane]))):
+                a, b = cuts[k - first], cuts[k - first + 1]
+                out[order[lane][k]] += found[a:b, lane].sum(dtype=np.float64)
         t += n
-    out = np.zeros(len(documents))
-    for lane, chosen in enumerate(order):
-        at = 0
-        for i in chosen:
-            out[i] = found[at : at + lengths[i], lane].sum(dtype=np.float64)
-            at += int(lengths[i])
     return out

@@ -145,6 +145,23 @@ def test_a_document_scores_the_same_in_any_company():
     assert score_documents(net, docs, 9, lanes=2, steps=4) == pytest.approx(alone, rel=1e-4)
 
 
+def test_scoring_a_very_long_document_needs_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(11)
+    shape = Shape(6, (3, 4, 2), dim=3, hidden=4)
+    net = Net(shape)
+    net.flat[:] = rng.normal(0, 0.5, len(net.flat))
+    sizes = [100_000] + [5] * 255
+    docs = [(np.zeros(n, np.int32), np.zeros(n, np.int16), np.zeros(n, np.int32)) for n in sizes]
+    tracemalloc.start()
+    found = score_documents(net, docs, 9)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50_000_000
+    assert found[:2] == pytest.approx([score_documents(net, [d], 9)[0] for d in docs[:2]], rel=1e-4)
+
+
 def test_training_covers_every_token_with_the_state_carried():
     """Every token is in one window, after its predecessor, whichever lane its document is in."""
     from plumbrow.llm.gru import Feed, train
