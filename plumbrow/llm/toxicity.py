@@ -5,9 +5,11 @@ of itself and of its first four and five bytes, so that inflected forms share wh
 of several widths run over the words; each filter's greatest response in the whole text feeds one
 logistic unit. Training is plain numpy on a bounded, hash-ordered sample of labelled documents
 (`Fit.per_label` of each label, none longer than `Fit.longest` characters); the label's share is
-counted over all labelled rows and corrects the bias. A part of the sample that is not trained on
-calibrates one threshold for each language, and one for all others. The language is no input of a
-score.
+counted over all labelled rows and corrects the bias. Then all labelled documents of any length that
+were not trained on are scored on the executors (a part of the sample is kept out of training, so that
+there are some where labels are few). Histograms of their scores, weighted up to the full counts
+of each language and label, give one threshold for each language with ten such toxic documents, and one
+for all others. The language is no input of a score.
 
 Filters are linear in the embeddings, so a worker keeps each known word's responses, and a text costs
 one look-up a word and a running maximum.
@@ -21,16 +23,18 @@ rows. Input columns are returned as they are in the struct `doc`, whatever their
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbrow.llm.common import WORD_BYTES, kept, text_or_empty, texts_of
+from plumbrow.llm.common import WORD_BYTES, kept, stage, text_or_empty, texts_of
 
 _PAD = b""
 
@@ -273,15 +277,24 @@ class Scorer:
         return _sigmoid(active.astype(np.float64) @ model.weights + model.bias).tolist()
 
 
-def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The cut with the best F1, half-way (in log-odds) to the next lower score."""
+def _log_odds(scores: np.ndarray) -> np.ndarray:
+    clipped = np.clip(scores, 1e-6, 1 - 1e-6)
+    return np.log(clipped / (1 - clipped))
+
+
+def best_threshold(scores: np.ndarray, labels: np.ndarray, rows: np.ndarray | None = None) -> float:
+    """The cut with the best F1, half-way (in log-odds) to the next lower score.
+
+    With `rows`, each score stands for so many rows, and `labels` has how many of them are toxic.
+    """
     order = np.argsort(-scores, kind="stable")
     s, y = scores[order], labels[order]
     hits = np.cumsum(y)
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+    flagged = np.cumsum(np.ones(len(y), np.int64) if rows is None else rows[order])
+    f1 = 2 * hits / (flagged + y.sum())
     f1[:-1][s[:-1] == s[1:]] = -1  # a cut cannot part equal scores
     i = int(f1.argmax())
-    odds = np.log(np.clip(s, 1e-6, 1 - 1e-6) / (1 - np.clip(s, 1e-6, 1 - 1e-6)))
+    odds = _log_odds(s)
     middle = (odds[i] + odds[i + 1]) / 2 if i + 1 < len(odds) else odds[i] - 0.5
     return float(np.clip(_sigmoid(middle), 0.2, 0.5))
 
@@ -325,7 +338,6 @@ def fitted(
     toxic = sum(r["label"] for r in sample)
     if toxic == 0 or toxic == len(sample):
         return share
-    spared = [r for r in sample if r["draw"] < 1000 * fit.calibration_share]
     learned = [r for r in sample if r["draw"] >= 1000 * fit.calibration_share]
     if len({r["label"] for r in learned}) < 2:
         learned = sample
@@ -337,18 +349,91 @@ def fitted(
     seen = sum(r["label"] for r in learned) / len(learned)
     prior = min(max(share, 1e-4), 1 - 1e-4)
     model.bias += float(np.log(prior / (1 - prior)) - np.log(seen / (1 - seen)))
-    calibrate(model, spared if len({r["label"] for r in spared}) > 1 else learned)
+    trained = frozenset(r["id"] for r in learned)  # at most 2 * per_label
+    if len({r["label"] for r in sample if r["id"] not in trained}) < 2:
+        trained = frozenset()
+    calibrate(model, texts.join(usable, "id"), trained)
     return model
 
 
-def calibrate(model: Model, rows: list) -> None:
-    scores = np.array(list(Scorer(model).scores([r["text"].encode() for r in rows])))
-    y = np.array([r["label"] for r in rows])
-    model.threshold = best_threshold(scores, y)
-    for lang in {r["lang"] for r in rows if r["lang"] is not None}:
-        mine = np.array([r["lang"] == lang for r in rows])
-        if 10 <= y[mine].sum() < mine.sum():
-            model.thresholds[lang] = best_threshold(scores[mine], y[mine])
+_BINS = 64  # of a histogram, for each unit of log-odds
+_OWN_CUT = 10  # toxic rows from which a language has a threshold of its own
+
+
+def calibrate(model: Model, labelled: DataFrame, trained: frozenset = frozenset()) -> None:
+    """Set the thresholds by all rows of (id, text, lang, label).
+
+    What a model says of rows that it was trained on tells nothing of others: rows of these ids count
+    by their language and label only.
+    """
+    bins = stage(score_histograms(model, labelled, trained), "toxicity-histograms")
+    common = bins.groupBy("bin").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
+    model.threshold = _cut(common.toArrow())  # under 2,000 rows
+
+    def cut(key: tuple, rows: pa.Table) -> pa.Table:
+        scored = rows.filter(pc.is_valid(rows.column("bin")))
+        toxic, n = (pc.sum(scored.column(c)).as_py() or 0 for c in ("toxic", "n"))
+        own = _OWN_CUT <= toxic < n
+        return pa.table(
+            {
+                "lang": pa.array([key[0].as_py()] * own, pa.string()),
+                "cut": pa.array([_cut(rows)] if own else [], pa.float64()),
+            }
+        )
+
+    named = bins.filter(F.col("lang").isNotNull()).groupBy("lang")
+    found = named.applyInArrow(cut, "lang string, cut double").collect()
+    model.thresholds = {r["lang"]: r["cut"] for r in found}
+
+
+def score_histograms(
+    model: Model, labelled: DataFrame, trained: frozenset = frozenset(), at_once: int = 100_000
+) -> DataFrame:
+    """lang, bin (of the score's log-odds; NULL for trained ids), toxic and n: rows of each."""
+    shared = labelled.sparkSession.sparkContext.broadcast((uuid4().hex, model))
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, model = shared.value
+        scorer = kept(("scorer", name), lambda: Scorer(model))
+        total: Counter = Counter()
+        for batch in batches:
+            new = np.array([i not in trained for i in batch.column("id").to_pylist()], bool)
+            scores = np.array(list(scorer.scores(texts_of(batch.filter(pa.array(new))))))
+            places = np.full(len(batch), None, object)
+            places[new] = np.floor(_log_odds(scores) * _BINS).astype(np.int64).tolist()
+            total.update(
+                zip(batch.column("lang").to_pylist(), places, batch.column("label").to_pylist())
+            )
+            if len(total) > at_once:
+                yield _binned(total)
+                total = Counter()
+        yield _binned(total)
+
+    rows = labelled.select("id", "text", "lang", F.col("label").cast("int").alias("label"))
+    counted = rows.mapInArrow(count, "lang string, bin long, toxic long, n long")
+    return counted.groupBy("lang", "bin").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
+
+
+def _binned(total: Counter) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([lang for lang, _, _ in total], pa.string()),
+            pa.array([place for _, place, _ in total], pa.int64()),
+            pa.array([n * (label > 0) for (_, _, label), n in total.items()], pa.int64()),
+            pa.array(list(total.values()), pa.int64()),
+        ],
+        ["lang", "bin", "toxic", "n"],
+    )
+
+
+def _cut(bins: pa.Table) -> float:
+    scored = bins.filter(pc.is_valid(bins.column("bin")))
+    place, toxic, n = (scored.column(c).to_numpy() for c in ("bin", "toxic", "n"))
+    all_toxic, all_n = (pc.sum(bins.column(c)).as_py() for c in ("toxic", "n"))
+    clean = n - toxic
+    toxic = toxic * (all_toxic / max(1, toxic.sum()))
+    clean = clean * ((all_n - all_toxic) / max(1, clean.sum()))
+    return best_threshold(_sigmoid((place + 0.5) / _BINS), toxic, toxic + clean)
 
 
 def toxicity(docs: DataFrame, model: Model | float) -> DataFrame:

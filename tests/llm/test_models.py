@@ -13,7 +13,16 @@ from pyspark.sql import functions as F
 from plumbrow.llm.gru import Net, Shape, gradient, log_probabilities, score_documents
 from plumbrow.llm.language_model import Settings, scored, tokens_of, vocabulary, word_counts
 from plumbrow.llm.queries import QUERIES
-from plumbrow.llm.toxicity import Fit, Model, Scorer, best_threshold, fitted, toxicity, words_of
+from plumbrow.llm.toxicity import (
+    Fit,
+    Model,
+    Scorer,
+    best_threshold,
+    fitted,
+    score_histograms,
+    toxicity,
+    words_of,
+)
 from tests.llm.fixtures import awkward_rows, table, words
 
 SF = "/root/testdata/sf0.1"
@@ -85,6 +94,41 @@ def test_threshold_parts_the_labels():
     assert words_of("Nasty, WORD-s!".encode()) == [b"nasty", b"word", b"s"]
 
 
+def test_thresholds_come_from_all_labelled_rows(spark):
+    """Ten toxic rows of a language suffice, beyond the training sample and in texts of any length."""
+    rows, labels = [], []
+    for i in range(400):
+        toxic = i % 4 == 0
+        rows.append((i, f"{words(30, i)} {'nasty' if toxic else 'kind'} word", "en", "a"))
+        labels.append((i, int(toxic)))
+    for i in range(400, 440):
+        toxic = i % 2 == 0
+        rows.append((i, f"{words(300, i)} {'nasty' if toxic else 'kind'} word", "xx", "a"))
+        labels.append((i, int(toxic)))
+    docs = table(spark, rows)
+    labelled_rows = spark.createDataFrame(labels, "doc_id long, toxic int")
+    small = Fit(per_label=60, longest=500, least_steps=50)
+    model = fitted(docs, labelled_rows, F.lit(True), small)
+    assert set(model.thresholds) == {"en", "xx"}
+    joined = docs.select("doc_id", "text", "lang").join(labelled_rows, "doc_id")
+    named = joined.select(F.col("doc_id").alias("id"), "text", "lang", F.col("toxic").alias("label"))
+    bins = score_histograms(model, named, frozenset([0, 1])).collect()
+    assert sum(r["n"] for r in bins if r["bin"] is None) == 2
+    sums = Counter()
+    for r in bins:
+        sums[r["lang"], "toxic"] += r["toxic"]
+        sums[r["lang"], "n"] += r["n"]
+    assert sums == {("en", "toxic"): 100, ("en", "n"): 400, ("xx", "toxic"): 20, ("xx", "n"): 40}
+
+
+def test_threshold_of_counted_scores_is_that_of_the_rows():
+    rng = np.random.default_rng(12)
+    scores, labels = np.round(rng.random(500), 2), (rng.random(500) < 0.3).astype(int)
+    values, place = np.unique(scores, return_inverse=True)
+    n, toxic = np.bincount(place), np.bincount(place, labels).astype(int)
+    assert best_threshold(values, toxic, n) == pytest.approx(best_threshold(scores, labels))
+
+
 # language model
 
 
