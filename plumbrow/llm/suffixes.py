@@ -11,14 +11,17 @@ from left to right, and two neighbours' common leading words are the depth of th
 2. Documents are dealt to blocks of consecutive doc_ids, in order. A block sends each group its distinct
    paths, sorted, in one row. So a passage that a third of all documents share is sent once by a
    block, and since a smaller block holds smaller ids, no ids need to be sent.
-3. A group merges its paths and builds its subtree's deep internal nodes (those at the full depth): each is a
-   repeat of at least `window` words, with the blocks that hold it. It answers every block which of the
-   paths an earlier block holds as well, as a bit for each path sent.
-4. A block drops each word covered by a window that an earlier block, or a document with a smaller id in
-   the same block, holds too.
-
-Two different windows are taken for equal if their paths agree in all 64 bits although they differ; at
-a group of two million paths that happens to one path in 10^10 or less.
+3. A group merges its paths and builds its subtree's deep internal nodes (those at the full depth): each may
+   be a repeat of at least `window` words. It answers every block which of the paths another block holds
+   as well, as a bit for each path sent.
+4. Paths never decide, as windows that begin with the same words share most of their bits. A block sends
+   the 128-bit hashes of the words of all windows on such paths to the same groups, which answer with a
+   bit for each hash that an earlier block holds as well.
+5. A block drops each word covered by a window that an earlier block, or a document with a smaller id in
+   the same block, holds too, by its 128 bits.
+
+The 128 bits are a hash of the whole window's bytes and do not depend on its path: two different windows
+agree in them once in 10^38 pairs, however many begin alike.
 
 Defined results: a NULL or empty text has no words; a NULL doc_id counts as greater than any, and all NULL
 ids as one document, as do rows that repeat a doc_id: they lose nothing to each other; an empty table
@@ -31,6 +34,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,9 +57,11 @@ _BRANCHES = 6
 _STEP_BITS = 15  # three symbols
 _GROUP = 2_000_000
 _NO_ID = (1 << 63) - 1
+HASH = np.dtype("S16")  # of one length all, so that trailing zeros tell apart as other bytes do
 
 PATHS = "block int, part int, paths binary"
-ANSWERS = "block int, part int, known binary"
+ANSWERS = "block int, part int, known binary, exact boolean"
+HASHES = "block int, part int, hashes binary"
 
 def paths_of(hashes: np.ndarray, window: int) -> np.ndarray:
     """The path of the suffix at each place that has `window` words."""
@@ -78,6 +84,7 @@ class Block:
     """The words and paths of some documents, in ascending order of their ids."""
 
     def __init__(self, texts: Iterable[bytes], window: int):
+        self.window = window
         self.words: list[bytes] = []
         self.ends: list[int] = []
         hashes = []
@@ -99,6 +106,13 @@ class Block:
         return np.unique(self.paths, return_index=True, return_inverse=True)
 
 
+    def hashes_at(self, starts: np.ndarray) -> np.ndarray:
+        """128-bit hashes of the words of the windows that begin at these words."""
+        digest, words, window = xxhash.xxh3_128_digest, self.words, self.window
+        data = b"".join([digest(b" ".join(words[i : i + window])) for i in starts.tolist()])
+        return np.frombuffer(data, HASH)
+
+
 def prefix_counts(docs: DataFrame, window: int, bits: int, within: list[int] | None) -> dict[int, int]:
     """Suffixes under each prefix of so many bits; only under the given shorter prefixes, if any."""
     inside = None if within is None else np.array(sorted(within), np.uint64)
@@ -170,30 +184,50 @@ def common_words(paths: np.ndarray, window: int) -> np.ndarray:
     return np.where(differ == 0, window, words)
 
 
+def _answers(key: tuple, blocks: np.ndarray, known: np.ndarray, sizes: list[int], exact: bool) -> pa.Table:
+    out = np.split(known, np.cumsum(sizes)[:-1])
+    return pa.table(
+        {
+            "block": pa.array(blocks, pa.int32()),
+            "part": pa.array([key[0].as_py()] * len(blocks), pa.int32()),
+            "known": pa.array([np.packbits(x).tobytes() for x in out], pa.binary()),
+            "exact": pa.array([exact] * len(blocks), pa.bool_()),
+        }
+    )
+
+
 def _subtree(window: int):
     def build(key: tuple, rows: pa.Table) -> pa.Table:
-        order = np.argsort(rows.column("block").to_numpy(), kind="stable")
-        blocks = rows.column("block").to_numpy()[order]
-        blobs = rows.column("paths").to_pylist()
-        lists = [unpacked_paths(blobs[i]) for i in order]
-        sizes = [len(x) for x in lists]
+        """Which paths several blocks hold."""
+        lists = [unpacked_paths(x) for x in rows.column("paths").to_pylist()]
         paths = np.concatenate(lists)
-        leaves = np.argsort(paths, kind="stable")  # equal paths stay in the order of their blocks
+        leaves = np.argsort(paths, kind="stable")
         deep = common_words(paths[leaves], window) >= window
-        known = np.zeros(len(paths), bool)
-        known[leaves[1:][deep]] = True
-        out = np.split(known, np.cumsum(sizes)[:-1])
-        return pa.table(
-            {
-                "block": pa.array(blocks, pa.int32()),
-                "part": pa.array([key[0].as_py()] * len(blocks), pa.int32()),
-                "known": pa.array([np.packbits(x).tobytes() for x in out], pa.binary()),
-            }
-        )
+        shared = np.zeros(len(paths), bool)
+        shared[leaves[1:][deep]] = True
+        shared[leaves[:-1][deep]] = True
+        return _answers(key, rows.column("block").to_numpy(), shared, [len(x) for x in lists], False)
 
     return build
 
 
+def _confirmed(key: tuple, rows: pa.Table) -> pa.Table:
+    """Which windows an earlier block holds."""
+    blocks = rows.column("block").to_numpy()
+    order = np.argsort(blocks, kind="stable")
+    blobs = rows.column("hashes").to_pylist()
+    lists = [np.frombuffer(blobs[i], HASH) for i in order]
+    hashes = np.concatenate(lists)
+    ranks = np.argsort(hashes, kind="stable")  # equal hashes stay in the order of their blocks
+    known = np.zeros(len(hashes), bool)
+    known[ranks[1:][hashes[ranks[1:]] == hashes[ranks[:-1]]]] = True
+    return _answers(key, blocks[order], known, [len(x) for x in lists], True)
+
+
+def _bits(data: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(data, np.uint8), count=n).astype(bool)
+
+
 def _in_order(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """The order of the rows by id, NULL last, and the ids and texts in that order."""
     ids = rows.column("id").fill_null(_NO_ID).to_numpy()
@@ -229,17 +263,57 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, group: int = _GROUP)
             }
         )
 
+    def shared_paths(block: Block, answers: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the distinct paths: whether another block holds it, its part; each suffix's place."""
+        paths, _, place = block.distinct()
+        cuts = np.concatenate(([0], np.searchsorted(paths, borders[1:]), [len(paths)]))
+        shared = np.zeros(len(paths), bool)
+        for answer in answers:
+            if not answer["exact"]:
+                a, b = cuts[answer["part"]], cuts[answer["part"] + 1]
+                shared[a:b] = _bits(answer["known"], b - a)
+        return shared, np.repeat(np.arange(len(borders)), np.diff(cuts)), place
+
+    def confirm(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
+        _, _, texts = _in_order(rows)
+        block = Block(texts, window)
+        shared, part_of, place = shared_paths(block, answers.to_pylist())
+        mine = np.flatnonzero(shared[place])
+        hashes, part = block.hashes_at(block.starts[mine]), part_of[place[mine]]
+        parts = np.unique(part).tolist()
+        return pa.table(
+            {
+                "block": pa.array([key[0].as_py()] * len(parts), pa.int32()),
+                "part": pa.array(parts, pa.int32()),
+                "hashes": pa.array([np.unique(hashes[part == p]).tobytes() for p in parts], pa.binary()),
+            }
+        )
+
+    def repeats(block: Block, ids: np.ndarray, answers: list[dict]) -> np.ndarray:
+        """Whether an earlier block or a smaller id in this one holds each suffix's window."""
+        shared, part_of, place = shared_paths(block, answers)
+        repeated = np.zeros(len(place), bool)
+        here = np.bincount(place, minlength=len(shared)) > 1
+        mine = np.flatnonzero((shared | here)[place])  # in the order of the ids
+        if not len(mine):
+            return repeated
+        hashes, first, same = np.unique(
+            block.hashes_at(block.starts[mine]), return_index=True, return_inverse=True
+        )
+        holder = ids[block.document[block.starts[mine]]]
+        repeated[mine] = holder[first[same]] < holder
+        sent, part = shared[place[mine]], part_of[place[mine]]
+        for answer in answers:
+            if answer["exact"]:
+                asked = np.flatnonzero(sent & (part == answer["part"]))
+                listed, at = np.unique(same[asked], return_inverse=True)
+                repeated[mine[asked]] |= _bits(answer["known"], len(listed))[at]
+        return repeated
+
     def drop(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
         order, ids, texts = _in_order(rows)
         block = Block(texts, window)
-        paths, first, place = block.distinct()
-        cuts = np.concatenate(([0], np.searchsorted(paths, borders[1:]), [len(paths)]))
-        known = np.zeros(len(paths), bool)
-        for answer in answers.to_pylist():
-            a, b = cuts[answer["part"]], cuts[answer["part"] + 1]
-            known[a:b] = np.unpackbits(np.frombuffer(answer["known"], np.uint8), count=b - a)
-        holder = ids[block.document[block.starts]] if len(block.starts) else np.zeros(0, np.int64)
-        repeated = known[place] | (holder[first[place]] < holder)
+        repeated = repeats(block, ids, answers.to_pylist())
         edges = np.zeros(len(block.words) + 1, np.int64)
         np.add.at(edges, block.starts[repeated], 1)
         np.add.at(edges, block.starts[repeated] + window, -1)
@@ -274,7 +348,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, group: int = _GROUP)
         )
 
     sent = blocks.groupBy("block").applyInArrow(send, PATHS)
-    answers = sent.groupBy("part").applyInArrow(_subtree(window), ANSWERS)
+    shared = sent.groupBy("part").applyInArrow(_subtree(window), ANSWERS)
+    asked = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(confirm, HASHES)
+    answers = shared.unionByName(asked.groupBy("part").applyInArrow(_confirmed, ANSWERS))
     return (
         blocks.groupBy("block")
         .cogroup(answers.groupBy("block"))

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from plumbrow.llm.decontaminate import contaminated, contamination, items_digest
 from plumbrow.llm.digest import CEILING, compared, difference, digest, likeness
@@ -17,6 +18,7 @@ from plumbrow.llm.lines import deduplicated
 from plumbrow.llm.mph import PerfectHash
 from plumbrow.llm.queries import QUERIES
 from plumbrow.llm.simhash import block_masks, first_of_each, hex_of, near_duplicates
+from plumbrow.llm.common import WordHashes
 from plumbrow.llm.suffixes import group_borders, paths_of, without_repeats
 from tests.llm.fixtures import awkward_rows, table
 
@@ -325,3 +327,21 @@ def test_counts_of_documents_hold(spark):
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     ids = Counter(zlib.crc32(str(r["doc_id"]).encode()) for r in QUERIES["op6_decontamination"](spark, SF).collect())
     assert sum(ids.values()) == n
+
+
+def test_windows_whose_paths_agree_are_told_apart(spark):
+    """Among 400,000 windows with the same six first words some paths agree in all 64 bits."""
+    start = "one header before the unique text".split()
+    windows = [[*start, *f"a{i} b c d e f g".split()] for i in range(400_000)]
+    flat = [w.encode() for words in windows for w in words]
+    paths = paths_of(WordHashes().of(flat), 13)[::13]
+    order = np.argsort(paths, kind="stable")
+    pairs = np.flatnonzero(paths[order][1:] == paths[order][:-1])
+    assert len(pairs)
+    i, j = sorted((int(order[pairs[0]]), int(order[pairs[0] + 1])))
+    texts = [" ".join(windows[i]), " ".join(windows[j]), " ".join(windows[j])]
+    ids = [0, 2000, 3990]  # in three blocks
+    rows = [(n, text, "en", "a") for n, text in zip(ids, texts)]
+    rows += [(n, "short", "en", "a") for n in range(1, 4000) if n not in ids]
+    found = without_repeats(table(spark, rows)).filter(F.col("doc.doc_id").isin(ids))
+    assert {r["doc"]["doc_id"]: r["n_removed"] for r in found.collect()} == {0: 0, 2000: 0, 3990: 13}
