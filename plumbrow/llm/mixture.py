@@ -1,6 +1,6 @@
 """Packing to a mixture: deficit round-robin over source queues.
 
-Every source is a queue of its documents. Each window of `length` tokens grants every queue a share of
+Every source is a queue of its documents, however many sources there are. Each window of `length` tokens grants every queue a share of
 the window, its quantum, on top of what it is still owed (its deficit); queues are served in turn up
 to their deficit and what remains of the window goes to those owed most, who then owe it back. So
 windows are full, and over any run of windows a source is off its target by a few pieces at most.
@@ -9,7 +9,9 @@ To run in parallel, the queues are cut across into slices: slice k takes of ever
 that begin in the k-th of n equal stretches of its tokens. A slice is one task with as many windows as
 `windows_per_slice`, whatever the size of the corpus or of one source. A slice begins with what its
 predecessors left owing: how far the queue's first document in the slice lies beyond or before the
-stretch's border. Only the last window of a slice can be short.
+stretch's border. Only the last window of a slice can be short. Stretches are counted from a place in the
+queue drawn by the source's hash, the queue's end followed by its beginning, so that many sources of
+one document each are spread over all slices.
 
 Token ids are stored once and moved once, by row, to meet the pieces; the packing itself sees only
 token counts. Targets default to the sources' shares of all tokens; other weights may be given, and a
@@ -17,15 +19,16 @@ queue that runs dry leaves its share to the others.
 
 Defined results: a NULL or empty text is its end id alone; a NULL source is the queue of the empty
 name; every row is a document of its own, also where rows or ids repeat or doc_id is NULL; an empty
-table gives no pieces; further columns of the input are not read. Beyond `max_queues` sources, sources
-share queues by hash.
+table gives no pieces; further columns of the input are not read.
 """
 
 from __future__ import annotations
 
 import zlib
 from array import array
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Mapping
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -79,17 +82,8 @@ def tokenised(
     return stage(ids.withColumn("row", F.monotonically_increasing_id()), "tokenised")
 
 
-def _queues(tokens: DataFrame, max_queues: int) -> DataFrame:
-    """row, queue, n of every document."""
-    n_sources = tokens.select("source").distinct().count()
-    queue = F.col("source")
-    if n_sources > max_queues:
-        queue = F.pmod(F.xxhash64("source"), F.lit(max_queues)).cast("string")
-    return tokens.select("row", queue.alias("queue"), "n")
-
-
 def queue_positions(queued: DataFrame) -> DataFrame:
-    """Adds `position`: the tokens before each document in its queue.
+    """Adds `position`, the tokens before each document in its queue, and `queue_n`, all its tokens.
 
     Rows are spread over chunks by hash and summed up within (queue, chunk), then over the chunks'
     sums; a queue of any size is never in one task.
@@ -100,14 +94,19 @@ def queue_positions(queued: DataFrame) -> DataFrame:
     sums = chunked.groupBy("queue", "chunk").agg(F.sum("n").alias("chunk_n"))
     earlier = Window.partitionBy("queue").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select(
-        "queue", "chunk", F.coalesce(F.sum("chunk_n").over(earlier), F.lit(0)).alias("base")
+        "queue",
+        "chunk",
+        F.coalesce(F.sum("chunk_n").over(earlier), F.lit(0)).alias("base"),
+        F.sum("chunk_n").over(Window.partitionBy("queue")).alias("queue_n"),
     )
     within = (
         Window.partitionBy("queue", "chunk").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     )
     inner = chunked.withColumn("inner", F.coalesce(F.sum("n").over(within), F.lit(0)))
     joined = inner.join(bases, ["queue", "chunk"])
-    return joined.select("row", "queue", "n", (F.col("base") + F.col("inner")).alias("position"))
+    return joined.select(
+        "row", "queue", "n", (F.col("base") + F.col("inner")).alias("position"), "queue_n"
+    )
 
 
 def round_robin(
@@ -130,22 +129,30 @@ def round_robin(
     place, done = [0] * n, [0] * n
     deficit = owed.tolist()
     total, window = sum(left), 0
+    running = list(range(n))
     out = array("q")
     while total:
         space, offset = length, 0
-        active = sum(shares[q] for q in range(n) if left[q])
-        for q in range(n):
-            deficit[q] = deficit[q] + shares[q] / active * length if left[q] else 0.0
-        turns = [(window + i) % n for i in range(n)]
-        first = True
+        running = [q for q in running if left[q]]
+        active = sum(shares[q] for q in running)
+        for q in running:
+            deficit[q] += shares[q] / active * length
+        at = bisect_left(running, window % n)
+        turns = running[at:] + running[:at]
+        first, again, owed_most = True, False, []
         while space and total:
             if first:
                 grants = [(q, int(deficit[q])) for q in turns if left[q]]
                 grants = [(q, g) for q, g in grants if g >= least or g >= left[q]]
                 first = False
             else:
-                q = max((q for q in turns if left[q]), key=deficit.__getitem__)
+                if not owed_most:
+                    owed_most = [(-deficit[q], i) for i, q in enumerate(turns) if left[q]]
+                    heapify(owed_most)
+                i = heappop(owed_most)[1]
+                q = turns[i]
                 grants = [(q, max(least, int(deficit[q])))]
+                again = True
             for q, grant in grants:
                 take = min(grant, left[q], space)
                 left[q] -= take
@@ -161,6 +168,8 @@ def round_robin(
                     if done[q] == docs[q][place[q]]:
                         place[q] += 1
                         done[q] = 0
+            if again and left[q]:
+                heappush(owed_most, (-deficit[q], i))
         window += 1
     return out
 
@@ -171,13 +180,17 @@ def pieces(
     targets: Mapping[str, float] | None = None,
     windows_per_slice: int = 512,
     least: int = 128,
-    max_queues: int = 1024,
+    max_queues: int | None = None,
 ) -> DataFrame:
-    """Where every token goes: row, start, length, sequence_id, offset (see the module's text)."""
-    queued = _queues(tokens, max_queues)
-    placed = queue_positions(queued)
-    sums = queued.groupBy("queue").agg(F.sum("n").alias("queue_n"))
-    totals = sums.agg(F.sum("queue_n").alias("n")).first()["n"] or 0
+    """Where every token goes: row, start, length, sequence_id, offset (see the module's text).
+
+    max_queues is accepted for older callers and has no effect: sources never share a queue.
+    """
+    queued = tokens.select("row", F.col("source").alias("queue"), "n")
+    drawn = F.pmod(F.xxhash64("queue", F.lit(3)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    begin = F.floor(drawn * F.col("queue_n"))
+    placed = queue_positions(queued).withColumn("position", (F.col("position") + begin) % F.col("queue_n"))
+    totals = queued.agg(F.sum("n").alias("n")).first()["n"] or 0
     n_slices = max(1, round(totals / (length * windows_per_slice)))
     stretch = F.col("queue_n") / F.lit(float(n_slices))
     weight = F.col("queue_n").cast("double")
@@ -185,8 +198,7 @@ def pieces(
         pairs = [x for kv in sorted(targets.items()) for x in (F.lit(kv[0]), F.lit(float(kv[1])))]
         weight = F.coalesce(F.create_map(*pairs)[F.col("queue")], F.lit(0.0)) + F.lit(1e-9)
     sliced = (
-        placed.join(F.broadcast(sums), "queue")  # at most max_queues rows
-        .withColumn("slice", F.least(F.floor(F.col("position") / stretch), F.lit(n_slices - 1)))
+        placed.withColumn("slice", F.least(F.floor(F.col("position") / stretch), F.lit(n_slices - 1)))
         .select(
             "slice",
             "queue",

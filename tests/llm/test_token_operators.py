@@ -117,6 +117,21 @@ def test_more_sources_than_queues(spark, tokenizer):
     check_packing(tokenizer, rows, found.collect(), 64)
 
 
+def test_sources_keep_their_shares_at_any_number(spark):
+    """Named targets are kept by source among more sources than there ever were buckets."""
+    rows = [(i, "some words here and there " * 8, "en", f"s{i}") for i in range(1200)]
+    rows += [(2000 + i, "some words here and there " * 8, "en", "big") for i in range(600)]
+    rows += [(3000 + i, "some words here and there " * 8, "en", "small") for i in range(100)]
+    targets = {"big": 0.75, "small": 0.25}
+    found = packed(table(spark, rows), tokenizer_path(), 1, 512, targets=targets).collect()
+    mix = Counter()
+    for r in found:
+        if r["sequence_id"] < 20:
+            mix[r["source"]] += r["length"]
+    total = sum(mix.values())
+    assert abs(mix["big"] / total - 0.75) < 0.05 and abs(mix["small"] / total - 0.25) < 0.05
+
+
 def served(lengths, shares, owed=None, length=100, least=10):
     owed = np.zeros(len(lengths)) if owed is None else owed
     out = round_robin([np.array(x) for x in lengths], np.array(shares), owed, length, least)
