@@ -80,4 +80,122 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_re
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-SQL = {"op2_lines": LINES, "op6_decontamination": CONTAMINATION, "op8_substrings": SUBSTRINGS}
+
+#: crc32 of single bytes, by its rule (reflected polynomial EDB88320).
+def _crc_table() -> list[int]:
+    table = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    return table
+
+
+def _crc32(text: str) -> str:
+    """Of a column of ASCII text."""
+    step = f"xor(({_crc_table()})[CAST(xor(c, b) & 255 AS INT) + 1], c >> 8)"
+    given = f"list_prepend(4294967295, list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT)))"
+    return f"xor(list_reduce({given}, lambda c, b: {step}), 4294967295)"
+
+
+# States as in turns.py: nothing yet, after the system, the user, the assistant.
+_AFTER = (2, 2, 3, 2)
+_SAYS = {2: "user", 3: "assistant"}
+_KEPT = {0: ("s", 1, "u", 2), 1: ("u", 2), 2: ("a", 3), 3: ("u", 2)}
+
+
+def _choice(cost: str, letters: str, text: str) -> str:
+    return f"{{'c': {cost}, 'a': {letters}, 't': {text}}}"
+
+
+def _of_row(q: int) -> str:
+    """The best of Keep, Rerole and Delete of row r in state q, given b0 to b3 after it."""
+    n = _AFTER[q]
+    late = "CASE WHEN late THEN 3 ELSE 0 END"
+    never = "CASE WHEN may_stay THEN 0 ELSE 1000000 END"
+    options = [
+        _choice(f"b{q}.c + 4", f"'D' || b{q}.a", f"b{q}.t"),
+        _choice(f"b{n}.c + 3 + {late} + {never}", f"'R' || b{n}.a",
+                f"chr(10) || '{_SAYS[n]}:' || r.text || b{n}.t"),
+    ]
+    kept = _KEPT[q]
+    for initial, k in zip(kept[::2], kept[1::2]):
+        unfit = f"CASE WHEN left(r.role, 1) = '{initial}' THEN 0 ELSE 1000000 END"
+        options.append(
+            _choice(f"b{k}.c + {late} + {never} + {unfit}", f"'K' || b{k}.a",
+                    f"chr(10) || r.role || ':' || r.text || b{k}.t")
+        )
+    return f"list_sort([{', '.join(options)}])[1] AS p{q}"
+
+
+def _with_inserts(q: int) -> str:
+    options, state, said = [f"p{q}"], q, ""
+    for k in range(1, 4):
+        state = _AFTER[state]
+        said += f"chr(10) || '{_SAYS[state]}:' || "
+        options.append(_choice(f"p{state}.c + {3 * k}", f"'{'I' * k}' || p{state}.a", f"{said}p{state}.t"))
+    return f"list_sort([{', '.join(options)}])[1] AS b{q}"
+
+
+_USER, _ASSISTANT = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+CONVERSATIONS = f"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20
+           AS kind
+  FROM conversations
+),
+rows AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END
+           AS text,
+         unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM keyed WHERE kind <> 0
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i
+  FROM rows
+),
+faults AS (
+  SELECT *, NOT regexp_matches(text, '{_NO_SPACE}') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+         NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS late,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+  FROM placed
+),
+flagged AS (SELECT *, NOT blank AND NOT seen AS may_stay FROM faults),
+totals AS (
+  SELECT conv_id, count(*) AS n, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (seen AND NOT blank) AS duplicate,
+         count(*) FILTER (late AND may_stay) AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+  FROM flagged GROUP BY conv_id
+),
+best AS (
+  SELECT conv_id, n + 1 AS i, {_choice("0", "''", "''")} AS b0,
+         {_choice("6", "'II'", f"{_USER} || {_ASSISTANT}")} AS b1,
+         {_choice("3", "'I'", _ASSISTANT)} AS b2, {_choice("0", "''", "''")} AS b3
+  FROM totals
+  UNION ALL
+  SELECT conv_id, i, {", ".join(_with_inserts(q) for q in range(4))}
+  FROM (
+    SELECT r.conv_id, r.i, {", ".join(_of_row(q) for q in range(4))}
+    FROM best JOIN flagged r ON r.conv_id IS NOT DISTINCT FROM best.conv_id AND r.i = best.i - 1
+  )
+)
+SELECT every.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(b0.c, 0) AS BIGINT) AS cost, coalesce(b0.a, '') AS audit,
+       sha256(coalesce(substr(b0.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) every
+LEFT JOIN totals ON totals.conv_id IS NOT DISTINCT FROM every.conv_id
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM every.conv_id AND best.i = 1
+"""
+
+SQL = {
+    "op2_lines": LINES,
+    "op6_decontamination": CONTAMINATION,
+    "op8_substrings": SUBSTRINGS,
+    "op13_conversations": CONVERSATIONS,
+}

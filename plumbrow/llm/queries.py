@@ -21,6 +21,7 @@ from plumbrow.llm.simhash import hex_of, near_duplicates
 from plumbrow.llm.suffixes import without_repeats
 from plumbrow.llm.tokens import tokenizer_path
 from plumbrow.llm.toxicity import Model, fitted, toxicity
+from plumbrow.llm.turns import repair_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,6 +121,10 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records_of(documents(spark, sf_dir), tokenizer_path(), end_id=2)
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -139,6 +144,7 @@ _QUERIES: dict[str, Query] = {
     "op8_substrings": op8_substrings,
     "op9_fingerprints": op9_fingerprints,
     "op10_records": op10_records,
+    "op13_conversations": op13_conversations,
 }
 
 QUERIES: dict[str, Query] = {name: _shipped(query) for name, query in _QUERIES.items()}
