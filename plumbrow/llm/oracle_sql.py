@@ -193,9 +193,69 @@ LEFT JOIN totals ON totals.conv_id IS NOT DISTINCT FROM every.conv_id
 LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM every.conv_id AND best.i = 1
 """
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+RANKED = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all({_lowered("coalesce(text, '')")}, '{_TERM}') AS terms
+  FROM documents
+),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d WHERE len(terms) > 0),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({_lowered("coalesce(text, '')")}, '{_TERM}')) AS term
+  FROM benchmark
+),
+tf AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY r, term
+),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, totals GROUP BY term
+),
+m AS (SELECT r, doc_id, 100 - 90 + (90 * len(terms) * n_docs) // n_terms AS m FROM d, totals WHERE len(terms) > 0),
+scored AS (
+  SELECT item_id, doc_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM tf JOIN w USING (term) JOIN m USING (r) JOIN wanted USING (term) GROUP BY item_id, doc_id, r
+),
+placed AS (
+  SELECT item_id, doc_id, score,
+         CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 10
+"""
+
+NEAR_SETS = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_lowered("coalesce(text, '')")}, '{_NO_SPACE}') AS w FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w
+         ELSE list_distinct(list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) END
+           AS s
+  FROM d
+),
+members AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM members a JOIN members b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM sets
+  UNION
+  SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other
+),
+least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN least USING (doc_id)
+"""
+
 SQL = {
     "op2_lines": LINES,
     "op6_decontamination": CONTAMINATION,
     "op8_substrings": SUBSTRINGS,
+    "op11_search": RANKED,
+    "op12_near_sets": NEAR_SETS,
     "op13_conversations": CONVERSATIONS,
 }

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from plumbrow.llm.ball_tree import ranked_documents
+from plumbrow.llm.chosen_path import near_sets
 from plumbrow.llm.common import crc_of_id, documents, ship_package
 from plumbrow.llm.decontaminate import contaminated, contamination, items_digest
 from plumbrow.llm.digest import compared
@@ -121,6 +123,15 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records_of(documents(spark, sf_dir), tokenizer_path(), end_id=2)
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return ranked_documents(documents(spark, sf_dir), benchmark, k=10)
+
+
+def op12_near_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_sets(documents(spark, sf_dir), percent=80, length=2)
+
+
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -144,6 +155,8 @@ _QUERIES: dict[str, Query] = {
     "op8_substrings": op8_substrings,
     "op9_fingerprints": op9_fingerprints,
     "op10_records": op10_records,
+    "op11_search": op11_search,
+    "op12_near_sets": op12_near_sets,
     "op13_conversations": op13_conversations,
 }
 

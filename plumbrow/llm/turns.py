@@ -327,8 +327,8 @@ def repair(turns: DataFrame, chunk_bits: int = _CHUNK_BITS) -> Repair:
     if across.isEmpty():
         known = rows.sparkSession.createDataFrame(
             [],
-            T.StructType([conv]).add("chunk", "long").add("end", T.ArrayType(T.LongType()))
-            .add("state", "long").add("illegal", "long").add("z", "long"),
+            T.StructType([conv]).add("chunk", T.LongType()).add("end", T.ArrayType(T.LongType()))
+            .add("state", T.LongType()).add("illegal", T.LongType()).add("z", T.LongType()),
         )
     else:
         known = join_same(_stitched(rows, across, conv), across, ["conv_id"])
