@@ -8,10 +8,10 @@ one byte of each token; larger ones branch again. The number of trees follows fr
 look similar are confirmed on the full sets of their whole texts.
 
 No pairs within a group are listed: a comparison grows components, comparing each member with the unreached ones
-only, and hands on the links that hold them together. Where one of these fails on the full sets, the node's pairs
-across the components confirmed so far are confirmed as well, so no link is lost. Nodes that stay large to the end
-are dense; they are compared in blocks, their first member in every block, and whatever is not linked with it meets
-every block. Documents with equal sets are one node from the start.
+only, and hands on the links that hold them together. What looks similar so makes units: the members of a unit, and
+their whole texts, come together once and are compared in the same way on their full sets, so no link is lost.
+Nodes and units that are too large for a task are dealt to blocks, their first member to every block; whatever is not
+linked with it afterwards meets every block. Documents with equal sets are one member from the start.
 
 NULL, empty and blank texts have the empty set and are linked with nothing. Equal rows are members of one class.
 A NULL doc_id is never the smallest, unless all of a component are NULL. Sets are compared by 64-bit hashes of
@@ -35,9 +35,10 @@ from plumbrow.llm.common import WordHashes, kept, shuffle_partitions, stage, tex
 from plumbrow.llm.components import components
 
 POSITIONS = 128
-#: Documents in a node that is compared exhaustively, and members confirmed next to one hub.
+#: Documents in a node that is compared exhaustively; documents and shingles in a block of a unit.
 LEAF = 500
-HUB = 1000
+UNIT = 1000
+UNIT_SHINGLES = 4_000_000
 #: Every path has two choices at least; nodes still large after so many are dense.
 DEEPEST = 9
 
@@ -206,49 +207,27 @@ def _grown(sketches: np.ndarray, need: int) -> Iterator[tuple[int, int]]:
             rest = rest[~near]
 
 
-def _across(sketches: np.ndarray, roots: np.ndarray, need: int) -> Iterator[tuple[int, int]]:
-    """All pairs of members that look similar and are not in one component."""
-    for i in range(len(sketches) - 1):
-        near = _alike(sketches[i + 1 :], sketches[i], need) & (roots[i + 1 :] != roots[i])
-        for k in np.flatnonzero(near):
-            yield i, i + 1 + int(k)
-
-
 def _compared(groups: DataFrame, sketches: DataFrame, need: int) -> DataFrame:
-    """path, block, a < b: links to confirm, of groups (path, block, node and, if confirmed before, root)."""
-    has_roots = "root" in groups.columns
+    """a < b: links between similar sketches that connect each group (path, block, node) as far as it goes."""
 
     def links(rows: dict[str, np.ndarray]) -> Iterator[tuple]:
         path, block, node, sketch = (rows[c] for c in ("path", "block", "node", "sketch"))
         new = np.flatnonzero((path[1:] != path[:-1]) | (block[1:] != block[:-1])) + 1
         borders = np.concatenate(([0], new, [len(path)]))
         sizes = np.diff(borders)
-        if not has_roots:
-            pairs = borders[:-1][sizes == 2]
-            for i in pairs[(sketch[pairs] == sketch[pairs + 1]).sum(axis=1) >= need]:
-                yield path[i], block[i], node[i], node[i + 1]
-        for a, size in zip(borders[:-1], sizes):
-            if size > 2 or has_roots and size == 2:
-                mine = sketch[a : a + size]
-                found = _across(mine, rows["root"][a : a + size], need) if has_roots else _grown(mine, need)
-                for x, y in found:
-                    yield path[a], block[a], node[a + x], node[a + y]
+        pairs = borders[:-1][sizes == 2]
+        for i in pairs[(sketch[pairs] == sketch[pairs + 1]).sum(axis=1) >= need]:
+            yield node[i], node[i + 1]
+        for a, size in zip(borders[:-1][sizes > 2], sizes[sizes > 2]):
+            for x, y in _grown(sketch[a : a + size], need):
+                yield node[a + x], node[a + y]
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["path", "block", "node", *(["root"] if has_roots else [])]
         held: dict[str, np.ndarray] | None = None
-
-        def table(found: list[tuple]) -> pa.RecordBatch:
-            columns = zip(*found) if found else [[]] * 4
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["path", "block", "a", "b"]
-            )
-
         for batch in batches:
             if not len(batch):
                 continue
-            rows = {n: batch.column(n).to_numpy() for n in names}
+            rows = {n: batch.column(n).to_numpy() for n in ("path", "block", "node")}
             data = b"".join(batch.column("sketch").to_pylist())
             rows["sketch"] = np.frombuffer(data, np.uint8).reshape(-1, POSITIONS)
             if held is not None:
@@ -256,116 +235,152 @@ def _compared(groups: DataFrame, sketches: DataFrame, need: int) -> DataFrame:
             # The last group may go on in the next batch.
             last = (rows["path"] == rows["path"][-1]) & (rows["block"] == rows["block"][-1])
             held = {n: v[last] for n, v in rows.items()}
-            yield table(list(links({n: v[~last] for n, v in rows.items()})) if not last.all() else [])
+            if not last.all():
+                yield _pairs(links({n: v[~last] for n, v in rows.items()}))
         if held is not None:
-            yield table(list(links(held)))
+            yield _pairs(links(held))
 
     rows = groups.join(sketches, "node").repartition("path", "block")
     ordered = rows.sortWithinPartitions("path", "block", "node")
-    return ordered.mapInArrow(compare, "path long, block int, a long, b long")
+    return ordered.mapInArrow(compare, "a long, b long").distinct()
 
 
-# Confirming links on full sets
+def _pairs(found: Iterable[tuple]) -> pa.RecordBatch:
+    a, b = zip(*rows) if (rows := list(found)) else ([], [])
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: int, length: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar. The texts of each a's partners pass by that of a."""
-    hubs = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB).cast("int").alias("parts"))
-    members = pairs.join(hubs, "a").select(
-        F.col("b").alias("node"),
-        F.col("a").alias("hub"),
-        F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"),
-        F.lit(1).alias("member"),
-    )
-    parts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    own = hubs.select(F.col("a").alias("node"), F.col("a").alias("hub"), parts.alias("part"), F.lit(0).alias("member"))
-    wanted = members.unionByName(own).join(classes.select("node", "least", "h1", "h2"), "node")
-    wanted = stage(wanted.withColumnRenamed("least", "doc_id"), "to-confirm")
+def _looking_similar(classes: DataFrame, nodes: DataFrame, need: int) -> DataFrame:
+    """node, root: components of what looks similar."""
+    sketches = classes.select("node", "sketch")
+    pairs = stage(_compared(nodes, sketches, need), "pairs")
+    roots = stage(components(pairs), "roots")
+    dense = nodes.where("block > 0")
+    if dense.isEmpty():
+        return roots
+    rooted = dense.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first = dense.groupBy("path").agg(F.min("node").alias("node"), F.max("block").alias("blocks"))
+    leads = first.join(roots, "node", "left").select("path", "blocks", F.coalesce("root", "node").alias("leads"))
+    rooted = rooted.join(leads, "path")
+    again = stage(_everywhere(rooted, "path", "block"), "open-nodes")
+    if again.isEmpty():
+        return roots
+    more = stage(pairs.unionByName(_compared(again, sketches, need)), "pairs")
+    return stage(components(more), "roots")
+
+
+def _everywhere(rooted: DataFrame, group: str, block: str) -> DataFrame:
+    """The blocks (numbered from 1 to `blocks`) of groups in which some members' root is not the one that leads, with
+    these members in every block."""
+    apart = rooted.where("root <> leads")
+    open_groups = rooted.join(apart.select(group).distinct(), group, "left_semi")
+    spread = apart.withColumn(block, F.explode(F.sequence(F.lit(1), F.col("blocks"))))
+    columns = [group, block, "node"]
+    return open_groups.select(*columns).union(spread.select(*columns)).distinct()
+
+
+# Confirming on full sets
+
+
+def _linked(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
+    """Links between similar sets that connect whatever chains of similar sets connect."""
+    if len(sets) == 2:
+        common = len(np.intersect1d(*sets, assume_unique=True))
+        if 100 * common >= percent * (len(sets[0]) + len(sets[1]) - common):
+            yield 0, 1
+        return
+    sizes = np.array([len(x) for x in sets])
+    starts = np.cumsum(sizes) - sizes
+    known, places = np.unique(np.concatenate(sets), return_inverse=True)
+    marked = np.zeros(len(known), bool)
+    left = np.ones(len(sets), bool)
+    for i in range(len(sets)):
+        if not left[i]:
+            continue
+        left[i] = False
+        frontier = [i]
+        while frontier and left.any():
+            member = frontier.pop(0)
+            own = places[starts[member] : starts[member] + sizes[member]]
+            marked[own] = True
+            common = np.add.reduceat(marked[places], starts, dtype=np.int64)
+            marked[own] = False
+            near = np.flatnonzero(left & (100 * common >= percent * (sizes + sizes[member] - common)))
+            left[near] = False
+            for x in near.tolist():
+                yield member, x
+                frontier.append(x)
+
+
+def _confirmed(docs: DataFrame, units: DataFrame, percent: int, length: int) -> DataFrame:
+    """a, b: links between members of one block of a unit (unit, block, node, least, h1, h2)."""
 
     def confirm(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = kept("words", WordHashes)
-        at, own = None, None
+        at, nodes, sets = None, [], []
+
+        def links() -> Iterator[tuple[int, int]]:
+            for x, y in _linked(sets, percent) if len(sets) > 1 else ():
+                yield min(nodes[x], nodes[y]), max(nodes[x], nodes[y])
+
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("hub", "part", "member", "node", "h1", "h2")]
+            columns = [batch.column(c).to_pylist() for c in ("unit", "block", "node", "h1", "h2")]
             found = []
-            for hub, part, member, node, h1, h2, text in zip(*columns, texts_of(batch)):
-                if at != (hub, part):
-                    at, own = (hub, part), None
-                if member == 0 and own is not None:
-                    continue
+            for unit, block, node, h1, h2, text in zip(*columns, texts_of(batch)):
+                if at != (unit, block):
+                    found += links()
+                    at, nodes, sets = (unit, block), [], []
+                if nodes and nodes[-1] == node:
+                    continue  # the same row again
                 mine = shingles_of(text, hashes, length)
                 key = np.frombuffer(xxhash.xxh3_128_digest(mine.tobytes()), np.int64)
-                if key[0] != h1 or key[1] != h2:
-                    continue  # another row with this doc_id
-                if member == 0:
-                    own = mine
-                    continue
-                common = len(np.intersect1d(own, mine, assume_unique=True))
-                if 100 * common >= percent * (len(own) + len(mine) - common):
-                    found.append((hub, node))
-            a, b = zip(*found) if found else ([], [])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                if key[0] == h1 and key[1] == h2:  # else another row with this doc_id
+                    nodes.append(node)
+                    sets.append(mine)
+            yield _pairs(found)
+        yield _pairs(links())
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
-    rows = join_same(texts, wanted, ["doc_id"]).repartition("hub", "part")
-    ordered = rows.sortWithinPartitions("hub", "part", "member", "node")
+    # Texts are shuffled at every size: members grow with the documents, so they are not to be broadcast.
+    wanted = units.withColumnRenamed("least", "doc_id").hint("merge")
+    rows = join_same(texts, wanted, ["doc_id"]).repartition("unit", "block")
+    ordered = rows.sortWithinPartitions("unit", "block", "node")
     return stage(ordered.mapInArrow(confirm, "a long, b long").distinct(), "confirmed-links")
 
 
-def _rooted(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs whose ends are not in one component."""
-    of_a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-    of_b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-    joined = pairs.join(of_a, "a", "left").join(of_b, "b", "left")
-    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
-    return joined.where(apart).select("a", "b")
-
-
 def similar_links(
-    docs: DataFrame, classes: DataFrame, percent: int, length: int, recall: float, leaf: int
+    docs: DataFrame, classes: DataFrame, percent: int, length: int, recall: float, leaf: int, unit: int
 ) -> DataFrame:
     """a, b: links between classes of equal sets that connect whatever chains of similar sets connect."""
     similarity = percent / 100
     # Five standard deviations below what a pair on the limit has in common.
     need = math.floor(POSITIONS * similarity - 5 * math.sqrt(POSITIONS * similarity * (1 - similarity)))
-    sketches = classes.select("node", "sketch")
-    nodes = _nodes(classes, similarity, trees_for(recall, similarity), leaf)
-    found = stage(_compared(nodes, sketches, need), "links")
-    pairs = stage(found.select("a", "b").distinct(), "pairs")
-    # One partner each decides most; other pairs are confirmed only if they are still apart.
-    first = stage(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
-    links = _confirmed(docs, first, classes, percent, length)
-    tested = first
-    roots = stage(components(links), "roots")
-    more = stage(_rooted(pairs.join(first, ["a", "b"], "left_anti"), roots), "more-pairs")
-    if not more.isEmpty():
-        links = stage(links.unionByName(_confirmed(docs, more, classes, percent, length)), "links")
-        tested = stage(tested.unionByName(more), "tested-pairs")
-        roots = stage(components(links), "roots")
-
-    # A pair that failed may have stood for others; dense nodes were compared block by block.
-    failed = stage(_rooted(tested, roots), "failed-pairs")
-    open_nodes = found.join(failed, ["a", "b"], "left_semi").select("path").distinct()
-    rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    small = rooted.where("block = 0").join(open_nodes, "path", "left_semi")
-    dense = rooted.where("block > 0")
-    leaders = dense.groupBy("path").agg(F.min("node").alias("leader"), F.max("block").alias("blocks"))
-    dense = dense.join(leaders, "path")
-    leading = dense.where("node = leader AND block = 1").select("path", F.col("root").alias("leads"))
-    dense = dense.join(leading, "path")
-    apart = dense.where("root <> leads")
-    meeting = dense.join(apart.select("path").distinct(), "path", "left_semi")
-    everywhere = apart.withColumn("block", F.explode(F.sequence(F.lit(1), F.col("blocks"))))
-    columns = ["path", "block", "node", "root"]
-    again = small.select(*columns).unionByName(meeting.select(*columns).union(everywhere.select(*columns)).distinct())
-    again = stage(again, "open-nodes")
-    if again.isEmpty():
+    nodes = stage(_nodes(classes, similarity, trees_for(recall, similarity), leaf), "nodes")
+    roots = _looking_similar(classes, nodes, need)
+    members = roots.withColumnRenamed("root", "unit").join(
+        classes.select("node", "least", "h1", "h2", "n_shingles"), "node"
+    )
+    most = F.greatest(F.count("*") / unit, F.sum("n_shingles") / UNIT_SHINGLES)
+    sizes = members.groupBy("unit").agg(F.ceil(most).cast("int").alias("blocks"))
+    members = stage(members.join(sizes, "unit").drop("n_shingles"), "units")
+    block = (F.pmod(F.xxhash64("node"), "blocks") + 1).cast("int")
+    every_block = F.sequence(F.lit(1), F.col("blocks"))
+    is_first = F.col("node") == F.col("unit")
+    placed = members.withColumn("block", F.explode(F.when(is_first, every_block).otherwise(F.array(block))))
+    columns = ["unit", "block", "node", "least", "h1", "h2"]
+    links = _confirmed(docs, placed.select(*columns), percent, length)
+    large = members.where("blocks > 1")
+    if large.isEmpty():
         return links
-    last = _compared(again, sketches, need).select("a", "b").distinct()
-    last = stage(last.join(tested, ["a", "b"], "left_anti"), "last-pairs")
-    if last.isEmpty():
+    roots = stage(components(links), "confirmed-roots")
+    rooted = placed.where("blocks > 1").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    leads = large.where(is_first).select("node").join(roots, "node", "left")
+    leads = leads.select(F.col("node").alias("unit"), F.coalesce("root", "node").alias("leads"))
+    again = _everywhere(rooted.join(leads, "unit"), "unit", "block")
+    again = stage(again.join(classes.select("node", "least", "h1", "h2"), "node"), "open-units")
+    if again.isEmpty():
         return links
-    return links.unionByName(_confirmed(docs, last, classes, percent, length))
+    return links.unionByName(_confirmed(docs, again.select(*columns), percent, length))
 
 
 def near_sets(
@@ -374,6 +389,7 @@ def near_sets(
     length: int = 5,
     recall: float = 0.999999,
     leaf: int = LEAF,
+    unit: int = UNIT,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable) and kept, for every row. Runs jobs.
 
@@ -384,11 +400,16 @@ def near_sets(
     classes = (
         rows.where("n_shingles > 0")
         .groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("least"), F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch"))
+        .agg(
+            F.min("doc_id").alias("least"),
+            F.max("n_shingles").alias("n_shingles"),
+            F.first("tokens").alias("tokens"),
+            F.first("sketch").alias("sketch"),
+        )
         .withColumn("node", F.monotonically_increasing_id())
     )
     classes = stage(classes, "classes")
-    roots = components(similar_links(docs, classes, percent, length, recall, leaf))
+    roots = components(similar_links(docs, classes, percent, length, recall, leaf, unit))
     rooted = classes.select("h1", "h2", "least", "node").join(roots, "node", "left")
     rooted = stage(rooted.withColumn("root", F.coalesce("root", "node")), "rooted-classes")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

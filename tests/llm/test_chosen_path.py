@@ -104,7 +104,7 @@ def test_dense_nodes_are_compared_in_blocks(spark, monkeypatch):
             text = edited(text, 5, 100 * c + k)
             rows.append((1000 + 10 * c + k, text))
     rows += [(5000 + i, words(100, 9000 + i)) for i in range(60)]
-    assert of(spark, rows, length=2, leaf=12) == by_force(rows)
+    assert of(spark, rows, length=2, leaf=12, unit=20) == by_force(rows)
 
 
 def test_copies_and_very_long_texts(spark):
