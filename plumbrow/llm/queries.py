@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -22,7 +22,7 @@ from plumbrow.llm.oracle_sql import SQL
 from plumbrow.llm.simhash import hex_of, near_duplicates
 from plumbrow.llm.suffixes import without_repeats
 from plumbrow.llm.tokens import tokenizer_path
-from plumbrow.llm.toxicity import Model, fitted, toxicity
+from plumbrow.llm.toxicity import self_judged
 from plumbrow.llm.turns import repair_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,16 +34,16 @@ def _sha256(text: str) -> Column:
     return F.sha2(F.col(text).cast("binary"), 256)
 
 
-def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model | float:
-    """Learned from the labels whose crc32(doc_id as text) mod 4 is not 2."""
+def judged_documents(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """`self_judged` by the labels whose crc32(doc_id as text) mod 4 is not 2."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return fitted(docs, labels, may_learn=crc_of_id("doc_id") % 4 != 2)
+    return self_judged(docs, labels, crc_of_id("doc_id") % 4 != 2, keep)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    scored = toxicity(docs, toxicity_model(spark, docs, sf_dir))
-    return scored.select(
+    return judged_documents(spark, documents(spark, sf_dir), sf_dir, ("doc_id",)).select(
         "doc.doc_id",
         (crc_of_id("doc.doc_id") % 4 == 2).alias("held_out"),
         "score",

@@ -5,11 +5,11 @@ of itself and of its first four and five bytes, so that inflected forms share wh
 of several widths run over the words; each filter's greatest response in the whole text feeds one
 logistic unit. Training is plain numpy on a bounded, hash-ordered sample of labelled documents
 (`Fit.per_label` of each label, none longer than `Fit.longest` characters); the label's share is
-counted over all labelled rows and corrects the bias. Then all labelled documents of any length that
-were not trained on are scored on the executors (a part of the sample is kept out of training, so that
-there are some where labels are few). Histograms of their scores, weighted up to the full counts
-of each language and label, give one threshold for each language with ten such toxic documents, and one
-for all others. The language is no input of a score.
+counted over all labelled rows and corrects the bias. Then all documents of any length are scored, once; their
+scores meet the labels by doc_id, so no text is shuffled. Histograms of the scores of labelled documents that were
+not trained on (a part of the sample is kept out of training, so that there are some where labels are few),
+weighted up to the full counts of each language and label, give one threshold for each language with ten such
+toxic documents, and one for all others. The language is no input of a score.
 
 Filters are linear in the embeddings, so a worker keeps each known word's responses, and a text costs
 one look-up a word and a running maximum.
@@ -23,8 +23,7 @@ rows. Input columns are returned as they are in the struct `doc`, whatever their
 from __future__ import annotations
 
 import zlib
-from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 from uuid import uuid4
 
@@ -296,7 +295,7 @@ def best_threshold(scores: np.ndarray, labels: np.ndarray, rows: np.ndarray | No
     i = int(f1.argmax())
     odds = _log_odds(s)
     middle = (odds[i] + odds[i + 1]) / 2 if i + 1 < len(odds) else odds[i] - 0.5
-    return float(np.clip(_sigmoid(middle), 0.2, 0.5))
+    return float(_sigmoid(middle))
 
 
 def _drawn(rows: DataFrame, n: int, of: int) -> DataFrame:
@@ -306,9 +305,18 @@ def _drawn(rows: DataFrame, n: int, of: int) -> DataFrame:
     return few.orderBy(F.xxhash64("id"), "id").limit(n)
 
 
-def fitted(
+@dataclass
+class Learned:
+    """A model without thresholds, or a plain share; the labels it may use (id, label); what it was trained on."""
+
+    model: Model | float
+    usable: DataFrame
+    trained: frozenset = frozenset()
+
+
+def learned(
     docs: DataFrame, labels: DataFrame, may_learn: Column, fit: Fit = Fit(), label: str = "toxic"
-) -> Model | float:
+) -> Learned:
     """Train on labelled documents whose doc_id fulfils may_learn; a plain share if that can't be."""
     usable = (
         labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & may_learn)
@@ -337,38 +345,54 @@ def fitted(
     )
     toxic = sum(r["label"] for r in sample)
     if toxic == 0 or toxic == len(sample):
-        return share
-    learned = [r for r in sample if r["draw"] >= 1000 * fit.calibration_share]
-    if len({r["label"] for r in learned}) < 2:
-        learned = sample
+        return Learned(share, usable)
+    taught = [r for r in sample if r["draw"] >= 1000 * fit.calibration_share]
+    if len({r["label"] for r in taught}) < 2:
+        taught = sample
     model = train(
-        [r["text"].encode() for r in learned],
-        np.array([r["label"] for r in learned], np.float32),
+        [r["text"].encode() for r in taught],
+        np.array([r["label"] for r in taught], np.float32),
         fit,
     )
-    seen = sum(r["label"] for r in learned) / len(learned)
+    seen = sum(r["label"] for r in taught) / len(taught)
     prior = min(max(share, 1e-4), 1 - 1e-4)
     model.bias += float(np.log(prior / (1 - prior)) - np.log(seen / (1 - seen)))
-    trained = frozenset(r["id"] for r in learned)  # at most 2 * per_label
+    trained = frozenset(r["id"] for r in taught)  # at most 2 * per_label
     if len({r["label"] for r in sample if r["id"] not in trained}) < 2:
         trained = frozenset()
-    calibrate(model, texts.join(usable, "id"), trained)
-    return model
+    return Learned(model, usable, trained)
+
+
+def fitted(
+    docs: DataFrame, labels: DataFrame, may_learn: Column, fit: Fit = Fit(), label: str = "toxic"
+) -> Model | float:
+    """A model with its thresholds, for documents other than these as well."""
+    found = learned(docs, labels, may_learn, fit, label)
+    if isinstance(found.model, Model):
+        ids = docs.select("doc_id", "text", "lang")
+        calibrate(found, stage(scored(ids, found.model, ("doc_id",)), "scores"))
+    return found.model
 
 
 _BINS = 64  # of a histogram, for each unit of log-odds
 _OWN_CUT = 10  # toxic rows from which a language has a threshold of its own
 
 
-def calibrate(model: Model, labelled: DataFrame, trained: frozenset = frozenset()) -> None:
-    """Set the thresholds by all rows of (id, text, lang, label).
+def calibrate(found: Learned, scores: DataFrame) -> None:
+    """Set the thresholds by all labelled rows of `scored` documents.
 
     What a model says of rows that it was trained on tells nothing of others: rows of these ids count
     by their language and label only.
     """
-    bins = stage(score_histograms(model, labelled, trained), "toxicity-histograms")
+    of_ids = scores.select(F.col("doc.doc_id").alias("id"), "lang", "score")
+    labelled = of_ids.join(found.usable, "id")
+    bins = stage(histograms(labelled, found.trained), "toxicity-histograms")
+    model = found.model
     common = bins.groupBy("bin").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
-    model.threshold = _cut(common.toArrow())  # under 2,000 rows
+    counted = common.toArrow()  # under 2,000 rows
+    if counted.num_rows == 0:
+        return
+    model.threshold = _cut(counted)
 
     def cut(key: tuple, rows: pa.Table) -> pa.Table:
         scored = rows.filter(pc.is_valid(rows.column("bin")))
@@ -382,53 +406,33 @@ def calibrate(model: Model, labelled: DataFrame, trained: frozenset = frozenset(
         )
 
     named = bins.filter(F.col("lang").isNotNull()).groupBy("lang")
-    found = named.applyInArrow(cut, "lang string, cut double").collect()
-    model.thresholds = {r["lang"]: r["cut"] for r in found}
+    cuts = named.applyInArrow(cut, "lang string, cut double").collect()
+    model.thresholds = {r["lang"]: r["cut"] for r in cuts}
 
 
-def score_histograms(
-    model: Model, labelled: DataFrame, trained: frozenset = frozenset(), at_once: int = 100_000
-) -> DataFrame:
+def histograms(labelled: DataFrame, trained: frozenset = frozenset()) -> DataFrame:
     """lang, bin (of the score's log-odds; NULL for trained ids), toxic and n: rows of each."""
-    shared = labelled.sparkSession.sparkContext.broadcast((uuid4().hex, model))
-
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, model = shared.value
-        scorer = kept(("scorer", name), lambda: Scorer(model))
-        total: Counter = Counter()
-        for batch in batches:
-            new = np.array([i not in trained for i in batch.column("id").to_pylist()], bool)
-            scores = np.array(list(scorer.scores(texts_of(batch.filter(pa.array(new))))))
-            places = np.full(len(batch), None, object)
-            places[new] = np.floor(_log_odds(scores) * _BINS).astype(np.int64).tolist()
-            total.update(
-                zip(batch.column("lang").to_pylist(), places, batch.column("label").to_pylist())
-            )
-            if len(total) > at_once:
-                yield _binned(total)
-                total = Counter()
-        yield _binned(total)
-
-    rows = labelled.select("id", "text", "lang", F.col("label").cast("int").alias("label"))
-    counted = rows.mapInArrow(count, "lang string, bin long, toxic long, n long")
-    return counted.groupBy("lang", "bin").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
-
-
-def _binned(total: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([lang for lang, _, _ in total], pa.string()),
-            pa.array([place for _, place, _ in total], pa.int64()),
-            pa.array([n * (label > 0) for (_, _, label), n in total.items()], pa.int64()),
-            pa.array(list(total.values()), pa.int64()),
-        ],
-        ["lang", "bin", "toxic", "n"],
+    spark = labelled.sparkSession
+    taught = spark.createDataFrame([(i, True) for i in trained], "id long, taught boolean")
+    clipped = F.least(F.greatest("score", F.lit(1e-6)), F.lit(1 - 1e-6))
+    place = F.floor(F.log(clipped / (1 - clipped)) * _BINS).cast("long")
+    rows = labelled.join(F.broadcast(taught), "id", "left")  # at most 2 * per_label
+    return rows.groupBy("lang", F.when(F.col("taught").isNull(), place).alias("bin")).agg(
+        F.sum((F.col("label") > 0).cast("long")).alias("toxic"), F.count("*").alias("n")
     )
 
 
+def score_histograms(
+    model: Model, labelled: DataFrame, trained: frozenset = frozenset()
+) -> DataFrame:
+    """`histograms` of rows of id, text, lang and label."""
+    rows = scored(labelled, model, ("id", "label"))
+    return histograms(rows.select("doc.id", "doc.label", "lang", "score"), trained)
+
+
 def _cut(bins: pa.Table) -> float:
-    scored = bins.filter(pc.is_valid(bins.column("bin")))
-    place, toxic, n = (scored.column(c).to_numpy() for c in ("bin", "toxic", "n"))
+    known = bins.filter(pc.is_valid(bins.column("bin")))
+    place, toxic, n = (known.column(c).to_numpy() for c in ("bin", "toxic", "n"))
     all_toxic, all_n = (pc.sum(bins.column(c)).as_py() for c in ("toxic", "n"))
     clean = n - toxic
     toxic = toxic * (all_toxic / max(1, toxic.sum()))
@@ -436,8 +440,8 @@ def _cut(bins: pa.Table) -> float:
     return best_threshold(_sigmoid((place + 0.5) / _BINS), toxic, toxic + clean)
 
 
-def toxicity(docs: DataFrame, model: Model | float) -> DataFrame:
-    """doc (all input columns), score, threshold, rejected."""
+def scored(docs: DataFrame, model: Model | float, keep: Sequence[str] | None = None) -> DataFrame:
+    """doc (the input columns, or those to keep), lang and score."""
     context = docs.sparkSession.sparkContext
     shared = context.broadcast((uuid4().hex, model))  # some MB, whatever the size of the corpus
 
@@ -448,24 +452,54 @@ def toxicity(docs: DataFrame, model: Model | float) -> DataFrame:
         for batch in batches:
             if isinstance(model, Model):
                 scores = list(scorer.scores(texts_of(batch)))
-                langs = batch.column("lang").to_pylist()
-                cuts = [model.thresholds.get(x, model.threshold) for x in langs]
             else:
-                scores, cuts = [model] * len(batch), [0.5] * len(batch)
+                scores = [model] * len(batch)
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc"),
-                    pa.array(scores, pa.float64()),
-                    pa.array(cuts, pa.float64()),
-                    pa.array([s >= c for s, c in zip(scores, cuts)], pa.bool_()),
-                ],
-                ["doc", "score", "threshold", "rejected"],
+                [batch.column("doc"), batch.column("lang"), pa.array(scores, pa.float64())],
+                ["doc", "lang", "score"],
             )
 
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).alias("doc"),
         text_or_empty("text").alias("text"),
         F.col("lang").cast("string").alias("lang"),
     )
     kind = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(score, f"doc {kind}, score double, threshold double, rejected boolean")
+    return rows.mapInArrow(score, f"doc {kind}, lang string, score double")
+
+
+def judged(scores: DataFrame, model: Model | float) -> DataFrame:
+    """doc, score, threshold and rejected of `scored` documents, by the thresholds of their languages."""
+    if not isinstance(model, Model):
+        cut = F.lit(0.5)
+        cuts = None
+    else:
+        cuts = scores.sparkSession.createDataFrame(
+            list(model.thresholds.items()), "lang string, cut double"
+        )
+        cut = F.coalesce("cut", F.lit(model.threshold))
+    rows = scores if cuts is None else scores.join(cuts, "lang", "left")
+    return rows.select(
+        "doc", "score", cut.alias("threshold"), (F.col("score") >= cut).alias("rejected")
+    )
+
+
+def toxicity(docs: DataFrame, model: Model | float) -> DataFrame:
+    """doc (all input columns), score, threshold, rejected, by a model fitted before."""
+    return judged(scored(docs, model), model)
+
+
+def self_judged(
+    docs: DataFrame,
+    labels: DataFrame,
+    may_learn: Column,
+    keep: Sequence[str] | None = None,
+    fit: Fit = Fit(),
+) -> DataFrame:
+    """doc (the input columns, or those to keep), score, threshold, rejected, by a model learned from the same
+    documents' labels. Each document is scored once, and stored with its score."""
+    found = learned(docs, labels, may_learn, fit)
+    scores = stage(scored(docs, found.model, keep), "scores")
+    if isinstance(found.model, Model):
+        calibrate(found, scores)
+    return judged(scores, found.model)

@@ -14,6 +14,10 @@ from plumbrow.llm.gru import Net, Shape, gradient, log_probabilities, score_docu
 from plumbrow.llm.language_model import Settings, scored, tokens_of, vocabulary, word_counts
 from plumbrow.llm.queries import QUERIES
 from plumbrow.llm.toxicity import (
+    Learned,
+    calibrate,
+    self_judged,
+    word_rows,
     Fit,
     Model,
     Scorer,
@@ -61,7 +65,7 @@ def labelled(spark, n=240):
 def test_toxicity_learns_words_and_keeps_columns(spark):
     docs, labels = labelled(spark)
     model = fitted(docs, labels, F.col("doc_id") % 5 != 0, Fit(least_steps=200))
-    assert isinstance(model, Model) and 0.2 <= model.threshold <= 0.5
+    assert isinstance(model, Model) and 0 < model.threshold < 1
     found = toxicity(docs, model).select("doc.*", F.col("score").alias("toxicity"), "rejected").collect()
     assert len(found) == docs.count() and found[0]["score"] == "s"
     judged = [r for r in found if r["text"] and "word" in r["text"] and r["doc_id"] % 5 == 0]
@@ -94,6 +98,76 @@ def test_threshold_parts_the_labels():
     assert words_of("Nasty, WORD-s!".encode()) == [b"nasty", b"word", b"s"]
 
 
+def test_thresholds_are_not_clamped():
+    scores = np.array([0.97, 0.9, 0.8, 0.6, 0.58, 0.55, 0.1])
+    cut = best_threshold(scores, np.array([1, 1, 1, 0, 0, 0, 0]))
+    assert 0.7 < cut < 0.72
+    low = best_threshold(np.array([0.05, 0.04, 0.001]), np.array([1, 1, 0]))
+    assert 0.001 < low < 0.04
+
+
+def test_scores_equal_a_naive_convolution(spark):
+    docs, labels = labelled(spark)
+    model = fitted(docs, labels, F.lit(True), Fit(least_steps=50))
+    fit = model.fit
+
+    def naive(text):
+        found = words_of(text)
+        x = [sum(model.embedding[r].astype(float) for r in word_rows(w, fit.buckets)) for w in found]
+        x += [np.zeros(fit.dim)] * (max(fit.widths) + 1)
+        z, k = model.bias, 0
+        for f in model.filters:
+            for n in range(f.shape[2]):
+                responses = [
+                    sum(float(x[at + j] @ f[j, :, n]) for j in range(len(f)))
+                    for at in range(len(found) + 1)
+                ]
+                z += max(max(responses) + float(model.filter_bias[k]), 0) * float(model.weights[k])
+                k += 1
+        return 1 / (1 + np.exp(-z))
+
+    texts = [b"", b"a", b"nasty, word", f"{words(40, 3)} nasty, word {words(9, 4)}".encode()]
+    assert list(Scorer(model).scores(texts)) == pytest.approx([naive(t) for t in texts], abs=1e-5)
+
+
+def test_each_language_has_the_cut_that_separates_best(spark):
+    """Against trying every cut between two histogram bins."""
+    rng = np.random.default_rng(6)
+    rows = [
+        (i, lang, float(1 / (1 + np.exp(-rng.normal(2.5 * y - shift, 1.2)))), int(y))
+        for i, (lang, y, shift) in enumerate(
+            (lang, rng.random() < share, shift)
+            for lang, share, shift in [("a", 0.3, 1), ("b", 0.1, -1), (None, 0.2, 0)]
+            for _ in range(300)
+        )
+    ]
+    found = Learned(Model(Fit(), *[np.zeros(0)] * 5, 0.0), spark.createDataFrame([(r[0], r[3]) for r in rows], "id long, label int"))
+    scores = spark.createDataFrame([((r[0],), r[1], r[2]) for r in rows], "doc struct<doc_id: long>, lang string, score double")
+    calibrate(found, scores)
+
+    def f1(cut, mine):
+        hits = sum(y for _, _, s, y in mine if s >= cut)
+        return 2 * hits / (sum(s >= cut for _, _, s, _ in mine) + sum(y for *_, y in mine))
+
+    cuts = {**found.model.thresholds, None: found.model.threshold}
+    assert set(cuts) == {"a", "b", None}
+    for lang, cut in cuts.items():
+        mine = rows if lang is None else [r for r in rows if r[1] == lang]
+        bins = np.arange(-700, 700) / 64
+        best = max(f1(1 / (1 + np.exp(-b)), mine) for b in bins)
+        assert f1(cut, mine) >= best - 0.01
+
+
+def test_no_text_is_shuffled_to_find_thresholds(spark):
+    docs, labels = labelled(spark)
+    found = self_judged(docs, labels, F.lit(True), keep=("doc_id",), fit=Fit(least_steps=50))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in plan
+    assert found.count() == docs.count()
+    whole = self_judged(docs, labels, F.lit(True), fit=Fit(least_steps=50))
+    assert {r["doc_id"] for r in whole.select("doc.*").collect()} == {r["doc_id"] for r in docs.collect()}
+
+
 def test_thresholds_come_from_all_labelled_rows(spark):
     """Ten toxic rows of a language suffice, beyond the training sample and in texts of any length."""
     rows, labels = [], []
