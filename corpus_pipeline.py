@@ -16,10 +16,9 @@ from plumbrow.llm.common import documents, ship_package, stage
 from plumbrow.llm.decontaminate import contaminated, contamination
 from plumbrow.llm.lines import deduplicated
 from plumbrow.llm.mixture import packed
-from plumbrow.llm.queries import toxicity_model
+from plumbrow.llm.queries import judged_documents
 from plumbrow.llm.simhash import first_of_each, near_duplicates
 from plumbrow.llm.tokens import tokenizer_path
-from plumbrow.llm.toxicity import toxicity
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -27,8 +26,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose toxicity reaches their language's threshold."""
     ship_package(spark)
-    scored = toxicity(docs, toxicity_model(spark, docs, sf_dir))
-    return scored.filter(~F.col("rejected")).select("doc.*")
+    return judged_documents(spark, docs, sf_dir).filter(~F.col("rejected")).select("doc.*")
 
 
 def lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
