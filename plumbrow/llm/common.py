@@ -12,6 +12,7 @@ from pathlib import Path
 from typing import TypeVar
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,25 +75,53 @@ def run_folder(spark: SparkSession, label: str) -> str:
     return new_path(spark, label)
 
 
-def id_splits(ids: DataFrame, n_blocks: int) -> list[int]:
-    """Borders between blocks of about equally many consecutive doc_ids."""
-    shares = [i / n_blocks for i in range(1, n_blocks)]
-    if not shares:
-        return []
-    found = ids.agg(F.percentile_approx("doc_id", shares, 10_000).alias("s")).first()["s"]
-    return sorted(set(found or []))
+def text_bytes() -> Column:
+    """What a row takes, about."""
+    return F.octet_length(text_or_empty("text")) + 16
 
 
-def block_of_id(splits: list[int], null_block: int) -> Column:
-    """How many splits lie below the id; rows with one id are in one block."""
-    if not splits:
-        return F.lit(0)
-    below = F.filter(F.array(*[F.lit(s) for s in splits]), lambda s: s < F.col("doc_id"))
-    return F.when(F.col("doc_id").isNull(), F.lit(null_block)).otherwise(F.size(below))
+def id_borders(docs: DataFrame, most: int, size: Column) -> np.ndarray:
+    """Borders between blocks of consecutive doc_ids whose sizes add up to about `most`: the greatest id of
+    each block but the last. All rows of one id are in one block.
+
+    Ids and sizes are sorted by range; each range is cut where its running sum asks for it. The driver
+    gets one number a block.
+    """
+    sized = docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id")).agg(
+        F.sum(size).alias("size")
+    )
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = 0
+        for batch in batches:
+            ids, sizes = batch.column("id").to_numpy(), batch.column("size").to_numpy()
+            found = []
+            for i, size in zip(ids.tolist(), sizes.tolist()):
+                held += size
+                if held >= most:
+                    found.append(i)
+                    held = 0
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], ["id"])
+
+    ordered = sized.repartitionByRange(shuffle_partitions(docs.sparkSession), "id")
+    borders = ordered.sortWithinPartitions("id").mapInArrow(cut, "id long").toArrow()
+    return np.sort(borders.column("id").to_numpy())
+
+
+def block_of_id(borders: np.ndarray, null_block: int) -> Column:
+    """The number of the block of `id_borders` that a row's doc_id is in."""
+
+    @F.pandas_udf("int")
+    def place(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(borders, ids.to_numpy(np.int64), "left"))
+
+    known = place(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
+    return F.when(F.col("doc_id").isNull(), F.lit(null_block)).otherwise(known)
 
 
-def n_blocks_of(docs: DataFrame, rows_per_block: int = 1500) -> int:
-    return max(1, -(-docs.count() // rows_per_block))
+def n_blocks_of(docs: DataFrame, block_bytes: int = 4 << 20) -> int:
+    size = docs.agg(F.sum(text_bytes())).first()[0] or 0
+    return max(1, -(-size // block_bytes))
 
 
 def blocked(docs: DataFrame, n_blocks: int, block: Column | None = None) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbrow.llm.common import block_of_id, id_splits, sha256_hex, text_or_empty
+from plumbrow.llm.common import block_of_id, id_borders, sha256_hex, text_or_empty
 
 BUCKETS = 128
 CEILING = 256
@@ -98,9 +98,8 @@ def in_descending_blocks(docs: DataFrame, rows_per_block: int) -> tuple[DataFram
     """doc_id, text, block, copied: every document, and in each block the first one after it."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
     ids = rows.select("doc_id")
-    n_blocks = max(1, -(-ids.count() // rows_per_block))
-    splits = id_splits(ids, n_blocks)
-    block = block_of_id(splits, null_block=0)
+    borders = id_borders(ids, rows_per_block, F.lit(1))
+    block = block_of_id(borders, null_block=0)
     order = Window.orderBy(F.desc("b"))
     heads = (
         ids.groupBy(block.alias("b"))
@@ -115,7 +114,7 @@ def in_descending_blocks(docs: DataFrame, rows_per_block: int) -> tuple[DataFram
     copy = F.struct(F.col("before").alias("block"), F.lit(True).alias("copied"))
     places = F.when(F.col("b").isNull(), F.array(own)).otherwise(F.array(own, copy))
     spread = joined.select("doc_id", "text", F.explode(places).alias("p"))
-    return spread.select("doc_id", "text", "p.block", "p.copied"), len(splits) + 1
+    return spread.select("doc_id", "text", "p.block", "p.copied"), len(borders) + 1
 
 
 COMPARED = (

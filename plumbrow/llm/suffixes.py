@@ -3,25 +3,25 @@
 Every word starts a suffix of its document, looked at to a depth of `window` words. A suffix is written
 as a 64-bit path: five bits for each of its first words (the branches taken near the root) and the
 rest a hash of all its words (the last, long edge). Sorted paths are the leaves of the suffix tree
-from left to right, and two neighbours' common leading words are the depth of the node they part at.
+from left to right; leaves that agree hang from one internal node at the full depth, which is a repeat of
+`window` words. Whatever is longer repeats in all its windows, so these nodes decide what is removed.
 
 1. Prefixes of variable length split the tree into subtrees that fit in memory: prefixes of three words are
    counted over the whole corpus, and those with more than `group` suffixes are counted three words (or
    15 bits of the last edge) deeper, until none is too large. Neighbouring small ones share a group.
-2. Documents are dealt to blocks of consecutive doc_ids, in order. A block sends each group its distinct
-   paths, sorted, in one row. So a passage that a third of all documents share is sent once by a
+2. Documents are dealt to blocks of consecutive doc_ids and some megabytes. A block sends each group its
+   distinct paths, sorted, in one row. So a passage that a third of all documents share is sent once by a
    block, and since a smaller block holds smaller ids, no ids need to be sent.
-3. A group merges its paths and builds its subtree's deep internal nodes (those at the full depth): each may
-   be a repeat of at least `window` words. It answers every block which of the paths another block holds
-   as well, as a bit for each path sent.
+3. A group merges its paths and finds its subtree's deep internal nodes. It answers every block which of the
+   paths another block holds as well, as a bit for each path sent.
 4. Paths never decide, as windows that begin with the same words share most of their bits. A block sends
    the 128-bit hashes of the words of all windows on such paths to the same groups, which answer with a
    bit for each hash that an earlier block holds as well.
 5. A block drops each word covered by a window that an earlier block, or a document with a smaller id in
    the same block, holds too, by its 128 bits.
 
-The 128 bits are a hash of the whole window's bytes and do not depend on its path: two different windows
-agree in them once in 10^38 pairs, however many begin alike.
+Words are found and hashed for a block at once (plumbrow.llm.words). The 128 bits of a window do not depend on its
+path: two different windows agree in them once in 10^38 pairs, however many begin alike.
 
 Defined results: a NULL or empty text has no words; a NULL doc_id counts as greater than any, and all NULL
 ids as one document, as do rows that repeat a doc_id: they lose nothing to each other; an empty table
@@ -30,26 +30,26 @@ gives no rows. Other input columns are returned as they are in the struct `doc`,
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbrow.llm.common import (
-    WordHashes,
     block_of_id,
     blocked,
-    id_splits,
-    kept,
-    n_blocks_of,
+    id_borders,
     shuffle_partitions,
+    stage,
+    text_bytes,
     text_or_empty,
     texts_of,
 )
 from plumbrow.llm.mph import mixed
+from plumbrow.llm.words import Words
 
 WINDOW = 13
 _SYMBOL = 5
@@ -57,12 +57,15 @@ _BRANCHES = 6
 _STEP_BITS = 15  # three symbols
 _GROUP = 2_000_000
 _NO_ID = (1 << 63) - 1
-HASH = np.dtype("S16")  # of one length all, so that trailing zeros tell apart as other bytes do
+_WINDOW_TIMES = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
+#: Bytes of text in a block.
+_BLOCK = 4 << 20
 
 PATHS = "block int, part int, paths binary"
 ANSWERS = "block int, part int, known binary, exact boolean"
 HASHES = "block int, part int, hashes binary"
 
+
 def paths_of(hashes: np.ndarray, window: int) -> np.ndarray:
     """The path of the suffix at each place that has `window` words."""
     n = len(hashes) - window + 1
@@ -83,87 +86,136 @@ def paths_of(hashes: np.ndarray, window: int) -> np.ndarray:
 class Block:
     """The words and paths of some documents, in ascending order of their ids."""
 
-    def __init__(self, texts: Iterable[bytes], window: int):
+    def __init__(self, texts: Sequence[bytes], window: int):
         self.window = window
-        self.words: list[bytes] = []
-        self.ends: list[int] = []
-        hashes = []
-        known = kept("word hashes", WordHashes)
-        for text in texts:
-            words = text.split()
-            self.words.extend(words)
-            self.ends.append(len(self.words))
-            hashes.append(known.of(words))
-        paths = paths_of(np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), window)
-        sizes = np.diff(self.ends, prepend=0)
-        self.document = np.repeat(np.arange(len(self.ends)), sizes)
-        left = np.repeat(np.asarray(self.ends), sizes) - np.arange(len(self.words))
+        self.words = Words(texts)
+        self._hashes = self.words.hashes()
+        paths = paths_of(self._hashes[0], window)
+        ends = self.words.ends
+        sizes = np.diff(ends, prepend=0)
+        self.document = np.repeat(np.arange(len(ends)), sizes)
+        left = np.repeat(ends, sizes) - np.arange(len(self.words))
         self.starts = np.flatnonzero(left[: len(paths)] >= window)
         self.paths = paths[self.starts]
 
-    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted distinct paths, the first suffix of each, and each suffix's place among them."""
-        return np.unique(self.paths, return_index=True, return_inverse=True)
-
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted distinct paths, and whether each is here more than once."""
+        paths = np.sort(self.paths)
+        new = np.flatnonzero(np.concatenate(([True], paths[1:] != paths[:-1]))[: len(paths)])
+        return paths[new], np.diff(new, append=len(paths)) > 1
 
     def hashes_at(self, starts: np.ndarray) -> np.ndarray:
-        """128-bit hashes of the words of the windows that begin at these words."""
-        digest, words, window = xxhash.xxh3_128_digest, self.words, self.window
-        data = b"".join([digest(b" ".join(words[i : i + window])) for i in starts.tolist()])
-        return np.frombuffer(data, HASH)
+        """128-bit hashes of the windows that begin at these words, a row of two numbers each."""
+        out = np.empty((len(starts), 2), np.uint64)
+        for k, times in enumerate(_WINDOW_TIMES):
+            total = np.zeros(len(starts), np.uint64)
+            for i in range(self.window):
+                total *= times
+                total += self._hashes[1 - k][starts + i]
+            out[:, k] = mixed(total, k + 2)
+        return out
+
+
+def among(values: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Places of the values that are among the chosen ones, which are sorted and distinct.
+
+    A table of the low bits, which are hashed, leaves few to be looked up.
+    """
+    if not len(chosen):
+        return np.zeros(0, np.int64)
+    low = np.uint64((1 << max(16, len(chosen).bit_length() + 3)) - 1)
+    table = np.zeros(int(low) + 1, bool)
+    table[chosen & low] = True
+    maybe = np.flatnonzero(table[values & low])
+    at = np.minimum(np.searchsorted(chosen, values[maybe]), len(chosen) - 1)
+    return maybe[chosen[at] == values[maybe]]
+
+
+def ranked(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stable order of rows of two numbers, and whether each in this order equals the one before."""
+    order = np.lexsort((hashes[:, 1], hashes[:, 0]))
+    rows = hashes[order]
+    return order, np.concatenate(([False], (rows[1:] == rows[:-1]).all(axis=1)))[: len(rows)]
 
 
-def prefix_counts(docs: DataFrame, window: int, bits: int, within: list[int] | None) -> dict[int, int]:
-    """Suffixes under each prefix of so many bits; only under the given shorter prefixes, if any."""
-    inside = None if within is None else np.array(sorted(within), np.uint64)
+def prefix_counts(docs: DataFrame, window: int, bits: int, within: DataFrame | None) -> DataFrame:
+    """prefix, n: suffixes under each prefix of so many bits; only under the given shorter prefixes, if any."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, int] = {}
-        sums = np.zeros(1 << _STEP_BITS, np.int64) if inside is None else None
-        known = kept("word hashes", WordHashes)
-        for batch in batches:
-            for text in texts_of(batch):
-                paths = paths_of(known.of(text.split()), window)
-                prefix = paths >> np.uint64(64 - bits)
-                if inside is None:
-                    sums += np.bincount(prefix.astype(np.int64), minlength=len(sums))
-                    continue
-                prefix = prefix[np.isin(prefix >> np.uint64(_STEP_BITS), inside)]
-                for value, n in zip(*(x.tolist() for x in np.unique(prefix, return_counts=True))):
-                    total[value] = total.get(value, 0) + n
-        if sums is not None:
-            total = {int(p): int(sums[p]) for p in np.flatnonzero(sums)}
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())],
-            ["prefix", "n"],
-        )
+        few = bits <= _STEP_BITS
+        sums = np.zeros(1 << _STEP_BITS, np.int64) if few else None
+        for texts in _some_texts(batches):
+            prefixes = Block(texts, window).paths >> np.uint64(64 - bits)
+            if few:
+                sums += np.bincount(prefixes.astype(np.int64), minlength=len(sums))
+                continue
+            yield _counted(*np.unique(prefixes, return_counts=True))
+        if few:
+            yield _counted(np.flatnonzero(sums), sums[sums > 0])
 
     texts = docs.select(text_or_empty("text").alias("text"))
-    counted = texts.mapInArrow(count, "prefix long, n long").groupBy("prefix").agg(F.sum("n").alias("n"))
-    return {r["prefix"]: r["n"] for r in counted.collect()}
+    counted = texts.mapInArrow(count, "prefix long, n long")
+    if within is not None:
+        shorter = F.shiftrightunsigned("prefix", _STEP_BITS).alias("shorter")
+        inside = within.select(F.col("prefix").alias("shorter"))
+        counted = counted.withColumn("shorter", shorter).join(inside, "shorter", "left_semi")
+    return counted.groupBy("prefix").agg(F.sum("n").alias("n"))
+
+
+def _counted(prefixes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(prefixes.astype(np.int64)), pa.array(n.astype(np.int64))], ["prefix", "n"]
+    )
+
+
+def _some_texts(batches: Iterable[pa.RecordBatch], at_once: int = 4 << 20) -> Iterator[list[bytes]]:
+    held: list[bytes] = []
+    size = 0
+    for batch in batches:
+        for text in texts_of(batch):
+            held.append(text)
+            size += len(text)
+            if size >= at_once:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
 
 def group_borders(docs: DataFrame, window: int, group: int, groups: int) -> np.ndarray:
-    """The first path of each group; at most `group` suffixes in one, and about `groups` at least."""
-    counts = prefix_counts(docs, window, _STEP_BITS, None)
-    limit = max(1, min(group, sum(counts.values()) // groups))
-    sized = {(p << (64 - _STEP_BITS)): n for p, n in counts.items()}
-    bits = _STEP_BITS
-    heavy = [p for p, n in counts.items() if n > group]
-    while heavy and bits + _STEP_BITS <= 64:
-        for p in heavy:
-            del sized[p << (64 - bits)]
-        bits += _STEP_BITS
-        counts = prefix_counts(docs, window, bits, heavy)
-        sized |= {(p << (64 - bits)): n for p, n in counts.items()}
-        heavy = [p for p, n in counts.items() if n > group]
+    """The first path of each group; at most `group` suffixes in one, and about `groups` at least.
+
+    The shortest prefixes, 32,768 at most, are counted on the driver. Longer ones stay in a table, where
+    running sums under each shorter prefix form the groups; the driver gets the groups' borders.
+    """
+    counts = stage(prefix_counts(docs, window, _STEP_BITS, None), "prefix-counts")
+    rows = counts.orderBy("prefix").collect()
+    limit = max(1, min(group, sum(r["n"] for r in rows) // groups))
     borders, held = [0], 0
-    for start in sorted(sized):
-        if held and held + sized[start] > limit:
+    for row in rows:
+        start = row["prefix"] << (64 - _STEP_BITS)
+        if held + row["n"] > limit and start > borders[-1]:
             borders.append(start)
             held = 0
-        held += sized[start]
-    return np.array(borders, np.uint64)
+        held += row["n"]
+    bits = _STEP_BITS
+    heavy = counts.where(F.col("n") > group)
+    while bits + _STEP_BITS <= 64 and not heavy.isEmpty():
+        bits += _STEP_BITS
+        counts = stage(prefix_counts(docs, window, bits, heavy), "prefix-counts")
+        before = Window.partitionBy("shorter").orderBy("prefix")
+        upto = F.sum("n").over(before.rowsBetween(Window.unboundedPreceding, -1))
+        own = counts.withColumn("shorter", F.shiftrightunsigned("prefix", _STEP_BITS)).select(
+            "shorter", "prefix", F.floor(F.coalesce(upto, F.lit(0)) / limit).alias("part")
+        )
+        found = own.groupBy("shorter", "part").agg(F.min("prefix").alias("prefix")).collect()
+        borders += [r["prefix"] << (64 - bits) for r in found]
+        heavy = counts.where(F.col("n") > group)
+        if found:
+            # A group ends where the heavy prefix before it does.
+            after = {(r["shorter"] + 1) << (64 - bits + _STEP_BITS) for r in found}
+            borders += [x for x in after if x < 1 << 64]
+    return np.array(sorted(set(borders)), np.uint64)
 
 
 def packed_paths(paths: np.ndarray) -> bytes:
@@ -176,14 +228,6 @@ def unpacked_paths(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(rows).view(">u8").ravel().astype(np.uint64)
 
 
-def common_words(paths: np.ndarray, window: int) -> np.ndarray:
-    """Depth, in words, of the node at which each sorted path parts from the one before it."""
-    differ = paths[1:] ^ paths[:-1]
-    high = np.where(differ > 0, np.frexp(np.maximum(differ, 1).astype(np.float64))[1], 0)
-    words = np.minimum((64 - high) // _SYMBOL, min(_BRANCHES, window - 1))
-    return np.where(differ == 0, window, words)
-
-
 def _answers(key: tuple, blocks: np.ndarray, known: np.ndarray, sizes: list[int], exact: bool) -> pa.Table:
     out = np.split(known, np.cumsum(sizes)[:-1])
     return pa.table(
@@ -196,19 +240,15 @@ def _answers(key: tuple, blocks: np.ndarray, known: np.ndarray, sizes: list[int]
     )
 
 
-def _subtree(window: int):
-    def build(key: tuple, rows: pa.Table) -> pa.Table:
-        """Which paths several blocks hold."""
-        lists = [unpacked_paths(x) for x in rows.column("paths").to_pylist()]
-        paths = np.concatenate(lists)
-        leaves = np.argsort(paths, kind="stable")
-        deep = common_words(paths[leaves], window) >= window
-        shared = np.zeros(len(paths), bool)
-        shared[leaves[1:][deep]] = True
-        shared[leaves[:-1][deep]] = True
-        return _answers(key, rows.column("block").to_numpy(), shared, [len(x) for x in lists], False)
-
-    return build
+def _subtree(key: tuple, rows: pa.Table) -> pa.Table:
+    """Which paths several blocks hold: the deep internal nodes."""
+    lists = [unpacked_paths(x) for x in rows.column("paths").to_pylist()]
+    paths = np.concatenate(lists)
+    leaves = np.sort(paths)
+    deep = leaves[1:][leaves[1:] == leaves[:-1]]
+    shared = np.zeros(len(paths), bool)
+    shared[among(paths, np.unique(deep))] = True
+    return _answers(key, rows.column("block").to_numpy(), shared, [len(x) for x in lists], False)
 
 
 def _confirmed(key: tuple, rows: pa.Table) -> pa.Table:
@@ -216,11 +256,11 @@ def _confirmed(key: tuple, rows: pa.Table) -> pa.Table:
     blocks = rows.column("block").to_numpy()
     order = np.argsort(blocks, kind="stable")
     blobs = rows.column("hashes").to_pylist()
-    lists = [np.frombuffer(blobs[i], HASH) for i in order]
+    lists = [np.frombuffer(blobs[i], np.uint64).reshape(-1, 2) for i in order]
     hashes = np.concatenate(lists)
-    ranks = np.argsort(hashes, kind="stable")  # equal hashes stay in the order of their blocks
+    ranks, again = ranked(hashes)  # equal hashes stay in the order of their blocks
     known = np.zeros(len(hashes), bool)
-    known[ranks[1:][hashes[ranks[1:]] == hashes[ranks[:-1]]]] = True
+    known[ranks[again]] = True
     return _answers(key, blocks[order], known, [len(x) for x in lists], True)
 
 
@@ -236,21 +276,35 @@ def _in_order(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     return order, ids[order], [texts[int(i)].as_py() or b"" for i in order]
 
 
-def without_repeats(docs: DataFrame, window: int = WINDOW, group: int = _GROUP) -> DataFrame:
+def _in_chunks(texts: pa.Array, most: int = 1 << 30) -> pa.ChunkedArray:
+    """Texts as strings of 32-bit offsets, in as many chunks as these need."""
+    chunks, first, held = [], 0, 0
+    for i, size in enumerate(pc.binary_length(texts).to_pylist()):
+        if held and held + size > most:
+            chunks.append(texts.slice(first, i - first).cast(pa.string()))
+            first, held = i, 0
+        held += size
+    chunks.append(texts.slice(first).cast(pa.string()))
+    return pa.chunked_array(chunks)
+
+
+def without_repeats(
+    docs: DataFrame, window: int = WINDOW, group: int = _GROUP, block_bytes: int = _BLOCK
+) -> DataFrame:
     """doc (all input columns but the text), kept_text, n_words, n_removed, spans of every row.
 
     spans: the removed runs of words, from the first to the one after the last.
     """
     spark = docs.sparkSession
-    splits = id_splits(docs.select(F.col("doc_id").cast("long").alias("doc_id")), n_blocks_of(docs))
+    ends = id_borders(docs, block_bytes, text_bytes())
     borders = group_borders(docs, window, group, 2 * shuffle_partitions(spark))
     # In id order, so that smaller blocks hold smaller ids; NULL ids are in the last block.
-    blocks = blocked(docs, len(splits) + 1, block_of_id(splits, null_block=len(splits)))
+    blocks = blocked(docs, len(ends) + 1, block_of_id(ends, null_block=len(ends)))
     kind = blocks.schema["doc"].dataType.simpleString()
 
     def send(key: tuple, rows: pa.Table) -> pa.Table:
         _, _, texts = _in_order(rows)
-        paths, _, _ = Block(texts, window).distinct()
+        paths, _ = Block(texts, window).distinct()
         cuts = np.searchsorted(paths, borders[1:])
         out = [
             (i, packed_paths(part)) for i, part in enumerate(np.split(paths, cuts)) if len(part)
@@ -263,92 +317,95 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, group: int = _GROUP)
             }
         )
 
-    def shared_paths(block: Block, answers: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the distinct paths: whether another block holds it, its part; each suffix's place."""
-        paths, _, place = block.distinct()
+    def shared_paths(block: Block, answers: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct paths that another block holds, and those that are here more than once."""
+        paths, here = block.distinct()
         cuts = np.concatenate(([0], np.searchsorted(paths, borders[1:]), [len(paths)]))
         shared = np.zeros(len(paths), bool)
         for answer in answers:
             if not answer["exact"]:
                 a, b = cuts[answer["part"]], cuts[answer["part"] + 1]
                 shared[a:b] = _bits(answer["known"], b - a)
-        return shared, np.repeat(np.arange(len(borders)), np.diff(cuts)), place
+        return paths[shared], paths[here]
+
+    def asked_of(block: Block, shared: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Group by group: its number, the suffixes to ask it about, their windows' hashes."""
+        mine = among(block.paths, shared)
+        part = np.searchsorted(borders, block.paths[mine], "right") - 1
+        order = np.argsort(part, kind="stable")
+        mine, part = mine[order], part[order]
+        hashes = block.hashes_at(block.starts[mine])
+        first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))[: len(part)])
+        for a, z in zip(first, [*first[1:], len(part)]):
+            yield int(part[a]), mine[a:z], hashes[a:z]
 
     def confirm(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
         _, _, texts = _in_order(rows)
         block = Block(texts, window)
-        shared, part_of, place = shared_paths(block, answers.to_pylist())
-        mine = np.flatnonzero(shared[place])
-        hashes, part = block.hashes_at(block.starts[mine]), part_of[place[mine]]
-        parts = np.unique(part).tolist()
+        shared, _ = shared_paths(block, answers.to_pylist())
+        parts, lists = [], []
+        for part, _, hashes in asked_of(block, shared):
+            order, again = ranked(hashes)
+            parts.append(part)
+            lists.append(hashes[order[~again]].tobytes())
         return pa.table(
             {
                 "block": pa.array([key[0].as_py()] * len(parts), pa.int32()),
                 "part": pa.array(parts, pa.int32()),
-                "hashes": pa.array([np.unique(hashes[part == p]).tobytes() for p in parts], pa.binary()),
+                "hashes": pa.array(lists, pa.binary()),
             }
         )
 
     def repeats(block: Block, ids: np.ndarray, answers: list[dict]) -> np.ndarray:
         """Whether an earlier block or a smaller id in this one holds each suffix's window."""
-        shared, part_of, place = shared_paths(block, answers)
-        repeated = np.zeros(len(place), bool)
-        here = np.bincount(place, minlength=len(shared)) > 1
-        mine = np.flatnonzero((shared | here)[place])  # in the order of the ids
-        if not len(mine):
-            return repeated
-        hashes, first, same = np.unique(
-            block.hashes_at(block.starts[mine]), return_index=True, return_inverse=True
-        )
-        holder = ids[block.document[block.starts[mine]]]
-        repeated[mine] = holder[first[same]] < holder
-        sent, part = shared[place[mine]], part_of[place[mine]]
-        for answer in answers:
-            if answer["exact"]:
-                asked = np.flatnonzero(sent & (part == answer["part"]))
-                listed, at = np.unique(same[asked], return_inverse=True)
-                repeated[mine[asked]] |= _bits(answer["known"], len(listed))[at]
+        shared, here = shared_paths(block, answers)
+        repeated = np.zeros(len(block.starts), bool)
+        mine = among(block.paths, here)  # in the order of the ids
+        order, again = ranked(block.hashes_at(block.starts[mine]))
+        holder = ids[block.document[block.starts[mine[order]]]]
+        first = np.maximum.accumulate(np.where(again, 0, np.arange(len(order))))
+        repeated[mine[order]] = holder[first] < holder
+        exact = {x["part"]: x["known"] for x in answers if x["exact"]}
+        for part, asked, hashes in asked_of(block, shared):
+            order, again = ranked(hashes)
+            listed = np.cumsum(~again) - 1
+            repeated[asked[order]] |= _bits(exact[part], listed[-1] + 1)[listed]
         return repeated
 
     def drop(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
         order, ids, texts = _in_order(rows)
         block = Block(texts, window)
         repeated = repeats(block, ids, answers.to_pylist())
-        edges = np.zeros(len(block.words) + 1, np.int64)
-        np.add.at(edges, block.starts[repeated], 1)
-        np.add.at(edges, block.starts[repeated] + window, -1)
-        removed = np.cumsum(edges[:-1]) > 0
-        kept, n_words, n_removed, spans = [], [], [], []
-        start = 0
-        for end in block.ends:
-            mine = removed[start:end]
-            words = block.words[start:end]
-            runs = np.flatnonzero(np.diff(mine.astype(np.int8), prepend=0, append=0)).reshape(-1, 2)
-            spans.append([{"first": int(a), "stop": int(b)} for a, b in runs])
-            kept.append(b" ".join([w for w, gone in zip(words, mine.tolist()) if not gone]).decode())
-            n_words.append(len(words))
-            n_removed.append(int(mine.sum()))
+        n, ends = len(block.words), block.words.ends
+        edges = np.bincount(block.starts[repeated], minlength=n + 1)
+        edges = edges - np.bincount(block.starts[repeated] + window, minlength=n + 1)
+        removed = np.cumsum(edges[:n]) > 0
+        gone_before = np.concatenate(([0], np.cumsum(removed)))[np.concatenate(([0], ends))]
+        kept, spans, start = block.words.joined(~removed), [], 0
+        n_removed = np.diff(gone_before)
+        for end, any_gone in zip(ends.tolist(), n_removed > 0):
+            if any_gone:
+                mine = removed[start:end].astype(np.int8)
+                runs = np.flatnonzero(np.diff(mine, prepend=0, append=0)).reshape(-1, 2)
+                spans.append([{"first": int(a), "stop": int(b)} for a, b in runs])
+            else:
+                spans.append([])
             start = end
+        span = pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))
+        texts = pa.array(kept, pa.large_binary()).cast(pa.large_string())
         return pa.Table.from_arrays(
             [
                 rows.column("doc").take(pa.array(order)),
-                pa.chunked_array([pa.array(kept, pa.string())]),
-                pa.chunked_array([pa.array(n_words, pa.int64())]),
+                _in_chunks(texts),
+                pa.chunked_array([pa.array(np.diff(ends, prepend=0), pa.int64())]),
                 pa.chunked_array([pa.array(n_removed, pa.int64())]),
-                pa.chunked_array(
-                    [
-                        pa.array(
-                            spans,
-                            pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())])),
-                        )
-                    ]
-                ),
+                pa.chunked_array([pa.array(spans, span)]),
             ],
             ["doc", "kept_text", "n_words", "n_removed", "spans"],
         )
 
     sent = blocks.groupBy("block").applyInArrow(send, PATHS)
-    shared = sent.groupBy("part").applyInArrow(_subtree(window), ANSWERS)
+    shared = sent.groupBy("part").applyInArrow(_subtree, ANSWERS)
     asked = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(confirm, HASHES)
     answers = shared.unionByName(asked.groupBy("part").applyInArrow(_confirmed, ANSWERS))
     return (

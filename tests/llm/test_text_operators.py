@@ -20,6 +20,7 @@ from plumbrow.llm.queries import QUERIES
 from plumbrow.llm.simhash import block_masks, first_of_each, hex_of, near_duplicates
 from plumbrow.llm.common import WordHashes
 from plumbrow.llm.suffixes import group_borders, paths_of, without_repeats
+from plumbrow.llm.words import Words
 from tests.llm.fixtures import awkward_rows, table
 
 SF = "/root/testdata/sf0.001"
@@ -273,7 +274,7 @@ def test_heavy_prefixes_are_split_deeper(spark):
 
 
 def _hashes(text):
-    return np.array([xxhash.xxh3_64_intdigest(w) for w in text.encode().split()], np.uint64)
+    return Words([text.encode()]).hashes(1)[0]
 
 
 # fingerprints
@@ -333,8 +334,8 @@ def test_windows_whose_paths_agree_are_told_apart(spark):
     """Among 400,000 windows with the same six first words some paths agree in all 64 bits."""
     start = "one header before the unique text".split()
     windows = [[*start, *f"a{i} b c d e f g".split()] for i in range(400_000)]
-    flat = [w.encode() for words in windows for w in words]
-    paths = paths_of(WordHashes().of(flat), 13)[::13]
+    flat = " ".join(w for words in windows for w in words)
+    paths = paths_of(_hashes(flat), 13)[::13]
     order = np.argsort(paths, kind="stable")
     pairs = np.flatnonzero(paths[order][1:] == paths[order][:-1])
     assert len(pairs)
