@@ -22,6 +22,7 @@ from uuid import uuid4
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -106,9 +107,9 @@ def found_in(
         yield first, first + n_words, names
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[str, bytes]]]:
-    """The benchmark's items in blocks; the benchmark is a query set, read block by block."""
-    blocks: list[list[tuple[str, bytes]]] = [[]]
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
+    """The benchmark's items, block by block; the benchmark is a query set."""
+    block: list[tuple[str, bytes]] = []
     size = 0
     rows = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
@@ -117,46 +118,78 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[str, byte
     for row in rows.toLocalIterator():
         text = row["text"].encode()
         if size and size + len(text) > block_bytes:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((row["item"], text))
+            yield block
+            block, size = [], 0
+        block.append((row["item"], text))
         size += len(text)
-    return blocks
+    if block:
+        yield block
+
+
+def _taken(shared: Broadcast) -> tuple[str, list[tuple[str, bytes]]]:
+    """A broadcast value, which the worker does not keep."""
+    value = shared.value
+    shared.__dict__.pop("_value", None)
+    return value
+
+
+def _held(batches: Iterable[pa.RecordBatch], at_least: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in lists of so many bytes."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= at_least:
+            yield held
+            held = []
+    if held:
+        yield held
 
 
 def contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = 13, block_bytes: int = 8 << 20
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = 13,
+    block_bytes: int = 8 << 20,
+    texts_bytes: int = 64 << 20,
 ) -> DataFrame:
-    """doc (all input columns), n_words, n_hit, items (sorted ids), spans (of hit words)."""
+    """doc (all input columns), n_words, n_hit, items (sorted ids), spans (of hit words).
+
+    A benchmark of more than block_bytes passes the driver and the workers block by block; texts_bytes of
+    documents then meet one block's automaton after the other, each of which is released before the next.
+    """
     context = docs.sparkSession.sparkContext
     shared = [context.broadcast((uuid4().hex, b)) for b in _blocks(benchmark, block_bytes)]
+    several = len(shared) > 1
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hits: dict[int, list[tuple[int, int]]] = {}
-            items: dict[int, set[str]] = {}
-            for name, block in (x.value for x in shared):
-                built = kept((name, window), lambda block=block: automaton(block, window))
+        for held in _held(batches, texts_bytes if several else 0):
+            hits: dict[tuple[int, int], list[tuple[int, int]]] = {}
+            items: dict[tuple[int, int], set[str]] = {}
+            for block in shared:
+                name, found = _taken(block) if several else block.value
+                built = kept((name, window), lambda found=found: automaton(found, window))
+                for k, batch in enumerate(held):
+                    for i, text in enumerate(texts_of(batch)):
+                        for first, last, names in found_in(Words(text), built):
+                            hits.setdefault((k, i), []).append((first, last))
+                            items.setdefault((k, i), set()).update(names)
+            for k, batch in enumerate(held):
+                rows = []
                 for i, text in enumerate(texts_of(batch)):
-                    for first, last, names in found_in(Words(text), built):
-                        hits.setdefault(i, []).append((first, last))
-                        items.setdefault(i, set()).update(names)
-            rows = []
-            for i, text in enumerate(texts_of(batch)):
-                words = Words(text)
-                hit = words.covered(hits[i]) if i in hits else None
-                rows.append(
-                    {
-                        "n_words": len(words.words),
-                        "n_hit": int(hit.sum()) if i in hits else 0,
-                        "items": sorted(items.get(i, ())),
-                        "spans": words.spans(hit, text) if i in hits else [],
-                    }
+                    words = Words(text)
+                    hit = words.covered(hits[k, i]) if (k, i) in hits else None
+                    rows.append(
+                        {
+                            "n_words": len(words.words),
+                            "n_hit": 0 if hit is None else int(hit.sum()),
+                            "items": sorted(items.get((k, i), ())),
+                            "spans": [] if hit is None else words.spans(hit, text),
+                        }
+                    )
+                found = pa.RecordBatch.from_pylist(rows, schema=_FOUND)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc"), *found.columns], ["doc", *found.schema.names]
                 )
-            found = pa.RecordBatch.from_pylist(rows, schema=_FOUND)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), *found.columns], ["doc", *found.schema.names]
-            )
 
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
