@@ -20,6 +20,8 @@ from left to right; leaves that agree hang from one internal node at the full de
 5. A block drops each word covered by a window that an earlier block, or a document with a smaller id in
    the same block, holds too, by its 128 bits.
 
+`maximal_repeats` follows the subtrees below these nodes and returns their maximal repeats.
+
 Words are found and hashed for a block at once (plumbrow.llm.words). The 128 bits of a window do not depend on its
 path: two different windows agree in them once in 10^38 pairs, however many begin alike.
 
@@ -31,6 +33,7 @@ gives no rows. Other input columns are returned as they are in the struct `doc`,
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -98,6 +101,9 @@ class Block:
         self.starts = np.flatnonzero(left[: len(paths)] >= window)
         self.paths = paths[self.starts]
 
+    def word_numbers(self) -> np.ndarray:
+        return self._hashes[0].view(np.int64)
+
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct paths, and whether each is here more than once."""
         paths = np.sort(self.paths)
@@ -288,19 +294,21 @@ def _in_chunks(texts: pa.Array, most: int = 1 << 30) -> pa.ChunkedArray:
     return pa.chunked_array(chunks)
 
 
-def without_repeats(
-    docs: DataFrame, window: int = WINDOW, group: int = _GROUP, block_bytes: int = _BLOCK
-) -> DataFrame:
-    """doc (all input columns but the text), kept_text, n_words, n_removed, spans of every row.
+@dataclass
+class _Tree:
+    """The blocks of documents, the first path of each group, and the groups' answers to the blocks."""
 
-    spans: the removed runs of words, from the first to the one after the last.
-    """
+    blocks: DataFrame
+    borders: np.ndarray
+    shared: DataFrame
+
+
+def _tree(docs: DataFrame, window: int, group: int, block_bytes: int) -> _Tree:
     spark = docs.sparkSession
     ends = id_borders(docs, block_bytes, text_bytes())
     borders = group_borders(docs, window, group, 2 * shuffle_partitions(spark))
     # In id order, so that smaller blocks hold smaller ids; NULL ids are in the last block.
     blocks = blocked(docs, len(ends) + 1, block_of_id(ends, null_block=len(ends)))
-    kind = blocks.schema["doc"].dataType.simpleString()
 
     def send(key: tuple, rows: pa.Table) -> pa.Table:
         _, _, texts = _in_order(rows)
@@ -317,32 +325,59 @@ def without_repeats(
             }
         )
 
-    def shared_paths(block: Block, answers: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct paths that another block holds, and those that are here more than once."""
-        paths, here = block.distinct()
-        cuts = np.concatenate(([0], np.searchsorted(paths, borders[1:]), [len(paths)]))
-        shared = np.zeros(len(paths), bool)
-        for answer in answers:
-            if not answer["exact"]:
-                a, b = cuts[answer["part"]], cuts[answer["part"] + 1]
-                shared[a:b] = _bits(answer["known"], b - a)
-        return paths[shared], paths[here]
-
-    def asked_of(block: Block, shared: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    sent = blocks.groupBy("block").applyInArrow(send, PATHS)
+    return _Tree(blocks, borders, sent.groupBy("part").applyInArrow(_subtree, ANSWERS))
+
+
+def _shared_paths(
+    block: Block, borders: np.ndarray, answers: list[dict]
+) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct paths that another block holds, and those that are here more than once."""
+    paths, here = block.distinct()
+    cuts = np.concatenate(([0], np.searchsorted(paths, borders[1:]), [len(paths)]))
+    shared = np.zeros(len(paths), bool)
+    for answer in answers:
+        if not answer["exact"]:
+            a, b = cuts[answer["part"]], cuts[answer["part"] + 1]
+            shared[a:b] = _bits(answer["known"], b - a)
+    return paths[shared], paths[here]
+
+
+def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """First and last + 1 of each stretch of equal values."""
+    first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))[: len(values)])
+    return zip(first.tolist(), [*first[1:].tolist(), len(values)])
+
+
+def _by_group(block: Block, borders: np.ndarray, chosen: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Group by group: its number and the suffixes of the block on the chosen paths."""
+    mine = among(block.paths, chosen)
+    part = np.searchsorted(borders, block.paths[mine], "right") - 1
+    order = np.argsort(part, kind="stable")
+    for a, z in _runs(part[order]):
+        yield int(part[order[a]]), mine[order[a:z]]
+
+
+def without_repeats(
+    docs: DataFrame, window: int = WINDOW, group: int = _GROUP, block_bytes: int = _BLOCK
+) -> DataFrame:
+    """doc (all input columns but the text), kept_text, n_words, n_removed, spans of every row.
+
+    spans: the removed runs of words, from the first to the one after the last.
+    """
+    tree = _tree(docs, window, group, block_bytes)
+    blocks, borders, shared = tree.blocks, tree.borders, tree.shared
+    kind = blocks.schema["doc"].dataType.simpleString()
+
+    def asked_of(block: Block, chosen: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Group by group: its number, the suffixes to ask it about, their windows' hashes."""
-        mine = among(block.paths, shared)
-        part = np.searchsorted(borders, block.paths[mine], "right") - 1
-        order = np.argsort(part, kind="stable")
-        mine, part = mine[order], part[order]
-        hashes = block.hashes_at(block.starts[mine])
-        first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))[: len(part)])
-        for a, z in zip(first, [*first[1:], len(part)]):
-            yield int(part[a]), mine[a:z], hashes[a:z]
+        for part, mine in _by_group(block, borders, chosen):
+            yield part, mine, block.hashes_at(block.starts[mine])
 
     def confirm(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
         _, _, texts = _in_order(rows)
         block = Block(texts, window)
-        shared, _ = shared_paths(block, answers.to_pylist())
+        shared, _ = _shared_paths(block, borders, answers.to_pylist())
         parts, lists = [], []
         for part, _, hashes in asked_of(block, shared):
             order, again = ranked(hashes)
@@ -358,7 +393,7 @@ def without_repeats(
 
     def repeats(block: Block, ids: np.ndarray, answers: list[dict]) -> np.ndarray:
         """Whether an earlier block or a smaller id in this one holds each suffix's window."""
-        shared, here = shared_paths(block, answers)
+        shared, here = _shared_paths(block, borders, answers)
         repeated = np.zeros(len(block.starts), bool)
         mine = among(block.paths, here)  # in the order of the ids
         order, again = ranked(block.hashes_at(block.starts[mine]))
@@ -404,8 +439,6 @@ def without_repeats(
             ["doc", "kept_text", "n_words", "n_removed", "spans"],
         )
 
-    sent = blocks.groupBy("block").applyInArrow(send, PATHS)
-    shared = sent.groupBy("part").applyInArrow(_subtree, ANSWERS)
     asked = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(confirm, HASHES)
     answers = shared.unionByName(asked.groupBy("part").applyInArrow(_confirmed, ANSWERS))
     return (
@@ -417,3 +450,200 @@ def without_repeats(
             "spans array<struct<first: long, stop: long>>",
         )
     )
+
+
+# Maximal repeats
+
+LEFTS = "block int, part int, paths binary, lefts binary"
+RECORDS = (
+    "part int, words binary, offsets array<int>, lefts array<long>, mixed array<boolean>, n long, "
+    "doc_id long, first long"
+)
+REPEATS = "n_words long, n_occurrences long, doc_id long, first long"
+_LEAF = 1 << 62
+
+
+def _left_words(block: Block, number: int) -> np.ndarray:
+    """A number for the word before each suffix; for the first of a text one of its own."""
+    words, ends = block.word_numbers(), block.words.ends
+    documents = block.document[block.starts]
+    begins = mixed(np.arange(len(ends), dtype=np.uint64) + np.uint64(number << 32), 9).view(np.int64)
+    is_first = np.concatenate(([0], ends[:-1]))[documents] == block.starts
+    return np.where(is_first, begins[documents], words[block.starts - 1])
+
+
+def _diverse(key: tuple, rows: pa.Table) -> pa.Table:
+    """Which paths come after different words. A block sends each path once for each word before it."""
+    lists = [np.frombuffer(x, np.uint64) for x in rows.column("paths").to_pylist()]
+    lefts = np.concatenate([np.frombuffer(x, np.int64) for x in rows.column("lefts").to_pylist()])
+    paths = np.concatenate(lists)
+    order = np.lexsort((lefts, paths))
+    same = paths[order[1:]] == paths[order[:-1]]
+    differ = same & (lefts[order[1:]] != lefts[order[:-1]])
+    found = np.zeros(len(paths), bool)
+    found[among(paths, np.unique(paths[order[1:][differ]]))] = True
+    return _answers(key, rows.column("block").to_numpy(), found, [len(x) for x in lists], True)
+
+
+def _lefts_sent(
+    block: Block, borders: np.ndarray, often: np.ndarray, lefts: np.ndarray
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Group by group: its number, its suffixes by path and word before, and which of these are new."""
+    for part, mine in _by_group(block, borders, often):
+        order = np.lexsort((lefts[mine], block.paths[mine]))
+        mine = mine[order]
+        p, x = block.paths[mine], lefts[mine]
+        new = np.concatenate(([True], (p[1:] != p[:-1]) | (x[1:] != x[:-1])))
+        yield part, mine, new
+
+
+def maximal_repeats(
+    docs: DataFrame, window: int = WINDOW, group: int = _GROUP, block_bytes: int = _BLOCK
+) -> DataFrame:
+    """n_words, n_occurrences, doc_id and first word of the first occurrence of every maximal repeat of at least
+    `window` words: a sequence that occurs more than once and would lose occurrences if a word on either side
+    were added. Every row is a text of its own here; a NULL doc_id comes last.
+
+    Only suffixes on deep nodes go on, and of these only those that come after different words. A block
+    sends a subtree the words from there to where repeats end, equal ones once with their number; the subtree's
+    suffixes are sorted by doubling depth, and the common words of neighbours give its internal nodes.
+    """
+    tree = _tree(docs, window, group, block_bytes)
+    blocks, borders, shared = tree.blocks, tree.borders, tree.shared
+
+    def often(block: Block, answers: list[dict]) -> np.ndarray:
+        return np.unique(np.concatenate(_shared_paths(block, borders, answers)))
+
+    def send_lefts(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
+        block = Block(_in_order(rows)[2], window)
+        lefts = _left_words(block, key[0].as_py())
+        parts, paths, before = [], [], []
+        chosen = often(block, answers.to_pylist())
+        for part, mine, new in _lefts_sent(block, borders, chosen, lefts):
+            parts.append(part)
+            paths.append(block.paths[mine[new]].tobytes())
+            before.append(lefts[mine[new]].tobytes())
+        return pa.table(
+            {
+                "block": pa.array([key[0].as_py()] * len(parts), pa.int32()),
+                "part": pa.array(parts, pa.int32()),
+                "paths": pa.array(paths, pa.binary()),
+                "lefts": pa.array(before, pa.binary()),
+            }
+        )
+
+    def send_words(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
+        _, ids, texts = _in_order(rows)
+        block = Block(texts, window)
+        answers = answers.to_pylist()
+        exact = {x["part"]: x["known"] for x in answers if x["exact"]}
+        chosen = often(block, answers)
+        is_often = np.zeros(len(block.starts), bool)
+        is_often[among(block.paths, chosen)] = True
+        # The first suffix after each from which no repeat goes on.
+        starts = block.starts
+        document = block.document[starts]
+        goes_on = (starts[1:] == starts[:-1] + 1) & (document[1:] == document[:-1])
+        stops = ~is_often | ~np.concatenate((goes_on, [False]))[: len(starts)]
+        ends = np.flatnonzero(stops)
+        lefts, words = _left_words(block, key[0].as_py()), block.word_numbers()
+        first_word = np.concatenate(([0], block.words.ends[:-1]))
+        out: dict[tuple, list] = {}
+        for part, mine, new in _lefts_sent(block, borders, chosen, lefts):
+            listed = np.cumsum(new) - 1
+            diverse = np.sort(mine[_bits(exact[part], int(listed[-1]) + 1)[listed]])
+            last = ends[np.searchsorted(ends, diverse)] if len(diverse) else diverse
+            for a, z in _runs(last):
+                some, end = diverse[a:z], int(last[a])
+                until = starts[end] + window - (0 if is_often[end] else 1)
+                data = words[starts[some[0]] : until].tobytes()
+                offsets = tuple((starts[some] - starts[some[0]]).tolist())
+                holder = int(document[some[0]])
+                found = out.get((part, data, offsets))
+                if found is None:
+                    at = int(starts[some[0]] - first_word[holder])
+                    out[part, data, offsets] = [lefts[some], np.zeros(len(some), bool), 1, int(ids[holder]), at]
+                else:
+                    found[1] |= found[0] != lefts[some]
+                    found[2] += 1
+        columns = list(zip(*[(p, d, o, x[0].tolist(), x[1].tolist(), *x[2:]) for (p, d, o), x in out.items()]))
+        names = ["part", "words", "offsets", "lefts", "mixed", "n", "doc_id", "first"]
+        kinds = [pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.bool_())]
+        kinds += [pa.int64()] * 3
+        return pa.table({n: pa.array(c, k) for n, c, k in zip(names, columns or [[]] * 8, kinds)})
+
+    def nodes(key: tuple, rows: pa.Table) -> pa.Table:
+        found = list(_maximal(rows.to_pylist(), window))
+        names = [c.split()[0] for c in REPEATS.split(", ")]
+        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, zip(*found) if found else [[]] * 4)})
+
+    asked = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(send_lefts, LEFTS)
+    answers = shared.unionByName(asked.groupBy("part").applyInArrow(_diverse, ANSWERS))
+    records = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(send_words, RECORDS)
+    repeats = records.groupBy("part").applyInArrow(nodes, REPEATS)
+    return repeats.withColumn("doc_id", F.nullif("doc_id", F.lit(_NO_ID)))
+
+
+def _maximal(records: list[dict], window: int) -> Iterator[tuple[int, int, int, int]]:
+    """The left-diverse internal nodes, of at least `window` words, of the tree of the records' suffixes."""
+    texts = [np.frombuffer(r["words"], np.int64) for r in records]
+    sizes = np.array([len(x) + 1 for x in texts])
+    begins = np.cumsum(sizes) - sizes
+    # Every text ends in a symbol of its own.
+    known, symbols = np.unique(np.concatenate(texts), return_inverse=True)
+    ranks = np.empty(sizes.sum(), np.int64)
+    for k, (begin, size) in enumerate(zip(begins, sizes)):
+        ranks[begin + size - 1] = len(known) + k
+    is_word = np.ones(len(ranks), bool)
+    is_word[begins + sizes - 1] = False
+    ranks[is_word] = symbols
+    levels, depth = [ranks], 1
+    while depth < sizes.max():
+        then = np.concatenate((ranks[depth:], np.full(min(depth, len(ranks)), -1)))[: len(ranks)]
+        order = np.lexsort((then, ranks))
+        new = (ranks[order[1:]] != ranks[order[:-1]]) | (then[order[1:]] != then[order[:-1]])
+        ranks = np.empty_like(ranks)
+        ranks[order] = np.concatenate(([0], np.cumsum(new)))
+        levels.append(ranks)
+        depth *= 2
+
+    leaves = []  # place, number, word before, id and first word of the first occurrence
+    for record, begin in zip(records, begins.tolist()):
+        for offset, left, mixed in zip(record["offsets"], record["lefts"], record["mixed"]):
+            where = (record["doc_id"], record["first"] + offset)
+            leaves.append((begin + offset, 1, left, where))
+            if record["n"] > 1:
+                leaves.append((begin + offset, record["n"] - 1, None if mixed else left, where))
+    place = np.array([x[0] for x in leaves])
+    order = np.argsort(ranks[place], kind="stable")
+    a, b = place[order[:-1]], place[order[1:]]
+    common = np.zeros(len(a), np.int64)
+    whole = a == b  # equal texts, counted twice
+    for level in range(len(levels) - 1, -1, -1):
+        # Symbols of their own keep the places inside their texts.
+        at = np.flatnonzero(~whole)
+        inside = at[np.maximum(a[at], b[at]) + common[at] < len(ranks)]
+        equal = inside[levels[level][a[inside] + common[inside]] == levels[level][b[inside] + common[inside]]]
+        common[equal] += 1 << level
+    ends = np.repeat(begins + sizes - 1, sizes)
+    common[whole] = ends[a[whole]] - a[whole]
+
+    def joined(x: list, y: list) -> list:
+        differ = x[2] or y[2] or x[1] is None or x[1] != y[1]
+        return [x[0] + y[0], x[1], differ, min(x[3], y[3])]
+
+    # Open nodes from the root on: depth, and what hangs from each so far: number, word before the first
+    # leaf, whether others have another, first occurrence. A leaf is deeper than any node.
+    stack: list[tuple[int, list]] = []
+    for depth, leaf in zip([-1, *common.tolist(), -1], [*order.tolist(), None]):
+        while stack and stack[-1][0] > depth:
+            size, inner = stack.pop()
+            if window <= size < _LEAF and inner[2]:
+                yield size, inner[0], *inner[3]
+            if stack and stack[-1][0] >= depth:
+                stack[-1] = (stack[-1][0], joined(stack[-1][1], inner))
+            else:
+                stack.append((depth, inner))
+        if leaf is not None:
+            _, n, left, where = leaves[leaf]
+            stack.append((_LEAF, [n, left, left is None and n > 1, where]))

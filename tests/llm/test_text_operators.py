@@ -19,9 +19,9 @@ from plumbrow.llm.mph import PerfectHash
 from plumbrow.llm.queries import QUERIES
 from plumbrow.llm.simhash import block_masks, first_of_each, hex_of, near_duplicates
 from plumbrow.llm.common import WordHashes
-from plumbrow.llm.suffixes import group_borders, paths_of, without_repeats
+from plumbrow.llm.suffixes import group_borders, maximal_repeats, paths_of, without_repeats
 from plumbrow.llm.words import Words
-from tests.llm.fixtures import awkward_rows, table
+from tests.llm.fixtures import awkward_rows, table, words
 
 SF = "/root/testdata/sf0.001"
 LAST = 1 << 63
@@ -264,6 +264,48 @@ def test_substrings(spark, rows, group):
     assert as_sorted(found.collect()) == sorted(substrings_by_force(rows), key=repr)
 
 
+def maximal_by_force(rows, window):
+    """Every sequence that occurs twice or more and loses occurrences if a word is added on either side."""
+    occurrences = defaultdict(list)
+    split = [(rank(i), (t or "").split()) for i, t, *_ in rows]
+    for i, found in split:
+        for a in range(len(found)):
+            for z in range(a + window, len(found) + 1):
+                left = found[a - 1] if a else None
+                right = found[z] if z < len(found) else None
+                occurrences[tuple(found[a:z])].append((i, a, left, right))
+    out = []
+    for sequence, where in occurrences.items():
+        left, right = ({x[k] for x in where} for k in (2, 3))
+        # No sequence goes on over the begin or the end of a text.
+        goes_left = len(left) == 1 and None not in left
+        goes_right = len(right) == 1 and None not in right
+        if len(where) > 1 and not goes_left and not goes_right:
+            i, a, *_ = min(where, key=lambda x: x[:2])
+            out.append((len(sequence), len(where), None if i == LAST else i, a))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("group, block_bytes", [(2_000_000, 1 << 20), (40, 300)])
+def test_maximal_repeats(spark, group, block_bytes):
+    one, two = words(30, 41), words(25, 42)
+    rows = [
+        (1, f"{words(10, 1)} {one} {words(8, 2)}", "en", "a"),
+        (2, f"{words(9, 3)} {one} {two}", "en", "a"),
+        (3, f"{one} {two} {words(5, 4)}", "en", "a"),
+        (4, f"{one} {two} {words(5, 4)}", "en", "a"),
+        (5, " ".join(one.split()[:15]) + " end", "en", "a"),
+        (6, f"x {' '.join(two.split()[3:])}", "en", "a"),
+        (7, " ".join(["tick", "tock"] * 12), "en", "a"),
+        (8, None, "en", "a"),
+        (None, f"y {' '.join(two.split()[3:20])} z", "en", "a"),
+        (9, words(100, 7), "en", "a"),
+    ]
+    rows += [(100 + i, f"{words(3, 500 + i)} {one} {words(3, 600 + i)}", "en", "hot") for i in range(15)]
+    found = maximal_repeats(table(spark, rows), window=6, group=group, block_bytes=block_bytes).collect()
+    assert as_sorted(found) == maximal_by_force(rows, 6)
+
+
 def test_heavy_prefixes_are_split_deeper(spark):
     text = " ".join(["same"] * 8 + ["%d"] + ["same"] * 4)
     docs = table(spark, [(i, text % i, "en", "a") for i in range(400)])
