@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from plumbrow.operators.lists import first_parts
@@ -25,7 +25,7 @@ from plumbrow.schema import ALL_FINDINGS_SCHEMA
 from plumbrow.settings import Settings
 from plumbrow.sources.sectors import standard_rows
 from plumbrow.sources.staging import in_same_scope, staged_until_done
-from plumbrow.sources.tables import TableRef, read_table, table_exists, write_table
+from plumbrow.sources.tables import TableRef, append_table, read_table, table_exists, write_table
 
 HISTORY_TABLE = "dq_run_history"
 FAILED = "error"
@@ -42,6 +42,13 @@ def run_check(
     return check.run(CheckInputs(standard_rows(mart, sector, settings), settings))
 
 
+def counting_findings(findings: DataFrame) -> tuple[DataFrame, Observation]:
+    """The same findings, which count themselves when they are first written or collected."""
+    counted = Observation()
+    is_first = F.col("part") == 1 if "part" in findings.columns else F.lit(True)
+    return findings.observe(counted, F.count_if(is_first).alias("n_findings")), counted
+
+
 def _common(findings: DataFrame, check: Check, sector: str) -> DataFrame:
     return first_parts(findings).withColumns(
         {"test_name": F.lit(check.test_name(sector)), "severity": F.lit(check.severity)}
@@ -107,8 +114,8 @@ def store_findings(
 ) -> DataFrame:
     """Run checks, save each one's findings to its own table, and append to the run history.
 
-    Each check runs once: its findings are counted from the table just written. A check that fails
-    keeps its former table and has status `error` in the history; the first such error is raised
+    Each check runs once: its findings are counted while they are written. A check that fails, be it
+    while it writes, keeps its former table and has status `error` in the history; the first such error is raised
     once the history is written. What was staged on the way is deleted. Only `place`'s catalog and
     schema are used. Returns this run's history rows.
     """
@@ -120,8 +127,9 @@ def store_findings(
     def store(check: Check) -> tuple:
         table = place.beside(check.test_name(sector))
         try:
-            write_table(check.run(inputs), table)
-            n_findings = first_parts(read_table(spark, table)).count()
+            found, counted = counting_findings(check.run(inputs))
+            write_table(found, table)
+            n_findings = counted.get["n_findings"]
             status = status_of(check.severity, n_findings)
         except Exception as error:
             errors.append(error)
@@ -134,7 +142,7 @@ def store_findings(
         prepare(inputs, checks, pool)
         results = list(pool.map(in_same_scope(store), checks))
     history = spark.createDataFrame(results, HISTORY_SCHEMA)
-    write_table(history, place.beside(HISTORY_TABLE), mode="append")
+    append_table(history, place.beside(HISTORY_TABLE))
     if errors:
         raise errors[0]
     return history

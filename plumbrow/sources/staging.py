@@ -73,7 +73,7 @@ def staged_until_done(spark: SparkSession) -> Iterator[None]:
     finally:
         _scope.reset(outer)
         for path in scope:
-            _delete(spark, path)
+            delete_path(spark, path)
 
 
 def in_same_scope(function: Callable) -> Callable:
@@ -91,9 +91,9 @@ def in_same_scope(function: Callable) -> Callable:
 
 def drop_staged(spark: SparkSession) -> None:
     """Delete this application's staged tables; frames built on them can no longer be run."""
-    _delete(spark, staging_root(spark))
+    delete_path(spark, staging_root(spark))
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def delete_path(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -6,6 +6,7 @@ import os
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from plumbrow.plans.findings import (
     HISTORY_TABLE,
@@ -123,6 +124,57 @@ def test_a_check_that_breaks_is_in_the_history(spark, place):
     assert [r["n_findings"] for r in history if r["check_name"] == "broken"] == [None]
 
 
+def numbers(n, broken=False):
+    """A check that finds n rows, or fails in a task when they are written."""
+
+    def find(rows, settings):
+        found = rows.sparkSession.range(n).select(F.col("id").cast("string").alias("uid"))
+        if broken:
+            return found.withColumn("uid", F.when(F.col("uid") == "1", F.raise_error(F.lit("broken off"))).otherwise("x"))
+        return found.select(
+            F.lit("numbers").alias("check_name"),
+            *[F.lit(None).cast("string").alias(c) for c in ("sector", "company", "schedule", "item")],
+            F.lit(None).cast("int").alias("disclosure_year"),
+            "uid",
+        )
+
+    return Check("numbers", ("rows",), find)
+
+
+def test_findings_outlive_a_run_that_fails_while_writing(spark, place):
+    mart = sample_mart(spark, SF_DIR)
+    table = place.beside("edb_dq_numbers")
+    store_findings(mart, "edb", place, SETTINGS, [numbers(5)])
+    with pytest.raises(Exception, match="broken off"):
+        store_findings(mart, "edb", place, SETTINGS, [numbers(9, broken=True)])
+    assert read_table(spark, table).count() == 5
+    store_findings(mart, "edb", place, SETTINGS, [numbers(7)])
+    assert read_table(spark, table).count() == 7
+    history = read_table(spark, place.beside(HISTORY_TABLE)).orderBy("run_at").collect()
+    assert [(r["n_findings"], r["status"]) for r in history] == [(5, "warn"), (None, "error"), (7, "warn")]
+
+
+def versions(spark, ref):
+    folder = spark.catalog.getDatabase(ref.schema).locationUri.removeprefix("file:")
+    return sorted(f for f in os.listdir(folder) if f.startswith(ref.identifier))
+
+
+def test_a_table_is_replaced_by_repointing_it(spark, place):
+    table = place.beside("numbers")
+    write_table(spark.range(3), table)
+    reader = read_table(spark, table)
+    write_table(read_table(spark, table).where("id > 0"), table)  # from itself
+    assert reader.count() == 3  # the former version stays for those who read it
+    assert read_table(spark, table).count() == 2
+    write_table(spark.range(8), table)
+    assert len(versions(spark, table)) == 2 and read_table(spark, table).count() == 8
+    with pytest.raises(Exception, match="no good"):
+        write_table(spark.range(4).select(F.raise_error(F.lit("no good")).cast("long").alias("id")), table)
+    assert len(versions(spark, table)) == 2 and read_table(spark, table).count() == 8
+    write_table(spark.range(2).withColumn("more", F.lit("x")), table)
+    assert read_table(spark, table).columns == ["id", "more"] and read_table(spark, table).count() == 2
+
+
 @pytest.mark.parametrize("master, needs", [("local[4]", False), ("local", False), ("yarn", True),
                                            ("local-cluster[2,1,1024]", True)])
 def test_a_cluster_needs_a_shared_folder(master, needs):
