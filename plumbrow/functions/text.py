@@ -78,21 +78,33 @@ def normalised_unit(column: Column) -> Column:
     )
 
 
-def number_text(column: Column) -> Column:
-    """A number in plain notation with the digits that tell it apart: 3.0 -> '3', 1e-7 -> '0.0000001'."""
-    text = column.cast("string")
-    sign = F.when(text.startswith("-"), "-").otherwise("")
-    size = F.ltrim(text, F.lit("-"))
-    digits = F.replace(F.split_part(size, F.lit("E"), F.lit(1)), F.lit("."), F.lit(""))
-    # The point stands after the first digit; the exponent says where it belongs.
-    places = F.split_part(size, F.lit("E"), F.lit(2)).try_cast("int")
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -places - 1), digits)
-    padded = F.rpad(digits, F.greatest(F.length(digits), places + 1), F.lit("0"))
-    large = F.concat(
-        F.substring(padded, F.lit(1), places + 1),
-        F.lit("."),
-        F.substring(padded, places + 2, F.length(padded)),
+def shortest_text(number: Column) -> Column:
+    """The digits that tell a number apart, as Java writes them: 3.0, 1.25E-4."""
+    return number.cast("string")
+
+
+def number_text(number: Column, shortest: Column | None = None) -> Column:
+    """A number in plain notation: 3.0 -> '3', 1e-7 -> '0.0000001'. `shortest` is its shortest_text.
+
+    Both arguments occur several times: let them be columns, not expressions, where rows are many. Up to ten million the
+    shortest text is plain already; a decimal holds nearly all others; the rest gets its zeros by hand.
+    """
+    shortest = shortest_text(number) if shortest is None else shortest
+    exact = number.try_cast("decimal(38,18)")
+    digits = F.replace(F.split_part(shortest, F.lit("E"), F.lit(1)), F.lit("."), F.lit(""))
+    power = F.split_part(shortest, F.lit("E"), F.lit(2)).try_cast("int")
+    sign = F.when(number < 0, "-").otherwise("")
+    bare = F.ltrim(digits, F.lit("-"))
+    # Beyond a decimal's range the point lies outside the digits.
+    far = F.when(power > 0, F.concat(sign, F.rpad(bare, power + 1, F.lit("0")))).otherwise(
+        F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), F.rtrim(bare, F.lit("0")))
     )
-    plain = F.when(places < 0, small).when(places >= 0, large).otherwise(size)
-    trimmed = F.rtrim(F.rtrim(plain, F.lit("0")), F.lit("."))
-    return F.concat(sign, F.when(plain.contains("."), trimmed).otherwise(plain))
+    return (
+        F.when(~shortest.contains("E"), _without_zeros(shortest))
+        .when(exact.cast("double") == number, _without_zeros(exact.cast("string")))
+        .otherwise(far)
+    )
+
+
+def _without_zeros(text: Column) -> Column:
+    return F.when(text.contains("."), F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text)

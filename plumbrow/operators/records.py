@@ -19,7 +19,7 @@ from plumbrow.functions.dates import (
     swapped_disclosure_year,
 )
 from plumbrow.functions.keys import any_of
-from plumbrow.functions.text import number_text
+from plumbrow.functions.text import number_text, shortest_text
 from plumbrow.operators.repeats import number_copies, repeat_candidates
 from plumbrow.schema import RECORD_ERROR_COLUMNS
 
@@ -48,6 +48,8 @@ DUPLICATE_ROW = "DUPLICATE_ROW"
 
 @dataclass(frozen=True)
 class Rule:
+    """A rule that looks at one record. The detail may name the texts of `_shown`."""
+
     name: str
     breaks: Column
     detail: Column
@@ -74,6 +76,34 @@ def _missing(*parts: tuple[Column, str]) -> Column:
     return F.concat(F.lit("Blank: "), F.concat_ws(" ", *named))
 
 
+def _shown() -> dict[str, Column]:
+    """The numbers that details show, by the name of their text."""
+    v = _values()
+    minutes, saidi, saifi = v["minutes"], v["saidi"], v["saifi"]
+    return {
+        "_early_minutes": F.round(-minutes, 1),
+        "_seconds": F.round(minutes * 60),
+        "_whole_minutes": F.round(minutes),
+        "_icps": v["icps"],
+        "_saidi": saidi,
+        "_saifi": saifi,
+        "_saifi_floor": F.round(F.try_divide(saidi, minutes), 5),
+        "_saifi_minutes": F.round(saifi * minutes, 5),
+    }
+
+
+def _with_shown_texts(records: DataFrame) -> DataFrame:
+    """The records with the texts of `_shown`, each formed once, in steps the planner keeps apart."""
+    shown = _shown()
+    return (
+        records.withColumns({f"{name}_number": number for name, number in shown.items()})
+        .withColumns({f"{name}_short": shortest_text(F.col(f"{name}_number")) for name in shown})
+        .withColumns(
+            {name: number_text(F.col(f"{name}_number"), F.col(f"{name}_short")) for name in shown}
+        )
+    )
+
+
 # The rule names and the wording of the details.
 def rules() -> list[Rule]:
     """The rules that look at one record. A rule with a NULL condition is not broken."""
@@ -111,9 +141,7 @@ def rules() -> list[Rule]:
         Rule(
             "END_BEFORE_START",
             minutes < 0,
-            F.concat(
-                text("End is "), number_text(F.round(-minutes, 1)), text(" min before start")
-            ),
+            F.concat(text("End is "), F.col("_early_minutes"), text(" min before start")),
         ),
         Rule("ZERO_DURATION", minutes == 0, text("Start and end are identical")),
         Rule(
@@ -121,7 +149,7 @@ def rules() -> list[Rule]:
             (minutes > 0) & (minutes < 1),
             F.concat(
                 text("Lasts "),
-                number_text(F.round(minutes * 60)),
+                F.col("_seconds"),
                 text(" s - not an interruption by definition"),
             ),
         ),
@@ -144,7 +172,7 @@ def rules() -> list[Rule]:
             "FRACTIONAL_ICPS",
             F.abs(icps - F.round(icps)) > 0.001,
             F.concat(
-                text("ICPs interrupted = "), number_text(icps), text(" (must be a whole number)")
+                text("ICPs interrupted = "), F.col("_icps"), text(" (must be a whole number)")
             ),
         ),
         Rule(
@@ -152,9 +180,9 @@ def rules() -> list[Rule]:
             (icps == 0) & ((saidi > 0) | (saifi > 0)),
             F.concat(
                 text("ICPs interrupted = 0 but SAIDI "),
-                number_text(saidi),
+                F.col("_saidi"),
                 text(", SAIFI "),
-                number_text(saifi),
+                F.col("_saifi"),
             ),
         ),
         Rule(
@@ -162,11 +190,11 @@ def rules() -> list[Rule]:
             (saifi == 0) & (icps > 0) & (minutes >= 1) & (saifi_floor >= 0.0001),
             F.concat(
                 text("SAIFI = 0 but SAIDI "),
-                number_text(saidi),
+                F.col("_saidi"),
                 text(" over "),
-                number_text(F.round(minutes)),
+                F.col("_whole_minutes"),
                 text(" min needs SAIFI >= "),
-                number_text(F.round(saifi_floor, 5)),
+                F.col("_saifi_floor"),
             ),
         ),
         Rule(
@@ -174,9 +202,9 @@ def rules() -> list[Rule]:
             (saifi > 0) & (minutes >= 1) & (saidi > saidi_ceiling),
             F.concat(
                 text("SAIDI "),
-                number_text(saidi),
+                F.col("_saidi"),
                 text(" > 2 x SAIFI x duration ("),
-                number_text(F.round(saifi * minutes, 5)),
+                F.col("_saifi_minutes"),
                 text(")"),
             ),
         ),
@@ -274,16 +302,17 @@ def duplicate_errors(interruptions: DataFrame) -> DataFrame:
 def single_record_errors(interruptions: DataFrame) -> DataFrame:
     """One row per record and broken rule, for the rules that look at one record."""
     checks = rules()
-    broken = [
-        F.when(r.breaks, F.struct(F.lit(r.name).alias("check_name"), r.detail.alias("detail")))
-        for r in checks
-    ]
-    # Sound records leave at the filter, before any detail is written.
+    broken = F.array(*[F.when(rule.breaks, rule.name) for rule in checks])
+    detail = F.lit(None).cast("string")
+    for rule in checks:
+        detail = F.when(F.col("check_name") == rule.name, rule.detail).otherwise(detail)
+    # Sound records leave at the filter, before anything is written about them.
+    flagged = interruptions.where(any_of([rule.breaks for rule in checks]))
     return (
-        interruptions.where(any_of([r.breaks for r in checks]))
-        .select(*_identity(), F.explode(F.array(*broken)).alias("_error"))
-        .where(F.col("_error").isNotNull())
-        .select(*_identity(), "_error.check_name", "_error.detail")
+        _with_shown_texts(flagged)
+        .withColumn("check_name", F.explode(broken))
+        .where("check_name IS NOT NULL")
+        .select(*_identity(), "check_name", detail.alias("detail"))
     )
 
 
@@ -295,7 +324,7 @@ def errors_of_rule(interruptions: DataFrame, name: str) -> DataFrame:
     if name not in by_name:
         raise ValueError(f"no rule {name!r}; rules: {', '.join(RULE_NAMES)}")
     rule = by_name[name]
-    return interruptions.where(rule.breaks).select(
+    return _with_shown_texts(interruptions.where(rule.breaks)).select(
         *_identity(), F.lit(name).alias("check_name"), rule.detail.alias("detail")
     )
 

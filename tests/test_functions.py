@@ -113,6 +113,11 @@ def test_variance_words_match_inside_words(spark, item, varies):
         (1.25e9, "1250000000"),
         (1e30, "1" + "0" * 30),
         (float("inf"), "Infinity"),
+        (0.0012345678901234567, "0.0012345678901234567"),
+        (1.2345678901234568e-5, "0.000012345678901234568"),
+        (-1e-25, "-0." + "0" * 24 + "1"),
+        (-1e22, "-1" + "0" * 22),
+        (1e7, "10000000"),
     ],
 )
 def test_number_text(spark, value, shown):

@@ -22,7 +22,9 @@ from plumbrow.operators.records import (
     record_errors,
     record_errors_summary,
     rules,
+    single_record_errors,
 )
+from plumbrow.sources.samples import sample_interruptions
 
 SCHEMA = (
     "edb string, disc_yr int, subnetwork string, row_num bigint, interruption_identifier string, "
@@ -270,3 +272,19 @@ def test_constraints(spark):
     unexpected = accepted_values(df, "class", ["B", "C"]).collect()
     assert [tuple(r) for r in unexpected] == [("X", 2)]
     assert not_null(df.where(F.col("class").isNotNull()), "class").isEmpty()
+
+
+def test_record_rules_compile(spark):
+    """The stages of all rules at once stay small enough to be compiled as a whole."""
+    records = sample_interruptions(spark, "/root/testdata/sf0.001")
+    name = "spark.sql.codegen.fallback"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        errors = record_errors(records)
+        assert errors.count() > 0
+        assert record_errors_summary(records).count() > 0
+    finally:
+        spark.conf.set(name, before)
+    plan = single_record_errors(records)._jdf.queryExecution().executedPlan().toString()
+    assert len(plan) < 60_000
