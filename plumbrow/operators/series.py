@@ -1,8 +1,9 @@
 """One company's line item over the years.
 
-A series has at most one value per disclosure year. Rows are first reduced to one per series and
-year, on the map side where they repeat, so the windows never see more rows of a series than there
-are years, however often a key occurs.
+A series has at most one value per disclosure year, so it is short. The rows are placed by their series'
+hash, once; years, medians, counts and the checks' verdicts are windows on that placement. A hash of so
+many rows that no series can be behind it is kept out of that: its rows are reduced to one per series and
+year on the map side first, so no task gathers them, however often a key occurs.
 """
 
 from __future__ import annotations
@@ -23,10 +24,8 @@ MONEY_UNITS = ("$000", "$000s", "$m", "$")
 SERIES_HASH = "_series_hash"
 _HASHED_KEY = [SERIES_HASH, *SERIES_KEY]
 
-# A hash shared by more rows than this is reduced on the map side before it is shuffled, unless
-# there are so many of these that they spread over the tasks by themselves.
-_LONG_SERIES = 1_000_000
-_MANY_HASHES = 1_000_000
+# Rows of a hash shared by more than this are reduced on the map side before they are shuffled.
+_LONG_SERIES = 10_000
 
 
 def over_series(aggregate: Column) -> Column:
@@ -50,30 +49,11 @@ def _keyed_values(rows: DataFrame) -> DataFrame:
     )
 
 
-def _series_of(values: DataFrame, settings: Settings) -> DataFrame:
-    """The rows of the usable series, which have one value a year in enough years.
-
-    Series are judged by numbers only, counted per year on the map side; their rows are joined
-    back.
-    """
-    per_year = values.groupBy(*_HASHED_KEY, "disclosure_year").agg(
-        F.count("*").alias("_n"), F.min(F.abs("value")).alias("_size")
-    )
-    usable = (
-        per_year.groupBy(*_HASHED_KEY)
-        .agg(
-            F.max("_n").alias("_most"),
-            F.count("*").alias("n_years"),
-            F.median("_size").alias("series_median"),
-        )
-        .where((F.col("_most") == 1) & (F.col("n_years") >= settings.series_min_years))
-        # Once for each series: every word is searched for.
-        .withColumn("is_variance_like", is_variance_like(line_item()))
-    )
+def _output(usable: DataFrame) -> DataFrame:
     return (
-        join_same(values, usable, _HASHED_KEY)
-        .withColumn("ratio_to_median", F.abs("value") / F.col("series_median"))
+        usable.withColumn("ratio_to_median", F.abs("value") / F.col("series_median"))
         .withColumn("item", line_item())
+        .withColumn("is_variance_like", is_variance_like(F.col("item")))
         .select(
             *STANDARD_SCHEMA.names,
             "item",
@@ -88,22 +68,69 @@ def _series_of(values: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+def _placed(values: DataFrame, settings: Settings) -> DataFrame:
+    """The usable series among values of which no hash has many: one exchange, by the hash."""
+    in_year = Window.partitionBy(*_HASHED_KEY, "disclosure_year")
+    n_here = F.count("*").over(in_year)
+    return (
+        values.repartition(SERIES_HASH)
+        .withColumn("_here", n_here)
+        .withColumns(
+            {
+                "_most": over_series(F.max("_here")),
+                "n_years": over_series(F.count("*")),  # with one value in each
+                "series_median": over_series(F.median(F.abs("value"))),
+            }
+        )
+        .where((F.col("_most") == 1) & (F.col("n_years") >= settings.series_min_years))
+    )
+
+
+def _reduced(values: DataFrame, settings: Settings) -> DataFrame:
+    """The usable series among any values: judged by numbers counted per year, rows joined back."""
+    per_year = values.groupBy(*_HASHED_KEY, "disclosure_year").agg(
+        F.count("*").alias("_n"), F.min(F.abs("value")).alias("_size")
+    )
+    usable = (
+        per_year.groupBy(*_HASHED_KEY)
+        .agg(
+            F.max("_n").alias("_most"),
+            F.count("*").alias("n_years"),
+            F.median("_size").alias("series_median"),
+        )
+        .where((F.col("_most") == 1) & (F.col("n_years") >= settings.series_min_years))
+    )
+    return join_same(values, usable, _HASHED_KEY)
+
+
+def _usable(values: DataFrame, long_hashes: DataFrame, settings: Settings) -> DataFrame:
+    if long_hashes.isEmpty():
+        return _placed(values, settings)
+    short = _placed(values.join(long_hashes, SERIES_HASH, "left_anti"), settings)
+    long = _reduced(values.join(long_hashes, SERIES_HASH, "left_semi"), settings)
+    columns = [*values.columns, "n_years", "series_median"]
+    return short.select(*columns).unionByName(long.select(*columns))
+
+
 def series_values(rows: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Every non-zero value of every series that is long enough, with the series' median size.
 
-    A series with two values in one year is left out.
+    A series with two values in one year is left out. Runs a job that looks for long hashes.
     """
-    return _series_of(_keyed_values(rows), settings)
+    values = _keyed_values(rows)
+    sizes = values.groupBy(SERIES_HASH).agg(F.count("*").alias("_n_alike"))
+    long_hashes = stage(sizes.where(F.col("_n_alike") > _LONG_SERIES), "long-series")
+    return _output(_usable(values, long_hashes.select(SERIES_HASH), settings))
 
 
 def uneven_series_values(rows: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """`series_values` without the steady series, in which no value can be out of place.
+    """`series_values` without the steady series, in which no value can be out of place, and without the
+    line items that vary.
 
     To be flagged, a value has to be at least ten times larger or smaller than another one of its
-    series, or a money value of the opposite sign; and the line item must not be one that varies.
-    The extremes of each series hash show where that may be. Two series under one hash only widen
-    the extremes, so none is missed. That takes one shuffle of a few numbers per series, and only
-    the rows of uneven series are shuffled with their labels.
+    series, or a money value of the opposite sign. The extremes of each series hash show where that may
+    be. Two series under one hash only widen the extremes, so none is missed. That takes one shuffle of a
+    few numbers per series, and only the rows of uneven series are shuffled with their labels, once.
     """
     values = _keyed_values(rows)
     size, money = F.abs("value"), F.when(F.col("units").isin(*MONEY_UNITS), F.col("value"))
@@ -115,9 +142,8 @@ def uneven_series_values(rows: DataFrame, settings: Settings = Settings()) -> Da
             F.max(size).alias("_largest"),
             F.min(money).alias("_lowest"),
             F.max(money).alias("_highest"),
-            F.min(is_variance_like(line_item())).alias("_varies"),
         )
-        .where((F.col("_n_alike") >= settings.series_min_years) & ~F.col("_varies"))
+        .where(F.col("_n_alike") >= settings.series_min_years)
         # A little under ten, for the rounding of the ratios.
         .where(
             (F.col("_largest") >= F.col("_smallest") * 9.99)
@@ -126,16 +152,9 @@ def uneven_series_values(rows: DataFrame, settings: Settings = Settings()) -> Da
         .select(SERIES_HASH, "_n_alike")
     )
     uneven = stage(uneven, "uneven-series")
-    is_long = F.col("_n_alike") > _LONG_SERIES
-
-    def of(hashes: DataFrame) -> DataFrame:
-        return values.join(hashes.select(SERIES_HASH), SERIES_HASH, "left_semi")
-
-    # When the hashes are too many to broadcast, the join places rows by hash and the years are
-    # counted in place. A long series is kept out of that: its hash is broadcast, and its rows
-    # shrink to one per year on the map side.
-    long_series = uneven.where(is_long)
-    if not 0 < long_series.count() <= _MANY_HASHES:
-        return _series_of(of(uneven), settings)
-    found = _series_of(of(uneven.where(~is_long)), settings)
-    return found.unionByName(_series_of(of(F.broadcast(long_series)), settings))
+    long_hashes = uneven.where(F.col("_n_alike") > _LONG_SERIES).select(SERIES_HASH)
+    # The words are searched for in the few rows that may matter.
+    suspect = values.join(uneven.select(SERIES_HASH), SERIES_HASH, "left_semi").where(
+        ~is_variance_like(line_item())
+    )
+    return _output(_usable(suspect, long_hashes, settings))
