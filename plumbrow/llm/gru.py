@@ -12,6 +12,9 @@ from dataclasses import dataclass
 
 import numpy as np
 
+#: Steps of the longest window in training.
+_LONGEST = 512
+
 NAMES = ("embedding", "w", "u", "b", "class_w", "class_b", "member_w", "member_b")
 
 
@@ -71,16 +74,31 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
+def _tanh(x: np.ndarray) -> np.ndarray:
+    """By the exponential, which numpy has vectorised everywhere."""
+    x *= 2
+    x = _sigmoid(x)
+    x *= 2
+    x -= 1
+    return x
+
+
 def forward(
-    net: Net, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray, keep: bool = False
+    net: Net,
+    inputs: np.ndarray,
+    fresh: np.ndarray,
+    state: np.ndarray,
+    keep: bool = False,
+    table: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray, list]:
     """States after each step of a window (steps, lanes, hidden), the last state, and what to keep.
 
-    inputs and fresh: (steps, lanes); a fresh step begins with an empty state.
+    inputs and fresh: (steps, lanes); a fresh step begins with an empty state. table: `input_table`.
     """
     h = net.shape.hidden
     steps, lanes = inputs.shape
-    x = (net.embedding[inputs.ravel()] @ net.w + net.b).reshape(steps, lanes, 3 * h)
+    rows = inputs.ravel()
+    x = (net.embedding[rows] @ net.w + net.b if table is None else table[rows]).reshape(steps, lanes, 3 * h)
     out = np.empty((steps, lanes, h), np.float32)
     kept = []
     any_fresh = fresh.any(axis=1)
@@ -88,47 +106,71 @@ def forward(
         if any_fresh[t]:
             state = state * ~fresh[t][:, None]
         a = state @ net.u
-        gates = _sigmoid(x[t, :, : 2 * h] + a[:, : 2 * h])
+        gates = x[t, :, : 2 * h]
+        gates += a[:, : 2 * h]
+        _sigmoid(gates)
         z, r = gates[:, :h], gates[:, h:]
-        n = np.tanh(x[t, :, 2 * h :] + r * a[:, 2 * h :])
-        new = n + z * (state - n)
+        n = r * a[:, 2 * h :]
+        n += x[t, :, 2 * h :]
+        n = _tanh(n)
         if keep:
             kept.append((state, z, r, n, a[:, 2 * h :]))
-        out[t] = state = new
+        new = out[t]
+        np.subtract(state, n, out=new)
+        new *= z
+        new += n
+        state = new
     return out, state, kept
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
+def input_table(net: Net) -> np.ndarray:
+    """What each input row adds to the gates."""
+    return net.embedding @ net.w + net.b
+
+
+def _softmax(logits: np.ndarray, small: bool = False) -> np.ndarray:
+    if not small:
+        logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    logits *= np.reciprocal(logits.sum(axis=1, keepdims=True))
     return logits
 
 
+def _small(w: np.ndarray, b: np.ndarray, axis: int) -> bool:
+    """Whether no logit can overflow; states lie between -1 and 1."""
+    return float((np.abs(w).sum(axis=axis) + np.abs(b)).max()) < 60
+
+
+def _by_class(classes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the tokens by class, and the first of each class."""
+    order = np.argsort(classes.astype(np.int16), kind="stable")
+    return order, np.concatenate(([0], np.cumsum(np.bincount(classes, minlength=n))))
+
+
 def log_probabilities(
     net: Net, states: np.ndarray, classes: np.ndarray, members: np.ndarray
 ) -> np.ndarray:
     """Natural log of P(class) * P(member | class) for each state (rows)."""
     logits = states @ net.class_w
     logits += net.class_b
-    rows = np.arange(len(states))
-    top = logits.max(axis=1)
-    chosen = logits[rows, classes] - top
-    logits -= top[:, None]
+    if not _small(net.class_w, net.class_b, 0):
+        logits -= logits.max(axis=1, keepdims=True)
+    chosen = logits[np.arange(len(states)), classes]
     np.exp(logits, out=logits)
     out = chosen - np.log(logits.sum(axis=1))
     offsets = net.shape.offsets
-    order = np.argsort(classes, kind="stable")
-    borders = np.searchsorted(classes[order], np.arange(net.shape.classes + 1))
-    ordered = states[order]
+    order, borders = _by_class(classes, net.shape.classes)
+    ordered, member = states[order], members[order]
     within = np.empty(len(states), np.float32)
+    small = _small(net.member_w, net.member_b, 1)
     for c in np.flatnonzero(np.diff(borders)):
         a, b = borders[c], borders[c + 1]
         block = slice(offsets[c], offsets[c + 1])
         logits = ordered[a:b] @ net.member_w[block].T
         logits += net.member_b[block]
-        logits -= logits.max(axis=1, keepdims=True)
-        chosen = logits[np.arange(b - a), members[order[a:b]]].copy()
+        if not small:
+            logits -= logits.max(axis=1, keepdims=True)
+        chosen = logits[np.arange(b - a), member[a:b]]
         np.exp(logits, out=logits)
         within[a:b] = chosen - np.log(logits.sum(axis=1))
     out[order] += within
@@ -143,55 +185,87 @@ def gradient(
     members: np.ndarray,
     weight: np.ndarray,
     state: np.ndarray,
+    grad: Net | None = None,
 ) -> tuple[Net, np.ndarray]:
-    """Gradient of the mean loss over one window, the state before it taken as given; the last state."""
+    """Gradient of the mean loss over one window, the state before it taken as given; the last state.
+
+    grad: a net to write the gradient to.
+    """
     h = net.shape.hidden
     steps, lanes = inputs.shape
     states, last, kept = forward(net, inputs, fresh, state, keep=True)
-    grad = Net(net.shape)
+    grad = Net(net.shape) if grad is None else grad
     flat, y = states.reshape(-1, h), classes.ravel()
     scale = (weight.ravel() / max(1.0, weight.sum())).astype(np.float32)
-    error = _softmax(flat @ net.class_w + net.class_b)
+    error = flat @ net.class_w
+    error += net.class_b
+    _softmax(error, _small(net.class_w, net.class_b, 0))
     error[np.arange(len(y)), y] -= 1
     error *= scale[:, None]
-    grad.class_w[:] = flat.T @ error
-    grad.class_b[:] = error.sum(axis=0)
+    np.matmul(flat.T, error, out=grad.class_w)
+    error.sum(axis=0, out=grad.class_b)
     back = error @ net.class_w.T
     offsets = net.shape.offsets
-    order = np.argsort(y, kind="stable")
-    borders = np.searchsorted(y[order], np.arange(net.shape.classes + 1))
-    member = members.ravel()
-    for c in np.flatnonzero(np.diff(borders)):
-        mine = order[borders[c] : borders[c + 1]]
+    order, borders = _by_class(y, net.shape.classes)
+    ordered, member, scaled = flat[order], members.ravel()[order], scale[order][:, None]
+    ordered_back = np.empty_like(ordered)
+    small = _small(net.member_w, net.member_b, 1)
+    for c in range(net.shape.classes):
+        a, b = borders[c], borders[c + 1]
         block = slice(offsets[c], offsets[c + 1])
-        error = _softmax(flat[mine] @ net.member_w[block].T + net.member_b[block])
-        error[np.arange(len(mine)), member[mine]] -= 1
-        error *= scale[mine, None]
-        grad.member_w[block] = error.T @ flat[mine]
-        grad.member_b[block] = error.sum(axis=0)
-        back[mine] += error @ net.member_w[block]
+        if a == b:
+            grad.member_w[block] = 0
+            grad.member_b[block] = 0
+            continue
+        mine, w = ordered[a:b], net.member_w[block]
+        error = mine @ w.T
+        error += net.member_b[block]
+        _softmax(error, small)
+        error[np.arange(b - a), member[a:b]] -= 1
+        error *= scaled[a:b]
+        np.matmul(error.T, mine, out=grad.member_w[block])
+        error.sum(axis=0, out=grad.member_b[block])
+        np.matmul(error, w, out=ordered_back[a:b])
+    back[order] += ordered_back
     back = back.reshape(steps, lanes, h)
     from_x = np.empty((steps, lanes, 3 * h), np.float32)
     from_u = np.empty((steps, lanes, 3 * h), np.float32)
     before = np.empty((steps, lanes, h), np.float32)
     carried = np.zeros((lanes, h), np.float32)
+    any_fresh = fresh.any(axis=1)
     for t in range(steps - 1, -1, -1):
         previous, z, r, n, a = kept[t]
-        d = back[t] + carried
-        dn = d * (1 - z) * (1 - n * n)
-        from_x[t, :, :h] = d * (previous - n) * z * (1 - z)
-        from_x[t, :, h : 2 * h] = dn * a * r * (1 - r)
-        from_x[t, :, 2 * h :] = dn
-        from_u[t] = from_x[t]
-        from_u[t, :, 2 * h :] *= r
+        d = back[t]
+        d += carried
+        dx, du = from_x[t], from_u[t]
+        dn = (1 - n * n) * d
+        dn *= 1 - z
+        dx[:, 2 * h :] = dn
+        np.multiply(dn, r, out=du[:, 2 * h :])
+        dr = du[:, 2 * h :] * a
+        dr *= 1 - r
+        dx[:, h : 2 * h] = dr
+        dz = (previous - n) * d
+        dz *= z
+        dz *= 1 - z
+        dx[:, :h] = dz
+        du[:, : 2 * h] = dx[:, : 2 * h]
         before[t] = previous
-        carried = (d * z + from_u[t] @ net.u.T) * ~fresh[t][:, None]
+        carried = du @ net.u.T
+        carried += d * z
+        if any_fresh[t]:
+            carried *= ~fresh[t][:, None]
     flat_x = from_x.reshape(-1, 3 * h)
     rows = inputs.ravel()
-    grad.u[:] = before.reshape(-1, h).T @ from_u.reshape(-1, 3 * h)
-    grad.w[:] = net.embedding[rows].T @ flat_x
-    grad.b[:] = flat_x.sum(axis=0)
-    np.add.at(grad.embedding, rows, flat_x @ net.w.T)
+    np.matmul(before.reshape(-1, h).T, from_u.reshape(-1, 3 * h), out=grad.u)
+    np.matmul(net.embedding[rows].T, flat_x, out=grad.w)
+    flat_x.sum(axis=0, out=grad.b)
+    to_rows = flat_x @ net.w.T
+    by_row = np.argsort(rows, kind="stable")
+    ranked = rows[by_row]
+    first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+    grad.embedding[:] = 0
+    grad.embedding[ranked[first]] = np.add.reduceat(to_rows[by_row], first, axis=0)
     return grad, last
 
 
@@ -225,15 +299,26 @@ class Adam:
 Document = tuple[np.ndarray, np.ndarray, np.ndarray]  # input rows, classes, members
 
 
-@dataclass
 class Cells:
     """A window over lanes: (steps, lanes) each. weight is 0 where a lane has run out."""
 
-    inputs: np.ndarray
-    fresh: np.ndarray
-    classes: np.ndarray
-    members: np.ndarray
-    weight: np.ndarray
+    def __init__(self, steps: int, lanes: int, begin: int):
+        self.codes = np.zeros((steps, lanes, 3), np.int32)
+        self.codes[:, :, 0] = begin
+        self.fresh = np.zeros((steps, lanes), bool)
+        self.weight = np.zeros((steps, lanes), np.float32)
+
+    @property
+    def inputs(self) -> np.ndarray:
+        return self.codes[:, :, 0]
+
+    @property
+    def classes(self) -> np.ndarray:
+        return self.codes[:, :, 1]
+
+    @property
+    def members(self) -> np.ndarray:
+        return self.codes[:, :, 2]
 
 
 class Feed:
@@ -245,7 +330,20 @@ class Feed:
 
     def __init__(self, lanes: list[Iterator[Document]], begin: int):
         self._begin = begin
-        self._lanes = [[lane, next(lane, None), 0] for lane in lanes]
+        self._lanes = [[lane, self._next(lane), 0] for lane in lanes]
+
+    def _next(self, lane: Iterator[Document]) -> np.ndarray | None:
+        """The next document's rows: the input (the word before), class and member of each token."""
+        found = next(lane, None)
+        if found is None:
+            return None
+        x, c, m = found
+        codes = np.empty((len(x), 3), np.int32)
+        codes[:1, 0] = self._begin
+        codes[1:, 0] = x[:-1]
+        codes[:, 1] = c
+        codes[:, 2] = m
+        return codes
 
     def running(self) -> list[int]:
         """Lanes with tokens left, numbered as in the last window; the others are given up."""
@@ -254,32 +352,21 @@ class Feed:
         return on
 
     def window(self, steps: int) -> Cells:
-        size = (steps, len(self._lanes))
-        cells = Cells(
-            np.full(size, self._begin, np.int32),
-            np.zeros(size, bool),
-            np.zeros(size, np.int64),
-            np.zeros(size, np.int64),
-            np.zeros(size, np.float32),
-        )
+        cells = Cells(steps, len(self._lanes), self._begin)
+        codes, fresh, weight = cells.codes, cells.fresh, cells.weight
         for i, lane in enumerate(self._lanes):
             at = 0
-            while at < steps and lane[1] is not None:
-                x, c, m = lane[1]
+            while at < steps and (rows := lane[1]) is not None:
                 start = lane[2]
-                n = min(steps - at, len(x) - start)
-                if start:
-                    cells.inputs[at : at + n, i] = x[start - 1 : start - 1 + n]
-                else:
-                    cells.fresh[at, i] = True
-                    cells.inputs[at + 1 : at + n, i] = x[: n - 1]
-                cells.classes[at : at + n, i] = c[start : start + n]
-                cells.members[at : at + n, i] = m[start : start + n]
-                cells.weight[at : at + n, i] = 1
+                n = min(steps - at, len(rows) - start)
+                codes[at : at + n, i] = rows[start : start + n]
+                weight[at : at + n, i] = 1
+                if start == 0:
+                    fresh[at, i] = True
                 at += n
                 lane[2] += n
-                if lane[2] == len(x):
-                    lane[1], lane[2] = next(lane[0], None), 0
+                if lane[2] == len(rows):
+                    lane[1], lane[2] = self._next(lane[0]), 0
         return cells
 
 
@@ -288,32 +375,34 @@ def train(
 ) -> int:
     """Truncated backpropagation over every token of the documents; how many these were.
 
-    A document's state is carried from window to window, as in scoring. A step of Adam is made of at
-    least half a full window's tokens, so that a long document that is left alone weighs no more.
+    A document's state is carried from window to window, as in scoring. With few lanes left windows get
+    longer, and a step of Adam is made of at least half a full window's tokens, so that a long document
+    that is left alone neither costs nor weighs more.
     """
     adam = Adam(net, rate)
     feed = Feed([documents] * lanes, begin)
     state = np.zeros((lanes, net.shape.hidden), np.float32)
     total, weight, tokens = np.zeros_like(net.flat), 0.0, 0
-    mean = Net(net.shape)
-
-    def step() -> None:
-        np.divide(total, np.float32(weight), out=mean.flat)
-        adam.step(mean)
-        total[:] = 0
-
+    grad = Net(net.shape)
     while on := feed.running():
-        w = feed.window(steps)
-        grad, state = gradient(net, w.inputs, w.fresh, w.classes, w.members, w.weight, state[on])
+        w = feed.window(min(_LONGEST, lanes * steps // len(on)))
+        if len(on) < len(state):
+            state = state[on]
+        _, state = gradient(net, w.inputs, w.fresh, w.classes, w.members, w.weight, state, grad)
         n = float(w.weight.sum())
+        tokens += int(n)
+        if weight == 0 and 2 * n >= lanes * steps:  # a step of its own, as nearly all are
+            adam.step(grad)
+            continue
         total += np.multiply(grad.flat, np.float32(n), out=grad.flat)
         weight += n
-        tokens += int(n)
         if 2 * weight >= lanes * steps:
-            step()
-            weight = 0.0
+            np.divide(total, np.float32(weight), out=grad.flat)
+            adam.step(grad)
+            total[:], weight = 0, 0.0
     if weight:
-        step()
+        np.divide(total, np.float32(weight), out=grad.flat)
+        adam.step(grad)
     return tokens
 
 
@@ -353,11 +442,12 @@ def score_documents(
     ends = [np.cumsum(lengths[lane]) for lane in order]
     out = np.zeros(len(documents))
     state = np.zeros((len(order), net.shape.hidden), np.float32)
+    table = input_table(net)
     t = 0
     while t < longest:
         on = len(feed.running())  # the longest lanes come first
         w = feed.window(min(longest - t, max(steps, at_once // on)))
-        states, state, _ = forward(net, w.inputs, w.fresh, state[:on])
+        states, state, _ = forward(net, w.inputs, w.fresh, state[:on], table=table)
         n = len(states)
         found = log_probabilities(
             net, states.reshape(n * on, -1), w.classes.ravel(), w.members.ravel()

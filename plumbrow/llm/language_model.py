@@ -254,7 +254,7 @@ SCORED = (
 
 
 def scored(
-    docs: DataFrame, training: Column, settings: Settings = Settings(), at_once: int = 1_200_000
+    docs: DataFrame, training: Column, settings: Settings = Settings(), at_once: int = 4_000_000
 ) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row."""
     context = docs.sparkSession.sparkContext
