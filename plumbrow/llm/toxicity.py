@@ -282,7 +282,8 @@ def _log_odds(scores: np.ndarray) -> np.ndarray:
 
 
 def best_threshold(scores: np.ndarray, labels: np.ndarray, rows: np.ndarray | None = None) -> float:
-    """The cut with the best F1, half-way (in log-odds) to the next lower score.
+    """The cut with the best F1: 0.5 where that separates as well, else half-way (in log-odds) between the last
+    score above it and the next lower one.
 
     With `rows`, each score stands for so many rows, and `labels` has how many of them are toxic.
     """
@@ -294,8 +295,10 @@ def best_threshold(scores: np.ndarray, labels: np.ndarray, rows: np.ndarray | No
     f1[:-1][s[:-1] == s[1:]] = -1  # a cut cannot part equal scores
     i = int(f1.argmax())
     odds = _log_odds(s)
-    middle = (odds[i] + odds[i + 1]) / 2 if i + 1 < len(odds) else odds[i] - 0.5
-    return float(_sigmoid(middle))
+    below = odds[i + 1] if i + 1 < len(odds) else min(odds[i], 0) - 1
+    if below < 0 <= odds[i]:
+        return 0.5
+    return float(_sigmoid((odds[i] + below) / 2))
 
 
 def _drawn(rows: DataFrame, n: int, of: int) -> DataFrame:
