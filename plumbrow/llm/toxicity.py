@@ -481,7 +481,8 @@ def judged(scores: DataFrame, model: Model | float) -> DataFrame:
             list(model.thresholds.items()), "lang string, cut double"
         )
         cut = F.coalesce("cut", F.lit(model.threshold))
-    rows = scores if cuts is None else scores.join(cuts, "lang", "left")
+    # A row for each language, which the driver has anyway; the scored documents stay where they are.
+    rows = scores if cuts is None else scores.join(F.broadcast(cuts), "lang", "left")
     return rows.select(
         "doc", "score", cut.alias("threshold"), (F.col("score") >= cut).alias("rejected")
     )
