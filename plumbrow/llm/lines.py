@@ -175,11 +175,15 @@ def _answer(key: tuple, requests: pa.Table, index: pa.Table) -> pa.Table:
 
 
 def _block_keys(texts: Iterable[bytes], least: int, n_shards: int) -> Iterator[tuple]:
-    """shard, keys, hashes of a block's distinct keys; both passes over a block get the same."""
+    """shard, keys, places of the shard's keys, their hashes, of a block's distinct keys.
+
+    A shard's keys are in the order of their hashes. The two passes over a block may get its rows in any
+    order, as they are fetched or merged, so places must not depend on that.
+    """
     keys = list(dict.fromkeys(k for t in texts for k in keys_of(t, least)))
     hashes = hashes_of(keys).view(np.int64)
     shards = np.mod(hashes[:, 1], n_shards)
-    order = np.argsort(shards, kind="stable")
+    order = np.lexsort((hashes[:, 0], hashes[:, 1], shards))
     borders = np.flatnonzero(np.diff(shards[order], prepend=-1, append=n_shards))
     for start, end in zip(borders[:-1], borders[1:]):
         mine = order[start:end]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from plumbrow.llm.decontaminate import contaminated, contamination, items_digest
 from plumbrow.llm.digest import CEILING, compared, difference, digest, likeness
-from plumbrow.llm.lines import deduplicated
+from plumbrow.llm.lines import _block_keys, deduplicated
 from plumbrow.llm.mph import PerfectHash
 from plumbrow.llm.queries import QUERIES
 from plumbrow.llm.simhash import block_masks, first_of_each, hex_of, near_duplicates
@@ -77,6 +77,15 @@ def test_lines(spark, rows):
     assert as_sorted(found.collect()) == sorted(lines_by_force(rows), key=repr)
 
 
+def test_places_of_keys_do_not_depend_on_the_order_of_rows():
+    texts = [f"line number {i}\nanother line {i % 7}\nshort".encode() for i in range(200)]
+
+    def placed(rows):
+        return {s: [keys[p] for p in mine] for s, keys, mine, _ in _block_keys(rows, 10, 5)}
+
+    assert placed(texts) == placed(texts[::-1]) == placed(texts[90:] + texts[:90])
+
+
 def test_lines_keep_other_columns(spark):
     found = deduplicated(table(spark, awkward_rows())).select("doc.*").drop_duplicates(["score"])
     assert [r["score"] for r in found.collect()] == ["s"]
