@@ -153,8 +153,8 @@ def uneven_series_values(rows: DataFrame, settings: Settings = Settings()) -> Da
     )
     uneven = stage(uneven, "uneven-series")
     long_hashes = uneven.where(F.col("_n_alike") > _LONG_SERIES).select(SERIES_HASH)
-    # The words are searched for in the few rows that may matter.
-    suspect = values.join(uneven.select(SERIES_HASH), SERIES_HASH, "left_semi").where(
-        ~is_variance_like(line_item())
-    )
+    # The words are searched for in the few rows that may matter. The condition reads a column of the other side, or
+    # the optimizer would move it below the join, to all rows.
+    matters = F.when(F.col("_n_alike") > 0, ~is_variance_like(line_item()))
+    suspect = values.join(uneven, SERIES_HASH).where(matters).drop("_n_alike")
     return _output(_usable(suspect, long_hashes, settings))

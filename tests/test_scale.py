@@ -245,6 +245,14 @@ def test_no_cross_joins(spark, rows, name):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_words_are_searched_for_once_and_after_the_join(spark, rows):
+    """A filter with the item's expression written out for every word is too large to be compiled."""
+    plan = uneven_series_values(rows, SETTINGS)._jdf.queryExecution().optimizedPlan().toString()
+    searching = [x for x in plan.splitlines() if "contains(" in x.lower()]
+    assert len(searching) == 1 and searching[0].count("concat_ws") == 1
+    assert "Join Inner" in searching[0]
+
+
 def test_lines_are_dealt_to_small_tasks(spark):
     lines = spark.range(1000).repartition(2).withColumnRenamed("id", "l_orderkey").localCheckpoint()
     assert samples._in_small_tasks(lines, 500).rdd.getNumPartitions() == 2
