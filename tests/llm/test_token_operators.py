@@ -94,6 +94,16 @@ def check_packing(tokenizer, rows, found, length):
     return by_sequence
 
 
+def test_stops_are_encoded_once(tokenizer):
+    encode = Encoder(tokenizer_path())
+    text = b"alpha&&& beta*** gamma.%%% alpha*** it's'! don't&&& snake_&& g\xc3\xa9n\xc3\xa9ral&&& \xc3\xbcber"
+    assert encode.ids(text) == Encoder(tokenizer_path(), chunked=False).ids(text)
+    asked = []
+    encode._encode = lambda texts: asked.extend(texts) or []
+    encode.ids(b"beta&&& gamma*** alpha.%%%")
+    assert not asked
+
+
 @pytest.mark.parametrize("length, windows", [(2048, 512), (64, 8)])
 def test_packing(spark, tokenizer, rows, length, windows):
     found = packed(
