@@ -10,8 +10,10 @@ look similar are confirmed on the full sets of their whole texts.
 No pairs within a group are listed: a comparison grows components, comparing each member with the unreached ones
 only, and hands on the links that hold them together. What looks similar so makes units: the members of a unit, and
 their whole texts, come together once and are compared in the same way on their full sets, so no link is lost.
-Nodes and units that are too large for a task are dealt to blocks, their first member to every block; whatever is not
-linked with it afterwards meets every block. Documents with equal sets are one member from the start.
+Nodes and units that are too large for a task are dealt to blocks, a few of their members to every block; whatever is not
+linked with the most of them afterwards meets every block. Crowds of near copies would go on to the nodes of all trees; so
+nodes that are large at some depth are compared in that way once, and branch again only while many of their
+members are apart from the crowd. Documents with equal sets are one member from the start.
 
 NULL, empty and blank texts have the empty set and are linked with nothing. Equal rows are members of one class.
 A NULL doc_id is never the smallest, unless all of a component are NULL. Sets are compared by 64-bit hashes of
@@ -41,6 +43,11 @@ UNIT = 1000
 UNIT_SHINGLES = 4_000_000
 #: Every path has two choices at least; nodes still large after so many are dense.
 DEEPEST = 9
+#: After so many choices large nodes are mostly crowds. They end when at most so many of a leaf's share are apart.
+CROWDED = 4
+FEW = 1 / 8
+#: Members of a large node or unit that every block gets, about.
+LEADS = 8
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _SLICE = 2048
@@ -139,7 +146,7 @@ def _signatures(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _branched(nodes: DataFrame, similarity: float) -> DataFrame:
-    """path, node and tokens, one level down."""
+    """The nodes (path, tokens and others), one level down."""
     path = F.col("path")
 
     def position(i: int) -> Column:
@@ -151,39 +158,76 @@ def _branched(nodes: DataFrame, similarity: float) -> DataFrame:
     share = int((1 / similarity - 1) * 1_000_000)
     has_second = F.pmod(F.xxhash64(path, F.lit(3)), F.lit(1_000_000)) < share
     children = F.array(child(1), F.when(has_second & (position(1) != position(2)), child(2)))
-    return nodes.select(F.explode(children).alias("path"), "node", "tokens").where("path IS NOT NULL")
+    others = [c for c in nodes.columns if c != "path"]
+    return nodes.select(F.explode(children).alias("path"), *others).where("path IS NOT NULL")
 
 
-def _nodes(classes: DataFrame, similarity: float, trees: int, leaf: int) -> DataFrame:
-    """path, block, node: what is to be compared; also the block's size, 0 unless it is one of many."""
+def _alike_pairs(classes: DataFrame, similarity: float, trees: int, leaf: int, need: int) -> DataFrame:
+    """a, b: links between similar sketches that connect what meets in the nodes of all trees."""
     tokens = classes.select("node", "tokens")
+    sketches = classes.select("node", "sketch")
     roots = F.explode(F.array(*[F.lit(t).cast("long") for t in range(trees)]))
     nodes = _branched(_branched(tokens.withColumn("path", roots), similarity), similarity)
-    found = []
+    groups, linked = [], None  # to be compared; star links of what has been
     for depth in range(2, DEEPEST + 1):
-        nodes = stage(nodes.select("path", "node"), "paths")
+        nodes = stage(nodes.drop("tokens"), "paths")
         sizes = nodes.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
         sized = stage(nodes.join(sizes, "path"), "sized-paths")
-        found.append(sized.where(F.col("size") <= leaf).select("path", F.lit(0).alias("block"), "node"))
+        groups.append(sized.where(F.col("size") <= leaf).select("path", F.lit(0).alias("block"), "node"))
         large = sized.where(F.col("size") > leaf)
         if large.isEmpty():
             break
-        if depth == DEEPEST:
-            found.append(_in_blocks(large, leaf))
-        else:
-            nodes = _branched(large.select("path", "node").join(tokens, "node"), similarity)
-    return reduce(DataFrame.unionByName, found)
+        if depth in (CROWDED, DEEPEST):
+            groups.append(_in_blocks(large, leaf))
+            pairs = _compared(reduce(DataFrame.unionByName, groups), sketches, need)
+            known = stage(components(pairs if linked is None else pairs.unionByName(linked)), "roots")
+            linked = known.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            groups = []
+            large = large.drop("root").join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        if depth >= CROWDED or depth == DEEPEST:
+            large = stage(_led(large, "path"), "crowds")
+            ends = F.lit(True) if depth == DEEPEST else F.col("apart") <= leaf * FEW
+            ended = large.where(ends).withColumns({"blocks": _blocks(leaf), "block": _block(leaf)})
+            groups.append(_everywhere(ended, "path", "block"))
+            large = large.where(~ends)
+            if large.isEmpty():
+                break
+        columns = [c for c in ("path", "node", "root") if c in large.columns]
+        nodes = _branched(large.select(*columns).join(tokens, "node"), similarity)
+    pairs = _compared(reduce(DataFrame.unionByName, groups), sketches, need)
+    return stage(pairs if linked is None else pairs.unionByName(linked), "pairs")
+
+
+def _blocks(leaf: int) -> Column:
+    return F.ceil(F.col("size") / leaf).cast("int")
+
+
+def _block(leaf: int) -> Column:
+    return F.pmod(F.xxhash64("node"), _blocks(leaf)).cast("int") + 1
+
+
+def _is_lead(size: str) -> Column:
+    """True for about LEADS members of a group, drawn by their hash."""
+    return F.pmod(F.xxhash64("node", F.lit(5)), F.col(size)) < LEADS
 
 
 def _in_blocks(large: DataFrame, leaf: int) -> DataFrame:
-    """The members of dense nodes in blocks numbered from 1, the first member in every block."""
-    blocks = F.ceil(F.col("size") / leaf).cast("int")
-    placed = large.select(
-        "path", (F.pmod(F.xxhash64("node"), blocks).cast("int") + 1).alias("block"), "node"
+    """The members of large nodes in blocks numbered from 1, a few of them in every block."""
+    every_block = F.sequence(F.lit(1), _blocks(leaf))
+    block = F.explode(F.when(_is_lead("size"), every_block).otherwise(F.array(_block(leaf))))
+    return large.select("path", block.alias("block"), "node")
+
+
+def _led(rooted: DataFrame, group: str) -> DataFrame:
+    """Adds `leads`, the most frequent root of the group, and `apart`, how many members have another one."""
+    counts = rooted.groupBy(group, "root").agg(F.count("*").alias("n"))
+    found = counts.groupBy(group).agg(
+        F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("all")
+    )
+    found = found.select(
+        group, F.col("most.root").alias("leads"), (F.col("all") - F.col("most.n")).alias("apart")
     )
-    first = large.groupBy("path").agg(F.min("node").alias("node"), F.max("size").alias("size"))
-    everywhere = first.select("path", F.explode(F.sequence(F.lit(1), blocks)).alias("block"), "node")
-    return placed.unionByName(everywhere).distinct()
+    return rooted.join(found, group)
 
 
 # Comparing nodes
@@ -250,33 +294,12 @@ def _pairs(found: Iterable[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _looking_similar(classes: DataFrame, nodes: DataFrame, need: int) -> DataFrame:
-    """node, root: components of what looks similar."""
-    sketches = classes.select("node", "sketch")
-    pairs = stage(_compared(nodes, sketches, need), "pairs")
-    roots = stage(components(pairs), "roots")
-    dense = nodes.where("block > 0")
-    if dense.isEmpty():
-        return roots
-    rooted = dense.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    first = dense.groupBy("path").agg(F.min("node").alias("node"), F.max("block").alias("blocks"))
-    leads = first.join(roots, "node", "left").select("path", "blocks", F.coalesce("root", "node").alias("leads"))
-    rooted = rooted.join(leads, "path")
-    again = stage(_everywhere(rooted, "path", "block"), "open-nodes")
-    if again.isEmpty():
-        return roots
-    more = stage(pairs.unionByName(_compared(again, sketches, need)), "pairs")
-    return stage(components(more), "roots")
-
-
-def _everywhere(rooted: DataFrame, group: str, block: str) -> DataFrame:
+def _everywhere(led: DataFrame, group: str, block: str) -> DataFrame:
     """The blocks (numbered from 1 to `blocks`) of groups in which some members' root is not the one that leads, with
     these members in every block."""
-    apart = rooted.where("root <> leads")
-    open_groups = rooted.join(apart.select(group).distinct(), group, "left_semi")
-    spread = apart.withColumn(block, F.explode(F.sequence(F.lit(1), F.col("blocks"))))
-    columns = [group, block, "node"]
-    return open_groups.select(*columns).union(spread.select(*columns)).distinct()
+    every_block = F.sequence(F.lit(1), F.col("blocks"))
+    blocks = F.when(F.col("root") != F.col("leads"), every_block).otherwise(F.array(F.col(block)))
+    return led.where("apart > 0").select(group, F.explode(blocks).alias(block), "node")
 
 
 # Confirming on full sets
@@ -355,28 +378,26 @@ def similar_links(
     similarity = percent / 100
     # Five standard deviations below what a pair on the limit has in common.
     need = math.floor(POSITIONS * similarity - 5 * math.sqrt(POSITIONS * similarity * (1 - similarity)))
-    nodes = stage(_nodes(classes, similarity, trees_for(recall, similarity), leaf), "nodes")
-    roots = _looking_similar(classes, nodes, need)
-    members = roots.withColumnRenamed("root", "unit").join(
+    pairs = _alike_pairs(classes, similarity, trees_for(recall, similarity), leaf, need)
+    members = components(pairs).withColumnRenamed("root", "unit").join(
         classes.select("node", "least", "h1", "h2", "n_shingles"), "node"
     )
+    members = stage(members, "members")
     most = F.greatest(F.count("*") / unit, F.sum("n_shingles") / UNIT_SHINGLES)
-    sizes = members.groupBy("unit").agg(F.ceil(most).cast("int").alias("blocks"))
+    sizes = members.groupBy("unit").agg(F.count("*").alias("size"), F.ceil(most).cast("int").alias("blocks"))
     members = stage(members.join(sizes, "unit").drop("n_shingles"), "units")
-    block = (F.pmod(F.xxhash64("node"), "blocks") + 1).cast("int")
+    members = members.withColumn("block", (F.pmod(F.xxhash64("node"), "blocks") + 1).cast("int"))
     every_block = F.sequence(F.lit(1), F.col("blocks"))
-    is_first = F.col("node") == F.col("unit")
-    placed = members.withColumn("block", F.explode(F.when(is_first, every_block).otherwise(F.array(block))))
+    in_blocks = F.explode(F.when(_is_lead("size"), every_block).otherwise(F.array("block")))
     columns = ["unit", "block", "node", "least", "h1", "h2"]
-    links = _confirmed(docs, placed.select(*columns), percent, length)
+    links = _confirmed(docs, members.withColumn("block", in_blocks).select(*columns), percent, length)
     large = members.where("blocks > 1")
     if large.isEmpty():
         return links
     roots = stage(components(links), "confirmed-roots")
-    rooted = placed.where("blocks > 1").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    leads = large.where(is_first).select("node").join(roots, "node", "left")
-    leads = leads.select(F.col("node").alias("unit"), F.coalesce("root", "node").alias("leads"))
-    again = _everywhere(rooted.join(leads, "unit"), "unit", "block")
+    links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    rooted = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    again = _everywhere(_led(rooted, "unit"), "unit", "block")
     again = stage(again.join(classes.select("node", "least", "h1", "h2"), "node"), "open-units")
     if again.isEmpty():
         return links

@@ -107,6 +107,27 @@ def test_dense_nodes_are_compared_in_blocks(spark, monkeypatch):
     assert of(spark, rows, length=2, leaf=12, unit=20) == by_force(rows)
 
 
+def test_crowds_end_in_few_nodes(spark, monkeypatch):
+    paths, stage = [], chosen_path.stage
+
+    def counted(df, label):
+        staged = stage(df, label)
+        if label == "paths":
+            paths.append(staged.count())
+        return staged
+
+    monkeypatch.setattr(chosen_path, "stage", counted)
+    base = words(120, 6)
+    rows = [(i, edited(base, 2, i)) for i in range(200)]
+    text = base
+    for k in range(8):  # a chain that leaves the crowd
+        text = edited(text, 5, 700 + k)
+        rows.append((1000 + k, text))
+    rows += [(5000 + i, words(100, 9500 + i)) for i in range(40)]
+    assert of(spark, rows, length=2, leaf=20, unit=30) == by_force(rows)
+    assert sum(paths[3:]) < paths[2]  # from five choices on; a crowd that goes on grows by a quarter each time
+
+
 def test_copies_and_very_long_texts(spark):
     long = words(400_000, 3)
     rows = [(i, "the same words in every copy of it", "en", "hot") for i in range(2000)]
