@@ -55,8 +55,7 @@ def tokenised(
         end = np.array([end_id], dtype=f"<u{width}").tobytes()
         for batch in batches:
             ids = []
-            for text in texts_of(batch):
-                found = known.ids(text)
+            for found in known.ids_of(texts_of(batch)):
                 if width != known.dtype.itemsize:
                     found = np.frombuffer(found, dtype=known.dtype).astype("<u4").tobytes()
                 ids.append(found + end)

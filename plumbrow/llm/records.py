@@ -104,8 +104,7 @@ def write_records(
         spans, offset, n_tokens = [], 0, 0
         with system.open_output_stream(f"{path}.rec") as data:
             for batch in batches:
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
-                    ids = encode.ids(text)
+                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode.ids_of(texts_of(batch))):
                     if wide != encode.dtype.itemsize:
                         ids = np.frombuffer(ids, dtype=encode.dtype).astype("<u4").tobytes()
                     record = framed(serialised(doc_id, ids + end, wide))

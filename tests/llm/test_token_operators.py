@@ -11,6 +11,7 @@ import pytest
 from pyarrow import fs
 from tokenizers import Tokenizer
 
+from plumbrow.llm import tokens
 from plumbrow.llm.common import run_folder
 from plumbrow.llm.kd_shards import kd_shards
 from plumbrow.llm.mixture import packed, round_robin
@@ -104,6 +105,20 @@ def test_stops_are_encoded_once(tokenizer):
     assert not asked
 
 
+@pytest.mark.parametrize("keep, group", [(0, 1 << 18), (700_000, 1 << 18), (20, 200)])
+def test_new_chunks_of_texts_are_encoded_together(tokenizer, monkeypatch, keep, group):
+    monkeypatch.setattr(tokens, "GROUP_BYTES", group)
+    texts = [f"alpha{c} beta, {c * 3}. g\u00e9n{c}! {i} don't" for i, c in enumerate("abcdefghij" * 3)]
+    texts += ["", " \n", "one <|endoftext|> two", "x" * 300, "alphaa beta,"]
+    encode, calls = Encoder(tokenizer_path(), keep=keep), []
+    plain = encode._encode
+    encode._encode = lambda asked: calls.append(asked) or plain(asked)
+    found = [np.frombuffer(x, encode.dtype).tolist() for x in encode.ids_of(t.encode() for t in texts)]
+    assert found == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    if group > 200:
+        assert len(calls) == 3  # words, other chunks, and the text with a special token
+
+
 @pytest.mark.parametrize("length, windows", [(2048, 512), (64, 8)])
 def test_packing(spark, tokenizer, rows, length, windows):
     found = packed(
