@@ -14,8 +14,10 @@ import numpy as np
 
 #: Steps of the longest window in training.
 _LONGEST = 512
+#: Rows of a softmax at once in scoring, few enough to stay in a core's cache.
+_ROWS = 2048
 
-NAMES = ("embedding", "w", "u", "b", "class_w", "class_b", "member_w", "member_b")
+NAMES = ("embedding", "w", "u", "b", "class_out", "member_out")
 
 
 @dataclass(frozen=True)
@@ -35,14 +37,16 @@ class Shape:
 
 
 class Net:
-    """Parameters, as one flat vector with named views."""
+    """Parameters, as one flat vector with named views.
+
+    Output biases lie beside their weights (class_out, member_out), for states with a one at the end.
+    """
 
     def __init__(self, shape: Shape, flat: np.ndarray | None = None):
         self.shape = shape
         h, d, c = shape.hidden, shape.dim, shape.classes
         members = int(sum(shape.sizes))
-        dims = ((shape.words + c + 1, d), (d, 3 * h), (h, 3 * h), (3 * h,))
-        dims += ((h, c), (c,), (members, h), (members,))
+        dims = ((shape.words + c + 1, d), (d, 3 * h), (h, 3 * h), (3 * h,), (h + 1, c), (members, h + 1))
         total = sum(int(np.prod(x)) for x in dims)
         self.flat = np.zeros(total, np.float32) if flat is None else flat
         at = 0
@@ -50,6 +54,10 @@ class Net:
             n = int(np.prod(dim))
             setattr(self, name, self.flat[at : at + n].reshape(dim))
             at += n
+        self.class_w, self.class_b = self.class_out[:h], self.class_out[h]
+        self.member_w, self.member_b = self.member_out[:, :h], self.member_out[:, h]
+        offsets = shape.offsets.tolist()
+        self.blocks = [self.member_out[a:b] for a, b in zip(offsets, offsets[1:])]  # by class
 
     @staticmethod
     def started(shape: Shape, class_mass: np.ndarray, member_mass: np.ndarray, seed: int) -> Net:
@@ -67,20 +75,11 @@ class Net:
         return net
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
-
-
-def _tanh(x: np.ndarray) -> np.ndarray:
-    """By the exponential, which numpy has vectorised everywhere."""
-    x *= 2
-    x = _sigmoid(x)
-    x *= 2
-    x -= 1
-    return x
+def _by_gate(net: Net, w: np.ndarray) -> np.ndarray:
+    """(rows, 3 * hidden) as (3, rows, hidden); of the two sigmoids' arguments the negative."""
+    parts = w.reshape(len(w), 3, net.shape.hidden).transpose(1, 0, 2).copy()
+    np.negative(parts[:2], out=parts[:2])
+    return parts
 
 
 def forward(
@@ -90,90 +89,102 @@ def forward(
     state: np.ndarray,
     keep: bool = False,
     table: np.ndarray | None = None,
-) -> tuple[np.ndarray, np.ndarray, list]:
+) -> tuple[np.ndarray, np.ndarray, tuple | None]:
     """States after each step of a window (steps, lanes, hidden), the last state, and what to keep.
 
-    inputs and fresh: (steps, lanes); a fresh step begins with an empty state. table: `input_table`.
+    inputs and fresh: (steps, lanes); a fresh step begins with an empty state. table: `input_table`,
+    where nothing is kept. Kept: the gates (3, steps, lanes, hidden) and what the state adds to the third before its gate.
     """
     h = net.shape.hidden
     steps, lanes = inputs.shape
-    rows = inputs.ravel()
-    x = (net.embedding[rows] @ net.w + net.b if table is None else table[rows]).reshape(steps, lanes, 3 * h)
+    if table is None:
+        x = net.embedding.take(inputs.ravel(), axis=0) @ _by_gate(net, net.w)
+        x += _by_gate(net, net.b[None])
+        x = x.reshape(3, steps, lanes, h)
+    u = _by_gate(net, net.u)
+    u_gates, u_new = u[:2], u[2]
     out = np.empty((steps, lanes, h), np.float32)
-    kept = []
-    any_fresh = fresh.any(axis=1)
+    added = np.empty((steps if keep else 1, lanes, h), np.float32)
+    a, work = np.empty((2, lanes, h), np.float32), np.empty((lanes, h), np.float32)
+    any_fresh = fresh.any(axis=1).tolist()
     for t in range(steps):
         if any_fresh[t]:
             state = state * ~fresh[t][:, None]
-        a = state @ net.u
-        gates = x[t, :, : 2 * h]
-        gates += a[:, : 2 * h]
-        _sigmoid(gates)
-        z, r = gates[:, :h], gates[:, h:]
-        n = r * a[:, 2 * h :]
-        n += x[t, :, 2 * h :]
-        n = _tanh(n)
-        if keep:
-            kept.append((state, z, r, n, a[:, 2 * h :]))
-        new = out[t]
+        of_step = x[:, t] if table is None else table.take(inputs[t], axis=1)
+        gates, n, new, from_state = of_step[:2], of_step[2], out[t], added[t if keep else 0]
+        np.matmul(state, u_gates, out=a)
+        np.matmul(state, u_new, out=from_state)
+        gates += a
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        np.multiply(gates[1], from_state, out=work)
+        n += work
+        np.tanh(n, out=n)
         np.subtract(state, n, out=new)
-        new *= z
+        new *= gates[0]
         new += n
         state = new
-    return out, state, kept
+    return out, state, (x, added) if keep else None
 
 
 def input_table(net: Net) -> np.ndarray:
     """What each input row adds to the gates."""
-    return net.embedding @ net.w + net.b
+    return net.embedding @ _by_gate(net, net.w) + _by_gate(net, net.b[None])
 
 
-def _softmax(logits: np.ndarray, small: bool = False) -> np.ndarray:
-    if not small:
-        logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits *= np.reciprocal(logits.sum(axis=1, keepdims=True))
-    return logits
+def _with_one(states: np.ndarray) -> np.ndarray:
+    out = np.ones((len(states), states.shape[1] + 1), np.float32)
+    out[:, :-1] = states
+    return out
 
 
-def _small(w: np.ndarray, b: np.ndarray, axis: int) -> bool:
+def _small(out: np.ndarray, axis: int) -> bool:
     """Whether no logit can overflow; states lie between -1 and 1."""
-    return float((np.abs(w).sum(axis=axis) + np.abs(b)).max()) < 60
+    size, ones = np.abs(out), np.ones(out.shape[axis], np.float32)
+    return float((ones @ size if axis == 0 else size @ ones).max()) < 60
 
 
-def _by_class(classes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _by_class(classes: np.ndarray, n: int) -> tuple[np.ndarray, list[int]]:
     """The order of the tokens by class, and the first of each class."""
     order = np.argsort(classes.astype(np.int16), kind="stable")
-    return order, np.concatenate(([0], np.cumsum(np.bincount(classes, minlength=n))))
+    return order, [0, *np.cumsum(np.bincount(classes, minlength=n)).tolist()]
 
 
 def log_probabilities(
     net: Net, states: np.ndarray, classes: np.ndarray, members: np.ndarray
 ) -> np.ndarray:
     """Natural log of P(class) * P(member | class) for each state (rows)."""
-    logits = states @ net.class_w
-    logits += net.class_b
-    if not _small(net.class_w, net.class_b, 0):
-        logits -= logits.max(axis=1, keepdims=True)
-    chosen = logits[np.arange(len(states)), classes]
-    np.exp(logits, out=logits)
-    out = chosen - np.log(logits.sum(axis=1))
-    offsets = net.shape.offsets
-    order, borders = _by_class(classes, net.shape.classes)
-    ordered, member = states[order], members[order]
-    within = np.empty(len(states), np.float32)
-    small = _small(net.member_w, net.member_b, 1)
-    for c in np.flatnonzero(np.diff(borders)):
-        a, b = borders[c], borders[c + 1]
-        block = slice(offsets[c], offsets[c + 1])
-        logits = ordered[a:b] @ net.member_w[block].T
-        logits += net.member_b[block]
+    n, c_all = len(states), net.shape.classes
+    states = _with_one(states)
+    chosen, sums = np.empty(n, np.float32), np.empty(n, np.float32)
+    small = _small(net.class_out, 0)
+    ones = np.ones(max(c_all, *net.shape.sizes), np.float32)
+    for a in range(0, n, _ROWS):
+        logits = states[a : a + _ROWS] @ net.class_out
         if not small:
             logits -= logits.max(axis=1, keepdims=True)
-        chosen = logits[np.arange(b - a), member[a:b]]
+        places = np.arange(0, logits.size, c_all) + classes[a : a + _ROWS]
+        logits.ravel().take(places, out=chosen[a : a + _ROWS], mode="clip")
         np.exp(logits, out=logits)
-        within[a:b] = chosen - np.log(logits.sum(axis=1))
-    out[order] += within
+        np.matmul(logits, ones[:c_all], out=sums[a : a + _ROWS])
+    out = chosen - np.log(sums, out=sums)
+    order, borders = _by_class(classes, c_all)
+    ordered, member = states.take(order, axis=0), members[order]
+    small = _small(net.member_out, 1)
+    for c, size in enumerate(net.shape.sizes):
+        block = net.blocks[c].T
+        for a in range(borders[c], borders[c + 1], _ROWS):
+            b = min(a + _ROWS, borders[c + 1])
+            logits = ordered[a:b] @ block
+            if not small:
+                logits -= logits.max(axis=1, keepdims=True)
+            places = np.arange(0, logits.size, size) + member[a:b]
+            logits.ravel().take(places, out=chosen[a:b], mode="clip")
+            np.exp(logits, out=logits)
+            np.matmul(logits, ones[:size], out=sums[a:b])
+    chosen -= np.log(sums, out=sums)
+    out[order] += chosen
     return out
 
 
@@ -191,81 +202,97 @@ def gradient(
 
     grad: a net to write the gradient to.
     """
-    h = net.shape.hidden
+    h, c_all = net.shape.hidden, net.shape.classes
     steps, lanes = inputs.shape
-    states, last, kept = forward(net, inputs, fresh, state, keep=True)
+    states, last, (gates, added) = forward(net, inputs, fresh, state, keep=True)
     grad = Net(net.shape) if grad is None else grad
-    flat, y = states.reshape(-1, h), classes.ravel()
+    flat, y = _with_one(states.reshape(-1, h)), classes.ravel()
     scale = (weight.ravel() / max(1.0, weight.sum())).astype(np.float32)
-    error = flat @ net.class_w
-    error += net.class_b
-    _softmax(error, _small(net.class_w, net.class_b, 0))
-    error[np.arange(len(y)), y] -= 1
-    error *= scale[:, None]
-    np.matmul(flat.T, error, out=grad.class_w)
-    error.sum(axis=0, out=grad.class_b)
+
+    error = flat @ net.class_out
+    if not _small(net.class_out, 0):
+        error -= error.max(axis=1, keepdims=True)
+    np.exp(error, out=error)
+    error *= (scale / (error @ np.ones(c_all, np.float32)))[:, None]
+    error.reshape(-1)[np.arange(0, error.size, c_all) + y] -= scale
+    np.matmul(flat.T, error, out=grad.class_out)
     back = error @ net.class_w.T
-    offsets = net.shape.offsets
-    order, borders = _by_class(y, net.shape.classes)
-    ordered, member, scaled = flat[order], members.ravel()[order], scale[order][:, None]
-    ordered_back = np.empty_like(ordered)
-    small = _small(net.member_w, net.member_b, 1)
-    for c in range(net.shape.classes):
-        a, b = borders[c], borders[c + 1]
-        block = slice(offsets[c], offsets[c + 1])
+
+    # The classes' blocks of errors lie one after the other; a token's row has its class's members.
+    order, borders = _by_class(y, c_all)
+    ordered, scaled = flat.take(order, axis=0), scale.take(order)
+    lengths = np.array(net.shape.sizes).take(y.take(order))
+    ends = np.cumsum(lengths)
+    begins = ends - lengths
+    errors = np.empty(int(ends[-1]), np.float32)
+    blocks, at, a = [], 0, 0
+    for block, out, size, b in zip(net.blocks, grad.blocks, net.shape.sizes, borders[1:]):
         if a == b:
-            grad.member_w[block] = 0
-            grad.member_b[block] = 0
+            out[:] = 0
             continue
-        mine, w = ordered[a:b], net.member_w[block]
-        error = mine @ w.T
-        error += net.member_b[block]
-        _softmax(error, small)
-        error[np.arange(b - a), member[a:b]] -= 1
-        error *= scaled[a:b]
-        np.matmul(error.T, mine, out=grad.member_w[block])
-        error.sum(axis=0, out=grad.member_b[block])
-        np.matmul(error, w, out=ordered_back[a:b])
-    back[order] += ordered_back
+        mine, end = ordered[a:b], at + (b - a) * size
+        error = errors[at:end].reshape(b - a, size)
+        np.dot(mine, block.T, out=error)
+        blocks.append((error, mine, block, out, a, b))
+        at, a = end, b
+    if not _small(net.member_out, 1):
+        errors -= np.repeat(np.maximum.reduceat(errors, begins), lengths)
+    np.exp(errors, out=errors)
+    errors *= np.repeat(scaled / np.add.reduceat(errors, begins), lengths)
+    errors[begins + members.ravel().take(order)] -= scaled
+    ordered_back = np.empty((len(y), h + 1), np.float32)
+    for error, mine, block, out, a, b in blocks:
+        np.dot(error.T, mine, out=out)
+        np.dot(error, block, out=ordered_back[a:b])
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    back += ordered_back.take(place, axis=0)[:, :h]
+
+    # What each gate's argument gets of a state's error, for all steps at once.
+    z, r, n = gates
     back = back.reshape(steps, lanes, h)
-    from_x = np.empty((steps, lanes, 3 * h), np.float32)
-    from_u = np.empty((steps, lanes, 3 * h), np.float32)
     before = np.empty((steps, lanes, h), np.float32)
+    before[0], before[1:] = state, states[:-1]
+    before[fresh] = 0
+    any_fresh = fresh.any(axis=1).tolist()
+    rest = 1 - z
+    to_n = n * n
+    np.subtract(1, to_n, out=to_n)
+    to_n *= rest
+    parts = np.empty((steps, lanes, 3, h), np.float32)
+    work = before - n
+    work *= z
+    np.multiply(work, rest, out=parts[:, :, 0])
+    np.multiply(to_n, r, out=work)
+    parts[:, :, 2] = work
+    work *= added
+    np.subtract(1, r, out=rest)
+    np.multiply(work, rest, out=parts[:, :, 1])
+    u = np.ascontiguousarray(net.u.T)
     carried = np.zeros((lanes, h), np.float32)
-    any_fresh = fresh.any(axis=1)
+    kept = np.empty((lanes, h), np.float32)
     for t in range(steps - 1, -1, -1):
-        previous, z, r, n, a = kept[t]
-        d = back[t]
+        d, part = back[t], parts[t]
         d += carried
-        dx, du = from_x[t], from_u[t]
-        dn = (1 - n * n) * d
-        dn *= 1 - z
-        dx[:, 2 * h :] = dn
-        np.multiply(dn, r, out=du[:, 2 * h :])
-        dr = du[:, 2 * h :] * a
-        dr *= 1 - r
-        dx[:, h : 2 * h] = dr
-        dz = (previous - n) * d
-        dz *= z
-        dz *= 1 - z
-        dx[:, :h] = dz
-        du[:, : 2 * h] = dx[:, : 2 * h]
-        before[t] = previous
-        carried = du @ net.u.T
-        carried += d * z
+        part *= d[:, None, :]
+        np.dot(part.reshape(lanes, 3 * h), u, out=carried)
+        np.multiply(d, z[t], out=kept)
+        carried += kept
         if any_fresh[t]:
             carried *= ~fresh[t][:, None]
-    flat_x = from_x.reshape(-1, 3 * h)
+    flat_x = parts.reshape(-1, 3 * h)
     rows = inputs.ravel()
-    np.matmul(before.reshape(-1, h).T, from_u.reshape(-1, 3 * h), out=grad.u)
-    np.matmul(net.embedding[rows].T, flat_x, out=grad.w)
-    flat_x.sum(axis=0, out=grad.b)
+    np.matmul(before.reshape(-1, h).T, flat_x, out=grad.u)
+    np.multiply(back, to_n, out=parts[:, :, 2])  # the input is added behind the reset gate
+    np.matmul(net.embedding.take(rows, axis=0).T, flat_x, out=grad.w)
+    np.matmul(np.ones(len(rows), np.float32), flat_x, out=grad.b)
+    short = len(net.embedding) <= 1 << 15  # sorted by digits
+    by_row = np.argsort(rows.astype(np.int16) if short else rows, kind="stable")
     to_rows = flat_x @ net.w.T
-    by_row = np.argsort(rows, kind="stable")
-    ranked = rows[by_row]
+    ranked = rows.take(by_row)
     first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
     grad.embedding[:] = 0
-    grad.embedding[ranked[first]] = np.add.reduceat(to_rows[by_row], first, axis=0)
+    grad.embedding[ranked[first]] = np.add.reduceat(to_rows.take(by_row, axis=0), first, axis=0)
     return grad, last
 
 
@@ -306,7 +333,7 @@ class Cells:
         self.codes = np.zeros((steps, lanes, 3), np.int32)
         self.codes[:, :, 0] = begin
         self.fresh = np.zeros((steps, lanes), bool)
-        self.weight = np.zeros((steps, lanes), np.float32)
+        self.weight = np.ones((steps, lanes), np.float32)
 
     @property
     def inputs(self) -> np.ndarray:
@@ -360,13 +387,14 @@ class Feed:
                 start = lane[2]
                 n = min(steps - at, len(rows) - start)
                 codes[at : at + n, i] = rows[start : start + n]
-                weight[at : at + n, i] = 1
                 if start == 0:
                     fresh[at, i] = True
                 at += n
                 lane[2] += n
                 if lane[2] == len(rows):
                     lane[1], lane[2] = self._next(lane[0]), 0
+            if at < steps:
+                weight[at:, i] = 0
         return cells
 
 

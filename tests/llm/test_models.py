@@ -235,6 +235,62 @@ def test_the_gradient_is_that_of_the_loss():
         assert grad.flat[i] == pytest.approx((loss(up) - loss(down)) / 2e-2, abs=2e-3)
 
 
+def made_up_window():
+    """A net, its window of 5 steps and 3 lanes with a fresh step, and the state before."""
+    rng = np.random.default_rng(12)
+    net = Net(Shape(6, (3, 4, 2, 1), dim=3, hidden=4))
+    net.flat[:] = rng.normal(0, 0.4, len(net.flat))
+    classes = rng.integers(0, 3, (5, 3))  # none of the last
+    members = np.array([[rng.integers(0, net.shape.sizes[c]) for c in row] for row in classes])
+    fresh = np.zeros((5, 3), bool)
+    fresh[2, 1] = True
+    state = rng.normal(0, 0.3, (3, 4)).astype(np.float32)
+    return net, rng.integers(0, 11, (5, 3)), fresh, classes, members, np.ones((5, 3), np.float32), state
+
+
+def test_states_are_those_of_a_plain_gated_unit():
+    from plumbrow.llm.gru import forward, input_table
+
+    net, inputs, fresh, *_, state = made_up_window()
+    before = net.flat.copy()
+    expected, s = [], state.astype(np.float64)
+    for row, new in zip(inputs, fresh):
+        s = np.where(new[:, None], 0, s)
+        x, a = net.embedding[row].astype(np.float64) @ net.w + net.b, s @ net.u
+        z, r = (1 / (1 + np.exp(-(x + a)[:, i : i + 4])) for i in (0, 4))
+        s = z * s + (1 - z) * np.tanh(x[:, 8:] + r * a[:, 8:])
+        expected.append(s)
+    for table in (None, input_table(net)):
+        states, last, _ = forward(net, inputs, fresh, state, table=table)
+        assert states == pytest.approx(np.array(expected), abs=1e-5)
+        assert last == pytest.approx(expected[-1], abs=1e-5)
+    assert (net.flat == before).all()
+
+
+def test_a_reused_gradient_holds_nothing_of_the_window_before():
+    net, *window = made_up_window()
+    before = net.flat.copy()
+    used = Net(net.shape)
+    used.flat[:] = np.nan
+    gradient(net, *window, used)
+    assert (used.flat == gradient(net, *window)[0].flat).all()
+    assert (net.flat == before).all()
+
+
+def test_large_logits_do_not_overflow():
+    """The softmaxes shift only where they must; a shift of all logits changes nothing."""
+    net, *window = made_up_window()
+    expected = gradient(net, *window)[0].flat
+    net.class_b += 200
+    net.member_b -= 200
+    assert gradient(net, *window)[0].flat == pytest.approx(expected, abs=1e-4)
+    states, classes, members = np.zeros((2, 4), np.float32), np.array([0, 2]), np.array([1, 1])
+    found = log_probabilities(net, states, classes, members)
+    net.class_b -= 200
+    net.member_b += 200
+    assert found == pytest.approx(log_probabilities(net, states, classes, members), abs=1e-4)
+
+
 def test_probabilities_add_up_to_one():
     rng = np.random.default_rng(8)
     shape = Shape(6, (3, 4, 2), dim=3, hidden=4)
