@@ -2,9 +2,10 @@
 
 Only an 8-byte hash per row is shuffled to learn which hashes occur more than once. Those few
 hashes are staged, so the planner knows their size: it broadcasts them when they are few and
-otherwise shuffles both sides, splitting a hash that holds a large part of the rows. The rows found
-are then grouped by the columns themselves and never by the hash, so that the grouping always
-combines on the map side first and a large group costs each task one entry.
+otherwise shuffles both sides, splitting a hash that holds a large part of the rows; rows that cannot
+have such a hash are sifted out before. The rows found are then grouped by the columns themselves and
+never by the hash, so that the grouping always combines on the map side first and a large group costs
+each task one entry.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbrow.functions.keys import join_same, row_hash
+from plumbrow.operators.sieve import sifted
 from plumbrow.sources.staging import stage
 
 ROW_HASH = "_row_hash"
@@ -37,7 +39,8 @@ def repeat_candidates(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     Adds the row hash and the number of rows sharing it, which bounds the size of the row's set.
     """
     keyed = rows.withColumn(ROW_HASH, row_hash(columns))
-    return keyed.join(_repeated_hashes(keyed), ROW_HASH)
+    repeated = _repeated_hashes(keyed)
+    return sifted(keyed, repeated, ROW_HASH).join(repeated, ROW_HASH)
 
 
 def drop_copies(rows: DataFrame) -> DataFrame:

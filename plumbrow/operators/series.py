@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from plumbrow.functions.keys import join_same, row_hash
 from plumbrow.functions.text import is_variance_like, line_item
+from plumbrow.operators.sieve import sifted
 from plumbrow.schema import SERIES_KEY, STANDARD_SCHEMA
 from plumbrow.settings import Settings
 from plumbrow.sources.staging import stage
@@ -156,5 +157,5 @@ def uneven_series_values(rows: DataFrame, settings: Settings = Settings()) -> Da
     # The words are searched for in the few rows that may matter. The condition reads a column of the other side, or
     # the optimizer would move it below the join, to all rows.
     matters = F.when(F.col("_n_alike") > 0, ~is_variance_like(line_item()))
-    suspect = values.join(uneven, SERIES_HASH).where(matters).drop("_n_alike")
+    suspect = sifted(values, uneven, SERIES_HASH).join(uneven, SERIES_HASH).where(matters).drop("_n_alike")
     return _output(_usable(suspect, long_hashes, settings))

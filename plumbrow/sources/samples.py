@@ -6,7 +6,7 @@ known defects injected by predicate. Everything is a function of whole tables an
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,8 @@ from plumbrow.operators.reconcile import (
     TRANSITIONAL,
     record_measures,
 )
-from plumbrow.sources.staging import stage
+from plumbrow.sources.staging import release_shuffles, stage, staged_until_done
+from plumbrow.sources.tables import TableRef, write_table
 
 _stored: dict[tuple[str, str, str], DataFrame] = {}
 
@@ -43,16 +44,20 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 _LINES_PER_TASK = 500_000
 
 
-def _in_small_tasks(lines: DataFrame, most: int = _LINES_PER_TASK) -> DataFrame:
-    """The rows, dealt to tasks of about `most` by their order's key where the scan's tasks have more.
+def _in_small_tasks(
+    lines: DataFrame,
+    most: int = _LINES_PER_TASK,
+    rows: DataFrame | None = None,
+    keys: Sequence[str] = ("l_orderkey",),
+) -> DataFrame:
+    """The lines, or `rows` made of them, dealt by the keys to as many tasks as the scan has, and to tasks of
+    about `most` where it has fewer.
 
     A scan's task has all the rows of 128 MB, which are millions where they compress well, and its sums
     nearly as many groups.
     """
-    n_tasks = -(-lines.count() // most)
-    if n_tasks <= lines.rdd.getNumPartitions():
-        return lines
-    return lines.repartition(n_tasks, "l_orderkey")
+    n_tasks = max(-(-lines.count() // most), lines.rdd.getNumPartitions())
+    return (lines if rows is None else rows).repartition(n_tasks, *keys)
 
 
 def _either(*arms: tuple[Column, Column], otherwise: Column) -> Column:
@@ -68,31 +73,43 @@ def _cells(spark: SparkSession, folder: str, by_supplier: bool) -> DataFrame:
     With `by_supplier` every supplier is a network of its nation, so the mart grows with the data;
     without, each nation has the one network 'All'. Sums are decimal, so their order is no matter.
     """
-    lines = _in_small_tasks(_table(spark, folder, "lineitem"))
     suppliers = _table(spark, folder, "supplier")
-    parts = _table(spark, folder, "part")
+    parts = _table(spark, folder, "part").select("p_partkey", F.col("p_type").alias("t"))
+    scanned = _table(spark, folder, "lineitem")
+    lines = scanned.select(
+        "l_partkey",
+        "l_suppkey",
+        F.year("l_shipdate").alias("y"),
+        F.col("l_returnflag").alias("f"),
+        "l_extendedprice",
+        "l_quantity",
+        "l_discount",
+    )
+    lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).drop("l_partkey", "p_partkey")
+    # Dealt before they are summed, as sums of a task's lines are nearly as many and wider than the lines.
+    of_supplier = ["l_suppkey", "y", "t", "f"]
+    sums = (
+        _in_small_tasks(scanned, rows=lines, keys=of_supplier)
+        .groupBy(*of_supplier)
+        .agg(
+            F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("price"),
+            F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity"),
+            F.sum(F.col("l_discount").cast("decimal(18,4)")).alias("discount"),
+            F.count("*").alias("n"),
+        )
+    )
+    sums = stage(sums, "sample-sums")
+    release_shuffles(spark)
     network = F.col("s_name") if by_supplier else F.lit("All")
-    n_lines = F.count("*")
+    n_lines = F.sum("n").cast("double")
     return (
-        lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
-        .join(parts, lines.l_partkey == parts.p_partkey)
-        .groupBy(
-            F.col("s_nationkey").alias("k"),
-            network.alias("network"),
-            F.year("l_shipdate").alias("y"),
-            F.col("p_type").alias("t"),
-            F.col("l_returnflag").alias("f"),
-        )
+        sums.join(suppliers, sums.l_suppkey == suppliers.s_suppkey)
+        .groupBy(F.col("s_nationkey").alias("k"), network.alias("network"), "y", "t", "f")
         .agg(
-            (F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double") / 1000).alias(
-                "gross"
-            ),
-            F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity"),
-            n_lines.cast("double").alias("n_lines"),
-            (
-                F.sum(F.col("l_discount").cast("decimal(18,4)")).cast("double")
-                / n_lines.cast("double")
-            ).alias("share"),
+            (F.sum("price").cast("double") / 1000).alias("gross"),
+            F.sum("quantity").cast("double").alias("quantity"),
+            n_lines.alias("n_lines"),
+            (F.sum("discount").cast("double") / n_lines).alias("share"),
         )
     )
 
@@ -232,6 +249,7 @@ def build_mart(spark: SparkSession, folder: str, by_supplier: bool = True) -> Da
     company = F.concat(F.lit("N"), F.lpad(k.cast("string"), 2, "0"))
     no_text = F.lit(None).cast("string")
     cells = stage(_cells(spark, folder, by_supplier), "sample-cells")
+    release_shuffles(spark)
     plain = (
         cells.where(~dropped)
         .select("k", "network", "y", "t", "f", F.inline(F.array(*values)))
@@ -263,13 +281,23 @@ def build_mart(spark: SparkSession, folder: str, by_supplier: bool = True) -> Da
     return plain.unionByName(_odd_values(cells))
 
 
+def _mart_label(by_supplier: bool) -> str:
+    return f"{'supplier' if by_supplier else 'nation'}-mart"
+
+
 def sample_mart(spark: SparkSession, folder: str, by_supplier: bool = True) -> DataFrame:
-    grain = "supplier" if by_supplier else "nation"
     return _stored_once(
-        spark, folder, f"{grain}-mart", lambda: build_mart(spark, folder, by_supplier)
+        spark, folder, _mart_label(by_supplier), lambda: build_mart(spark, folder, by_supplier)
     )
 
 
+def write_sample_mart(spark: SparkSession, folder: str, ref: TableRef, by_supplier: bool = True) -> None:
+    """Write the sample mart as a table; one that is not stored yet is not stored a second time for that."""
+    stored = _stored.get((spark.sparkContext.applicationId, folder, _mart_label(by_supplier)))
+    with staged_until_done(spark):
+        write_table(build_mart(spark, folder, by_supplier) if stored is None else stored, ref)
+
+
 def build_interruptions(spark: SparkSession, folder: str) -> DataFrame:
     """One interruption record per event, with defects injected by predicate; one scan."""
     i, value = F.col("event_id"), F.col("value")

@@ -60,6 +60,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have the files of shuffles deleted that no plan needs any more, be it on other machines.
+
+    Spark does so when the driver collects its garbage, which one with memory to spare rarely does. Meanwhile the
+    files of whatever was shuffled lie beside those of what is shuffled next. To be called after large results
+    were staged; it takes a fraction of a second.
+    """
+    spark.range(1, numPartitions=1).collect()  # the scheduler holds on to its last job
+    spark._jvm.System.gc()
+
+
 @contextmanager
 def staged_until_done(spark: SparkSession) -> Iterator[None]:
     """Deletes what is staged inside, once the results that need it have been written.
