@@ -47,7 +47,8 @@ def _words(hashes: DataFrame, name: str, n_words: int) -> DataFrame:
     zeros = spark.range(n_words).select(F.col("id").alias("_word"), F.lit(0).cast("bigint").alias("_bits"))
     words = set_bits.unionByName(zeros).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
     in_order = F.sort_array(F.collect_list(F.struct("_word", "_bits")))
-    return words.groupBy(_block(F.col("_word")).alias("_block")).agg(F.transform(in_order, lambda w: w["_bits"]).alias("_words"))
+    bits = F.transform(in_order, lambda word: word["_bits"])
+    return words.groupBy(_block(F.col("_word")).alias("_block")).agg(bits.alias("_words"))
 
 
 def sifted(rows: DataFrame, hashes: DataFrame, name: str) -> DataFrame:
